@@ -53,28 +53,50 @@ def reduce_groups(
     keys: Sequence[str],
     reduce: Callable[[pd.DataFrame], pd.DataFrame],
     schema: str,
-    salts: int = 64,
+    combine_rows: int = 100_000,
 ) -> DataFrame:
     """Associative reduce of each group by a Python function.
 
-    ``reduce`` takes the rows of one or more groups (columns of ``schema``,
-    which must equal those of ``df``) and returns one row per group. It runs
-    on every Arrow batch before the shuffle, then on ``salts`` slices of each
-    group, then on one row per slice, so no call sees a whole large group.
-    Where a built-in aggregate exists, prefer it.
+    ``reduce`` takes rows of any number of groups (columns of ``schema``, which
+    must equal those of ``df``) and returns one row per group. It runs on every
+    ``combine_rows`` rows before the shuffle; after it, the partial rows arrive
+    sorted by key and are reduced batch by batch, carrying over the one group
+    that may continue. No call ever holds a whole large group. Where a built-in
+    aggregate exists, prefer it.
     """
+    keys = list(keys)
 
-    def per_batch(batches):
+    def before_shuffle(batches):
+        held, rows = [], 0
         for batch in batches:
-            yield reduce(batch)
-
-    def per_group(rows: pd.DataFrame) -> pd.DataFrame:
-        return reduce(rows)
+            held.append(batch)
+            rows += len(batch)
+            if rows >= combine_rows:
+                yield reduce(pd.concat(held))
+                held, rows = [], 0
+        if rows:
+            yield reduce(pd.concat(held))
+
+    def after_shuffle(batches):
+        carried = None
+        for batch in batches:
+            if batch.empty:
+                continue
+            last = batch[keys].iloc[-1]
+            reduced = reduce(batch if carried is None else pd.concat([carried, batch]))
+            same = reduced[keys].eq(last) | (reduced[keys].isna() & last.isna())
+            is_open = same.all(axis=1)
+            carried = reduced[is_open]
+            yield reduced[~is_open]
+        if carried is not None:
+            yield carried
 
-    partial = df.mapInPandas(per_batch, schema)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts)).alias("_salt")
-    sliced = partial.groupBy(*keys, salt).applyInPandas(per_group, schema)
-    return sliced.groupBy(*keys).applyInPandas(per_group, schema)
+    return (
+        df.mapInPandas(before_shuffle, schema)
+        .repartition(*keys)
+        .sortWithinPartitions(*keys)
+        .mapInPandas(after_shuffle, schema)
+    )
 
 
 def first_by(df: DataFrame, keys: Sequence[str], order: Column, **columns: Column) -> DataFrame:

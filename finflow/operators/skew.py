@@ -31,9 +31,14 @@ def hot_keys(
     return counts.where(is_hot).select(*keys)
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality of ``keys`` on both sides."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def aside(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
+    """``df`` with ``keys`` renamed, and null-safe equality with the original names.
+
+    Lets a table join what was derived from it without ambiguous columns.
+    """
+    renamed = {k: f"_aside_{k}" for k in keys}
+    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in renamed.items()])
+    return df.withColumnsRenamed(renamed), match
 
 
 def split_by_heat(
@@ -46,7 +51,6 @@ def split_by_heat(
     """``(cold, hot)`` rows of ``df``; together they are ``df``."""
     if hot is None:
         hot = hot_keys(df, keys, hot_rows, hot_share)
-    names = {k: f"_hot_{i}" for i, k in enumerate(keys)}
-    marks = F.broadcast(hot.select(*[F.col(k).alias(n) for k, n in names.items()]))
-    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+    marks, match = aside(hot.select(*keys), keys)
+    marks = F.broadcast(marks)
     return df.join(marks, match, "left_anti"), df.join(marks, match, "left_semi")

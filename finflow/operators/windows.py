@@ -14,7 +14,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from finflow.operators.skew import HOT_ROWS, HOT_SHARE, same_keys, split_by_heat
+from finflow.operators.skew import HOT_ROWS, HOT_SHARE, aside, split_by_heat
 
 WindowColumn = Callable[[WindowSpec], Column]
 
@@ -196,9 +196,10 @@ def ranked(
             F.col("_total") > 1, (rank - 1) / (F.col("_total") - 1)
         ).otherwise(F.lit(0.0)),
     }
-    joined = local.join(before, same_keys(local, before, [*keys, "_bucket"]), "inner")
+    before, match = aside(before, [*keys, "_bucket"])
+    joined = local.join(before, match, "inner")
     split = joined.select(
-        *[local[c] for c in df.columns],
+        *df.columns,
         *[split_column[kind].alias(n) for n, kind in columns.items()],
     )
     return plain.unionByName(split)
@@ -258,11 +259,12 @@ def running_totals(
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_count_before"),
         F.sum("_s").over(Window.partitionBy(*keys)).alias("_total"),
     )
-    joined = local.join(before, same_keys(local, before, [*keys, "_bucket"]), "inner")
+    before, match = aside(before, [*keys, "_bucket"])
+    joined = local.join(before, match, "inner")
     # A sum over no values is null, so add only the side that exists.
     total = F.coalesce(F.col("_sum") + F.col("_sum_before"), F.col("_sum"), F.col("_sum_before"))
     split = joined.select(
-        *[local[c] for c in df.columns],
+        *df.columns,
         total.alias(running_sum),
         (F.col("_count") + F.col("_count_before")).alias(running_count),
         F.col("_total").alias(key_total),
