@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Fixed value: the name the function has in SQL text.
 UDF_NAME = "capitalizeWords"
@@ -16,7 +17,7 @@ def _capitalize(text: str | None) -> str | None:
     return " ".join(word[:1].upper() + word[1:] for word in text.rstrip(" ").split(" "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def capitalize_words_udf(text: pd.Series) -> pd.Series:
     """Column UDF, one Arrow batch at a time."""
     return text.map(_capitalize)

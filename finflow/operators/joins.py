@@ -17,6 +17,13 @@ from pyspark.sql import types as T
 
 from finflow.operators.skew import HOT_ROWS, HOT_SHARE, hot_keys, split_by_heat
 
+# Other names of the outer joins.
+OUTER_NAMES = {
+    "left": "left", "leftouter": "left",
+    "right": "right", "rightouter": "right",
+    "full": "full", "outer": "full", "fullouter": "full",
+}
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -74,7 +81,7 @@ def outer_join(
     adaptive execution can split on both sides) plus the rows without a partner,
     found by an anti join against the distinct keys of the other side.
     """
-    on = list(on)
+    on, how = list(on), OUTER_NAMES[how.replace("_", "")]
     hot = (
         hot_keys(left, on, hot_rows, hot_share)
         .union(hot_keys(right, on, hot_rows, hot_share))

@@ -6,7 +6,10 @@ import importlib
 
 from finflow.plans.registry import ORACLES, QUERIES
 
-for _name in ("tables", "projection", "joins", "aggregates", "windows"):
+for _name in (
+    "tables", "projection", "joins", "aggregates", "windows", "rows", "text", "numbers", "dates",
+    "transactions",
+):
     importlib.import_module(f"finflow.plans.{_name}")
 
 __all__ = ["ORACLES", "QUERIES"]
