@@ -10,16 +10,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.errors import AnalysisException
+from pyspark.sql.types import LongType, StructType
 
 from finflow.schemas import ACCOUNT_STATE
 from finflow.streaming.windows import window_aggregate
 
 KEY = "account_number"
 
+_STORED = StructType(list(ACCOUNT_STATE.fields)).add("version", LongType())
+
 
 def window_totals(transactions: DataFrame, time: str, length: str) -> DataFrame:
     """Spending and number of transactions per account and window; table or stream."""
@@ -39,6 +42,7 @@ def advance_state(
     length: str,
     upto: Column,
     timeout: str | None = None,
+    first: Column | None = None,
 ) -> DataFrame:
     """State of every known account after each window up to the one ending at ``upto``.
 
@@ -46,6 +50,8 @@ def advance_state(
     ``totals`` the window totals since then. An account without transactions in a
     window keeps its totals and gets the window average 0. With ``timeout`` an
     account idle for longer than that is forgotten, and starts anew if it returns.
+    A state row without ``window_end`` (an initial state) is first visited in the
+    window that ends at ``first``, or else only at ``upto``.
 
     Both inputs are shuffled once, by account. Per account a task holds one
     entry per window, never single transactions.
@@ -64,11 +70,15 @@ def advance_state(
         F.col("window_end").alias("_since"),
         F.col("last_seen").alias("_seen"),
     )
-    begin = F.coalesce(F.col("_since") + step, F.col("_first"))
+    seeded = F.col("_total").isNotNull() & F.col("_since").isNull()
+    begin = F.when(seeded, upto if first is None else first).otherwise(
+        F.coalesce(F.col("_since") + step, F.col("_first"))
+    )
     grid = (
         old.join(news, KEY, "full")
-        .where(begin <= upto)
-        .select("*", F.explode(F.sequence(begin, upto, step)).alias("window_end"))
+        .select("*", begin.alias("_begin"), upto.alias("_upto"))
+        .where(F.col("_begin") <= F.col("_upto"))
+        .select("*", F.explode(F.sequence("_begin", "_upto", step)).alias("window_end"))
         .select("*", F.try_element_at("_news", F.col("window_end")).alias("_now"))
     )
 
@@ -158,9 +168,6 @@ class StateTable:
         self._write(state, batch_id, (folder + 1) % self.folders)
 
 
-_STORED = ACCOUNT_STATE.__class__(list(ACCOUNT_STATE.fields)).add("version", "bigint")
-
-
 def keep_state(
     table: StateTable,
     length: str,
@@ -177,11 +184,14 @@ def keep_state(
     def handle(totals: DataFrame, batch_id: int) -> None:
         totals = totals.persist()
         try:
-            upto = totals.agg(F.max("window_end").cast("string")).first()[0]
-            if upto is None:
+            first, last = totals.agg(
+                F.min("window_end").cast("string"), F.max("window_end").cast("string")
+            ).first()
+            if last is None:
                 return
-            end = F.lit(upto).cast("timestamp")
-            rows = advance_state(table.read(before=batch_id), totals, length, end, timeout).persist()
+            begin, end = F.lit(first).cast("timestamp"), F.lit(last).cast("timestamp")
+            known = table.read(before=batch_id)
+            rows = advance_state(known, totals, length, end, timeout, begin).persist()
             try:
                 table.write(rows.where(F.col("window_end") == end), batch_id)
                 if output is not None:
