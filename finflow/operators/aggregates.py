@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finflow.operators.skew import HOT_ROWS, HOT_SHARE
-from finflow.operators.windows import ranked
+from finflow.operators.windows import numbered
 
 
 def group_count(df: DataFrame, *keys: str, out: str = "count") -> DataFrame:
@@ -125,7 +125,7 @@ def drop_duplicates_by(df: DataFrame, keys: Sequence[str], order: Column) -> Dat
 def collect_lists(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column],
+    order: Sequence[str],
     value: str,
     out: str,
     bucket: Column,
@@ -139,13 +139,12 @@ def collect_lists(
     A group longer than ``chunk_rows`` continues in further rows with ``chunk``
     1, 2, ...; no row and no task ever holds an unbounded list.
     """
-    named = ranked(
-        df.where(F.col(value).isNotNull()), keys, order, {"_pos": "row_number"}, bucket,
-        hot_rows=hot_rows, hot_share=hot_share,
+    placed = numbered(
+        df.where(F.col(value).isNotNull()), keys, order, "_pos", bucket, hot_rows, hot_share
     )
     which = F.floor((F.col("_pos") - 1) / F.lit(chunk_rows)).cast("int")
     return (
-        named.groupBy(*keys, which.alias(chunk))
+        placed.groupBy(*keys, which.alias(chunk))
         .agg(F.array_sort(F.collect_list(F.struct("_pos", value))).alias("_items"))
         .select(*keys, chunk, F.transform("_items", lambda item: item[value]).alias(out))
     )

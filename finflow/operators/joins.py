@@ -101,19 +101,30 @@ def outer_join(
 
 
 def pair_join(
-    left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], how: str = "inner"
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[tuple[str, str]],
+    how: str = "inner",
+    hot_rows: int = HOT_ROWS,
+    hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """Join that keeps both records whole, in the struct columns ``_1`` and ``_2``.
 
     The absent side of an outer join is a null struct. ``on`` pairs a left
     column with a right column.
     """
-    packed_left = left.select(F.struct("*").alias("_1"))
-    packed_right = right.select(F.struct("*").alias("_2"))
-    match = reduce(
-        lambda a, b: a & b, [F.col(f"_1.{a}") == F.col(f"_2.{b}") for a, b in on]
+    keys = [f"_key_{i}" for i in range(len(on))]
+    packed_left = left.select(
+        *[F.col(a).alias(k) for k, (a, _) in zip(keys, on)], F.struct("*").alias("_1")
+    )
+    packed_right = right.select(
+        *[F.col(b).alias(k) for k, (_, b) in zip(keys, on)], F.struct("*").alias("_2")
     )
-    return packed_left.join(packed_right, match, how)
+    if how == "inner":
+        joined = packed_left.join(packed_right, keys, how)
+    else:
+        joined = outer_join(packed_left, packed_right, keys, how, hot_rows, hot_share)
+    return joined.select("_1", "_2")
 
 
 def cross_join(left: DataFrame, right: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:

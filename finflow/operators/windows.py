@@ -2,9 +2,13 @@
 
 Ordinary keys use a plain ``Window``: one shuffle, one sort. The rows of hot
 keys (see ``skew``) are cut further into *buckets*, a column the caller derives
-from the leading order column, so that buckets follow each other in the window
-order and rows tied on that column share one. Inside a bucket the plain window
-does the work; what crosses a bucket edge comes from small per-bucket tables.
+from the first order column, so that buckets follow each other in the window
+order and rows that tie on that column share one. Inside a bucket the plain
+window does the work; what crosses a bucket edge comes from small per-bucket
+tables. A day is a good bucket for dates: it cuts years of one key into
+thousands of pieces.
+
+Orders are lists of column names; a leading ``-`` means descending.
 """
 
 from __future__ import annotations
@@ -19,15 +23,19 @@ from finflow.operators.skew import HOT_ROWS, HOT_SHARE, aside, split_by_heat
 WindowColumn = Callable[[WindowSpec], Column]
 
 
-def month_bucket(column: str) -> Column:
-    """Months since year 0: follows the order of any date or timestamp column."""
-    return F.year(column) * 12 + F.month(column)
+def ordering(order: Sequence[str]) -> list[Column]:
+    """Sort columns for names like ``date`` (ascending) or ``-date`` (descending)."""
+    return [F.col(o[1:]).desc() if o.startswith("-") else F.col(o).asc() for o in order]
+
+
+def _names(order: Sequence[str]) -> list[str]:
+    return [o.removeprefix("-") for o in order]
 
 
 def lookback_rows(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column],
+    order: Sequence[str],
     back: int,
     columns: Mapping[str, WindowColumn],
     bucket: Column,
@@ -36,27 +44,27 @@ def lookback_rows(
 ) -> DataFrame:
     """Add window columns that look at most ``back`` rows behind the current one.
 
-    ``order`` must be total (add a unique column last). For a hot key only the
+    ``order`` must be total (name a unique column last). For a hot key only the
     first ``back`` rows of a bucket need rows of earlier buckets, and these are
     among the last ``back`` rows of each bucket: the second window runs over
     those edge rows alone.
     """
     cold, hot = split_by_heat(df, keys, hot_rows, hot_share)
-    whole = Window.partitionBy(*keys).orderBy(*order)
+    whole = Window.partitionBy(*keys).orderBy(*ordering(order))
     plain = cold.select("*", *[make(whole).alias(name) for name, make in columns.items()])
 
     hot = hot.withColumn("_bucket", bucket)
-    part = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    numbered = hot.withColumns(
+    part = Window.partitionBy(*keys, "_bucket").orderBy(*ordering(order))
+    placed = hot.withColumns(
         {
             "_pos": F.row_number().over(part),
             "_size": F.count(F.lit(1)).over(Window.partitionBy(*keys, "_bucket")),
         }
     )
-    inner = numbered.select(
+    inner = placed.select(
         "*", *[make(part).alias(name) for name, make in columns.items()]
     ).where(F.col("_pos") > back)
-    edges = numbered.where((F.col("_pos") <= back) | (F.col("_pos") > F.col("_size") - back))
+    edges = placed.where((F.col("_pos") <= back) | (F.col("_pos") > F.col("_size") - back))
     heads = edges.select(
         "*", *[make(whole).alias(name) for name, make in columns.items()]
     ).where(F.col("_pos") <= back)
@@ -67,7 +75,7 @@ def lookback_rows(
 def rolling_average(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column],
+    order: Sequence[str],
     value: str,
     rows: int,
     out: str,
@@ -87,7 +95,7 @@ def rolling_average(
 def previous(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column],
+    order: Sequence[str],
     value: str,
     out: str,
     bucket: Column,
@@ -104,111 +112,174 @@ def previous(
     )
 
 
-def lookback_range(
+def range_totals(
     df: DataFrame,
     keys: Sequence[str],
     by: Column,
     span: int,
-    columns: Mapping[str, WindowColumn],
+    value: str,
+    prefix: str = "",
     hot_rows: int = HOT_ROWS,
     hot_share: float = HOT_SHARE,
 ) -> DataFrame:
-    """Add window columns over the rows whose ``by`` lies in ``[by - span, by]``.
+    """Add ``sum``, ``count``, ``min`` and ``max`` of ``value`` over the rows of the
+    key whose ``by`` lies in ``[by - span, by]``; names start with ``prefix``.
 
-    ``by`` is a numeric column expression. Rows of a hot key are cut into
-    stretches of ``span`` units; each row also visits the next stretch, where it
-    only serves as history.
+    ``by`` is an integer expression (days, seconds). All rows of a hot key with
+    the same ``by`` share one answer, so they are first combined; the combined
+    rows are cut into stretches of ``span`` units and also visit the next
+    stretch, where they only serve as history. No task sees more than ``2 * span``
+    of them.
     """
-    df = df.withColumn("_by", by)
+    df = df.withColumn("_by", by.cast("bigint"))
     cold, hot = split_by_heat(df, keys, hot_rows, hot_share)
+    names = {kind: f"{prefix}{kind}" for kind in ("sum", "count", "min", "max")}
     frame = Window.partitionBy(*keys).orderBy("_by").rangeBetween(-span, 0)
-    plain = cold.select("*", *[make(frame).alias(name) for name, make in columns.items()])
+    plain = cold.select(
+        "*",
+        F.sum(value).over(frame).alias(names["sum"]),
+        F.count(value).over(frame).alias(names["count"]),
+        F.min(value).over(frame).alias(names["min"]),
+        F.max(value).over(frame).alias(names["max"]),
+    )
 
+    points = hot.groupBy(*keys, "_by").agg(
+        F.sum(value).alias("_sum"),
+        F.count(value).alias("_count"),
+        F.min(value).alias("_min"),
+        F.max(value).alias("_max"),
+    )
     own = F.floor(F.col("_by") / F.lit(span))
-    visiting = hot.withColumn("_own", own).withColumn(
+    visiting = points.withColumn("_own", own).withColumn(
         "_bucket", F.explode(F.array(F.col("_own"), F.col("_own") + 1))
     )
     part = Window.partitionBy(*keys, "_bucket").orderBy("_by").rangeBetween(-span, 0)
+    answers = visiting.select(
+        *keys,
+        "_by",
+        "_own",
+        "_bucket",
+        F.sum("_sum").over(part).alias(names["sum"]),
+        F.sum("_count").over(part).alias(names["count"]),
+        F.min("_min").over(part).alias(names["min"]),
+        F.max("_max").over(part).alias(names["max"]),
+    ).where(F.col("_own") == F.col("_bucket"))
+    answers, match = aside(answers, [*keys, "_by"])
+    split = hot.join(answers, match, "inner").select(*df.columns, *names.values())
+    return plain.unionByName(split).drop("_by")
+
+
+def _offsets(sizes: DataFrame, keys: Sequence[str], counts: Mapping[str, str], descending: bool) -> DataFrame:
+    """Per bucket, the total of each count over the buckets before it."""
+    follow = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
+    earlier = Window.partitionBy(*keys).orderBy(follow).rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select(
+        *keys,
+        "_bucket",
+        *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(n) for n, c in counts.items()],
+    )
+
+
+def numbered(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    out: str,
+    bucket: Column,
+    hot_rows: int = HOT_ROWS,
+    hot_share: float = HOT_SHARE,
+) -> DataFrame:
+    """Add the row number within the key.
+
+    For a hot key the number inside a bucket is moved on by the sizes of the
+    buckets before it.
+    """
+    cold, hot = split_by_heat(df, keys, hot_rows, hot_share)
+    whole = Window.partitionBy(*keys).orderBy(*ordering(order))
+    plain = cold.withColumn(out, F.row_number().over(whole).cast("bigint"))
+
+    hot = hot.withColumn("_bucket", bucket)
+    sizes = hot.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = _offsets(sizes, keys, {"_rows_before": "_n"}, order[0].startswith("-"))
+    before, match = aside(before, [*keys, "_bucket"])
+    part = Window.partitionBy(*keys, "_bucket").orderBy(*ordering(order))
     split = (
-        visiting.select("*", *[make(part).alias(name) for name, make in columns.items()])
-        .where(F.col("_own") == F.col("_bucket"))
-        .drop("_own", "_bucket")
+        hot.withColumn("_pos", F.row_number().over(part))
+        .join(before, match, "inner")
+        .select(*df.columns, (F.col("_pos") + F.col("_rows_before")).alias(out))
     )
-    return plain.unionByName(split).drop("_by")
+    return plain.unionByName(split)
 
 
 def ranked(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column],
+    order: Sequence[str],
     columns: Mapping[str, str],
     bucket: Column,
-    bucket_descending: bool = False,
     hot_rows: int = HOT_ROWS,
     hot_share: float = HOT_SHARE,
 ) -> DataFrame:
-    """Add ranking columns: ``columns`` maps an output name to one of
-    ``row_number``, ``rank``, ``dense_rank`` or ``percent_rank``.
+    """Add ranks: ``columns`` maps an output name to ``rank``, ``dense_rank`` or ``percent_rank``.
 
-    For a hot key the position inside a bucket is moved on by the rows (or the
-    distinct order values) of the buckets before it. Rows that tie on ``order``
-    must share a bucket, which holds when ``bucket`` depends on its first column.
+    A rank depends on the order values alone, so the rows of a hot key are first
+    combined to one per distinct value with its count; ranks are found bucket by
+    bucket on those and joined back.
     """
     cold, hot = split_by_heat(df, keys, hot_rows, hot_share)
-    whole = Window.partitionBy(*keys).orderBy(*order)
+    whole = Window.partitionBy(*keys).orderBy(*ordering(order))
     plain_column = {
-        "row_number": lambda: F.row_number().over(whole),
-        "rank": lambda: F.rank().over(whole),
-        "dense_rank": lambda: F.dense_rank().over(whole),
+        "rank": lambda: F.rank().over(whole).cast("bigint"),
+        "dense_rank": lambda: F.dense_rank().over(whole).cast("bigint"),
         "percent_rank": lambda: F.percent_rank().over(whole),
     }
     plain = cold.select("*", *[plain_column[kind]().alias(n) for n, kind in columns.items()])
 
-    hot = hot.withColumn("_bucket", bucket)
-    part = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    local = hot.withColumns(
-        {
-            "_row_number": F.row_number().over(part),
-            "_rank": F.rank().over(part),
-            "_dense": F.dense_rank().over(part),
-        }
+    values = (
+        hot.withColumn("_bucket", bucket)
+        .groupBy(*keys, "_bucket", *_names(order))
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    sizes = local.groupBy(*keys, "_bucket").agg(
-        F.count(F.lit(1)).alias("_n"), F.max("_dense").alias("_d")
+    sizes = values.groupBy(*keys, "_bucket").agg(
+        F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_values")
     )
-    follow = F.col("_bucket").desc() if bucket_descending else F.col("_bucket").asc()
-    earlier = (
-        Window.partitionBy(*keys).orderBy(follow).rowsBetween(Window.unboundedPreceding, -1)
+    before = _offsets(
+        sizes, keys, {"_rows_before": "_rows", "_values_before": "_values"}, order[0].startswith("-")
     )
-    before = sizes.select(
-        *keys,
-        "_bucket",
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_rows_before"),
-        F.coalesce(F.sum("_d").over(earlier), F.lit(0)).alias("_values_before"),
-        F.sum("_n").over(Window.partitionBy(*keys)).alias("_total"),
+    totals = sizes.groupBy(*keys).agg(F.sum("_rows").alias("_total"))
+    totals, same_key = aside(totals, keys)
+    before = before.join(totals, same_key, "inner").select(
+        *keys, "_bucket", "_rows_before", "_values_before", "_total"
+    )
+    before, match = aside(before, [*keys, "_bucket"])
+
+    part = Window.partitionBy(*keys, "_bucket").orderBy(*ordering(order))
+    ahead = F.coalesce(
+        F.sum("_n").over(part.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    placed = values.withColumns({"_ahead": ahead, "_place": F.row_number().over(part)}).join(
+        before, match, "inner"
     )
-    rank = F.col("_rank") + F.col("_rows_before")
+    ahead_of_all = F.col("_ahead") + F.col("_rows_before")
     split_column = {
-        "row_number": (F.col("_row_number") + F.col("_rows_before")).cast("int"),
-        "rank": rank.cast("int"),
-        "dense_rank": (F.col("_dense") + F.col("_values_before")).cast("int"),
-        "percent_rank": F.when(
-            F.col("_total") > 1, (rank - 1) / (F.col("_total") - 1)
-        ).otherwise(F.lit(0.0)),
+        "rank": ahead_of_all + 1,
+        "dense_rank": F.col("_place") + F.col("_values_before"),
+        "percent_rank": F.when(F.col("_total") > 1, ahead_of_all / (F.col("_total") - 1)).otherwise(
+            F.lit(0.0)
+        ),
     }
-    before, match = aside(before, [*keys, "_bucket"])
-    joined = local.join(before, match, "inner")
-    split = joined.select(
-        *df.columns,
-        *[split_column[kind].alias(n) for n, kind in columns.items()],
+    ranks = placed.select(
+        *keys, *_names(order), *[split_column[kind].alias(n) for n, kind in columns.items()]
     )
+    ranks, same_value = aside(ranks, [*keys, *[o for o in _names(order) if o not in keys]])
+    split = hot.join(ranks, same_value, "inner").select(*df.columns, *columns)
     return plain.unionByName(split)
 
 
 def running_totals(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column],
+    order: Sequence[str],
     value: str,
     bucket: Column,
     running_sum: str = "running_sum",
@@ -224,13 +295,10 @@ def running_totals(
     """
     cold, hot = split_by_heat(df, keys, hot_rows, hot_share)
     so_far = (
-        Window.partitionBy(*keys).orderBy(*order)
+        Window.partitionBy(*keys).orderBy(*ordering(order))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    everything = (
-        Window.partitionBy(*keys)
-        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    )
+    everything = Window.partitionBy(*keys)
     plain = cold.select(
         "*",
         F.sum(value).over(so_far).alias(running_sum),
@@ -240,7 +308,7 @@ def running_totals(
 
     hot = hot.withColumn("_bucket", bucket)
     part = (
-        Window.partitionBy(*keys, "_bucket").orderBy(*order)
+        Window.partitionBy(*keys, "_bucket").orderBy(*ordering(order))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     local = hot.withColumns(
@@ -249,9 +317,8 @@ def running_totals(
     sizes = hot.groupBy(*keys, "_bucket").agg(
         F.sum(value).alias("_s"), F.count(value).alias("_n")
     )
-    earlier = (
-        Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    follow = F.col("_bucket").desc() if order[0].startswith("-") else F.col("_bucket").asc()
+    earlier = Window.partitionBy(*keys).orderBy(follow).rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.select(
         *keys,
         "_bucket",
@@ -260,10 +327,9 @@ def running_totals(
         F.sum("_s").over(Window.partitionBy(*keys)).alias("_total"),
     )
     before, match = aside(before, [*keys, "_bucket"])
-    joined = local.join(before, match, "inner")
     # A sum over no values is null, so add only the side that exists.
     total = F.coalesce(F.col("_sum") + F.col("_sum_before"), F.col("_sum"), F.col("_sum_before"))
-    split = joined.select(
+    split = local.join(before, match, "inner").select(
         *df.columns,
         total.alias(running_sum),
         (F.col("_count") + F.col("_count_before")).alias(running_count),

@@ -10,7 +10,6 @@ from finflow.operators.aggregates import (
     last_by, map_groups, reduce_groups,
 )
 from finflow.operators.skew import aside
-from finflow.operators.windows import month_bucket
 from finflow.plans.inputs import GAPPY, TRANSACTIONS, gappy, steady, transactions
 from finflow.plans.registry import query
 
@@ -101,10 +100,10 @@ def _order_lists(t, **limits):
     lists = collect_lists(
         t.orders.select("o_custkey", "o_orderdate", "o_orderkey"),
         ["o_custkey"],
-        [F.col("o_orderdate"), F.col("o_orderkey")],
+        ["o_orderdate", "o_orderkey"],
         "o_orderkey",
         "keys",
-        month_bucket("o_orderdate"),
+        F.to_date("o_orderdate"),
         **limits,
     )
     return lists.select(

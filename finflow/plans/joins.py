@@ -102,7 +102,7 @@ def _(t):
 @query(
     "jon_09_theta_join",
     """select o_orderkey, band from orders
-       join (values ('low', 0.0, 100000.0), ('mid', 75000.0, 300000.0), ('high', 300000.0, 1e9))
+       join (values ('low', 0.0, 100000.0), ('mid', 75000.0, 300000.0), ('high', 300000.0, 600000.0))
             v(band, low, high)
          on o_totalprice >= low and o_totalprice < high""",
 )
@@ -110,10 +110,10 @@ def _(t):
     """Orders with the price bands they fall in; bands overlap."""
     bands = local_table(
         t.spark,
-        [("low", 0.0, 100000.0), ("mid", 75000.0, 300000.0), ("high", 300000.0, 1e9)],
+        [("low", 0.0, 100000.0), ("mid", 75000.0, 300000.0), ("high", 300000.0, 600000.0)],
         "band string, low double, high double",
     )
-    return band_join(t.orders, bands, "o_totalprice", "low", "high", width=1e7).select(
+    return band_join(t.orders, bands, "o_totalprice", "low", "high", width=25000.0).select(
         "o_orderkey", "band"
     )
 

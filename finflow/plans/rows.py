@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from finflow.operators.layout import glom, stable_sample, stable_split
-from finflow.operators.windows import month_bucket, ranked
+from finflow.operators.windows import numbered
 from finflow.plans.inputs import GAPPY, gappy
 from finflow.plans.registry import query
 from finflow.session import cut_lineage
@@ -257,13 +257,13 @@ def _(t):
     "select l_orderkey, l_linenumber, l_quantity from lineitem where l_quantity > 0",
 )
 def _(t):
-    """Line items gathered per order and day of shipping, then flattened to their struct fields."""
-    placed = ranked(
-        t.lineitem.select("l_orderkey", "l_shipdate", "l_linenumber", "l_quantity", "l_extendedprice"),
+    """Line items gathered per order, a thousand at most to an array, then flattened to their fields."""
+    placed = numbered(
+        t.lineitem.select("l_orderkey", "l_shipdate", "l_linenumber", "l_quantity"),
         ["l_orderkey"],
-        [F.col("l_shipdate"), F.col("l_linenumber"), F.col("l_extendedprice")],
-        {"_pos": "row_number"},
-        month_bucket("l_shipdate"),
+        ["l_shipdate", "l_linenumber"],
+        "_pos",
+        F.to_date("l_shipdate"),
     )
     chunk = F.floor(F.col("_pos") / 1000)
     orders = placed.groupBy("l_orderkey", chunk.alias("chunk")).agg(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from finflow.operators.windows import (
-    lookback_range, month_bucket, previous, ranked, rolling_average, running_totals, time_bucket,
+    numbered, previous, range_totals, ranked, rolling_average, running_totals, time_bucket,
 )
 from finflow.plans.inputs import TRANSACTIONS, steady, transactions
 from finflow.plans.registry import query
@@ -14,8 +14,7 @@ from finflow.plans.registry import query
 _LOW = {"hot_rows": 10, "hot_share": 0.0}
 
 
-def _by_date():
-    return [F.col("date"), F.col("id")]
+BY_DATE = ["date", "id"]
 
 
 def _slim(t):
@@ -31,8 +30,8 @@ _ROLLING = """
 
 def _rolling(t, **limits):
     rows = rolling_average(
-        _slim(t), ["account_number"], _by_date(), "amount", 5, "rolling_avg",
-        month_bucket("date"), **limits,
+        _slim(t), ["account_number"], BY_DATE, "amount", 5, "rolling_avg",
+        F.to_date("date"), **limits,
     )
     return rows.select("id", "account_number", "amount", steady("rolling_avg").alias("rolling_avg"))
 
@@ -48,20 +47,24 @@ def _(t):
 
 
 _RANGE = """
-    select id, account_number, count(*) over w as in_90_days, round(sum(amount) over w, 2) as total_90_days
+    select id, account_number, count(*) over w as in_90_days, round(sum(amount) over w, 2) as total_90_days,
+           max(amount) over w as most_90_days
     from (""" + TRANSACTIONS + """)
     window w as (partition by account_number order by date
                  range between interval 90 days preceding and current row)"""
 
 
 def _range(t, **limits):
-    rows = lookback_range(
-        _slim(t), ["account_number"], F.unix_date("date"), 90,
-        {"in_90_days": lambda w: F.count(F.lit(1)).over(w),
-         "total_90_days": lambda w: F.round(F.sum("amount").over(w), 2)},
-        **limits,
+    rows = range_totals(
+        _slim(t), ["account_number"], F.unix_date("date"), 90, "amount", "in_90_days_", **limits
+    )
+    return rows.select(
+        "id",
+        "account_number",
+        F.col("in_90_days_count").alias("in_90_days"),
+        F.round("in_90_days_sum", 2).alias("total_90_days"),
+        F.col("in_90_days_max").alias("most_90_days"),
     )
-    return rows.select("id", "account_number", "in_90_days", "total_90_days")
 
 
 @query("win_02_range_frame", _RANGE)
@@ -84,7 +87,7 @@ _RUNNING = """
 
 def _running(t, **limits):
     rows = running_totals(
-        _slim(t), ["account_number"], _by_date(), "amount", month_bucket("date"), **limits
+        _slim(t), ["account_number"], BY_DATE, "amount", F.to_date("date"), **limits
     )
     return rows.select(
         "id",
@@ -123,7 +126,7 @@ _STATUSES = "(select o_orderkey as id, o_custkey as customer, o_orderstatus as s
 )
 def _(t):
     rows = previous(
-        _statuses(t), ["customer"], _by_date(), "status", "prev_status", month_bucket("date")
+        _statuses(t), ["customer"], BY_DATE, "status", "prev_status", F.to_date("date")
     )
     return rows.drop("date")
 
@@ -135,24 +138,33 @@ def _(t):
 )
 def _(t):
     rows = previous(
-        _statuses(t), ["customer"], _by_date(), "status", "third_last", month_bucket("date"),
+        _statuses(t), ["customer"], BY_DATE, "status", "third_last", F.to_date("date"),
         offset=3, default="none", **_LOW,
     )
     return rows.drop("date")
 
 
-@query(
-    "win_06_row_number",
-    "select id, customer, (row_number() over (partition by customer order by date, id))::integer as position from "
-    + _STATUSES,
+_NUMBERED = (
+    "select id, customer, row_number() over (partition by customer order by date, id) as position from "
+    + _STATUSES
 )
-def _(t):
-    rows = ranked(
-        _statuses(t), ["customer"], _by_date(), {"position": "row_number"}, month_bucket("date")
-    )
+
+
+def _numbered(t, **limits):
+    rows = numbered(_statuses(t), ["customer"], BY_DATE, "position", F.to_date("date"), **limits)
     return rows.select("id", "customer", "position")
 
 
+@query("win_06_row_number", _NUMBERED)
+def _(t):
+    return _numbered(t)
+
+
+@query("win_06_row_number_hot_keys", _NUMBERED)
+def _(t):
+    return _numbered(t, **_LOW)
+
+
 def _by_year(t):
     """Orders of each customer with the year only, so that many tie."""
     return t.orders.select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("year"))
@@ -163,24 +175,23 @@ _BY_YEAR = "(select o_orderkey, o_custkey, year(o_orderdate) as year from orders
 
 @query(
     "win_07_rank",
-    "select o_orderkey, (rank() over (partition by o_custkey order by year desc))::integer as rank from " + _BY_YEAR,
+    "select o_orderkey, rank() over (partition by o_custkey order by year desc) as rank from " + _BY_YEAR,
 )
 def _(t):
     rows = ranked(
-        _by_year(t), ["o_custkey"], [F.col("year").desc()], {"rank": "rank"}, F.col("year"),
-        bucket_descending=True,
+        _by_year(t), ["o_custkey"], ["-year"], {"rank": "rank"}, F.col("year")
     )
     return rows.select("o_orderkey", "rank")
 
 
 @query(
     "win_08_dense_rank",
-    "select o_orderkey, (dense_rank() over (partition by o_custkey order by year))::integer as dense_rank from "
+    "select o_orderkey, dense_rank() over (partition by o_custkey order by year) as dense_rank from "
     + _BY_YEAR,
 )
 def _(t):
     rows = ranked(
-        _by_year(t), ["o_custkey"], [F.col("year")], {"dense_rank": "dense_rank"}, F.col("year")
+        _by_year(t), ["o_custkey"], ["year"], {"dense_rank": "dense_rank"}, F.col("year")
     )
     return rows.select("o_orderkey", "dense_rank")
 
@@ -192,22 +203,22 @@ def _(t):
 )
 def _(t):
     rows = ranked(
-        _by_year(t), ["o_custkey"], [F.col("year")], {"percent_rank": "percent_rank"}, F.col("year")
+        _by_year(t), ["o_custkey"], ["year"], {"percent_rank": "percent_rank"}, F.col("year")
     )
     return rows.select("o_orderkey", F.round("percent_rank", 6).alias("percent_rank"))
 
 
 @query(
     "win_09_all_ranks_hot_keys",
-    """select o_orderkey, (rank() over w)::integer as rank, (dense_rank() over w)::integer as dense_rank,
+    """select o_orderkey, rank() over w as rank, dense_rank() over w as dense_rank,
               round(percent_rank() over w, 6) as percent_rank from """ + _BY_YEAR + """
        window w as (partition by o_custkey order by year desc)""",
 )
 def _(t):
     rows = ranked(
-        _by_year(t), ["o_custkey"], [F.col("year").desc()],
+        _by_year(t), ["o_custkey"], ["-year"],
         {"rank": "rank", "dense_rank": "dense_rank", "percent_rank": "percent_rank"},
-        F.col("year"), bucket_descending=True, **_LOW,
+        F.col("year"), **_LOW,
     )
     return rows.select(
         "o_orderkey", "rank", "dense_rank", F.round("percent_rank", 6).alias("percent_rank")
