@@ -13,7 +13,7 @@ from finflow.streaming.fraud import fraud_on_table, run_fraud_stream
 from finflow.streaming.run import run_available, to_batches, to_files
 from finflow.streaming.sources import read_stream, stream_lines, stream_replay, stream_table, replay
 from finflow.streaming.state import (
-    KEY, StateTable, advance_state, empty_state, keep_state, track_active, window_totals,
+    KEY, StateTable, advance_state, empty_state, keep_state, last_window_end, track_active, window_totals,
 )
 from finflow.streaming.windows import with_event_time
 
@@ -109,7 +109,7 @@ def _(t):
     live = payments(_live(t))
     newest = live.agg(F.max("ts") - F.expr("interval 10 seconds")).scalar()
     closed = window_totals(live, "ts", LENGTH).where(F.col("window_end") <= newest)
-    upto = closed.agg(F.max("window_end")).scalar()
+    upto = last_window_end(live, "ts", LENGTH, newest)
     return _shown(advance_state(empty_state(t.spark), closed, LENGTH, upto))
 
 

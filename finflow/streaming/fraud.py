@@ -9,7 +9,9 @@ from finflow.operators.transactions import (
     RED_FLAG_MARGIN, is_red_flag, parse_lines, safe_average, valid,
 )
 from finflow.streaming.run import run_available, to_batches
-from finflow.streaming.state import KEY, StateTable, advance_state, keep_state, window_totals
+from finflow.streaming.state import (
+    KEY, StateTable, advance_state, keep_state, last_window_end, window_totals,
+)
 from finflow.streaming.windows import with_event_time
 
 
@@ -63,5 +65,5 @@ def fraud_on_table(
 ) -> DataFrame:
     """The same flags for a table of transactions, every window taken as closed."""
     totals = window_totals(transactions, time, length)
-    upto = totals.agg(F.max("window_end")).scalar()
+    upto = last_window_end(transactions, time, length)
     return red_flags(advance_state(state, totals, length, upto), history, margin)

@@ -32,6 +32,19 @@ def window_totals(transactions: DataFrame, time: str, length: str) -> DataFrame:
     )
 
 
+def last_window_end(
+    transactions: DataFrame, time: str, length: str, before: Column | None = None
+) -> Column:
+    """End of the newest window with transactions (and an end up to ``before``), as a scalar.
+
+    Found from the times alone, without grouping.
+    """
+    ends = transactions.select(F.window(time, length)["end"].alias("end"))
+    if before is not None:
+        ends = ends.where(F.col("end") <= before)
+    return ends.agg(F.max("end")).scalar()
+
+
 def empty_state(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], ACCOUNT_STATE)
 
@@ -207,6 +220,7 @@ def keep_state(
 
 _PARTIAL = f"{KEY} string, window_start timestamp, spent double, n bigint"
 _TRACKED = f"{KEY} string, total_spending double, num_tx bigint, window_avg double"
+_TRACKED_NAMES = [KEY, "total_spending", "num_tx", "window_avg"]
 _TRACKED_STATE = "total double, n bigint, window_start bigint, window_sum double, window_n bigint"
 
 
@@ -225,20 +239,18 @@ def _track(key, partials: Iterator[pd.DataFrame], state: GroupState) -> Iterator
         return
     total, n, start, window_sum, window_n = state.get if state.exists else (0.0, 0, -(2**62), 0.0, 0)
     for rows in partials:
-        total += float(rows["spent"].sum())
-        n += int(rows["n"].sum())
-        starts = rows["window_start"].astype("datetime64[us]").astype("int64")
+        spent, counts = rows["spent"].to_numpy(), rows["n"].to_numpy()
+        starts = rows["window_start"].to_numpy().astype("datetime64[us]").astype("int64")
+        total += float(spent.sum())
+        n += int(counts.sum())
         newest = int(starts.max())
-        if newest >= start:
-            if newest > start:
-                start, window_sum, window_n = newest, 0.0, 0
-            window_sum += float(rows["spent"][starts == newest].sum())
-            window_n += int(rows["n"][starts == newest].sum())
+        if newest > start:
+            start, window_sum, window_n = newest, 0.0, 0
+        window_sum += float(spent[starts == start].sum())
+        window_n += int(counts[starts == start].sum())
     state.update((total, n, start, window_sum, window_n))
     average = window_sum / window_n if window_n else 0.0
-    yield pd.DataFrame(
-        {KEY: [key[0]], "total_spending": [total], "num_tx": [n], "window_avg": [average]}
-    )
+    yield pd.DataFrame([(key[0], total, n, average)], columns=_TRACKED_NAMES)
 
 
 def track_active(stream: DataFrame, time: str, length: str) -> DataFrame:
