@@ -45,13 +45,13 @@ def history(t):
     return payments(_past(t)).groupBy(KEY).agg(F.avg("amount").alias("average_transaction"))
 
 
-def _run_state(t, initial=None, timeout=None):
+def _run_state(t, initial=None, timeout=None, partitions=None):
     """Live payments in two arrivals, each processed by its own run of the same stream.
 
     Returns the state table and the folder with the state after every window.
     """
     out = work_folder(t.spark, "state")
-    table = StateTable(t.spark, f"{out}/state", initial)
+    table = StateTable(t.spark, f"{out}/state", initial, partitions=partitions)
     live = _live(t)
     later = F.col("o_orderdate") >= F.lit(SECOND_ARRIVAL_FROM).cast("timestamp_ntz")
     handle = keep_state(table, LENGTH, timeout, output=f"{out}/windows")
@@ -119,6 +119,21 @@ def _(t):
     return _shown(table.read())
 
 
+@query(
+    "stm_24_state_partitions",
+    _WINDOWS + """ select 3::bigint as partitions, count(*) as accounts, sum(num_tx)::bigint as transactions
+                   from states where window_end = (select max(window_end) from closed)""",
+)
+def _(t):
+    """The state written in three partitions by account."""
+    table, _ = _run_state(t, partitions=3)
+    return table.read().select("*", F.input_file_name().alias("file")).agg(
+        F.count_distinct("file").alias("partitions"),
+        F.count(F.lit(1)).alias("accounts"),
+        F.sum("num_tx").alias("transactions"),
+    )
+
+
 @query(
     "stm_22_initial_state",
     _WINDOWS + """,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from finflow.operators.joins import (
     band_join, broadcast_join, cogroup, cross_join, outer_join, pair_join,
 )
+from finflow.plans.explain import join_strategies
 from finflow.plans.registry import query
 from finflow.sources.readers import local_table
 
@@ -174,6 +175,19 @@ def _(t):
     )
 
 
+@query(
+    "pln_01_join_strategy",
+    "select 'BroadcastHashJoin' as strategy, count(*) as n from customer join nation on c_nationkey = n_nationkey",
+)
+def _(t):
+    """What the plan of a broadcast join says it does, beside its number of rows."""
+    nations = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    joined = broadcast_join(t.customer, nations, ["c_nationkey"])
+    return joined.agg(
+        F.lit(",".join(join_strategies(joined))).alias("strategy"), F.count(F.lit(1)).alias("n")
+    )
+
+
 @query(
     "jon_13_cogroup",
     """with f as (select o_custkey, count(*) as n, round(sum(o_totalprice), 2) as s,

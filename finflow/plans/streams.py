@@ -16,7 +16,7 @@ from finflow.session import work_folder
 from finflow.sources.keyed import read_upserted, upsert_batch
 from finflow.streaming.joins import enrich, stream_join
 from finflow.streaming.monitor import progress_table
-from finflow.streaming.run import batch_folder, run_available, to_batches, to_files
+from finflow.streaming.run import batch_folder, finish, run_available, start, to_batches, to_files
 from finflow.streaming.sources import (
     read_stream, replay, stream_lines, stream_replay, stream_table,
 )
@@ -221,6 +221,34 @@ def _(t):
     return t.spark.read.parquet(f"{out}/table")
 
 
+@query("stm_10_processing_time_trigger", "select event_id, event_type from events")
+def _(t):
+    """A batch every second until all there is has been read; then the query is stopped."""
+    out = work_folder(t.spark, "trigger")
+    stream = _events(t).select("event_id", "event_type")
+    running = start(to_files(stream, f"{out}/rows"), f"{out}/checkpoint", every="1 second")
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return t.spark.read.schema(stream.schema).parquet(f"{out}/rows")
+
+
+@query(
+    "stm_28_start_await_stop",
+    "select event_type, count(*) as n, true as ended, false as is_active from events group by event_type",
+)
+def _(t):
+    out = work_folder(t.spark, "await")
+    running = start(to_files(_events(t).select("event_type"), f"{out}/rows"), f"{out}/checkpoint")
+    ended = finish(running, timeout=3600)
+    return t.spark.read.parquet(f"{out}/rows").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.lit(ended).alias("ended"),
+        F.lit(running.isActive).alias("is_active"),
+    )
+
+
 @query(
     "stm_11_counts_per_batch",
     "select event_type as value, count(*) as count, (select count(*) from events) as all_rows"

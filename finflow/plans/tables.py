@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from finflow.operators.clean import corrupted, has_column
 from finflow.operators.transactions import account_profile
 from finflow.plans.inputs import GAPPY, TRANSACTIONS, gappy, steady, transactions
 from finflow.plans.registry import Tables, query
@@ -62,6 +63,30 @@ def _(t):
     )
 
 
+@query(
+    "ssn_01_corrupted_rows",
+    """select '{"id":' || left(o_orderkey::varchar, 1) as text, count(*) as n
+       from orders where o_orderstatus = 'P' group by 1""",
+)
+def _(t):
+    """Texts of the rows that do not parse; these were cut after the first digit of the id."""
+    bad = corrupted(read_json(t.spark, _json_file(t, True), "PERMISSIVE", _JSON_SCHEMA))
+    return bad.groupBy(F.col("_corrupt_record").alias("text")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "ssn_02_column_probe",
+    "select o_orderstatus, count(*) as n, true as has_nested, false as has_missing from orders group by 1",
+)
+def _(t):
+    nested = t.orders.withColumn("account", F.struct(F.col("o_custkey").alias("number")))
+    return nested.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.lit(has_column(nested, "Account.Number")).alias("has_nested"),
+        F.lit(has_column(nested, "account.street")).alias("has_missing"),
+    )
+
+
 @query(
     "src_04_json_whole_file",
     "select c_custkey as id, c_name as name, c_mktsegment as segment from customer",

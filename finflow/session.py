@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import shutil
 import tempfile
 import uuid
 
@@ -11,9 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULT_SHUFFLE_PARTITIONS = "200"
 
-# Applications whose executors already have the package.
-_SHIPPED: set[str] = set()
-
 
 def build_session(app_name: str = "finflow", master: str | None = None, **conf: str) -> SparkSession:
     """A session with UTC time and adaptive execution; ``conf`` keys use ``__`` for dots."""
@@ -41,26 +36,9 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     if is_local(spark) and spark.conf.get("spark.sql.shuffle.partitions") == _DEFAULT_SHUFFLE_PARTITIONS:
         spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
-    _ship_package(spark)
     return spark
 
 
-def _ship_package(spark: SparkSession) -> None:
-    """Give the executors this package, which their Python functions import."""
-    context = spark.sparkContext
-    if context.applicationId in _SHIPPED:
-        return
-    package = os.path.dirname(os.path.abspath(__file__))
-    archive = shutil.make_archive(
-        os.path.join(tempfile.mkdtemp(prefix="finflow-"), "finflow"),
-        "zip",
-        root_dir=os.path.dirname(package),
-        base_dir=os.path.basename(package),
-    )
-    context.addPyFile(archive)
-    _SHIPPED.add(context.applicationId)
-
-
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 

@@ -66,16 +66,13 @@ def advance_state(
     A state row without ``window_end`` (an initial state) is first visited in the
     window that ends at ``first``, or else only at ``upto``.
 
-    Both inputs are shuffled once, by account. Per account a task holds one
-    entry per window, never single transactions.
+    Both inputs are shuffled once, by account, before the windows are listed.
+    Per account a task holds one entry per window, never single transactions.
     """
     step = F.expr(f"interval {length}")
-    news = totals.groupBy(KEY).agg(
-        F.map_from_entries(
-            F.collect_list(F.struct("window_end", F.struct("spent", "n")))
-        ).alias("_news"),
-        F.min("window_end").alias("_first"),
-    )
+    # One grouping of state and news together: unlike a full join it leaves the
+    # rows partitioned by account, so the windows below shuffle nothing.
+    news = totals.select(KEY, F.struct("window_end", F.struct("spent", "n").alias("now")).alias("_entry"))
     old = state.select(
         KEY,
         F.col("total_spending").alias("_total"),
@@ -83,13 +80,21 @@ def advance_state(
         F.col("window_end").alias("_since"),
         F.col("last_seen").alias("_seen"),
     )
+    accounts = (
+        old.unionByName(news, allowMissingColumns=True)
+        .groupBy(KEY)
+        .agg(
+            *[F.max(c).alias(c) for c in ("_total", "_n", "_since", "_seen")],
+            F.map_from_entries(F.collect_list("_entry")).alias("_news"),
+            F.min("_entry.window_end").alias("_first"),
+        )
+    )
     seeded = F.col("_total").isNotNull() & F.col("_since").isNull()
     begin = F.when(seeded, upto if first is None else first).otherwise(
         F.coalesce(F.col("_since") + step, F.col("_first"))
     )
     grid = (
-        old.join(news, KEY, "full")
-        .select("*", begin.alias("_begin"), upto.alias("_upto"))
+        accounts.select("*", begin.alias("_begin"), upto.alias("_upto"))
         .where(F.col("_begin") <= F.col("_upto"))
         .select("*", F.explode(F.sequence("_begin", "_upto", step)).alias("window_end"))
         .select("*", F.try_element_at("_news", F.col("window_end")).alias("_now"))
@@ -163,22 +168,23 @@ class StateTable:
             state = state.repartition(self.partitions, KEY)
         state.write.mode("overwrite").parquet(f"{self.path}/folder={folder}")
 
-    def _newest(self, before: int | None) -> tuple[int, int]:
+    def locate(self, before: int | None = None) -> tuple[int, int]:
+        """Folder and version of the newest state, or of the newest from a batch before ``before``."""
         versions = self.spark.read.parquet(self.path).select("folder", "version")
         if before is not None:
             versions = versions.where(F.col("version") < before)
         newest = versions.agg(F.max(F.struct("version", "folder")).alias("v")).first()["v"]
         return (newest["folder"], newest["version"]) if newest else (0, -1)
 
-    def read(self, before: int | None = None) -> DataFrame:
-        """The newest state, or the newest written by a batch earlier than ``before``."""
-        folder, version = self._newest(before)
+    def read(self, located: tuple[int, int] | None = None) -> DataFrame:
+        """The newest state, or the one found by ``locate``."""
+        folder, version = located or self.locate()
         state = self.spark.read.schema(_STORED).parquet(f"{self.path}/folder={folder}")
         return state.where(F.col("version") == version).select(*ACCOUNT_STATE.names)
 
-    def write(self, state: DataFrame, batch_id: int) -> None:
-        folder, _ = self._newest(before=batch_id)
-        self._write(state, batch_id, (folder + 1) % self.folders)
+    def write(self, state: DataFrame, version: int, after: tuple[int, int]) -> None:
+        """Write ``version`` to the folder that follows the one of ``after``."""
+        self._write(state, version, (after[0] + 1) % self.folders)
 
 
 def keep_state(
@@ -203,10 +209,10 @@ def keep_state(
             if last is None:
                 return
             begin, end = F.lit(first).cast("timestamp"), F.lit(last).cast("timestamp")
-            known = table.read(before=batch_id)
-            rows = advance_state(known, totals, length, end, timeout, begin).persist()
+            known = table.locate(before=batch_id)
+            rows = advance_state(table.read(known), totals, length, end, timeout, begin).persist()
             try:
-                table.write(rows.where(F.col("window_end") == end), batch_id)
+                table.write(rows.where(F.col("window_end") == end), batch_id, known)
                 if output is not None:
                     result = evaluate(rows) if evaluate else rows
                     result.write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
