@@ -11,7 +11,7 @@ from finflow.session import work_folder
 from finflow.sources.keyed import read_upserted, upsert_batch
 from finflow.streaming.fraud import fraud_on_table, run_fraud_stream
 from finflow.streaming.run import run_available, to_batches, to_files
-from finflow.streaming.sources import read_stream, stream_lines, stream_replay, stream_table, replay
+from finflow.streaming.sources import read_stream, replay, stream_lines, stream_table
 from finflow.streaming.state import (
     KEY, StateTable, advance_state, empty_state, keep_state, last_window_end, track_active, window_totals,
 )
@@ -194,8 +194,8 @@ def _(t):
 def _(t):
     """Per-account state in Spark's state store, events in four micro-batches of any order."""
     out = work_folder(t.spark, "tracked")
-    replay(t.events.select("user_id", "ts", "value"), f"{out}/files", 4)
-    stream = stream_replay(t.spark, f"{out}/files").select(
+    files = replay(t.events.select("user_id", "ts", "value"), f"{out}/files", 4)
+    stream = stream_table(t.spark, f"{out}/files", files).select(
         F.col("user_id").cast("string").alias(KEY),
         F.col("ts").cast("timestamp").alias("ts"),
         F.col("value").alias("amount"),
@@ -213,6 +213,32 @@ def _(t):
     )
 
 
+@query(
+    "udf_04_custom_state_function",
+    """with w as (select o_custkey::varchar as account_number, sum(o_totalprice) as s, count(*) as n,
+                         time_bucket(interval 30 days, o_orderdate, timestamp '1970-01-01') as start
+                  from orders group by 1, 4)
+       select account_number, round(sum(s), 2) as total_spending, sum(n)::bigint as num_tx,
+              round(arg_max(s / n, start) + 1e-6, 4) as window_avg
+       from w group by account_number""",
+)
+def _(t):
+    """The same Python state function over all orders."""
+    out = work_folder(t.spark, "custom")
+    stream = payments(stream_table(t.spark, t.path("orders")))
+
+    def save(batch, batch_id):
+        upsert_batch(batch, batch_id, f"{out}/table", [KEY])
+
+    run_available(to_batches(track_active(stream, "ts", LENGTH), save, "update"), f"{out}/checkpoint")
+    return read_upserted(t.spark, f"{out}/table", [KEY]).select(
+        KEY,
+        F.round("total_spending", 2).alias("total_spending"),
+        "num_tx",
+        steady("window_avg").alias("window_avg"),
+    )
+
+
 @query(
     "stm_20_evaluated_transactions",
     "select o_orderkey as id, o_custkey::varchar as account_number, o_totalprice as amount,"

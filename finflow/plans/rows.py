@@ -9,6 +9,7 @@ from finflow.operators.windows import numbered
 from finflow.plans.inputs import GAPPY, gappy
 from finflow.plans.registry import query
 from finflow.session import cut_lineage
+from finflow.sources.writers import for_each_partition
 
 
 @query("srt_01_global_sort", "select o_orderkey, o_totalprice, o_custkey from orders")
@@ -202,6 +203,25 @@ def _(t):
     return purchases.mapInArrow(whole_values, "event_id bigint, whole bigint")
 
 
+@query(
+    "par_04_foreach_partition",
+    "select count(*) as n, count(*) as seen, round(sum(value), 2) as total from events",
+)
+def _(t):
+    """Rows handled on the executors for their side effect, here a counter, beside a plain count."""
+    seen = t.spark.sparkContext.accumulator(0)
+
+    def handle(rows):
+        seen.add(sum(1 for _ in rows))
+
+    for_each_partition(t.events.select("event_id"), handle)
+    return t.events.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.lit(seen.value).cast("bigint").alias("seen"),
+        F.round(F.sum("value"), 2).alias("total"),
+    )
+
+
 @query(
     "par_05_glom",
     "select count(*) as items, round(sum(value), 2) as total, 1 as fewest_in_a_list from events",

@@ -18,7 +18,7 @@ from finflow.streaming.joins import enrich, stream_join
 from finflow.streaming.monitor import progress_table
 from finflow.streaming.run import batch_folder, finish, run_available, start, to_batches, to_files
 from finflow.streaming.sources import (
-    read_stream, replay, stream_lines, stream_replay, stream_table,
+    read_stream, replay, stream_lines, stream_table,
 )
 from finflow.streaming.windows import (
     sliding_totals, slice_archive, window_aggregate, window_counts, with_event_time,
@@ -117,21 +117,21 @@ def _(t):
 
 @query(
     "stm_04_replay_source",
-    "select event_type, count(*) as n, round(sum(value), 2) as total, true as one_file_per_batch"
+    "select event_type, count(*) as n, round(sum(value), 2) as total, true as six_batches"
     " from events group by event_type",
 )
 def _(t):
-    """Events in six files, one per micro-batch."""
+    """Events in six equal micro-batches."""
     out = work_folder(t.spark, "replay")
-    replay(t.events.select("event_id", "event_type", "value"), f"{out}/files", 6)
-    stream = stream_replay(t.spark, f"{out}/files")
+    files = replay(t.events.select("event_id", "event_type", "value"), f"{out}/files", 6)
+    stream = stream_table(t.spark, f"{out}/files", files)
     run_available(to_batches(stream, batch_folder(f"{out}/rows")), f"{out}/checkpoint")
     rows = t.spark.read.parquet(f"{out}/rows")
     batches = rows.agg(F.count_distinct("batch_id")).scalar()
     return rows.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n"),
         F.round(F.sum("value"), 2).alias("total"),
-    ).withColumn("one_file_per_batch", batches == 6)
+    ).withColumn("six_batches", batches == 6)
 
 
 @query(
@@ -192,9 +192,9 @@ def _(t):
 def _(t):
     """Changed windows are upserted, so open ones are there too."""
     out = work_folder(t.spark, "update")
-    replay(t.events.select("ts", "event_type"), f"{out}/files", 3)
+    files = replay(t.events.select("ts", "event_type"), f"{out}/files", 3)
     # Files come in any order, so nothing may count as late.
-    timed = with_event_time(stream_replay(t.spark, f"{out}/files"), "ts", "400 days")
+    timed = with_event_time(stream_table(t.spark, f"{out}/files", files), "ts", "400 days")
     counts = window_counts(timed, "ts", "1 day", "event_type")
 
     def save(batch, batch_id):
@@ -211,8 +211,8 @@ def _(t):
 def _(t):
     """The whole result replaces itself in every batch."""
     out = work_folder(t.spark, "complete")
-    replay(t.events.select("event_type"), f"{out}/files", 3)
-    counts = group_count(stream_replay(t.spark, f"{out}/files"), "event_type")
+    files = replay(t.events.select("event_type"), f"{out}/files", 3)
+    counts = group_count(stream_table(t.spark, f"{out}/files", files), "event_type")
 
     def save(batch, _):
         batch.write.mode("overwrite").parquet(f"{out}/table")
@@ -257,7 +257,7 @@ def _(t):
 def _(t):
     """Count and count by value of each micro-batch, tagged with it; then added up."""
     out = work_folder(t.spark, "counts")
-    replay(t.events.select("event_type"), f"{out}/files", 4)
+    files = replay(t.events.select("event_type"), f"{out}/files", 4)
     values, sizes = batch_folder(f"{out}/values"), batch_folder(f"{out}/sizes")
 
     def count(batch, batch_id):
@@ -265,7 +265,7 @@ def _(t):
         values(by_value, batch_id)
         sizes(batch.agg(F.count(F.lit(1)).alias("rows")), batch_id)
 
-    run_available(to_batches(stream_replay(t.spark, f"{out}/files"), count), f"{out}/checkpoint")
+    run_available(to_batches(stream_table(t.spark, f"{out}/files", files), count), f"{out}/checkpoint")
     all_rows = t.spark.read.parquet(f"{out}/sizes").agg(F.sum("rows")).scalar()
     by_value = t.spark.read.parquet(f"{out}/values").groupBy("value").agg(F.sum("count").alias("count"))
     return by_value.withColumn("all_rows", all_rows)

@@ -60,12 +60,13 @@ def stream_queue(spark: SparkSession, servers: str, topics: str, **options: obje
     )
 
 
-def replay(df: DataFrame, path: str, files: int) -> str:
-    """Write ``df`` as ``files`` files, to be streamed one per micro-batch. Returns ``path``."""
-    df.repartition(files).write.mode("append").parquet(path)
-    return path
+def replay(df: DataFrame, path: str, batches: int) -> int:
+    """Write ``df`` to be streamed in ``batches`` micro-batches; returns the files of each.
 
-
-def stream_replay(spark: SparkSession, path: str) -> DataFrame:
-    """One file of a replay folder per micro-batch."""
-    return stream_table(spark, path, files_per_trigger=1)
+    There are as many files as the session shuffles partitions, rounded up to
+    fill the batches, so a batch is read by many tasks.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    files_per_batch = -(-tasks // batches)
+    df.repartition(batches * files_per_batch).write.mode("append").parquet(path)
+    return files_per_batch

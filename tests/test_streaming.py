@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from finflow.session import work_folder
 from finflow.streaming.monitor import ProgressLog, describe, progress_table
 from finflow.streaming.run import batch_folder, finish, run_available, start, to_batches, to_files
-from finflow.streaming.sources import read_stream, replay, stream_lines, stream_queue, stream_replay, stream_table
+from finflow.streaming.sources import read_stream, replay, stream_lines, stream_queue, stream_table
 from finflow.streaming.state import KEY, StateTable, advance_state, empty_state, keep_state
 from finflow.streaming.windows import window_counts, with_event_time
 
@@ -150,11 +150,12 @@ def test_failed_batch_is_run_again(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 10
 
 
-def test_replay_gives_one_file_per_batch(spark, tmp_path):
-    path = replay(spark.range(40), str(tmp_path / "in"), 5)
-    sizes = []
-    run_available(to_batches(stream_replay(spark, path), lambda b, i: sizes.append(b.count())), str(tmp_path / "cp"))
-    assert len(sizes) == 5 and sum(sizes) == 40
+def test_replay_fills_the_batches(spark, tmp_path):
+    path, sizes = str(tmp_path / "in"), []
+    files = replay(spark.range(400), path, 5)
+    stream = stream_table(spark, path, files)
+    run_available(to_batches(stream, lambda b, i: sizes.append(b.count())), str(tmp_path / "cp"))
+    assert len(sizes) == 5 and sum(sizes) == 400 and min(sizes) > 0
 
 
 def test_empty_batch_reaches_the_sink(spark, small, tmp_path):
