@@ -29,43 +29,44 @@ def parse_lines(lines: DataFrame, line: str = "value", strict: bool = False) ->
     dates off the calendar, which are otherwise carried over (13/45 is February
     14 of the next year).
     """
-    text = F.col(line)
-    fields = F.split(F.regexp_replace(text, ",+$", ""), ",", -1)
-    number = F.get(fields, F.lit(0))
-    day = strict_us_date(F.get(fields, F.lit(1))) if strict else lenient_us_date(F.get(fields, F.lit(1)))
-    amount_text = F.get(fields, F.lit(3))
-
-    identifier = F.when(number.rlike(r"^[+-]?[0-9]+$"), number.try_cast("bigint"))
-    amount = amount_text.try_cast("double")
+    kept = [c for c in lines.columns if c != line]
+    to_date = strict_us_date if strict else lenient_us_date
+    # Step by step, so that each part is computed once and then read by name.
+    fields = lines.select(
+        *kept, F.col(line).alias("line"), F.split(F.rtrim(line, F.lit(",")), ",", -1).alias("_fields")
+    )
+    parts = fields.select(
+        *kept,
+        "line",
+        F.coalesce(F.size("_fields"), F.lit(0)).alias("_count"),
+        *[F.get("_fields", F.lit(i)).alias(f"_part{i}") for i in range(5)],
+    )
+    typed = parts.select(
+        *kept,
+        "line",
+        "_count",
+        F.when(F.col("_part0").rlike("^[+-]?[0-9]+$"), F.col("_part0").try_cast("bigint")).alias("_id"),
+        F.col("_part2").alias("_account"),
+        to_date(F.col("_part1")).alias("_date"),
+        F.col("_part3").try_cast("double").alias("_amount"),
+        F.col("_part4").alias("_description"),
+    )
     error = (
-        F.when(text.isNull() | (F.size(fields) != 5), FIELD_COUNT)
-        .when(identifier.isNull(), BAD_ID)
-        .when(day.isNull(), BAD_DATE)
-        .when(amount.isNull(), BAD_AMOUNT)
+        F.when(F.col("_count") != 5, FIELD_COUNT)
+        .when(F.col("_id").isNull(), BAD_ID)
+        .when(F.col("_date").isNull(), BAD_DATE)
+        .when(F.col("_amount").isNull(), BAD_AMOUNT)
     )
-    kept = [c for c in lines.columns if c != line]
     good = F.col("error").isNull()
-    return (
-        lines.select(
-            *kept,
-            text.alias("line"),
-            error.alias("error"),
-            identifier.alias("_id"),
-            F.get(fields, F.lit(2)).alias("_account"),
-            day.alias("_date"),
-            amount.alias("_amount"),
-            F.get(fields, F.lit(4)).alias("_description"),
-        )
-        .select(
-            *kept,
-            "line",
-            "error",
-            F.when(good, F.col("_id")).alias("id"),
-            F.when(good, F.col("_account")).alias("account_number"),
-            F.when(good, F.col("_date")).alias("date"),
-            F.when(good, F.col("_amount")).alias("amount"),
-            F.when(good, F.col("_description")).alias("description"),
-        )
+    return typed.withColumn("error", error).select(
+        *kept,
+        "line",
+        "error",
+        F.when(good, F.col("_id")).alias("id"),
+        F.when(good, F.col("_account")).alias("account_number"),
+        F.when(good, F.col("_date")).alias("date"),
+        F.when(good, F.col("_amount")).alias("amount"),
+        F.when(good, F.col("_description")).alias("description"),
     )
 
 
