@@ -169,11 +169,18 @@ class StateTable:
         state.write.mode("overwrite").parquet(f"{self.path}/folder={folder}")
 
     def locate(self, before: int | None = None) -> tuple[int, int]:
-        """Folder and version of the newest state, or of the newest from a batch before ``before``."""
+        """Folder and version of the newest state, or of the newest from a batch before ``before``.
+
+        A version after ``before`` means that the stream lost its checkpoint and
+        counts batches from zero again; going on would count transactions twice.
+        """
         versions = self.spark.read.parquet(self.path).select("folder", "version")
+        place = F.struct("version", "folder")
         if before is not None:
-            versions = versions.where(F.col("version") < before)
-        newest = versions.agg(F.max(F.struct("version", "folder")).alias("v")).first()["v"]
+            place = F.when(F.col("version") < before, place)
+        newest, latest = versions.agg(F.max(place), F.max("version")).first()
+        if before is not None and latest is not None and latest > before:
+            raise ValueError(f"state at {self.path} is from batch {latest}, after batch {before}")
         return (newest["folder"], newest["version"]) if newest else (0, -1)
 
     def read(self, located: tuple[int, int] | None = None) -> DataFrame:

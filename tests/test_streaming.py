@@ -5,11 +5,14 @@ import pytest
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
+from finflow.plans.explain import shuffles
 from finflow.session import work_folder
 from finflow.streaming.monitor import ProgressLog, describe, progress_table
 from finflow.streaming.run import batch_folder, finish, run_available, start, to_batches, to_files
 from finflow.streaming.sources import read_stream, replay, stream_lines, stream_queue, stream_table
-from finflow.streaming.state import KEY, StateTable, advance_state, empty_state, keep_state
+from finflow.streaming.state import (
+    KEY, StateTable, advance_state, empty_state, keep_state, window_totals,
+)
 from finflow.streaming.windows import window_counts, with_event_time
 
 
@@ -92,6 +95,26 @@ def test_state_survives_reopening_and_stays_bounded(spark, tmp_path):
     assert len([p for p in path.iterdir() if p.name.startswith("folder=")]) == 3
 
 
+def test_state_without_its_checkpoint_is_refused(spark, tmp_path):
+    table = StateTable(spark, str(tmp_path / "state"))
+    keep_state(table, "1 hour")(totals(spark, ("a", at(1), 1.0, 1)), 4)
+    with pytest.raises(ValueError, match="batch 4"):
+        keep_state(table, "1 hour")(totals(spark, ("a", at(1), 1.0, 1)), 0)
+
+
+def test_windows_are_listed_after_the_last_shuffle(spark, small):
+    """Window totals are shuffled by window and account, then by account, and that is all."""
+    payments = spark.read.parquet(f"{small}/orders.parquet").select(
+        F.col("o_custkey").cast("string").alias(KEY),
+        F.col("o_orderdate").cast("timestamp").alias("ts"),
+        F.col("o_totalprice").alias("amount"),
+    )
+    rows = advance_state(
+        empty_state(spark), window_totals(payments, "ts", "30 days"), "30 days", F.lit(at(1))
+    )
+    assert shuffles(rows) == 2
+
+
 def test_state_partition_count(spark, tmp_path):
     table = StateTable(spark, str(tmp_path / "s"), partitions=3)
     rows = [(f"k{i}", at(1), 1.0, 1) for i in range(50)]
