@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finflow.operators.skew import HOT_ROWS, HOT_SHARE
+from finflow.operators.skew import HOT_ROWS, HOT_SHARE, aside
 from finflow.operators.windows import numbered
 
 
@@ -41,11 +41,8 @@ def flat_map_groups(
     a row and the facts, whose elements become the output. The rows of a group
     meet only its facts, so a large group is spread by the (skew-aware) join.
     """
-    group = map_groups(df, keys, **facts)
-    return (
-        df.join(group, list(keys), "inner")
-        .select(*keys, F.explode(emit).alias(out))
-    )
+    group, match = aside(map_groups(df, keys, **facts), keys)
+    return df.join(group, match, "inner").select(*keys, F.explode(emit).alias(out))
 
 
 def reduce_groups(

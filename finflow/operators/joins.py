@@ -77,16 +77,16 @@ def outer_join(
 ) -> DataFrame:
     """Left, right or full outer join by column names with any key allowed to be hot.
 
-    Keys that are hot on either side are joined apart, as an inner join (which
-    adaptive execution can split on both sides) plus the rows without a partner,
-    found by an anti join against the distinct keys of the other side.
+    Adaptive execution splits a hot key on the preserved side by itself. Keys hot
+    on a side that may be filled with nulls are joined apart, as an inner join
+    (which it can split on both sides) plus the rows without a partner, found
+    by an anti join against the distinct keys of the other side.
     """
     on, how = list(on), OUTER_NAMES[how.replace("_", "")]
-    hot = (
-        hot_keys(left, on, hot_rows, hot_share)
-        .union(hot_keys(right, on, hot_rows, hot_share))
-        .distinct()
-    )
+    filled = {"left": [right], "right": [left], "full": [left, right]}[how]
+    hot = reduce(
+        lambda a, b: a.union(b), [hot_keys(side, on, hot_rows, hot_share) for side in filled]
+    ).distinct()
     cold_left, hot_left = split_by_heat(left, on, hot=hot)
     cold_right, hot_right = split_by_heat(right, on, hot=hot)
     plain = cold_left.join(cold_right, on, how)

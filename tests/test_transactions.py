@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from finflow.functions.words import capitalize_words, capitalize_words_udf, register_capitalize_words
-from finflow.operators.aggregates import collect_lists, first_by, last_by, reduce_groups
+from finflow.operators.aggregates import collect_lists, first_by, flat_map_groups, last_by, reduce_groups
 from finflow.operators.layout import glom, stable_sample, stable_split
 from finflow.operators.transactions import (
     is_red_flag, malformed, mark_possible_fraud, merge_state, parse_lines, safe_average, valid,
@@ -133,6 +133,13 @@ def test_collect_lists_chunks_add_up(spark, limits):
     assert got == {k: [v for v in range(100) if v % 3 == k and v % 10] for k in range(3)}
 
 
+def test_flat_map_groups_keeps_the_null_group(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 9), (None, 5), (None, 6), ("b", 2)], "k string, v int")
+    above = F.when(F.col("v") > F.col("_avg"), F.array("v", F.col("v") * 10))
+    got = flat_map_groups(rows, ["k"], {"_avg": F.avg("v")}, above, "x")
+    assert sorted(map(tuple, got.collect()), key=str) == [("a", 9), ("a", 90), (None, 6), (None, 60)]
+
+
 def test_first_and_last_skip_nulls(spark):
     rows = spark.createDataFrame(
         [("a", 1, None), ("a", 2, "x"), ("a", 3, "y"), ("a", 4, None), ("b", 1, None)],
