@@ -8,6 +8,7 @@ from finflow.operators.skew import hot_keys, split_by_heat
 from finflow.operators.windows import (
     lookback_rows, numbered, range_totals, ranked, running_totals, time_bucket,
 )
+from finflow.plans.explain import plan_text
 
 KEYS, ORDER = ["account"], ["day", "id"]
 LIMITS = [
@@ -135,3 +136,13 @@ def test_null_times_have_no_window(spark):
     rows = spark.createDataFrame([(1, None), (2, "2024-01-01 00:20:00")], "id int, at string")
     got = time_bucket(rows.withColumn("at", F.col("at").cast("timestamp")), "at", "1 hour")
     assert [r["id"] for r in got.collect()] == [2]
+
+
+def test_without_hot_keys_the_final_plan_is_the_plain_one(spark, small):
+    """Adaptive execution finds the list of hot keys empty and drops all that was for them."""
+    orders = spark.read.parquet(f"{small}/orders.parquet").select("o_custkey", "o_orderdate", "o_orderkey")
+    df = numbered(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], "n", F.to_date("o_orderdate"))
+    df.collect()
+    final = plan_text(df, "extended").split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
+    assert final.count("Exchange hashpartitioning") == 1
+    assert "Join" not in final and "Union" not in final
