@@ -150,7 +150,8 @@ def band_join(
     """Rows with ``low <= value < high``: a theta join given an equi key.
 
     Each right row is listed under the cells of ``width`` its band touches, so
-    the join is on the cell and each pair meets in exactly one cell.
+    the join is on the cell and each pair meets in exactly one cell. Choose
+    ``width`` near the usual width of a band.
     """
     cells = F.sequence(
         F.floor(F.col(low) / F.lit(width)).cast("long"),

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULT_SHUFFLE_PARTITIONS = "200"
 
+# Folder made up for a local application without a setting, by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def build_session(app_name: str = "finflow", master: str | None = None, **conf: str) -> SparkSession:
     """A session with UTC time and adaptive execution; ``conf`` keys use ``__`` for dots."""
@@ -54,9 +57,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not is_local(spark):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="finflow-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="finflow-")
+    return _LOCAL_FOLDERS[application]
 
 
 def work_folder(spark: SparkSession, name: str) -> str:

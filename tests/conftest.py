@@ -28,8 +28,3 @@ def spark():
 @pytest.fixture(scope="session")
 def small():
     return os.path.join(TESTDATA, "sf0.001")
-
-
-@pytest.fixture(scope="session")
-def medium():
-    return os.path.join(TESTDATA, "sf0.01")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from finflow.operators.joins import band_join, broadcast_join, cross_join, outer_join, pair_join
 from finflow.plans.explain import join_strategies, plan_text, pushed_filters, scanned_columns, shuffles
 from finflow.plans.registry import Tables
+from finflow.schemas import PERSON, ROLE
 from test_windows import LIMITS, same
 
 
@@ -27,15 +28,15 @@ def test_outer_join(sides, how, limits):
 
 
 def test_pair_join_absent_side_is_null(spark):
-    people = spark.createDataFrame([(1, "Ann"), (2, "Bo")], "id int, name string")
-    roles = spark.createDataFrame([(1, "Lead"), (3, "Odd")], "id int, role string")
+    people = spark.createDataFrame([(1, "Ann", "Lee"), (2, "Bo", "Ray")], PERSON)
+    roles = spark.createDataFrame([(1, "Lead"), (3, "Odd")], ROLE)
     full = pair_join(people, roles, [("id", "id")], "full")
     got = sorted(
         (r["_1"]["id"] if r["_1"] else 0, r["_2"]["id"] if r["_2"] else 0) for r in full.collect()
     )
     assert got == [(0, 3), (1, 1), (2, 0)]
     inner = pair_join(people, roles, [("id", "id")])
-    assert [(r["_1"]["name"], r["_2"]["role"]) for r in inner.collect()] == [("Ann", "Lead")]
+    assert [(r["_1"]["first"], r["_2"]["role"]) for r in inner.collect()] == [("Ann", "Lead")]
 
 
 def test_band_join_edges(spark):

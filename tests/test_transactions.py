@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 from finflow.functions.words import capitalize_words, capitalize_words_udf, register_capitalize_words
 from finflow.operators.aggregates import collect_lists, first_by, flat_map_groups, last_by, reduce_groups
 from finflow.operators.layout import glom, stable_sample, stable_split
+from finflow.operators.clean import clean_finances
 from finflow.operators.transactions import (
-    is_red_flag, malformed, mark_possible_fraud, merge_state, parse_lines, safe_average, valid,
+    account_profile, is_red_flag, malformed, mark_possible_fraud, merge_state, parse_lines, safe_average, valid,
+)
+from finflow.schemas import (
+    EVALUATED_TRANSACTION, MALFORMED_LINE, SIMPLE_TRANSACTION, TRANSACTION, TRANSACTION_FOR_AVERAGE,
 )
 from test_windows import LIMITS
 
@@ -51,6 +55,39 @@ def test_a_row_has_a_record_or_an_error(lines):
     assert bad.count() == 0
 
 
+def test_records_have_the_declared_schemas(lines):
+    parsed = parse_lines(lines)
+    assert valid(parsed).schema.simpleString() == SIMPLE_TRANSACTION.simpleString()
+    assert malformed(parsed).schema.simpleString() == MALFORMED_LINE.simpleString()
+
+
+def test_clean_finances_on_nested_records(spark):
+    account, nobody = ("A1", "Ann", "Lee"), (None, "Bo", "Ray")
+    day = datetime.date(2020, 1, 2)
+    rows = spark.createDataFrame(
+        [
+            (1, account, day, 5.0, None),
+            (2, account, day, 0.0, "food"),
+            (3, account, day, 0.0, None),
+            (4, account, day, None, "food"),
+            (None, nobody, None, None, None),
+        ],
+        TRANSACTION,
+    )
+    got = sorted((r["id"], r["description"]) for r in clean_finances(rows).collect())
+    assert got == [(1, "Unknown"), (3, "Unknown")]
+    averaged = clean_finances(rows).select("account.number", "amount", "description", "date")
+    averaged = averaged.toDF(*TRANSACTION_FOR_AVERAGE.names)
+    assert averaged.schema.simpleString() == TRANSACTION_FOR_AVERAGE.simpleString()
+    assert account_profile(averaged).first()["average_transaction"] == 2.5
+
+
+def test_evaluated_transactions(spark, lines):
+    marked = mark_possible_fraud(valid(parse_lines(lines)))
+    packed = marked.select(F.struct(*SIMPLE_TRANSACTION.names).alias("tx"), "is_possible_fraud")
+    assert packed.schema.simpleString() == EVALUATED_TRANSACTION.simpleString()
+
+
 def test_dates_carry_over(lines):
     dates = {r["id"]: r["date"] for r in valid(parse_lines(lines)).collect()}
     assert dates[1] == datetime.date(2020, 1, 31)

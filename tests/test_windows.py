@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from finflow.operators.skew import hot_keys, split_by_heat
 from finflow.operators.windows import (
-    lookback_rows, numbered, range_totals, ranked, running_totals, time_bucket,
+    lookback_rows, numbered, previous, range_totals, ranked, running_totals, time_bucket,
 )
 from finflow.plans.explain import plan_text
+from finflow.schemas import STATUS
 
 KEYS, ORDER = ["account"], ["day", "id"]
 LIMITS = [
@@ -122,6 +123,13 @@ def test_ranks_of_ties(spark):
         assert sorted(map(tuple, got.collect())) == [(1, 1, 0.0), (1, 1, 0.0), (3, 2, 1.0)]
 
 
+def test_previous_status(spark):
+    rows = spark.createDataFrame([(1, "Ann", "New"), (2, "Ann", "Open")], STATUS)
+    for limits in LIMITS:
+        got = previous(rows, ["customer"], ["id"], "status", "before", F.col("id"), **limits)
+        assert {r["id"]: r["before"] for r in got.collect()} == {1: None, 2: "New"}
+
+
 def test_split_by_heat_keeps_all_rows(rows):
     cold, hot = split_by_heat(rows, KEYS, hot_rows=200, hot_share=0.0)
     assert {r[0] for r in hot.select("account").distinct().collect()} == {0}
