@@ -38,3 +38,31 @@ def op8(spark, folder):
     from finflow.llm.repeats import remove_repeats
 
     return remove_repeats(table(spark, folder, "documents"))
+
+
+@query("op9_quality_rules")
+def op9(spark, folder):
+    """Quality rules and the likelihood ratio of every document."""
+    from finflow.llm.quality import fit_ratio, rate
+
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return rate(docs, fit_ratio(docs, labels))
+
+
+# Rules of the contract; hosts with one of these words in a label are listed as bad.
+URL_RULES = (
+    ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"), ("block", "com", "/de/"),
+)
+BAD_HOST_WORDS = ("casino", "farm", "porn", "spam", "warez")
+
+
+@query("op10_url_filters")
+def op10(spark, folder):
+    """Verdict on every url: the longest rule's, else that of the list of bad hosts."""
+    from finflow.llm.urls import judge_urls, split_url
+
+    pages = table(spark, folder, "pages")
+    hosts = pages.select(split_url(F.col("url"))[0].alias("key")).distinct()
+    bad = hosts.where(F.col("key").rlike("|".join(BAD_HOST_WORDS)))
+    return judge_urls(pages, spark.createDataFrame(URL_RULES, "action string, host string, path string"), bad)

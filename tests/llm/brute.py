@@ -29,3 +29,23 @@ def remove_repeats(rows, window=13):
         kept = " ".join(x for i, x in enumerate(ws) if i not in gone)
         out.append((d, len(ws), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
     return out
+
+
+def quality(rows):
+    out = []
+    for d, t in rows:
+        t = t or ""
+        ws = SPACE_WORD.findall(t)
+        seen, dup = set(), 0
+        for line in t.split("\n"):
+            if SPACE_WORD.search(line):
+                dup += line in seen
+                seen.add(line)
+        places = {}
+        for i in range(len(ws) - 4):
+            places.setdefault(tuple(ws[i : i + 5]), []).append(i)
+        again = {j for p in places.values() if len(p) > 1 for i in p for j in range(i, i + 5)}
+        symbols = sum(t.count(c) for c in "#*$%&|<>")
+        failed = len(ws) < 10 or 100 * len(again) > 20 * len(ws)
+        out.append((d, len(ws), sum(map(len, ws)), symbols, dup, len(again), failed))
+    return out
