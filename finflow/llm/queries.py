@@ -66,3 +66,16 @@ def op10(spark, folder):
     hosts = pages.select(split_url(F.col("url"))[0].alias("key")).distinct()
     bad = hosts.where(F.col("key").rlike("|".join(BAD_HOST_WORDS)))
     return judge_urls(pages, spark.createDataFrame(URL_RULES, "action string, host string, path string"), bad)
+
+
+@query("op3_benchmark_decontamination")
+def op3(spark, folder):
+    """Words of every document that lie in a benchmark item's window of 13 words."""
+    from finflow.llm.phrases import contamination
+
+    found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items",
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated", "n_near",
+    )

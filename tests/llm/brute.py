@@ -49,3 +49,26 @@ def quality(rows):
         failed = len(ws) < 10 or 100 * len(again) > 20 * len(ws)
         out.append((d, len(ws), sum(map(len, ws)), symbols, dup, len(again), failed))
     return out
+
+
+def contamination(rows, items, window=13):
+    wanted = {}
+    for item, text in items:
+        ws = ALNUM_WORD.findall(lower(text))
+        if item is not None and ws:
+            for i in range(max(1, len(ws) - window + 1)):
+                wanted.setdefault(tuple(ws[i : i + window]), set()).add(str(item))
+    sizes = sorted({len(k) for k in wanted})
+    out = []
+    for d, t in rows:
+        ws = ALNUM_WORD.findall(lower(t))
+        hit, seen = set(), set()
+        for n in sizes:
+            for i in range(len(ws) - n + 1):
+                found = wanted.get(tuple(ws[i : i + n]))
+                if found:
+                    hit.update(range(i, i + n))
+                    seen |= found
+        digest = hashlib.sha256(",".join(sorted(seen)).encode()).hexdigest()
+        out.append((d, len(ws), len(hit), len(seen), digest, bool(hit) and 20 * len(hit) >= len(ws)))
+    return out
