@@ -79,3 +79,11 @@ def op3(spark, folder):
         F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
         "contaminated", "n_near",
     )
+
+
+@query("op7_minhash_near_dedup")
+def op7(spark, folder):
+    """Components of documents whose sets of 3-word shingles overlap by 85 percent."""
+    from finflow.llm.nearcopies import near_copies
+
+    return near_copies(table(spark, folder, "documents"), shingle=3, threshold=0.85)

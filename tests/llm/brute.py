@@ -72,3 +72,42 @@ def contamination(rows, items, window=13):
         digest = hashlib.sha256(",".join(sorted(seen)).encode()).hexdigest()
         out.append((d, len(ws), len(hit), len(seen), digest, bool(hit) and 20 * len(hit) >= len(ws)))
     return out
+
+
+def near_copies(rows, shingle=3, percent=85):
+    """Links by way of shared shingles, so all pairs that have one in common are looked at."""
+    sets, by_set = [], {}
+    for i, (_, t) in enumerate(rows):
+        ws = SPACE_WORD.findall(lower(t))
+        grams = {tuple(ws[j : j + shingle]) for j in range(max(1, len(ws) - shingle + 1))} if ws else set()
+        sets.append(frozenset(grams))
+        if grams:
+            by_set.setdefault(sets[-1], []).append(i)
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    places = {}
+    for s, members in by_set.items():
+        for m in members[1:]:
+            parent[root(m)] = root(members[0])
+        for g in s:
+            places.setdefault(g, []).append(members[0])
+    for s, members in by_set.items():
+        common = {}
+        for g in s:
+            for o in places[g]:
+                if o > members[0]:
+                    common[o] = common.get(o, 0) + 1
+        for o, n in common.items():
+            if 100 * n >= percent * (len(s) + len(sets[o]) - n):
+                parent[root(o)] = root(members[0])
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            least[root(i)] = min(least.get(root(i), d), d)
+    return [(d, len(sets[i]), least.get(root(i)), d == least.get(root(i))) for i, (d, _) in enumerate(rows)]
