@@ -87,3 +87,11 @@ def op7(spark, folder):
     from finflow.llm.nearcopies import near_copies
 
     return near_copies(table(spark, folder, "documents"), shingle=3, threshold=0.85)
+
+
+@query("op2_license_scans")
+def op2(spark, folder):
+    """License phrases and texts in every document."""
+    from finflow.llm.licenses import scan_licenses
+
+    return scan_licenses(table(spark, folder, "documents"))

@@ -111,3 +111,18 @@ def near_copies(rows, shingle=3, percent=85):
         if d is not None:
             least[root(i)] = min(least.get(root(i), d), d)
     return [(d, len(sets[i]), least.get(root(i)), d == least.get(root(i))) for i, (d, _) in enumerate(rows)]
+
+
+def license_phrases(rows, phrases=(("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))):
+    out = []
+    for d, t in rows:
+        ws = ALNUM_WORD.findall(lower(t))
+        places, labels = [], set()
+        for phrase, label in phrases:
+            p = phrase.split()
+            at = [i for i in range(len(ws) - len(p) + 1) if ws[i : i + len(p)] == p]
+            places += at
+            labels |= {label} if at else set()
+        ends = (min(places), max(places)) if places else (None, None)
+        out.append((d, len(ws), len(places), *ends, ",".join(sorted(labels))))
+    return out
