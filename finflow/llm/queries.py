@@ -95,3 +95,17 @@ def op2(spark, folder):
     from finflow.llm.licenses import scan_licenses
 
     return scan_licenses(table(spark, folder, "documents"))
+
+
+@query("op1_pii")
+def op1(spark, folder):
+    """Personal data in every document: counts and digest of the base spans, and all spans."""
+    from finflow.llm.pii import KINDS, find_personal_data, labelled_lines, written
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = find_personal_data(docs, labelled_lines(spark))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *[count(k) for k in KINDS[:4]],
+        F.sha2(written("base").cast("binary"), 256).alias("base_sha256"), written("spans").alias("spans"),
+    )

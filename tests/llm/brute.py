@@ -126,3 +126,32 @@ def license_phrases(rows, phrases=(("mit license", "mit"), ("apache license", "a
         ends = (min(places), max(places)) if places else (None, None)
         out.append((d, len(ws), len(places), *ends, ",".join(sorted(labels))))
     return out
+
+
+def personal_data(rows):
+    patterns = (
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+        ("card", r"[0-9]([\x20-]?[0-9])+"),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
+    )
+
+    def passes(kind, found):
+        digits = [int(c) for c in found if c.isascii() and c.isdigit()]
+        if kind == "ip":
+            return all(int(p) <= 255 for p in found.split("."))
+        if kind == "card":
+            doubled = [d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(reversed(digits))]
+            return 12 <= len(digits) <= 19 and sum(doubled) % 10 == 0
+        return kind == "email" or 9 <= len(digits) <= 15
+
+    out = []
+    for d, t in rows:
+        spans, counts = [], []
+        for order, (kind, pattern) in enumerate(patterns):
+            found = [m for m in re.finditer(pattern, t or "") if passes(kind, m[0])]
+            counts.append(len(found))
+            spans += [(m.start(), order, f"{kind}:{m.start()}:{m.end()}") for m in found]
+        text = ",".join(s[2] for s in sorted(spans))
+        out.append((d, *counts, hashlib.sha256(text.encode()).hexdigest()))
+    return out
