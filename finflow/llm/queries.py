@@ -109,3 +109,12 @@ def op1(spark, folder):
         "doc_id", *[count(k) for k in KINDS[:4]],
         F.sha2(written("base").cast("binary"), 256).alias("base_sha256"), written("spans").alias("spans"),
     )
+
+
+@query("op6_language_id")
+def op6(spark, folder):
+    """Language of every document from its text, declaration and source."""
+    from finflow.llm.language import document_evidence, identify
+
+    found = identify(document_evidence(table(spark, folder, "documents")))
+    return found.select("doc_id", "declared", "language", "posterior", "kept")
