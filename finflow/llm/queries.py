@@ -118,3 +118,11 @@ def op6(spark, folder):
 
     found = identify(document_evidence(table(spark, folder, "documents")))
     return found.select("doc_id", "declared", "language", "posterior", "kept")
+
+
+@query("op4_mixing_sources")
+def op4(spark, folder):
+    """Words the mix takes of every document."""
+    from finflow.llm.mixing import mix
+
+    return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "n_shards")
