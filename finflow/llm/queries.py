@@ -126,3 +126,14 @@ def op4(spark, folder):
     from finflow.llm.mixing import mix
 
     return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "n_shards")
+
+
+@query("op5_warc")
+def op5(spark, folder):
+    """Pages written to WARC archives and read back."""
+    from finflow.llm.warc import page_records, read_archives, write_archives
+    from finflow.session import work_folder
+
+    path = work_folder(spark, "archives")
+    write_archives(table(spark, folder, "pages"), path)
+    return page_records(read_archives(spark, path))

@@ -155,3 +155,18 @@ def personal_data(rows):
         text = ",".join(s[2] for s in sorted(spans))
         out.append((d, *counts, hashlib.sha256(text.encode()).hexdigest()))
     return out
+
+
+def warc(pages, least=1000):
+    first = {}
+    for p, html in pages:
+        raw = (html or "").encode()
+        if len(raw) >= least:
+            first[raw] = max(first.get(raw, p), p)
+    out = []
+    for p, html in pages:
+        raw = (html or "").encode()
+        response = first.get(raw, p)
+        kind = "response" if response == p else "revisit"
+        out.append((p, len(raw), hashlib.sha1(raw).hexdigest(), kind, None if response == p else response))
+    return out
