@@ -43,7 +43,7 @@ BLOCK_ITEMS = 5_000
 # Greatest distance, in words, of the terms of a proximity match from the rarest one.
 NEAR = 2 * WINDOW
 
-_INDEX = "shard long, ids binary, known binary, counts binary, terms binary, sizes binary, steps binary"
+_INDEX = "shard long, ids binary, known binary, rows binary, counts binary, terms binary, sizes binary, steps binary"
 
 
 def _hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[w.Words, np.ndarray]:
@@ -63,7 +63,11 @@ def tokenized(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def build_index(docs: DataFrame, vocabulary: np.ndarray | None = None, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Stored index of ``docs``: a row per shard. ``vocabulary``: sorted hashes of the terms to keep."""
+    """Stored index of ``docs``: a row per shard. ``vocabulary``: sorted hashes of the terms to keep.
+
+    A column ``row`` of whole numbers, if there is one, is kept with each document.
+    """
+    row = F.col("row").cast("long") if "row" in docs.columns else F.lit(0).cast("long")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -72,6 +76,7 @@ def build_index(docs: DataFrame, vocabulary: np.ndarray | None = None, shard_byt
             ids = batch.column(batch.schema.get_field_index("doc_id")).cast(pa.int64())
             known = ids.is_valid().to_numpy(zero_copy_only=False)
             ids = ids.fill_null(0).to_numpy(zero_copy_only=False)
+            rows = batch.column(batch.schema.get_field_index("row")).fill_null(0).to_numpy(zero_copy_only=False)
             for a, b in w.runs(offsets, shard_bytes):
                 hashes, counts = tokenized(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 at = np.arange(len(hashes))
@@ -88,6 +93,7 @@ def build_index(docs: DataFrame, vocabulary: np.ndarray | None = None, shard_byt
                         "shard": pa.array([number], pa.int64()),
                         "ids": binary(ids[a:b], np.int64),
                         "known": binary(known[a:b], bool),
+                        "rows": binary(rows[a:b], np.int64),
                         "counts": binary(counts, np.int64),
                         "terms": binary(term[first], np.uint64),
                         "sizes": binary(np.diff(np.append(first, len(term))), np.uint32),
@@ -96,7 +102,7 @@ def build_index(docs: DataFrame, vocabulary: np.ndarray | None = None, shard_byt
                 )
                 number += 1
 
-    return stored(docs.select("doc_id", "text").mapInArrow(build, _INDEX), "postings")
+    return stored(docs.select("doc_id", "text", row.alias("row")).mapInArrow(build, _INDEX), "postings")
 
 
 def _member(ordered: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -297,7 +303,7 @@ def matches(
 
 
 def indexed_documents(index: DataFrame) -> DataFrame:
-    """``shard, doc, doc_id, n_words`` of every document of the index."""
+    """``shard, doc, doc_id, row, n_words`` of every document of the index."""
 
     def unpack(batches):
         for row in _index_rows(batches):
@@ -307,12 +313,13 @@ def indexed_documents(index: DataFrame) -> DataFrame:
                     "shard": pa.array(np.full(len(ids), row["shard"]), pa.int64()),
                     "doc": pa.array(np.arange(len(ids)), pa.int32()),
                     "doc_id": pa.array(ids, pa.int64(), mask=~known),
+                    "row": pa.array(np.frombuffer(row["rows"], np.int64)),
                     "n_words": pa.array(np.frombuffer(row["counts"], np.int64)),
                 }
             )
 
-    return index.select("shard", "ids", "known", "counts").mapInArrow(
-        unpack, "shard long, doc int, doc_id long, n_words long"
+    return index.select("shard", "ids", "known", "rows", "counts").mapInArrow(
+        unpack, "shard long, doc int, doc_id long, row long, n_words long"
     )
 
 
@@ -330,21 +337,22 @@ def contamination(
     index = build_index(docs, np.unique(np.concatenate(vocabulary)))
     found = stored(matches(index, items, window, within, block_items), "matches")
     # A document has at most as many hit words and items as words, so its group is bounded by its text.
-    row = ["shard", "doc"]
+    key = ["shard", "doc"]
     phrase = found.where("kind = 'phrase'")
     hits = (
-        phrase.select(*row, "place", "length").distinct()
-        .select(*row, F.explode(F.sequence(F.col("place"), F.col("place") + F.col("length") - 1)).alias("word"))
-        .distinct().groupBy(*row).agg(F.count(F.lit(1)).alias("n_hit"))
+        phrase.select(*key, "place", "length").distinct()
+        .select(*key, F.explode(F.sequence(F.col("place"), F.col("place") + F.col("length") - 1)).alias("word"))
+        .distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("n_hit"))
     )
-    names = phrase.select(*row, "item_id").distinct().groupBy(*row).agg(
+    names = phrase.select(*key, "item_id").distinct().groupBy(*key).agg(
         F.count(F.lit(1)).alias("n_items"), F.array_sort(F.collect_list("item_id")).alias("item_ids")
     )
-    near = found.where("kind = 'near'").select(*row, "item_id").distinct().groupBy(*row).agg(F.count(F.lit(1)).alias("n_near"))
+    near = found.where("kind = 'near'").select(*key, "item_id").distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("n_near"))
     none = F.lit(0).cast("long")
-    joined = indexed_documents(index).join(hits, row, "left").join(names, row, "left").join(near, row, "left")
+    joined = indexed_documents(index).join(hits, key, "left").join(names, key, "left").join(near, key, "left")
     return joined.select(
         "doc_id",
+        "row",
         "n_words",
         F.coalesce("n_hit", none).alias("n_hit"),
         F.coalesce("n_items", none).alias("n_items"),

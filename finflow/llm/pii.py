@@ -304,40 +304,54 @@ def all_spans(texts: Sequence[str], chain: Chain) -> list[tuple[list[Span], list
     return out
 
 
-def find_personal_data(docs: DataFrame, labelled: DataFrame, mask: bool = False) -> DataFrame:
-    """``docs`` with ``base`` and ``spans`` (arrays of kind, start, end); with ``mask``, ``text`` has ``<KIND>`` in their place.
-
-    ``labelled``: ``text`` and ``spans``, at most ``MOST_LABELLED`` rows.
-    """
+def fit_chain(labelled: DataFrame) -> Chain:
+    """Train from ``text`` and ``spans``, at most ``MOST_LABELLED`` rows."""
     rows = labelled.select("text", "spans").where("text is not null").limit(MOST_LABELLED).collect()
     table = sorted((r["text"], tuple((s["start"], KINDS.index(s["kind"]), s["end"]) for s in r["spans"] or ())) for r in rows)
-    chain = train_chain(table)
-    span = "array<struct<kind:string,start:bigint,end:bigint>>"
-    kept = [c for c in docs.columns if c not in ("_base", "_spans")]
+    return train_chain(table)
+
+
+def _telling_texts(batch: pa.RecordBatch) -> tuple[np.ndarray, list[str]]:
+    """Rows whose text has a digit or ``@``, and these texts."""
+    data, offsets = w.text_column(batch, "text")
+    marks = np.append(0, np.cumsum(_TELLING[data]))
+    rows = np.flatnonzero(marks[offsets[1:]] > marks[offsets[:-1]])
+    return rows, [data[offsets[i] : offsets[i + 1]].tobytes().decode() for i in rows]
+
+
+def find_personal_data(docs: DataFrame, labelled: DataFrame) -> DataFrame:
+    """``doc_id``, ``base`` and ``spans`` (arrays of kind, start, end) of every row of ``docs``."""
+    chain = fit_chain(labelled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
         as_rows = lambda spans: [{"kind": KINDS[k], "start": a, "end": b} for a, k, b in spans]
         for batch in batches:
-            data, offsets = w.text_column(batch, "text")
-            marks = np.append(0, np.cumsum(_TELLING[data]))
-            asked = np.flatnonzero(marks[offsets[1:]] > marks[offsets[:-1]])
-            texts = [data[offsets[i] : offsets[i + 1]].tobytes().decode() for i in asked]
+            rows, texts = _telling_texts(batch)
             base, spans = [[] for _ in range(batch.num_rows)], [[] for _ in range(batch.num_rows)]
-            masked = {}
-            for i, text, (b, s) in zip(asked, texts, all_spans(texts, chain), strict=True):
+            for i, (b, s) in zip(rows, all_spans(texts, chain), strict=True):
                 base[i], spans[i] = as_rows(b), as_rows(s)
-                if mask and s:
-                    masked[int(i)] = _masked(text, s)
-            columns = {name: batch.column(batch.schema.get_field_index(name)) for name in kept}
-            if masked:
-                columns["text"] = _replaced(columns["text"], masked)
-            yield pa.RecordBatch.from_pydict(columns | {"base": pa.array(base, kind), "spans": pa.array(spans, kind)})
+            ids = batch.column(batch.schema.get_field_index("doc_id"))
+            yield pa.RecordBatch.from_pydict({"doc_id": ids, "base": pa.array(base, kind), "spans": pa.array(spans, kind)})
+
+    span = "array<struct<kind:string,start:bigint,end:bigint>>"
+    own = docs.select("doc_id", "text")
+    return own.mapInArrow(run, f"doc_id {own.schema['doc_id'].dataType.simpleString()}, base {span}, spans {span}")
 
-    plain = docs.select(*kept).drop("base", "spans")
-    kept = plain.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
-    return plain.mapInArrow(run, f"{schema}, base {span}, spans {span}")
+
+def mask_personal_data(docs: DataFrame, labelled: DataFrame) -> DataFrame:
+    """``docs`` with ``<KIND>`` in the place of each span of ``text``."""
+    chain = fit_chain(labelled)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, texts = _telling_texts(batch)
+            masked = {int(i): _masked(t, s) for i, t, (_, s) in zip(rows, texts, all_spans(texts, chain), strict=True) if s}
+            at = batch.schema.get_field_index("text")
+            column = _replaced(batch.column(at), masked) if masked else batch.column(at)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], column, *batch.columns[at + 1 :]], batch.schema.names)
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def _replaced(column: pa.Array, rows: dict[int, str]) -> pa.Array:
@@ -371,13 +385,19 @@ def labelled_lines(spark: SparkSession, lines: int = 700, seed: int = 7) -> Data
     word = lambda: some(letters, rng.randint(2, 9))
     number = lambda n: some(figures, n)
     octet = lambda: str(rng.randint(0, 255))
+
+    def card() -> str:
+        digits = number(15)
+        return digits + next(d for d in figures if luhn(digits + d))
+
+    cut = lambda digits, by: by.join(digits[i : i + 4] for i in range(0, 16, 4))
     makers = {
         "email": [
             lambda: f"{word()}.{number(2)}@{word()}{number(1)}.example.com", lambda: f"{word()}@{word()}.org",
             lambda: f"{word()}_{word()}@{word()}.{word()}.net", lambda: f"{word()}@{word()}",
         ],
         "ip": [lambda: ".".join(octet() for _ in range(4))],
-        "card": [lambda: number(16), lambda: " ".join(number(4) for _ in range(4)), lambda: "-".join(number(4) for _ in range(4))],
+        "card": [card, lambda: cut(card(), " "), lambda: cut(card(), "-")],
         "phone": [
             lambda: f"+1 ({number(3)}) {number(3)}-{number(4)}", lambda: f"+{number(2)} {number(3)} {number(7)}",
             lambda: f"({number(3)}) {number(3)}-{number(4)}", lambda: f"{number(3)}-{number(3)}-{number(4)}",

@@ -17,8 +17,8 @@ Only offsets, sizes and digests are shuffled. Payload bytes are looked at where
 they are read; a payload that itself holds the separator spans several lines,
 which are brought together by record.
 
-Tables of marked rows (revisits; lines of such payloads) are broadcast up to
-``MOST_BROADCAST`` rows and joined by shuffle beyond.
+Tables of marked rows (revisits; lines of such payloads) are broadcast if
+they have few rows and joined by shuffle if not.
 
 Edge cases. A null html is an empty payload, a null url no address. Pages equal
 in id and payload are written each and are the same kind of record. A null page
@@ -32,21 +32,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from finflow.llm.store import dropped, stored
+from finflow.llm.store import dropped, small, stored
 
 LEAST_REVISIT = 1000
-MOST_BROADCAST = 500_000
 
 # Fixed values of the format.
 MAGIC = "WARC/1.0\r\n"
 BREAK = "\r\n\r\n"
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """``df``, to be broadcast if it has few rows."""
-    return F.broadcast(df) if df.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else df
-
-
 def write_archives(
     pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", compression: str = "gzip", file_records: int = 50_000
 ) -> None:
@@ -64,7 +58,7 @@ def write_archives(
     )
     repeated = stored(repeated.select(F.col("digest").alias("_digest"), "first"), "revisits")
     same = (F.col("digest") == F.col("_digest")) & (F.col("bytes") >= LEAST_REVISIT)
-    rows = rows.join(_small(repeated), same, "left")
+    rows = rows.join(small(repeated), same, "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     field = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     urn = lambda page: F.concat(F.lit("<urn:page:"), F.coalesce(page.cast("string"), F.lit("")), F.lit(">"))
@@ -191,7 +185,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
     open_ = settled.where("payload_digest is null").select("file", "begin", "length")
     wanted = _lines_of(light, open_) if not with_payload else _lines_of(light, records.select("file", "begin", "length"))
     wanted = stored(wanted, "payloads")
-    pieces = lines.join(_small(wanted), ["file", "block", "seq"])
+    pieces = lines.join(small(wanted), ["file", "block", "seq"])
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "value"))), lambda p: p["value"]), BREAK)
     # A payload may end inside the separator that ended its last line.
     whole = F.concat(joined, F.lit(BREAK)).cast("binary")
