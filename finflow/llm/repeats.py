@@ -11,7 +11,8 @@ sent once, sorted and grouped by hash range (*bucket*); the answer for a bucket
 goes back to the chunk in the same order, so neither positions nor texts travel,
 and a window that a third of all documents share is one entry per chunk. The
 first level asks with hashes cut to the bits the corpus size calls for, which
-only drops windows found once; every later question uses 128 bits.
+only drops windows found once; the second, which decides what is removed, uses
+96 bits. Longer windows are made of two repeated halves and compare 64 bits.
 
 Sizes: a task holds one chunk or one bucket. Entries per message are
 ``chunk words * bucket words / all words``; for 100 TB raise ``chunk_bytes`` to
@@ -36,17 +37,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finflow.llm import words as w
-from finflow.llm.store import dropped, stored
+from finflow.llm.store import dropped, release, stored
 
 WINDOW = 13
-CHUNK_BYTES = 8 << 20
-BUCKET_WORDS = 2 << 20
+CHUNK_BYTES = 4 << 20
+BUCKET_WORDS = 1 << 20
 # Bits beyond log2(words) in the hashes of the first question: one window in 2^17 passes by chance.
 SPARE_BITS = 17
 NO_ID = np.iinfo(np.int64).max
 
 _CHUNKS = "chunk long, ids binary, offsets binary, blob binary, raw long, n_words long"
-_STATE = "chunk long, ids binary, doc binary, pos binary, ha binary, hb binary, n long"
+# Windows of a chunk by position: steps between positions, 64 bits of hash, 32 more at the first level.
+_STATE = "chunk long, ids binary, n_words binary, steps binary, ha binary, hb binary, n long"
 
 
 def _ids(batch: pa.RecordBatch, name: str) -> np.ndarray:
@@ -124,18 +126,38 @@ def _short_groups(row: dict, window: int, shift: int):
 
 
 def _planes(values: np.ndarray) -> bytes:
-    """Sorted values as steps, low bytes first, one byte plane after the other: the high planes compress away."""
-    steps = np.diff(values, prepend=values[:1])
-    width = 4 if not len(steps) or steps.max() < 1 << 32 else 8
-    kind = np.uint32 if width == 4 else np.uint64
-    return bytes([width]) + steps.astype(kind).view(np.uint8).reshape(-1, width).T.tobytes()
+    """Whole numbers as byte planes, low bytes first: planes of equal bytes compress away."""
+    top = int(values.max()) if len(values) else 0
+    kind = np.uint32 if top < 1 << 32 else np.uint64
+    width = kind().itemsize
+    return bytes([width]) + np.ascontiguousarray(values).astype(kind).view(np.uint8).reshape(-1, width).T.tobytes()
 
 
-def _from_planes(first: int, data: bytes) -> np.ndarray:
+def _from_planes(data: bytes) -> np.ndarray:
     width = data[0]
     planes = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1)
-    steps = np.ascontiguousarray(planes.T).view(np.uint32 if width == 4 else np.uint64).ravel()
-    return np.cumsum(steps, dtype=np.uint64) + np.uint64(first)
+    return np.ascontiguousarray(planes.T).view(np.uint32 if width == 4 else np.uint64).ravel()
+
+
+def _steps(values: np.ndarray) -> bytes:
+    """Sorted numbers as the steps between them; the first counts from 0."""
+    return _planes(np.diff(values, prepend=values.dtype.type(0)))
+
+
+def _from_steps(data: bytes) -> np.ndarray:
+    return np.cumsum(_from_planes(data), dtype=np.uint64)
+
+
+def _bits(mask: np.ndarray) -> bytes:
+    return np.packbits(mask).tobytes()
+
+
+def _from_bits(data: bytes, count: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(data, np.uint8), count=count).astype(bool)
+
+
+def _cut(encode, values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    return pa.array([encode(values[a:b]) for a, b in itertools.pairwise(bounds)], pa.binary())
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -156,19 +178,20 @@ def _once_or_more(chunks: DataFrame, window: int, shift: int, buckets: int) -> D
                     "bucket": pa.array(names, pa.int64()),
                     "chunk": pa.array(np.full(len(names), row["chunk"]), pa.int64()),
                     "first": pa.array(values[bounds[:-1]].astype(np.int64), pa.int64()),
-                    "steps": pa.array([_planes(values[a:b]) for a, b in itertools.pairwise(bounds)], pa.binary()),
-                    "several": pa.array([np.packbits(several[a:b]).tobytes() for a, b in itertools.pairwise(bounds)], pa.binary()),
+                    "steps": pa.array([_planes(np.diff(values[a:b])) for a, b in itertools.pairwise(bounds)], pa.binary()),
+                    "several": _cut(_bits, several, bounds),
                 }
             )
 
     def answer(table: pa.Table) -> pa.Table:
         values = [
-            _from_planes(f, s) for f, s in zip(table["first"].to_pylist(), table["steps"].to_pylist(), strict=True)
+            np.append(np.uint64(0), _from_steps(s)) + np.uint64(f)
+            for f, s in zip(table["first"].to_pylist(), table["steps"].to_pylist(), strict=True)
         ]
         sizes = [len(v) for v in values]
         several = np.concatenate(
-            [np.unpackbits(np.frombuffer(s, np.uint8), count=n) for s, n in zip(table["several"].to_pylist(), sizes, strict=True)]
-        ).astype(bool)
+            [_from_bits(s, n) for s, n in zip(table["several"].to_pylist(), sizes, strict=True)]
+        )
         values = np.concatenate(values)
         order = np.argsort(values)
         ordered = values[order]
@@ -177,13 +200,12 @@ def _once_or_more(chunks: DataFrame, window: int, shift: int, buckets: int) -> D
         found[order[1:][equal]] = True
         found[order[:-1][equal]] = True
         bounds = np.cumsum([0, *sizes])
-        # A hash seen in two documents of one chunk may be alone in its bucket, or shared: mark all alike.
         return pa.table(
             {
                 "chunk": table["chunk"],
                 "bucket": table["bucket"],
                 "n": pa.array(sizes, pa.int64()),
-                "marks": pa.array([np.packbits(found[a:b]).tobytes() for a, b in itertools.pairwise(bounds)], pa.binary()),
+                "marks": _cut(_bits, found, bounds),
             }
         )
 
@@ -194,31 +216,30 @@ def _once_or_more(chunks: DataFrame, window: int, shift: int, buckets: int) -> D
 
 def _candidates(chunks: DataFrame, marks: DataFrame, window: int, shift: int) -> DataFrame:
     """Windows worth a full question, with what the result needs: clean texts are finished here."""
-    schema = _STATE + ", n_words binary, kept array<string>, dirty array<string>"
+    schema = _STATE + ", kept array<string>, dirty array<string>"
 
     def pick(batches):
         for row in _rows(batches):
             raw, offsets, found, hashes = _chunk_words(row)
             order, group, _, _ = _short_groups(row, window, shift)
-            marked = [np.unpackbits(np.frombuffer(a["marks"], np.uint8), count=a["n"]) for a in row["answer"] or ()]
-            marked = np.concatenate(marked).astype(bool) if marked else np.zeros(0, bool)
+            marked = [_from_bits(a["marks"], a["n"]) for a in row["answer"] or ()]
+            marked = np.concatenate(marked) if marked else np.zeros(0, bool)
             at = np.flatnonzero(w.window_starts(found, window))
             hit = np.zeros(len(at), bool)
             hit[order] = marked[group] if len(group) else False
             pos = at[hit]
-            doc = found.owners()[pos].astype(np.int32)
             second = w.mix(hashes + np.uint64(0x632BE59BD9B4E019))
             ha, hb = w.window_hashes(hashes, window)[pos], w.window_hashes(second, window)[pos]
             is_dirty = np.zeros(len(offsets) - 1, bool)
-            is_dirty[doc] = True
+            is_dirty[found.owners()[pos]] = True
             texts = [raw[a:b] for a, b in itertools.pairwise(offsets)]
             kept = [None if d else hashlib.sha256(b" ".join(t.split())).hexdigest() for t, d in zip(texts, is_dirty, strict=True)]
             yield pa.RecordBatch.from_pydict(
                 {
                     "chunk": pa.array([row["chunk"]], pa.int64()),
                     "ids": pa.array([row["ids"]], pa.binary()),
-                    **_arrays(doc, pos, ha, hb),
-                    "n_words": pa.array([found.counts.astype(np.int64).tobytes()], pa.binary()),
+                    "n_words": pa.array([_planes(found.counts)], pa.binary()),
+                    **_arrays(pos, ha, hb >> np.uint64(32)),
                     "kept": pa.array([kept], pa.list_(pa.string())),
                     "dirty": pa.array([[t.decode() if d else None for t, d in zip(texts, is_dirty, strict=True)]], pa.list_(pa.string())),
                 }
@@ -227,21 +248,23 @@ def _candidates(chunks: DataFrame, marks: DataFrame, window: int, shift: int) ->
     return chunks.join(marks, "chunk", "left").mapInArrow(pick, schema)
 
 
-def _arrays(doc, pos, ha, hb) -> dict:
-    as_binary = lambda v, kind: pa.array([np.ascontiguousarray(v, dtype=kind).tobytes()], pa.binary())
+def _arrays(pos: np.ndarray, ha: np.ndarray, hb: np.ndarray) -> dict:
     return {
-        "doc": as_binary(doc, np.int32),
-        "pos": as_binary(pos, np.int64),
-        "ha": as_binary(ha, np.uint64),
-        "hb": as_binary(hb, np.uint64),
+        "steps": pa.array([_steps(pos.astype(np.uint64))], pa.binary()),
+        "ha": pa.array([ha.tobytes()], pa.binary()),
+        "hb": pa.array([_planes(hb)], pa.binary()),
         "n": pa.array([len(pos)], pa.int64()),
     }
 
 
 def _unpack(row: dict):
+    """Ids, word bounds of the texts, and of each window: its text, position and hashes."""
+    pos = _from_steps(row["steps"]).astype(np.int64)
+    bounds = np.append(0, np.cumsum(_from_planes(row["n_words"]), dtype=np.int64))
+    doc = np.searchsorted(bounds, pos, "right") - 1
     return (
-        np.frombuffer(row["ids"], np.int64), np.frombuffer(row["doc"], np.int32), np.frombuffer(row["pos"], np.int64),
-        np.frombuffer(row["ha"], np.uint64), np.frombuffer(row["hb"], np.uint64),
+        np.frombuffer(row["ids"], np.int64), bounds, doc, pos,
+        np.frombuffer(row["ha"], np.uint64), _from_planes(row["hb"]).astype(np.uint64),
     )
 
 
@@ -253,12 +276,12 @@ def _group(ha: np.ndarray, hb: np.ndarray):
     return order, np.cumsum(new) - 1, np.flatnonzero(new)
 
 
-def _owners_of(state: DataFrame, buckets: int) -> DataFrame:
+def _owners_of(state: DataFrame, buckets: int, with_least: bool) -> DataFrame:
     """Per chunk and distinct window: the smallest id that has it, and whether two documents do."""
 
     def ask(batches):
         for row in _rows(batches):
-            ids, doc, _, ha, hb = _unpack(row)
+            ids, _, doc, _, ha, hb = _unpack(row)
             order, _, first = _group(ha, hb)
             if not len(first):
                 continue
@@ -267,44 +290,59 @@ def _owners_of(state: DataFrame, buckets: int) -> DataFrame:
             several = np.maximum.reduceat(own, first) != np.minimum.reduceat(own, first)
             a, b = ha[order][first], hb[order][first]
             names, bounds = _bucket_bounds(a, buckets)
-            cut = lambda v: pa.array([v[i:j].tobytes() for i, j in itertools.pairwise(bounds)], pa.binary())  # noqa: E731, B023
             yield pa.RecordBatch.from_pydict(
                 {
                     "bucket": pa.array(names, pa.int64()),
                     "chunk": pa.array(np.full(len(names), row["chunk"]), pa.int64()),
-                    "ha": cut(a), "hb": cut(b), "least": cut(least), "several": cut(several),
+                    "ha": _cut(_steps, a, bounds),
+                    "hb": _cut(_planes, b, bounds),
+                    "least": _cut(_planes, least if with_least else np.zeros(len(a), np.int64), bounds),
+                    "several": _cut(_bits, several, bounds),
                 }
-            )
+            )
 
     def answer(table: pa.Table) -> pa.Table:
-        join = lambda name, kind: np.concatenate([np.frombuffer(v, kind) for v in table[name].to_pylist()])
-        sizes = [len(v) // 8 for v in table["ha"].to_pylist()]
-        order, group, first = _group(join("ha", np.uint64), join("hb", np.uint64))
-        least = np.minimum.reduceat(join("least", np.int64)[order], first)
-        several = np.logical_or.reduceat(join("several", bool)[order], first)
+        join = lambda name, decode: np.concatenate([decode(v) for v in table[name].to_pylist()])
+        ha = [_from_steps(v) for v in table["ha"].to_pylist()]
+        sizes = [len(v) for v in ha]
+        order, group, first = _group(np.concatenate(ha), join("hb", _from_planes))
+        least = np.minimum.reduceat(join("least", _from_planes).astype(np.int64)[order], first)
+        several = [_from_bits(v, n) for v, n in zip(table["several"].to_pylist(), sizes, strict=True)]
+        several = np.logical_or.reduceat(np.concatenate(several)[order], first)
         several |= np.diff(np.append(first, len(order))) > 1
         out_least, out_several = np.empty(len(order), np.int64), np.empty(len(order), bool)
         out_least[order], out_several[order] = least[group], several[group]
         bounds = np.cumsum([0, *sizes])
-        cut = lambda v: pa.array([v[i:j].tobytes() for i, j in itertools.pairwise(bounds)], pa.binary())
-        return pa.table({"chunk": table["chunk"], "bucket": table["bucket"], "least": cut(out_least), "several": cut(out_several)})
+        return pa.table(
+            {
+                "chunk": table["chunk"],
+                "bucket": table["bucket"],
+                "n": pa.array(sizes, pa.int64()),
+                "least": _cut(_planes, out_least, bounds),
+                "several": _cut(_bits, out_several, bounds),
+            }
+        )
 
-    asked = state.select("chunk", "ids", "doc", "pos", "ha", "hb").mapInArrow(
+    asked = state.select("chunk", "ids", "n_words", "steps", "ha", "hb").mapInArrow(
         ask, "bucket long, chunk long, ha binary, hb binary, least binary, several binary"
     )
-    answered = asked.groupBy("bucket").applyInArrow(answer, "chunk long, bucket long, least binary, several binary")
-    return answered.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("bucket", "least", "several"))).alias("answer"))
+    answered = asked.groupBy("bucket").applyInArrow(
+        answer, "chunk long, bucket long, n long, least binary, several binary"
+    )
+    return answered.groupBy("chunk").agg(
+        F.array_sort(F.collect_list(F.struct("bucket", "n", "least", "several"))).alias("answer")
+    )
 
 
 def _verdicts(row: dict) -> tuple[np.ndarray, np.ndarray]:
     """For each window of a state row: found in two documents; smallest id that has it."""
-    _, doc, _, ha, hb = _unpack(row)
+    _, _, doc, _, ha, hb = _unpack(row)
     order, group, _ = _group(ha, hb)
     least, several = np.empty(len(doc), np.int64), np.zeros(len(doc), bool)
     if len(doc):
         answer = row["answer"]
-        least[order] = np.concatenate([np.frombuffer(a["least"], np.int64) for a in answer])[group]
-        several[order] = np.concatenate([np.frombuffer(a["several"], bool) for a in answer])[group]
+        least[order] = np.concatenate([_from_planes(a["least"]).astype(np.int64) for a in answer])[group]
+        several[order] = np.concatenate([_from_bits(a["several"], a["n"]) for a in answer])[group]
     return several, least
 
 
@@ -313,9 +351,9 @@ def _doubled(state: DataFrame, answers: DataFrame, length: int) -> DataFrame:
 
     def extend(batches):
         for row in _rows(batches):
-            _, doc, pos, ha, hb = _unpack(row)
+            _, _, doc, pos, ha, _ = _unpack(row)
             several, _ = _verdicts(row)
-            doc, pos, ha, hb = doc[several], pos[several], ha[several], hb[several]
+            doc, pos, ha = doc[several], pos[several], ha[several]
             next_at = np.minimum(np.searchsorted(pos, pos + length), max(len(pos) - 1, 0))
             both = (pos[next_at] == pos + length) & (doc[next_at] == doc) if len(pos) else np.zeros(0, bool)
             left, right = np.flatnonzero(both), next_at[both]
@@ -323,12 +361,13 @@ def _doubled(state: DataFrame, answers: DataFrame, length: int) -> DataFrame:
                 {
                     "chunk": pa.array([row["chunk"]], pa.int64()),
                     "ids": pa.array([row["ids"]], pa.binary()),
-                    **_arrays(doc[left], pos[left], w.join_hashes(ha[left], ha[right]), w.join_hashes(hb[left], hb[right])),
+                    "n_words": pa.array([row["n_words"]], pa.binary()),
+                    **_arrays(pos[left], w.join_hashes(ha[left], ha[right]), np.zeros(len(left), np.uint64)),
                     "docs": pa.array([np.unique(doc).tolist()], pa.list_(pa.int32())),
                 }
             )
 
-    joined = state.select("chunk", "ids", "doc", "pos", "ha", "hb").join(answers, "chunk")
+    joined = state.select("chunk", "ids", "n_words", "steps", "ha", "hb").join(answers, "chunk")
     return joined.mapInArrow(extend, _STATE + ", docs array<int>")
 
 
@@ -338,9 +377,8 @@ def _finished(state: DataFrame, answers: DataFrame, window: int, keep_text: bool
 
     def finish(batches):
         for row in _rows(batches):
-            ids, doc, pos, _, _ = _unpack(row)
-            counts = np.frombuffer(row["n_words"], np.int64)
-            bounds = np.append(0, np.cumsum(counts))
+            ids, bounds, doc, pos, _, _ = _unpack(row)
+            counts = np.diff(bounds)
             _, least = _verdicts(row)
             covering = pos[(least < ids[doc]) & (ids[doc] != NO_ID)]
             change = np.zeros(bounds[-1] + window + 1, np.int64)
@@ -392,20 +430,26 @@ def remove_repeats(
     marks = _once_or_more(chunks, window, shift, max(16, total // bucket_words))
     first = stored(_candidates(chunks, marks, window, shift), "repeats")
     dropped(chunks)
+    del chunks, marks
+    release(docs.sparkSession)
 
     state, length, repeated, answers_of_window = first, window, [], None
     while True:
         count = state.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
         if not count and answers_of_window is not None:
             break
-        answers = stored(_owners_of(state, max(16, count // bucket_words)), "answers")
+        answers = stored(_owners_of(state, max(16, count // bucket_words), length == window), "answers")
         if answers_of_window is None:
             answers_of_window = answers
         longer = stored(_doubled(state, answers, length), "repeats")
-        repeated.append(longer.select("chunk", F.explode("docs").alias("doc"), F.lit(length).alias("length")))
+        docs_of_level = longer.select("chunk", F.explode("docs").alias("doc"), F.lit(length).alias("length"))
+        repeated.append(stored(docs_of_level, "repeated"))
         if length > window:
             dropped(answers)
+            dropped(state)
         state, length = longer, length * 2
+        del answers
+        release(docs.sparkSession)
 
     longest = repeated[0]
     for more in repeated[1:]:

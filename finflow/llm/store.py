@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from finflow.session import work_folder
 
@@ -20,6 +23,15 @@ def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return back
 
 
+# Rows up to which a table of keys is broadcast; more are joined by shuffle.
+MOST_BROADCAST = 500_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df``, to be broadcast if it has few rows."""
+    return F.broadcast(df) if df.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else df
+
+
 def dropped(df: DataFrame) -> None:
     """Delete the files of a table from :func:`stored` that no plan needs any more."""
     path = getattr(df, "_stored_at", None)
@@ -27,6 +39,17 @@ def dropped(df: DataFrame) -> None:
         drop_folder(df.sparkSession, path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the cleaner delete shuffle files that only finished, stored tables needed.
+
+    It acts on collected objects, and an idle driver collects its garbage every
+    half hour only.
+    """
+    for _ in range(2):  # objects of Python first, then those of the JVM that they held
+        gc.collect()
+        spark._jvm.System.gc()
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
