@@ -175,7 +175,7 @@ def draw(
         sizes.where("size > 0")
         .withColumn("_source", F.struct("source"))
         .join(goal, "_source")
-        .withColumn("_passes", F.ceil(F.col("target") / F.col("source_size")))
+        .withColumn("_passes", F.ceil(F.try_divide("target", "source_size")))
         .where("_passes > 0")
         .withColumn("pass", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_passes"))))
         .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("size") - 1) / block))))
