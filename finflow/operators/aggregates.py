@@ -111,11 +111,11 @@ def last_by(df: DataFrame, keys: Sequence[str], order: Column, **columns: Column
 
 
 def drop_duplicates_by(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
-    """One row per key, the first in ``order``; combines before the shuffle, unlike row_number."""
+    """One row per key, the first in ``order`` (nulls last); combines before the shuffle, unlike row_number."""
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    kept = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_row"))
+    kept = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(order.isNull(), order)).alias("_row"))
     return kept.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from finflow.session import cut_lineage
+
 
 def glom(df: DataFrame, column: str, out: str = "items") -> DataFrame:
     """The values of ``column`` as arrays: one row per Arrow batch of a partition.
@@ -73,3 +75,30 @@ def stable_split(
         bound -= weights[index + 1]
         part = F.when(draw < F.lit(bound / total), F.lit(index)).otherwise(part)
     return df.withColumn(out, part)
+
+
+def _tagged(df: DataFrame) -> DataFrame:
+    """``df`` as it is laid out now: ``_seq`` counts on inside each partition, ``_part`` is the partition.
+
+    The layout is saved first, so that every use sees the same one.
+    """
+    return cut_lineage(df.withColumn("_seq", F.monotonically_increasing_id())).withColumn("_part", F.shiftright("_seq", 33))
+
+
+def positioned(df: DataFrame, out: str = "position") -> DataFrame:
+    """Number rows from 1 in the order ``df`` has, partition after partition."""
+    tagged = _tagged(df)
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    sizes = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_part").orderBy("_seq")
+    numbered = tagged.withColumn("_own", F.row_number().over(inside)).join(sizes, "_part")
+    return numbered.withColumn(out, F.col("_before") + F.col("_own")).drop("_part", "_seq", "_own", "_before")
+
+
+def in_order(df: DataFrame, order: Sequence[str], out: str = "in_order") -> DataFrame:
+    """Mark each row that is not smaller in ``order`` than the row before it in its partition."""
+    inside = Window.partitionBy("_part").orderBy("_seq")
+    before = F.lag(F.struct(*order)).over(inside)
+    marked = _tagged(df).withColumn(out, F.coalesce(before <= F.struct(*order), F.lit(True)))
+    return marked.drop("_part", "_seq")

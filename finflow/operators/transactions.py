@@ -48,7 +48,7 @@ def parse_lines(lines: DataFrame, line: str = "value", strict: bool = False) ->
         F.when(F.col("_part0").rlike("^[+-]?[0-9]+$"), F.col("_part0").try_cast("bigint")).alias("_id"),
         F.col("_part2").alias("_account"),
         to_date(F.col("_part1")).alias("_date"),
-        F.col("_part3").try_cast("double").alias("_amount"),
+        F.when(~_misspelled(F.col("_part3")), F.col("_part3").try_cast("double")).alias("_amount"),
         F.col("_part4").alias("_description"),
     )
     error = (
@@ -70,6 +70,12 @@ def parse_lines(lines: DataFrame, line: str = "value", strict: bool = False) ->
     )
 
 
+def _misspelled(amount: Column) -> Column:
+    """Casts take ``nan`` and ``inf`` in any spelling; an amount may only say ``NaN`` or ``Infinity``."""
+    text = F.trim(amount)
+    return text.rlike("(?i)^[+-]?(nan|inf|infinity)$") & ~text.rlike("^[+-]?(NaN|Infinity)$")
+
+
 def valid(parsed: DataFrame) -> DataFrame:
     """The transactions of a parsed table or stream."""
     return parsed.where(F.col("error").isNull()).drop("line", "error")
@@ -96,14 +102,15 @@ def is_red_flag(
     average: Column, window_average: Column, historic: Column, margin: float = RED_FLAG_MARGIN
 ) -> Column:
     """Whether the account, or its last window, spends ``margin`` more than its history."""
-    return (average - historic > F.lit(margin)) | (window_average - historic > F.lit(margin))
+    exceeds = lambda value: (value > F.lit(margin)) & ~F.isnan(value)  # noqa: E731  NaN sorts above all numbers
+    return exceeds(average - historic) | exceeds(window_average - historic)
 
 
 def mark_possible_fraud(
     transactions: DataFrame, amount: str = "amount", above: float = FRAUD_AMOUNT
 ) -> DataFrame:
     """Add ``is_possible_fraud`` to each transaction."""
-    return transactions.withColumn("is_possible_fraud", F.col(amount) > F.lit(above))
+    return transactions.withColumn("is_possible_fraud", (F.col(amount) > F.lit(above)) & ~F.isnan(amount))
 
 
 def merge_state(previous: DataFrame, new: DataFrame, key: str = "account_number") -> DataFrame:

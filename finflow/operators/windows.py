@@ -149,7 +149,8 @@ def range_totals(
         F.min(value).alias("_min"),
         F.max(value).alias("_max"),
     )
-    own = F.floor(F.col("_by") / F.lit(span))
+    # Rows without an order value are peers of each other only, and so have a stretch of their own.
+    own = F.coalesce(F.floor(F.col("_by") / F.lit(max(span, 1))), F.lit(-(1 << 62)))
     visiting = points.withColumn("_own", own).withColumn(
         "_bucket", F.explode(F.array(F.col("_own"), F.col("_own") + 1))
     )

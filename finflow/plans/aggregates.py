@@ -119,7 +119,7 @@ def _(t):
 @query("agg_06_collect_list_chunked", _LISTS.format(rows=4))
 def _(t):
     """Lists longer than four values continue in further rows; most keys count as hot."""
-    return _order_lists(t, chunk_rows=4, hot_rows=8, hot_share=0.0)
+    return _order_lists(t, chunk_rows=4, hot_rows=8)
 
 
 @query(

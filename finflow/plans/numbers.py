@@ -139,10 +139,24 @@ def _(t):
     return t.customer.select("c_custkey", F.md5("c_name").alias("md5"), F.sha1("c_name").alias("sha"))
 
 
-@query("hsh_01_hash")
+@query(
+    "hsh_01_hash",
+    "select c_mktsegment, true as known, count(*) as n, count(distinct c_name) as names, true as spread"
+    " from customer group by c_mktsegment",
+)
 def _(t):
-    """Murmur3 has no counterpart in the SQL used for checking."""
-    return t.customer.select("c_custkey", F.hash("c_name", "c_mktsegment").alias("hash"))
+    """Murmur3 has no counterpart in the SQL used for checking: a known value, equal hashes of equal
+    inputs (as many hashes as names, but for chance) and another hash for another input."""
+    named = F.hash("c_name")
+    return t.customer.groupBy("c_mktsegment").agg(
+        F.bool_and(F.hash(F.lit("Spark"), F.array(F.lit(123)), F.lit(2)) == -1321691492).alias("known"),
+        F.count(named).alias("n"),
+        F.count_distinct("c_name").alias("names"),
+        (
+            (F.count_distinct(named) <= F.count_distinct("c_name"))
+            & (F.count_distinct(named) >= 0.999 * F.count_distinct("c_name"))
+        ).alias("spread"),
+    )
 
 
 @query(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from finflow.operators.layout import glom, stable_sample, stable_split
+from finflow.operators.layout import glom, in_order, positioned, stable_sample, stable_split
 from finflow.operators.windows import numbered
 from finflow.plans.inputs import GAPPY, gappy
 from finflow.plans.registry import query
@@ -12,31 +12,36 @@ from finflow.session import cut_lineage
 from finflow.sources.writers import for_each_partition
 
 
-@query("srt_01_global_sort", "select o_orderkey, o_totalprice, o_custkey from orders")
+@query(
+    "srt_01_global_sort",
+    """select o_orderkey, o_totalprice, o_custkey,
+              row_number() over (order by o_totalprice desc, o_custkey, o_orderkey) as position from orders""",
+)
 def _(t):
     """Dearest first; the unique key last lets a range of equal prices be split over tasks."""
-    return t.orders.select("o_orderkey", "o_totalprice", "o_custkey").orderBy(
+    dearest = t.orders.select("o_orderkey", "o_totalprice", "o_custkey").orderBy(
         F.col("o_totalprice").desc(), F.col("o_custkey").asc(), F.col("o_orderkey")
     )
+    return positioned(dearest)
 
 
 _TOP = """
-    select id, amount, description, 'nulls last' as placed from
-        (select * from ({g}) order by description asc nulls last, amount desc nulls last, id limit 40)
+    select id, amount, description, 'nulls last' as placed,
+           row_number() over (order by description asc nulls last, amount desc nulls last, id) as position from ({g})
     union all
-    select id, amount, description, 'nulls first' from
-        (select * from ({g}) order by description asc nulls first, amount asc nulls first, id limit 40)
+    select id, amount, description, 'nulls first',
+           row_number() over (order by description asc nulls first, amount asc nulls first, id) from ({g})
     union all
-    select id, amount, description, 'desc nulls first' from
-        (select * from ({g}) order by amount desc nulls first, id limit 40)
+    select id, amount, description, 'desc nulls first',
+           row_number() over (order by amount desc nulls first, id) from ({g})
     union all
-    select id, amount, description, 'desc nulls last' from
-        (select * from ({g}) order by amount desc nulls last, id limit 40)""".format(g=GAPPY)
+    select id, amount, description, 'desc nulls last',
+           row_number() over (order by amount desc nulls last, id) from ({g})""".format(g=GAPPY)
 
 
 @query("srt_02_null_placement", _TOP)
 def _(t):
-    """Top 40 under four null placements."""
+    """All rows under four null placements."""
     rows = gappy(t).select("id", "amount", "description")
     amount, description, by_id = F.col("amount"), F.col("description"), F.col("id")
     orders = {
@@ -46,7 +51,7 @@ def _(t):
         "desc nulls last": [amount.desc_nulls_last(), by_id],
     }
     parts = [
-        rows.orderBy(*order).limit(40).withColumn("placed", F.lit(name))
+        positioned(rows.orderBy(*order)).withColumn("placed", F.lit(name))
         for name, order in orders.items()
     ]
     result = parts[0]
@@ -55,14 +60,15 @@ def _(t):
     return result
 
 
-@query("srt_03_sort_within_partitions", "select l_orderkey, l_linenumber, l_quantity from lineitem")
+@query("srt_03_sort_within_partitions", "select l_orderkey, l_linenumber, l_quantity, true as in_order from lineitem")
 def _(t):
     """Line items clustered by order and sorted inside each partition; no global order is paid for."""
-    return (
+    sorted_ = (
         t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity")
         .repartition("l_orderkey", "l_linenumber")
         .sortWithinPartitions("l_orderkey", "l_linenumber")
     )
+    return in_order(sorted_, ["l_orderkey", "l_linenumber"])
 
 
 @query(
@@ -78,11 +84,10 @@ def _(t):
 
 
 def _buyers(t, status):
-    dear = (F.col("o_orderstatus") == status) & (F.col("o_totalprice") > 400000)
-    return t.orders.where(dear).select("o_custkey")
+    return t.orders.where(F.col("o_orderstatus") == status).select("o_custkey", "o_orderpriority")
 
 
-_BUYERS = "select o_custkey from orders where o_totalprice > 400000 and o_orderstatus = "
+_BUYERS = "select o_custkey, o_orderpriority from orders where o_orderstatus = "
 
 
 @query("set_01_except", f"{_BUYERS} 'F' except {_BUYERS} 'O'")
@@ -133,10 +138,20 @@ def _(t):
     return stable_sample(t.orders.select("o_orderkey", "o_totalprice"), ["o_orderkey"], 0.2, seed=7)
 
 
-@query("smp_01_random_sample")
+@query("smp_01_random_sample", "select true as same_again, true as from_the_table, true as about_a_fifth, true as no_repeats")
 def _(t):
-    """The built-in sampler: other rows for another layout, so it has no SQL to match."""
-    return t.orders.sample(fraction=0.2, seed=7)
+    """The built-in sampler draws other rows for another layout, so what it promises is checked."""
+    orders = t.orders.select("o_orderkey")
+    draw, again = (orders.sample(fraction=0.2, seed=7).withColumn(n, F.lit(1)) for n in ("first", "second"))
+    both = orders.withColumn("all", F.lit(1)).join(draw, "o_orderkey", "full").join(again, "o_orderkey", "full")
+    drawn, share = F.count("first"), F.count("first") / F.count("all")
+    spread = 5 * F.sqrt(0.16 / F.count("all"))
+    return both.agg(
+        (F.count(F.when(F.col("first").isNull() != F.col("second").isNull(), 1)) == 0).alias("same_again"),
+        (F.count(F.when(F.col("all").isNull(), 1)) == 0).alias("from_the_table"),
+        ((drawn > 0) & (F.abs(share - 0.2) < spread)).alias("about_a_fifth"),
+        (F.count_distinct(F.when(F.col("first").isNotNull(), F.col("o_orderkey"))) == drawn).alias("no_repeats"),
+    )
 
 
 @query(
@@ -166,9 +181,25 @@ def _(t):
     )
 
 
-@query("par_01_partition_count", "select c_custkey, c_name from customer")
+@query(
+    "par_01_partition_count",
+    """select 'changed' as step, 16 as partitions, count(*) as n, sum(c_custkey)::bigint as keys from customer
+       union all select 'lowered', 8, count(*), sum(c_custkey)::bigint from customer""",
+)
 def _(t):
-    return t.customer.select("c_custkey", "c_name").repartition(6, "c_custkey").coalesce(2)
+    """How many partitions hold rows after either step, and that no row is lost."""
+    changed = t.customer.select("c_custkey", "c_name").repartition(16, "c_custkey")
+    steps = {"changed": changed, "lowered": changed.coalesce(8)}
+    held = [
+        df.withColumn("_part", F.spark_partition_id()).agg(
+            F.lit(step).alias("step"),
+            F.count_distinct("_part").cast("int").alias("partitions"),
+            F.count(F.lit(1)).alias("n"),
+            F.sum("c_custkey").alias("keys"),
+        )
+        for step, df in steps.items()
+    ]
+    return held[0].unionByName(held[1])
 
 
 @query("par_02_row_map", "select p_partkey, upper(p_name) as name, p_size * 2 as double_size from part")
@@ -188,7 +219,7 @@ def _(t):
 
 @query(
     "par_03_map_partitions",
-    "select event_id, floor(value)::bigint as whole from events where event_type = 'purchase'",
+    "select event_id, floor(value)::bigint as whole from events",
 )
 def _(t):
     """Arrow batches in and out of Python, a partition at a time."""
@@ -199,8 +230,7 @@ def _(t):
             whole = pc.cast(pc.floor(batch.column("value")), "int64")
             yield batch.set_column(1, "whole", whole)
 
-    purchases = t.events.where("event_type = 'purchase'").select("event_id", "value")
-    return purchases.mapInArrow(whole_values, "event_id bigint, whole bigint")
+    return t.events.select("event_id", "value").mapInArrow(whole_values, "event_id bigint, whole bigint")
 
 
 @query(

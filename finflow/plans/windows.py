@@ -11,7 +11,7 @@ from finflow.plans.inputs import TRANSACTIONS, steady, transactions
 from finflow.plans.registry import query
 
 # With these limits the busier customers take the path for hot keys.
-_LOW = {"hot_rows": 10, "hot_share": 0.0}
+_LOW = {"hot_rows": 10}
 
 
 BY_DATE = ["date", "id"]

@@ -14,20 +14,31 @@ from pyspark.sql import functions as F
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
-    """The row of each key that is last in ``order``; combines before the shuffle."""
+    """The row of each key that is last in ``order`` (nulls first); combines before the shuffle."""
     rest = [c for c in df.columns if c not in keys]
-    newest = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_row"))
+    newest = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(order)).alias("_row"))
     return newest.select(
         *[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns]
     )
 
 
 def upsert_batch(
-    batch: DataFrame, batch_id: int, path: str, keys: Sequence[str], files: int | None = None
+    batch: DataFrame,
+    batch_id: int,
+    path: str,
+    keys: Sequence[str],
+    files: int | None = None,
+    order: Column | None = None,
 ) -> None:
-    """Write one batch with each key once. Of rows equal in key the greatest is kept."""
+    """Write one batch with each key once: the last write in ``order`` wins.
+
+    Rows of a batch have no order of their own; without ``order``, or where it
+    ties, the greatest row is kept, so that a repeated batch writes the same.
+    """
     rest = [c for c in batch.columns if c not in keys]
-    rows = newest_per_key(batch, keys, F.struct(*rest)) if rest else batch.distinct()
+    whole = F.struct(*rest) if rest else None
+    last = whole if order is None else F.struct(order, whole)
+    rows = newest_per_key(batch, keys, last) if rest else batch.distinct()
     if files is not None:
         rows = rows.coalesce(files)
     rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
