@@ -5,13 +5,20 @@ hash. A register keeps the least hash of its shingles in compressed form: the
 number of leading zeros and the ``MANTISSA`` bits after them, 16 bits in all.
 
 Candidates. Documents of the same shingle set are one *class*; only classes go
-on. ``rows`` neighbouring registers make a band; classes that agree in a band
-are candidates. With the defaults a pair at the threshold is missed by every
+on. For banding, an empty register borrows the value of the first filled one in
+an order of its own, so a band of a short text holds several shingles as well.
+``rows`` neighbouring registers make a band; classes that agree in a band are
+candidates. With the defaults a pair at the threshold is missed by every
 band with a chance below 1e-8. A band's group is never expanded into all its
 pairs: each member is compared with the group's hub (the member that shares
-groups with the most others). Only groups that still hold several components
-after that are compared further, and only across components, so every
-candidate pair is either compared or already connected.
+groups with the most others). Groups that still hold several components go on
+in turns: each member is compared with a few members of other components, drawn
+anew in each turn, which soon leaves few pairs that are not connected. Groups
+with few pairs left are compared in full. Once a turn connects nothing, the
+members of groups with many pairs left (texts that share a common passage and
+little else) go through an exact join on each one's rarest shingles instead,
+which two texts at the threshold always share. So every candidate pair is
+compared, connected or ruled out.
 
 Check. The Jaccard estimate from the registers, corrected for registers that
 agree by chance, drops pairs far below the threshold (five standard errors);
@@ -32,16 +39,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from finflow.llm import words as w
-from finflow.llm.store import dropped, release, stored
+from finflow.llm.store import dropped, release, small, stored
 
 SHINGLE = 5
 THRESHOLD = 0.8
 MANTISSA = 10
 EMPTY = np.uint16(0xFFFF)
+# Members each member is compared with in a turn; pairs per member up to which a group's pairs are all compared.
+PIVOTS = 3
+FEW_PAIRS = 8
 
 
 def bands_for(threshold: float, miss: float = 1e-8) -> tuple[int, int]:
@@ -125,8 +135,9 @@ def _chance(per_register: np.ndarray) -> np.ndarray:
     return np.minimum(1.0, per_register / (1 + per_register) ** 2 * 2.0 ** (1 - MANTISSA))
 
 
-def describe(docs: DataFrame, size: int, registers: int) -> DataFrame:
+def describe(docs: DataFrame, size: int, registers: int, carry: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, n_shingles, node, sig``: ``node`` names the shingle set, null without shingles."""
+    carried = docs.select(*carry).schema.fields
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,7 +150,8 @@ def describe(docs: DataFrame, size: int, registers: int) -> DataFrame:
                 sig = signatures(grams, bounds, registers)
                 none = count == 0
                 yield pa.RecordBatch.from_pydict(
-                    {
+                    {f.name: batch.column(f.name)[a:b] for f in carried}
+                    | {
                         "doc_id": ids[a:b],
                         "n_shingles": pa.array(count, pa.int64()),
                         "node": pa.array([None if n else v.tobytes() for n, v in zip(none, node, strict=True)], pa.binary()),
@@ -147,7 +159,8 @@ def describe(docs: DataFrame, size: int, registers: int) -> DataFrame:
                     }
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, node binary, sig binary")
+    more = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in carried)
+    return docs.select("doc_id", "text", *carry).mapInArrow(run, f"{more}doc_id long, n_shingles long, node binary, sig binary")
 
 
 def _names(grams: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -159,15 +172,30 @@ def _names(grams: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.stack(sums, axis=1)
 
 
-def band_keys(sig: np.ndarray, rows: int, bands: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(set, band, key)`` of every band with a filled register."""
+def _filled_up(sig: np.ndarray) -> np.ndarray:
+    """Registers with the empty ones borrowed; every set has a filled one."""
+    sig, registers = sig.copy(), sig.shape[1]
+    order = np.random.default_rng(registers).permuted(np.tile(np.arange(registers), (registers, 1)), axis=1)
+    at, place = np.nonzero(sig == EMPTY)
+    source = sig.copy()
+    for turn in range(registers):
+        if not len(at):
+            break
+        value = source[at, order[place, turn]]
+        found = value != EMPTY
+        sig[at[found], place[found]] = value[found]
+        at, place = at[~found], place[~found]
+    return sig
+
+
+def band_keys(sig: np.ndarray, rows: int, bands: int) -> np.ndarray:
+    """Key of every band of every set."""
     sets = sig.shape[0]
-    cut = sig[:, : rows * bands].reshape(sets, bands, rows)
+    cut = _filled_up(sig)[:, : rows * bands].reshape(sets, bands, rows)
     key = np.broadcast_to(w.mix(np.arange(1, bands + 1, dtype=np.uint64)), (sets, bands)).copy()
     for i in range(rows):
         key = w.join_hashes(key, cut[:, :, i].astype(np.uint64))
-    at, band = np.nonzero((cut != EMPTY).any(axis=2))
-    return at, band, key[at, band]
+    return key
 
 
 def _banded(classes: DataFrame, rows: int, bands: int) -> DataFrame:
@@ -175,8 +203,9 @@ def _banded(classes: DataFrame, rows: int, bands: int) -> DataFrame:
         for batch in batches:
             node = batch.column("node")
             sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint16).reshape(batch.num_rows, -1)
-            at, _, key = band_keys(sig, rows, bands)
-            yield pa.RecordBatch.from_pydict({"key": pa.array(key.view(np.int64)), "node": node.take(pa.array(at))})
+            key = band_keys(sig, rows, bands).view(np.int64).ravel()
+            at = np.repeat(np.arange(batch.num_rows), bands)
+            yield pa.RecordBatch.from_pydict({"key": pa.array(key), "node": node.take(pa.array(at))})
 
     return classes.select("node", "sig").mapInArrow(run, "key long, node binary")
 
@@ -199,10 +228,14 @@ def _plausible(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFr
     return joined.select("a", "b", "a_sig", "b_sig", "a_n", "b_n").mapInArrow(run, "a binary, b binary")
 
 
+def _members(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node"))
+
+
 def _full_sets(docs: DataFrame, described: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """``node, grams`` of the classes asked for, from one document of each."""
+    """``node, grams`` of the classes ``nodes``, from one document of each."""
     one = described.where("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    wanted = one.join(nodes, "node", "left_semi")
+    wanted = small(stored(one.join(nodes, "node", "left_semi"), "wanted"))
     texts = docs.select("doc_id", "text").join(wanted, "doc_id")
 
     def run(batches):
@@ -270,15 +303,93 @@ def components(edges: DataFrame) -> DataFrame:
     return members.unionByName(roots).groupBy("node").agg(F.min("root").alias("root"))
 
 
-def near_copies(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every document.
+def _ordered(rows: DataFrame, left: str, right: str) -> DataFrame:
+    """Distinct pairs ``a < b`` of two columns of nodes."""
+    return rows.select(F.least(left, right).alias("a"), F.greatest(left, right).alias("b")).distinct()
+
+
+def _open_groups(shared: DataFrame, classes: DataFrame, roots: DataFrame) -> tuple[DataFrame, int, int]:
+    """Rows of groups of several components, their number, and that of rows in large groups (``large``)."""
+    named = shared.select("key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sizes = named.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    mixed = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inner"), F.count(F.lit(1)).alias("roots"))
+    across = (F.col("n") * F.col("n") - F.col("inner")) / 2
+    mixed = stored(mixed.where("roots > 1").withColumn("large", across > FEW_PAIRS * F.col("n")), "mixed")
+    count = lambda rows: F.coalesce(F.sum(rows), F.lit(0))
+    total = mixed.agg(count(F.col("n")).alias("rows"), count(F.when(F.col("large"), F.col("n"))).alias("large")).first()
+    rows = named.join(mixed.select("key", "large"), "key").join(classes.select("node", "n_shingles"), "node")
+    return stored(rows, "open") if total["rows"] else rows, int(total["rows"]), int(total["large"])
+
+
+def _alike(threshold: float, size: str, other: str):
+    """Sizes that allow the threshold."""
+    return 100 * F.least(size, other) >= round(100 * threshold) * F.greatest(size, other)
+
+
+def _pivots_across(open_: DataFrame, threshold: float, turn: int) -> DataFrame:
+    """Each member with a few members of its group, drawn by hash anew in each turn, if they are of other components."""
+    member = F.struct("node", "root", "n_shingles")
+    drawn = [F.min_by(member, F.xxhash64("key", "node", F.lit(PIVOTS * turn + i))) for i in range(PIVOTS)]
+    pivots = open_.groupBy("key").agg(F.array(*drawn).alias("pivots")).select("key", F.explode("pivots").alias("p"))
+    pivots = pivots.select("key", F.col("p.node").alias("pivot"), F.col("p.root").alias("pivot_root"), F.col("p.n_shingles").alias("pivot_size"))
+    both = open_.join(pivots, "key").where((F.col("root") != F.col("pivot_root")) & _alike(threshold, "n_shingles", "pivot_size"))
+    return _ordered(both, "node", "pivot")
+
+
+def _all_across(open_: DataFrame, threshold: float) -> DataFrame:
+    """All pairs of members of a group that are of different components."""
+    other = open_.select("key", F.col("node").alias("b"), F.col("root").alias("b_root"), F.col("n_shingles").alias("b_size"))
+    both = open_.join(other, "key").where((F.col("node") < F.col("b")) & (F.col("root") != F.col("b_root")) & _alike(threshold, "n_shingles", "b_size"))
+    return _ordered(both, "node", "b")
+
+
+def _rarest_across(open_: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of open members of different components that share one of their rarest shingles.
+
+    Two sets that overlap in ``o`` share one of the first ``n - o + 1`` shingles of
+    each in any common order. The rarest come first, so a passage
+    that many texts share brings none of them together.
+    """
+    percent = round(100 * threshold)
+    member = open_.select("node", "root", "n_shingles").distinct()
+
+    def run(batches):
+        for batch in batches:
+            grams = [np.frombuffer(g.as_py(), np.int64) for g in batch.column("grams")]
+            at = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
+            flat = np.concatenate([*grams, np.zeros(0, np.int64)])
+            yield pa.RecordBatch.from_pydict({"node": batch.column("node").take(pa.array(at)), "gram": pa.array(flat)})
+
+    grams = stored(sets.select("node", "grams").mapInArrow(run, "node binary, gram long"), "grams")
+    often = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    # A text's own window: as many rows as it has shingles.
+    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("often", F.lit(1)), "gram"))
+    ranked = grams.join(often, "gram", "left").withColumn("rank", rank).where("often is not null").join(member, "node")
+    first = ranked.where(F.col("rank") <= F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1)
+    first = stored(first.select("gram", "node", "root", "n_shingles", "rank"), "rarest")
+    other = first.select("gram", *[F.col(c).alias(f"b_{c}") for c in ("node", "root", "n_shingles", "rank")])
+    # With both sizes known, the overlap a link needs is too, and so are shorter starts that must share a shingle.
+    overlap = F.ceil((F.col("n_shingles") + F.col("b_n_shingles")) * percent / (100 + percent))
+    both = first.join(other, "gram").where(
+        (F.col("node") < F.col("b_node"))
+        & (F.col("root") != F.col("b_root"))
+        & (F.col("rank") <= F.col("n_shingles") - overlap + 1)
+        & (F.col("b_rank") <= F.col("b_n_shingles") - overlap + 1)
+    )
+    return _ordered(both, "node", "b_node")
+
+
+def near_copies(
+    docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every document, and the columns named in ``carry``.
 
     ``component_id`` is the least id linked with the document, directly or
     through others; the document of that id is kept.
     """
     spark = docs.sparkSession
     rows, bands = bands_for(threshold)
-    described = stored(describe(docs, shingle, rows * bands), "signatures")
+    described = stored(describe(docs, shingle, rows * bands, carry), "signatures")
     classes = stored(
         described.where("node is not null").groupBy("node").agg(
             F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles"), F.min("doc_id").alias("least")
@@ -292,40 +403,45 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRE
 
     weights = shared.groupBy("node").agg(F.sum("size").alias("weight"))
     hubs = shared.join(weights, "node").groupBy("key").agg(F.max(F.struct("weight", "node"))["node"].alias("hub"))
-    star = shared.join(hubs, "key").where("node <> hub")
-    star = star.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    tested = stored(_plausible(star, classes, threshold), "pairs")
-
-    # Full sets only of the classes in a plausible pair.
-    sets = stored(_full_sets(docs, described, tested.select(F.explode(F.array("a", "b")).alias("node")).distinct(), shingle), "sets")
-    links = stored(_confirmed(tested, sets, threshold), "links")
-    dropped(sets)
-    release(spark)
-    first = stored(components(links), "components")
-
-    # Groups that are not of one component yet: compare across components.
-    named = shared.select("key", "node").join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    open_ = named.join(mixed.select("key"), "key")
-    other = open_.select("key", F.col("node").alias("b"), F.col("root").alias("b_root"))
-    across = (
-        open_.join(other, "key")
-        .where((F.col("node") < F.col("b")) & (F.col("root") != F.col("b_root")))
-        .select(F.col("node").alias("a"), "b")
-        .distinct()
-    )
-    more = stored(_plausible(across.join(tested, ["a", "b"], "left_anti"), classes, threshold), "pairs")
-    if not more.isEmpty():
-        sets = stored(_full_sets(docs, described, more.select(F.explode(F.array("a", "b")).alias("node")).distinct(), shingle), "sets")
-        extra = stored(_confirmed(more, sets, threshold), "links")
+    pairs = _ordered(shared.join(hubs, "key").where("node <> hub"), "node", "hub")
+    compared, links = stored(_plausible(pairs, classes, threshold), "pairs"), None
+    found = compared
+    turn = 0
+    while True:
+        sets = stored(_full_sets(docs, described, _members(found), shingle), "sets")
+        added = stored(_confirmed(found, sets, threshold), "links")
         dropped(sets)
-        first = stored(components(links.unionByName(extra)), "components")
+        progress = not added.isEmpty()
+        links = added if links is None else stored(links.unionByName(added), "links")
+        roots = stored(components(links), "components")
+        release(spark)
+        turn += 1
+        # Groups that are not of one component yet: compare across components.
+        open_, members, large = _open_groups(shared, classes, roots)
+        if not members:
+            break
+        last = not large or not progress
+        if not last:
+            across = _pivots_across(open_.where("large"), threshold, turn)
+        else:
+            across = _all_across(open_.where("not large"), threshold)
+            if large:
+                of_large = open_.where("large")
+                full = _full_sets(docs, described, of_large.select("node"), shingle)
+                across = across.unionByName(_rarest_across(of_large, full, threshold)).distinct()
+        found = stored(_plausible(across.join(compared, ["a", "b"], "left_anti"), classes, threshold), "pairs")
+        if last:
+            sets = stored(_full_sets(docs, described, _members(found), shingle), "sets")
+            links = stored(links.unionByName(_confirmed(found, sets, threshold)), "links")
+            roots = stored(components(links), "components")
+            break
+        compared = stored(compared.unionByName(found), "pairs")
 
-    linked = classes.select("node", "least").join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    linked = classes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     by_node = linked.join(names, "root").select("node", "component_id")
-    named = described.select("doc_id", "n_shingles", "node").join(by_node, "node", "left")
+    named = described.select(*carry, "doc_id", "n_shingles", "node").join(by_node, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return named.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+    return named.select(*carry, "doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
