@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from finflow.llm.store import stored
+from finflow.llm.store import small, stored
 
 # Weights by order of the sources, repeating; share of all words; repeats of a source.
 WEIGHTS = (3, 1, 2)
@@ -136,7 +136,8 @@ def _numbered(blocks: DataFrame) -> DataFrame:
     ranges = per_group.select(
         F.struct(*group).alias("_group"), F.ceil(F.col("_blocks") / RANGE_BLOCKS).alias("_ranges")
     )
-    blocks = blocks.withColumn("_group", F.struct(*group)).join(ranges, "_group")
+    # Sources are few: sending their ranges to all tasks keeps a large source's blocks where they are.
+    blocks = blocks.withColumn("_group", F.struct(*group)).join(small(ranges), "_group")
     # The high 31 bits of the hash, scaled: ranges follow the order of the hashes.
     high = F.shiftrightunsigned(F.col("hash"), 33)
     blocks = blocks.withColumn("_range", F.shiftright(high * F.col("_ranges"), 31)).drop("_ranges")
@@ -170,7 +171,7 @@ def draw(
     ``block * BLOCK`` on. ``place`` orders a shard.
     """
     spark = sizes.sparkSession
-    goal = goals.select(F.struct("source").alias("_source"), "source_size", "target")
+    goal = small(goals.select(F.struct("source").alias("_source"), "source_size", "target"))
     drawn = (
         sizes.where("size > 0")
         .withColumn("_source", F.struct("source"))
@@ -223,7 +224,7 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     none = F.lit(0).cast("long")
     joined = (
         sizes.withColumn("_key", F.struct(*key)).join(drawn, "_key", "left").withColumn("_source", F.struct("source"))
-        .join(goals.select(F.struct("source").alias("_source"), "source_size", "target"), "_source")
+        .join(small(goals.select(F.struct("source").alias("_source"), "source_size", "target")), "_source")
     )
     return joined.select(
         "doc_id", "source", "row", "size", "source_size", "target",
