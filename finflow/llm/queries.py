@@ -57,7 +57,31 @@ URL_RULES = (
 BAD_HOST_WORDS = ("casino", "farm", "porn", "spam", "warez")
 
 
-@query("op10_url_filters")
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_URL_SQL = f"""
+    with rests as (
+        select page_id, coalesce(case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) end, '') as rest
+        from pages
+    ),
+    parts as (
+        select row_number() over () as n, page_id,
+               translate(regexp_extract(rest, '^[^/?#]*'), '{_CAPITALS}', '{_CAPITALS.lower()}') as host,
+               regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+        from rests
+    ),
+    rules(action, rule_host, rule_path) as (values {", ".join(map(str, URL_RULES))}),
+    fits as (
+        select n, arg_max(rule_host || rule_path, length(rule_host || rule_path)) as rule,
+               arg_max(action, length(rule_host || rule_path)) as action
+        from parts join rules on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+        group by n
+    )
+    select page_id, host, path, rule,
+           coalesce(action, case when regexp_matches(host, '{"|".join(BAD_HOST_WORDS)}') then 'block' else 'allow' end) as verdict
+    from parts left join fits using (n)"""
+
+
+@query("op10_url_filters", _URL_SQL)
 def op10(spark, folder):
     """Verdict on every url: the longest rule's, else that of the list of bad hosts."""
     from finflow.llm.urls import judge_urls, split_url
@@ -128,7 +152,21 @@ def op4(spark, folder):
     return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "n_shards")
 
 
-@query("op5_warc")
+_WARC_SQL = """
+    with payloads as (
+        select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha1(coalesce(html, '')) as payload_digest
+        from pages
+    ),
+    responses as (
+        select payload_digest, max(page_id) as response from payloads where payload_bytes >= 1000 group by payload_digest
+    )
+    select page_id, payload_bytes, p.payload_digest,
+           case when response is distinct from page_id and response is not null then 'revisit' else 'response' end as record_type,
+           case when response is distinct from page_id then response end as refers_to
+    from payloads p left join responses r on p.payload_digest = r.payload_digest and payload_bytes >= 1000"""
+
+
+@query("op5_warc", _WARC_SQL)
 def op5(spark, folder):
     """Pages written to WARC archives and read back."""
     from finflow.llm.warc import page_records, read_archives, write_archives
