@@ -303,6 +303,19 @@ def components(edges: DataFrame) -> DataFrame:
     return members.unionByName(roots).groupBy("node").agg(F.min("root").alias("root"))
 
 
+def _joined_up(roots: DataFrame | None, added: DataFrame) -> DataFrame:
+    """``node, root`` after further links: only components that a new link touches are contracted again."""
+    if roots is None:
+        return components(added)
+    of = lambda s: roots.select(F.col("node").alias(s), F.col("root").alias(f"{s}_root"))
+    between = added.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    between = between.select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b")).where("a <> b")
+    moved = stored(components(between), "moved")
+    to = moved.select(F.col("node").alias("root"), F.col("root").alias("to"))
+    old = roots.join(to, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    return old.unionByName(moved.join(roots, "node", "left_anti"))
+
+
 def _ordered(rows: DataFrame, left: str, right: str) -> DataFrame:
     """Distinct pairs ``a < b`` of two columns of nodes."""
     return rows.select(F.least(left, right).alias("a"), F.greatest(left, right).alias("b")).distinct()
@@ -404,7 +417,7 @@ def near_copies(
     weights = shared.groupBy("node").agg(F.sum("size").alias("weight"))
     hubs = shared.join(weights, "node").groupBy("key").agg(F.max(F.struct("weight", "node"))["node"].alias("hub"))
     pairs = _ordered(shared.join(hubs, "key").where("node <> hub"), "node", "hub")
-    compared, links = stored(_plausible(pairs, classes, threshold), "pairs"), None
+    compared, roots = stored(_plausible(pairs, classes, threshold), "pairs"), None
     found = compared
     turn = 0
     while True:
@@ -412,8 +425,7 @@ def near_copies(
         added = stored(_confirmed(found, sets, threshold), "links")
         dropped(sets)
         progress = not added.isEmpty()
-        links = added if links is None else stored(links.unionByName(added), "links")
-        roots = stored(components(links), "components")
+        roots = stored(_joined_up(roots, added), "components")
         release(spark)
         turn += 1
         # Groups that are not of one component yet: compare across components.
@@ -432,8 +444,8 @@ def near_copies(
         found = stored(_plausible(across.join(compared, ["a", "b"], "left_anti"), classes, threshold), "pairs")
         if last:
             sets = stored(_full_sets(docs, described, _members(found), shingle), "sets")
-            links = stored(links.unionByName(_confirmed(found, sets, threshold)), "links")
-            roots = stored(components(links), "components")
+            added = stored(_confirmed(found, sets, threshold), "links")
+            roots = stored(_joined_up(roots, added), "components")
             break
         compared = stored(compared.unionByName(found), "pairs")
 

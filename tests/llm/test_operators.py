@@ -287,6 +287,17 @@ def test_signature_estimate_is_close():
         assert abs(got - true) < 5 * np.sqrt(true * (1 - true) / 1024)
 
 
+def test_links_of_later_turns_join_components(spark):
+    turns = [[("b", "c"), ("d", "e"), ("x", "y")], [("c", "e"), ("f", "g")], [], [("a", "e"), ("g", "h"), ("b", "c")]]
+    roots = None
+    for added in turns:
+        edges = spark.createDataFrame(added, "a string, b string")
+        roots = nearcopies._joined_up(roots, edges)
+    want = {**dict.fromkeys("abcde", "a"), **dict.fromkeys("fgh", "f"), "x": "x", "y": "x"}
+    got = roots.collect()
+    assert len(got) == len(want) and {r["node"]: r["root"] for r in got} == want
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(bytes([i]), bytes([i + 1])) for i in range(60)] + [(b"\xf0", b"\xf1")], "a binary, b binary")
     got = {bytes(r["node"]): bytes(r["root"]) for r in nearcopies.components(edges).collect()}
