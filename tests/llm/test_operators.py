@@ -1,6 +1,7 @@
 """Operators against plain Python, on awkward rows and on the smallest tables."""
 
 import os
+import random
 import sys
 
 import numpy as np
@@ -249,6 +250,34 @@ def test_evidence_beyond_the_text_decides_short_texts(spark):
     assert got[100]["language"] == "de" and got[101]["language"] == "en" and not got[102]["kept"]
 
 
+WORDS_OF = {
+    "en": "the of and with that this have from they which would there their about could people",
+    "de": "der und die mit nicht auch sich eine werden wurde durch nach sein haben oder zwischen",
+    "fi": "että hän minä olla mutta niin kuin kaikki täällä yhdessä hyvää päivää kiitos paljon",
+    "is": "það ekki þessi hefur verið þegar alltaf ætla þetta öll börnin góðan dag takk fyrir",
+    "qu": "ñuqa qam pay ñuqanchik wasi llaqta yachay munay rimay qillqay tiyay puriy",
+}
+
+
+def rare_languages(spark):
+    """7,000 texts, six in a rare language (ids from 7000), two in a rarer one (7100), undeclared ones (7200, 7201)."""
+    pick = random.Random(1)
+    say = lambda code: " ".join(pick.choice(WORDS_OF[code].split()) for _ in range(30))
+    rows = [(i, say(code), code, f"src{i % 3}") for i in range(7000) for code in ["de" if i % 4 == 0 else "en"]]
+    rows += [(7000 + i, say("fi"), "fi", "src0") for i in range(6)] + [(7100 + i, say("is"), "is", "src1") for i in range(2)]
+    rows += [(7200, say("fi"), None, "src2"), (7201, say("qu"), None, "src2"), (7202, say("en"), None, "src2")]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+
+
+@pytest.mark.parametrize("most", [256, 2])
+def test_rare_languages(spark, monkeypatch, most):
+    monkeypatch.setattr(language, "MOST_LANGUAGES", most)
+    got = {r["doc_id"]: (r["language"], r["kept"]) for r in language.identify(language.document_evidence(rare_languages(spark))).collect()}
+    assert all(got[i] == ("de" if i % 4 == 0 else "en", True) for i in range(7000))
+    assert all(got[7000 + i] == ("fi", True) for i in range(6)) and all(got[7100 + i] == ("is", True) for i in range(2))
+    assert got[7200] == ("fi", True) and got[7201] == (None, False) and got[7202] == ("en", True)
+
+
 @pytest.mark.parametrize(("shingle", "threshold"), [(3, 0.85), (5, 0.8)])
 def test_near_copies(messy, nothing, shingle, threshold):
     got = {(r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in nearcopies.near_copies(messy, shingle, threshold).collect()}

@@ -8,7 +8,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import brute  # noqa: E402
-from test_operators import PASSAGE, messy, nothing, rows_of  # noqa: E402, F401
+from test_operators import PASSAGE, messy, nothing, rare_languages, rows_of  # noqa: E402, F401
 
 import corpus_pipeline  # noqa: E402
 
@@ -40,6 +40,12 @@ def test_language_stage_drops_texts_without_letters(spark, small, messy):  # noq
     assert not {3, 4, 5} & set(ids) and {1, 2, 6, 7, 8, 9, 10, 11, 12, 13} <= set(ids)
 
 
+def test_language_stage_leaves_rare_languages_alone(spark, small):
+    docs = rare_languages(spark)
+    got = dict(rows_of(STAGES["language ID"](spark, docs, small), "doc_id", "lang"))
+    assert got == dict(rows_of(docs.where("doc_id <> 7201"), "doc_id", "lang")) | {7200: "fi", 7202: "en"}
+
+
 def test_near_stage_keeps_one_of_equal_rows(spark, small, messy):  # noqa: F811
     ids = [r[0] for r in rows_of(STAGES["MinHash near-dedup"](spark, messy, small), "doc_id")]
     assert ids.count(8) == 1 and 9 not in ids and 7 not in ids and ids.count(None) == 1
