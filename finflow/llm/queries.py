@@ -137,11 +137,11 @@ def op1(spark, folder):
 
 @query("op6_language_id")
 def op6(spark, folder):
-    """Language of every document from its text, declaration and source."""
-    from finflow.llm.language import document_evidence, identify
+    """Language of every page from its text, markup, host and suffix."""
+    from finflow.llm.language import identify, page_evidence
 
-    found = identify(document_evidence(table(spark, folder, "documents")))
-    return found.select("doc_id", "declared", "language", "posterior", "kept")
+    found = identify(page_evidence(table(spark, folder, "pages")))
+    return found.select("page_id", "declared", "language", "posterior", "kept")
 
 
 @query("op4_mixing_sources")

@@ -278,6 +278,19 @@ def test_rare_languages(spark, monkeypatch, most):
     assert got[7200] == ("fi", True) and got[7201] == (None, False) and got[7202] == ("en", True)
 
 
+def test_language_query_reads_the_evidence_of_pages(spark, tmp_path):
+    page = '<html lang="{}"><script>var the="of and"</script><p>{}</p></html>'
+    rows = [(i, f"http://www.a{i % 3}.uk/{i}", page.format("en", WORDS_OF["en"])) for i in range(40)]
+    rows += [(40 + i, f"http://m.b{i % 3}.de/{i}", page.format("DE-at", WORDS_OF["de"])) for i in range(40)]
+    rows += [(100, "http://new.de/", "<p>x</p>"), (101, "http://new.uk/", "<p>x</p>"), (102, None, None)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    out = QUERIES["op6_language_id"](spark, str(tmp_path))
+    assert out.columns == ["page_id", "declared", "language", "posterior", "kept"]
+    got = {r["page_id"]: r for r in out.collect()}
+    assert len(got) == 83 and got[45]["declared"] == got[45]["language"] == "de" and got[5]["language"] == "en"
+    assert got[100]["language"] == "de" and got[101]["language"] == "en" and not got[102]["kept"]
+
+
 @pytest.mark.parametrize(("shingle", "threshold"), [(3, 0.85), (5, 0.8)])
 def test_near_copies(messy, nothing, shingle, threshold):
     got = {(r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in nearcopies.near_copies(messy, shingle, threshold).collect()}
