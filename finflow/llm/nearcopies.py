@@ -349,10 +349,22 @@ def _pivots_across(open_: DataFrame, threshold: float, turn: int) -> DataFrame:
     return _ordered(both, "node", "pivot")
 
 
+def _beside_largest(open_: DataFrame) -> DataFrame:
+    """Members that are not of the component with most members in their group, and that component (``most``)."""
+    sizes = open_.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    most = sizes.groupBy("key").agg(F.max(F.struct("n", "root"))["root"].alias("most"))
+    return open_.join(most, "key").where(F.col("root") != F.col("most"))
+
+
 def _all_across(open_: DataFrame, threshold: float) -> DataFrame:
-    """All pairs of members of a group that are of different components."""
+    """All pairs of members of a group that are of different components.
+
+    One of a pair is beside the group's largest component, so only those members meet
+    the whole group: at most four rows for each pair across.
+    """
     other = open_.select("key", F.col("node").alias("b"), F.col("root").alias("b_root"), F.col("n_shingles").alias("b_size"))
-    both = open_.join(other, "key").where((F.col("node") < F.col("b")) & (F.col("root") != F.col("b_root")) & _alike(threshold, "n_shingles", "b_size"))
+    once = (F.col("b_root") == F.col("most")) | (F.col("node") < F.col("b"))
+    both = _beside_largest(open_).join(other, "key").where(once & (F.col("root") != F.col("b_root")) & _alike(threshold, "n_shingles", "b_size"))
     return _ordered(both, "node", "b")
 
 

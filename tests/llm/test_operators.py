@@ -291,6 +291,19 @@ def test_language_query_reads_the_evidence_of_pages(spark, tmp_path):
     assert got[100]["language"] == "de" and got[101]["language"] == "en" and not got[102]["kept"]
 
 
+def test_a_large_component_does_not_meet_itself(spark):
+    """100,000 members of one component and four others; all pairs would be 10^10."""
+    same = spark.range(100_000).select(F.lit(1).alias("key"), "id", F.lit(-1).alias("root"))
+    rest = spark.createDataFrame([(1, 200_000, 1), (1, 200_001, 1), (1, 200_002, 2), (1, 5_000_000, 3), (2, 7, 1), (2, 8, 2)], "key int, id long, root int")
+    open_ = same.unionByName(rest).select("key", F.col("id").alias("node"), "root", F.lit(10).alias("n_shingles"))
+    assert nearcopies._beside_largest(open_).where("key = 1").count() == 4
+    got = nearcopies._all_across(open_, 0.8)
+    assert got.count() == got.distinct().count() == 4 * 100_000 + 5 + 1
+    assert set(rows_of(got.where("a >= 200000 or b = 8"), "a", "b")) == {
+        (7, 8), (200_000, 200_002), (200_000, 5_000_000), (200_001, 200_002), (200_001, 5_000_000), (200_002, 5_000_000),
+    }
+
+
 @pytest.mark.parametrize(("shingle", "threshold"), [(3, 0.85), (5, 0.8)])
 def test_near_copies(messy, nothing, shingle, threshold):
     got = {(r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in nearcopies.near_copies(messy, shingle, threshold).collect()}
