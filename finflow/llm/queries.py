@@ -175,3 +175,20 @@ def op5(spark, folder):
     path = work_folder(spark, "archives")
     write_archives(table(spark, folder, "pages"), path)
     return page_records(read_archives(spark, path))
+
+
+@query("op12_bpe_encoding")
+def op12(spark, folder):
+    """Token ids of every document, and the text they decode to."""
+    import public_tokenizers
+
+    from finflow.llm.bpe import decode, encode
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    found = decode(encode(table(spark, folder, "documents"), path), path)
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    return found.select(
+        "doc_id", "n_tokens",
+        digest(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
+        digest(F.col("decoded")).alias("decoded_sha256"),
+    )
