@@ -192,3 +192,11 @@ def op12(spark, folder):
         digest(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
         digest(F.col("decoded")).alias("decoded_sha256"),
     )
+
+
+@query("op13_embedding_whitening")
+def op13(spark, folder):
+    """Whitened embeddings by component, with the variance each explains."""
+    from finflow.llm.whitening import whiten
+
+    return whiten(table(spark, folder, "embeddings"))
