@@ -200,3 +200,40 @@ def op13(spark, folder):
     from finflow.llm.whitening import whiten
 
     return whiten(table(spark, folder, "embeddings"))
+
+
+_NEGATIVES_SQL = """
+    with vectors as (
+        select row_number() over () as n, vec_id, (case when vec_id % 7 = 0 then (label + 1) % 10 else label end) as label,
+               list_transform(embedding, lambda c: floor(256 * c::double)::bigint) as v
+        from embeddings
+        where label is not null and len(embedding) > 0
+              and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0
+    ),
+    scores as (
+        select a.n, a.vec_id as anchor_id, r.vec_id, a.label = r.label as same,
+               list_sum(list_transform(list_zip(a.v, r.v), lambda p: p[1] * p[2]))::bigint as score
+        from vectors a join vectors r on a.vec_id % 100 = 0 and a.n <> r.n and len(a.v) = len(r.v)
+    ),
+    positives as (
+        select n, anchor_id, vec_id as positive_id, score as positive_score,
+               row_number() over (partition by n order by score desc, vec_id) as place
+        from scores where same qualify place <= 5
+    ),
+    ranked as (
+        select anchor_id, positive_id, row_number() over (partition by p.n, place order by score desc, vec_id)::int as rank,
+               vec_id as negative_id, positive_score, score as negative_score
+        from positives p join scores s using (n, anchor_id)
+        where not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+    )
+    select * from ranked where rank <= 5"""
+
+
+@query("op11_hard_negative_mining", _NEGATIVES_SQL)
+def op11(spark, folder):
+    """First rows of another label below each of an anchor's positives."""
+    from finflow.llm.negatives import mine
+
+    vectors = table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)

@@ -160,7 +160,7 @@ def leading(spark, matrix: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndar
     if not norm > 0:
         return none
     matrix = matrix / norm
-    floor = 8 * len(matrix) * _EPS
+    floor = 8 * len(matrix) * float(_EPS)
     parts = intervals(*tridiagonal(matrix), wanted, floor)
     if not parts:
         return none
