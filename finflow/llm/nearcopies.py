@@ -14,11 +14,13 @@ pairs: each member is compared with the group's hub (the member that shares
 groups with the most others). Groups that still hold several components go on
 in turns: each member is compared with a few members of other components, drawn
 anew in each turn, which soon leaves few pairs that are not connected. Groups
-with few pairs left are compared in full. Once a turn connects nothing, the
-members of groups with many pairs left (texts that share a common passage and
-little else) go through an exact join on each one's rarest shingles instead,
-which two texts at the threshold always share. So every candidate pair is
-compared, connected or ruled out.
+with few pairs left are compared in full. Once a turn closes less than an eighth
+of the open pairs, the members of groups with many pairs left (texts that share a
+common passage and little else) go through an exact join on each one's rarest
+shingles instead, which two texts at the threshold always share. How rare a shingle
+is comes from a count-min sketch of fixed size; any order common to all sets would
+do, so its errors cost rows and no link. So every candidate pair is compared,
+connected or ruled out.
 
 Check. The Jaccard estimate from the registers, corrected for registers that
 agree by chance, drops pairs far below the threshold (five standard errors);
@@ -27,8 +29,8 @@ are found by repeated star contraction on tables.
 
 Edge cases. Null and empty texts have no shingles and are linked with nothing.
 Texts shorter than a shingle count as one. Rows that share an id stand or fall
-by their own text. A null id never names a component that holds an
-id, and a text that only null ids have is linked with its exact copies alone.
+by their own text. Rows without an id link like any other, and never name a
+component that holds an id.
 Repeated rows are exact copies of each other. Further columns are ignored. An
 empty table gives no rows.
 """
@@ -39,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finflow.llm import words as w
@@ -52,6 +54,9 @@ EMPTY = np.uint16(0xFFFF)
 # Members each member is compared with in a turn; pairs per member up to which a group's pairs are all compared.
 PIVOTS = 3
 FEW_PAIRS = 8
+# The sketch of shingle counts: rows of 2 ** SKETCH_BITS cells.
+SKETCH_BITS = 18
+_SKETCH_SALTS = (0xC2B2AE3D27D4EB4F, 0x27D4EB2F165667C5)
 
 
 def bands_for(threshold: float, miss: float = 1e-8) -> tuple[int, int]:
@@ -233,10 +238,9 @@ def _members(pairs: DataFrame) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, described: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """``node, grams`` of the classes ``nodes``, from one document of each."""
-    one = described.where("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    wanted = small(stored(one.join(nodes, "node", "left_semi"), "wanted"))
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id")
+    """``node, grams`` of the classes ``nodes`` (distinct), from one document of each."""
+    one = stored(described.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "wanted")
+    texts = docs.select("doc_id", "text").join(small(one.where("doc_id is not null")), "doc_id").select("text", "node")
 
     def run(batches):
         for batch in batches:
@@ -245,21 +249,28 @@ def _full_sets(docs: DataFrame, described: DataFrame, nodes: DataFrame, size: in
             for a, b in w.runs(offsets):
                 part = w.LOWER[data[offsets[a] : offsets[b]]]
                 grams, bounds = shingle_sets(part, offsets[a : b + 1] - offsets[a], size)
-                names = _names(grams, bounds)
-                keep = [i for i in range(b - a) if names[i].tobytes() == asked[a + i]]
+                names = [v.tobytes() for v in _names(grams, bounds)]
+                keep = [i for i in range(b - a) if asked[a + i] in (None, names[i])]
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "node": pa.array([asked[a + i] for i in keep], pa.binary()),
+                        "node": pa.array([names[i] for i in keep], pa.binary()),
                         "grams": pa.array([grams[bounds[i] : bounds[i + 1]].tobytes() for i in keep], pa.binary()),
                     }
                 )
 
-    return texts.select("text", "node").mapInArrow(run, "node binary, grams binary").dropDuplicates(["node"])
+    nameless = one.where("doc_id is null").select("node")
+    if nameless.isEmpty():
+        return texts.mapInArrow(run, "node binary, grams binary").dropDuplicates(["node"])
+    # Classes of rows without an id are looked up by name among those rows.
+    others = docs.where("doc_id is null").select("text", F.lit(None).cast("binary").alias("node"))
+    found = others.mapInArrow(run, "node binary, grams binary").join(nameless, "node", "left_semi")
+    return texts.mapInArrow(run, "node binary, grams binary").unionByName(found).dropDuplicates(["node"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Pairs whose shingle sets meet the threshold, counted exactly."""
     percent = round(threshold * 100)
+    sets = sets.join(small(stored(_members(pairs).distinct(), "members")), "node", "left_semi")
     side = lambda s: sets.select(F.col("node").alias(s), F.col("grams").alias(f"{s}_grams"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
 
@@ -322,14 +333,15 @@ def _ordered(rows: DataFrame, left: str, right: str) -> DataFrame:
 
 
 def _open_groups(shared: DataFrame, classes: DataFrame, roots: DataFrame) -> tuple[DataFrame, int, int]:
-    """Rows of groups of several components, their number, and that of rows in large groups (``large``)."""
+    """Rows of groups of several components, their number, and that of pairs across in large groups (``large``)."""
     named = shared.select("key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     sizes = named.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inner"), F.count(F.lit(1)).alias("roots"))
     across = (F.col("n") * F.col("n") - F.col("inner")) / 2
-    mixed = stored(mixed.where("roots > 1").withColumn("large", across > FEW_PAIRS * F.col("n")), "mixed")
+    mixed = mixed.where("roots > 1").withColumn("across", across).withColumn("large", across > FEW_PAIRS * F.col("n"))
+    mixed = stored(mixed, "mixed")
     count = lambda rows: F.coalesce(F.sum(rows), F.lit(0))
-    total = mixed.agg(count(F.col("n")).alias("rows"), count(F.when(F.col("large"), F.col("n"))).alias("large")).first()
+    total = mixed.agg(count(F.col("n")).alias("rows"), count(F.when(F.col("large"), F.col("across"))).alias("large")).first()
     rows = named.join(mixed.select("key", "large"), "key").join(classes.select("node", "n_shingles"), "node")
     return stored(rows, "open") if total["rows"] else rows, int(total["rows"]), int(total["large"])
 
@@ -368,6 +380,29 @@ def _all_across(open_: DataFrame, threshold: float) -> DataFrame:
     return _ordered(both, "node", "b")
 
 
+def _cells(grams: np.ndarray) -> np.ndarray:
+    """Cells of shingles in the sketch, one row of it after the other."""
+    rows = [w.mix(grams ^ np.uint64(salt)) >> np.uint64(64 - SKETCH_BITS) for salt in _SKETCH_SALTS]
+    return np.stack([(r.astype(np.int64) + (i << SKETCH_BITS)) for i, r in enumerate(rows)])
+
+
+def sketch(sets: DataFrame) -> np.ndarray:
+    """Count-min sketch of the shingles of ``sets``: added up by task, then by cell."""
+
+    def run(batches):
+        counts = np.zeros(len(_SKETCH_SALTS) << SKETCH_BITS, np.int64)
+        for batch in batches:
+            for grams in batch.column("grams"):
+                np.add.at(counts, _cells(np.frombuffer(grams.as_py(), np.uint64)), 1)
+        cells = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_pydict({"cell": pa.array(cells.astype(np.int32)), "n": pa.array(counts[cells])})
+
+    found = sets.select("grams").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(len(_SKETCH_SALTS) << SKETCH_BITS, np.int64)
+    counts[found.column("cell").to_numpy()] = found.column("n").to_numpy()
+    return counts
+
+
 def _rarest_across(open_: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Pairs of open members of different components that share one of their rarest shingles.
 
@@ -377,26 +412,37 @@ def _rarest_across(open_: DataFrame, sets: DataFrame, threshold: float) -> DataF
     """
     percent = round(100 * threshold)
     member = open_.select("node", "root", "n_shingles").distinct()
+    counts = sketch(sets)
 
     def run(batches):
         for batch in batches:
-            grams = [np.frombuffer(g.as_py(), np.int64) for g in batch.column("grams")]
-            at = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-            flat = np.concatenate([*grams, np.zeros(0, np.int64)])
-            yield pa.RecordBatch.from_pydict({"node": batch.column("node").take(pa.array(at)), "gram": pa.array(flat)})
-
-    grams = stored(sets.select("node", "grams").mapInArrow(run, "node binary, gram long"), "grams")
-    often = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
-    # A text's own window: as many rows as it has shingles.
-    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("often", F.lit(1)), "gram"))
-    ranked = grams.join(often, "gram", "left").withColumn("rank", rank).where("often is not null").join(member, "node")
-    first = ranked.where(F.col("rank") <= F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1)
-    first = stored(first.select("gram", "node", "root", "n_shingles", "rank"), "rarest")
+            rarest = []
+            for grams in batch.column("grams"):
+                grams = np.frombuffer(grams.as_py(), np.uint64)
+                often = counts[_cells(grams)].min(axis=0)
+                first = len(grams) - -(-len(grams) * percent // 100) + 1
+                rarest.append(grams[np.lexsort((grams, often))[:first]].view(np.int64))
+            sizes = [len(r) for r in rarest]
+            at = np.repeat(np.arange(len(sizes)), sizes)
+            ranks = np.concatenate([*(np.arange(1, n + 1) for n in sizes), np.zeros(0, np.int64)])
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "node": batch.column("node").take(pa.array(at)),
+                    "gram": pa.array(np.concatenate([*rarest, np.zeros(0, np.int64)])),
+                    "rank": pa.array(ranks.astype(np.int64)),
+                }
+            )
+
+    rarest = sets.select("node", "grams").mapInArrow(run, "node binary, gram long, rank long")
+    first = stored(rarest.join(member, "node").select("gram", "node", "root", "n_shingles", "rank"), "rarest")
     other = first.select("gram", *[F.col(c).alias(f"b_{c}") for c in ("node", "root", "n_shingles", "rank")])
-    # With both sizes known, the overlap a link needs is too, and so are shorter starts that must share a shingle.
+    # Linked with a set of its own size or more, a set overlaps by this share of itself, so a shorter
+    # start must hold the common shingle. It ends before the shingles that most texts have.
+    least = F.ceil(F.col("n_shingles") * (2 * percent) / (100 + percent))
+    # With both sizes known, the overlap a link needs is too, and so are still shorter starts.
     overlap = F.ceil((F.col("n_shingles") + F.col("b_n_shingles")) * percent / (100 + percent))
-    both = first.join(other, "gram").where(
-        (F.col("node") < F.col("b_node"))
+    both = first.where(F.col("rank") <= F.col("n_shingles") - least + 1).join(other, "gram").where(
+        (F.col("n_shingles") <= F.col("b_n_shingles"))
         & (F.col("root") != F.col("b_root"))
         & (F.col("rank") <= F.col("n_shingles") - overlap + 1)
         & (F.col("b_rank") <= F.col("b_n_shingles") - overlap + 1)
@@ -405,12 +451,17 @@ def _rarest_across(open_: DataFrame, sets: DataFrame, threshold: float) -> DataF
 
 
 def near_copies(
-    docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD, carry: tuple[str, ...] = ()
+    docs: DataFrame,
+    shingle: int = SHINGLE,
+    threshold: float = THRESHOLD,
+    carry: tuple[str, ...] = (),
+    named: bool = False,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document, and the columns named in ``carry``.
 
     ``component_id`` is the least id linked with the document, directly or
-    through others; the document of that id is kept.
+    through others; the document of that id is kept. Where ids repeat, components may
+    share one: ``named`` adds ``component``, a name of its own (null without shingles).
     """
     spark = docs.sparkSession
     rows, bands = bands_for(threshold)
@@ -421,7 +472,7 @@ def near_copies(
         ),
         "classes",
     )
-    banded = _banded(classes.where("least is not null"), rows, bands)
+    banded = _banded(classes, rows, bands)
     groups = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = stored(banded.join(groups, "key"), "bands")
     release(spark)
@@ -429,14 +480,12 @@ def near_copies(
     weights = shared.groupBy("node").agg(F.sum("size").alias("weight"))
     hubs = shared.join(weights, "node").groupBy("key").agg(F.max(F.struct("weight", "node"))["node"].alias("hub"))
     pairs = _ordered(shared.join(hubs, "key").where("node <> hub"), "node", "hub")
+    # Texts are read once more, for the sets of all classes that may have a partner.
+    sets = stored(_full_sets(docs, described, shared.select("node").distinct(), shingle), "sets")
     compared, roots = stored(_plausible(pairs, classes, threshold), "pairs"), None
-    found = compared
-    turn = 0
+    found, before, turn = compared, None, 0
     while True:
-        sets = stored(_full_sets(docs, described, _members(found), shingle), "sets")
         added = stored(_confirmed(found, sets, threshold), "links")
-        dropped(sets)
-        progress = not added.isEmpty()
         roots = stored(_joined_up(roots, added), "components")
         release(spark)
         turn += 1
@@ -444,18 +493,17 @@ def near_copies(
         open_, members, large = _open_groups(shared, classes, roots)
         if not members:
             break
-        last = not large or not progress
+        last = not large or (before is not None and 8 * large > 7 * before)
         if not last:
-            across = _pivots_across(open_.where("large"), threshold, turn)
+            before, across = large, _pivots_across(open_.where("large"), threshold, turn)
         else:
             across = _all_across(open_.where("not large"), threshold)
             if large:
                 of_large = open_.where("large")
-                full = _full_sets(docs, described, of_large.select("node"), shingle)
+                full = sets.join(of_large.select("node").distinct(), "node", "left_semi")
                 across = across.unionByName(_rarest_across(of_large, full, threshold)).distinct()
         found = stored(_plausible(across.join(compared, ["a", "b"], "left_anti"), classes, threshold), "pairs")
         if last:
-            sets = stored(_full_sets(docs, described, _members(found), shingle), "sets")
             added = stored(_confirmed(found, sets, threshold), "links")
             roots = stored(_joined_up(roots, added), "components")
             break
@@ -463,9 +511,10 @@ def near_copies(
 
     linked = classes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_node = linked.join(names, "root").select("node", "component_id")
-    named = described.select(*carry, "doc_id", "n_shingles", "node").join(by_node, "node", "left")
+    by_node = linked.join(names, "root").select("node", "component_id", F.col("root").alias("component"))
+    own = described.select(*carry, "doc_id", "n_shingles", "node").join(by_node, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return named.select(*carry, "doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
-    )
+    return own.select(
+        *carry, "doc_id", "n_shingles", component.alias("component_id"),
+        F.col("doc_id").eqNullSafe(component).alias("kept"), *(["component"] if named else []),
+    )

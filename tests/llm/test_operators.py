@@ -225,6 +225,18 @@ def test_warc_round_trip(spark, tmp_path, compression, split):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_warc_of_repeated_ids_and_pages_of_magic(spark, tmp_path):
+    a, b = "a" * 1100, "b" * 1100
+    magic = "WARC/1.0\r\nContent-Length: 4\r\n" * 100_000
+    pages = [(7, a), (7, b), (3, a), (None, b), (4, magic), (5, magic), (6, "\r\n\r\n".join([magic[:3000]] * 3)), (7, a)]
+    wanted = sorted(brute.warc(pages), key=repr)
+    for n, rows in enumerate((pages, pages[::-1])):
+        path = str(tmp_path / f"archives{n}")
+        warc.write_archives(spark.createDataFrame([(p, None, h) for p, h in rows], "page_id long, url string, html string").coalesce(1), path)
+        got = warc.page_records(warc.read_archives(spark, path))
+        assert rows_of(got, "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to") == wanted
+
+
 def test_warc_of_no_pages(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     warc.write_archives(pages, str(tmp_path / "none"))
@@ -330,6 +342,38 @@ def test_large_group_of_near_copies_is_one_component(spark):
     assert sum(r[3] for r in got) == 1
 
 
+def test_unlike_texts_that_share_a_passage_go_the_exact_way(spark, monkeypatch):
+    """Members of large groups that no turn connects; among them a few pairs that are near copies."""
+    rng = random.Random(4)
+    passage = [f"p{i}" for i in range(70)]
+    rows = []
+    for i in range(150):
+        own = [f"u{i}x{j}" for j in range(10)]
+        rows.append((2 * i, " ".join(passage + own)))
+        if i % 10 == 0:
+            own[rng.randint(3, 6)] = "changed"
+            rows.append((2 * i + 1, " ".join(passage + own)))
+        if i % 10 == 5:  # much in common beside the passage, but too little
+            rows.append((2 * i + 1, " ".join([*passage[:20], "x", *passage[21:40], "y", *passage[41:], *own[:8], "z", "z"])))
+    rows += [(None, rows[3][1] + " end"), (9_000, rows[3][1] + " end of"), (None, "only a null id has this"), (None, "only a null id has this")]
+    exact = []
+    whole = nearcopies._rarest_across
+    monkeypatch.setattr(nearcopies, "_rarest_across", lambda *a: exact.append(whole(*a)) or exact[-1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(map(tuple, nearcopies.near_copies(docs, 3, 0.85).collect()), key=repr)
+    assert got == sorted(((d, n, c, k if d is not None else c is None) for d, n, c, k in brute.near_copies(rows, 3, 85)), key=repr)
+    assert exact and exact[0].count() > 0
+
+
+def test_links_through_rows_without_an_id(spark):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (None, " ".join(words[2:] + ["x", "y"])), (2, " ".join(words[4:] + ["x", "y", "z", "q"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, nearcopies.near_copies(docs, 3, 0.85).collect()), key=repr)
+    assert got == sorted(brute.near_copies(rows, 3, 85), key=repr)
+    assert {r[2] for r in got} == {1}
+
+
 def test_signature_estimate_is_close():
     rng = np.random.default_rng(1)
     for share in (0.3, 0.6, 0.9):
@@ -368,6 +412,12 @@ def test_repeats(messy, nothing):
     assert repeats.remove_repeats(nothing).count() == 0
 
 
+def test_largest_and_least_ids_are_ids(spark):
+    rows = [(2**63 - 1, f"x {PASSAGE}"), (None, f"y {PASSAGE}"), (-(2**63), f"z {PASSAGE}"), (2**63 - 1, f"q {PASSAGE}")]
+    found = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert rows_of(found, "doc_id", "n_words", "n_removed", "kept_sha256") == sorted(brute.remove_repeats(rows), key=repr)
+
+
 def test_quality(spark, messy, nothing):
     labels = spark.createDataFrame([(1, 1), (2, 1), (None, 1), (10, 0)], "doc_id long, quality int")
     ratio = quality.fit_ratio(messy, labels)
