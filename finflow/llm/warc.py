@@ -8,10 +8,11 @@ record separator as line end, so archives go to any store Spark can write.
 *Reading.* Archives are read as lines ended by the separator, so a large file
 is split among tasks anywhere. The place of a line is the sum of the sizes
 before it: inside its split, and over the splits before. Every header-like text
-is a *candidate*, and its ``Content-Length`` says where the next record must
-begin. From offset 0 of each file, pointer jumping over these links (each round
-doubles their reach) keeps exactly the candidates on the chain; header-like
-text inside a payload is on no chain and is dropped.
+after a separator is a *candidate*, and its ``Content-Length`` says where the next
+record must begin. From offset 0 of each file, pointer jumping over these links (each
+round doubles their reach) keeps exactly the candidates on the chain; header-like
+text inside a payload is on no chain and is dropped. A record always follows a
+separator, so a line holds one candidate at most, however often it repeats the magic.
 
 Only offsets, sizes and digests are shuffled. Payload bytes are looked at where
 they are read; a payload that itself holds the separator spans several lines,
@@ -108,16 +109,17 @@ def _placed(lines: DataFrame) -> DataFrame:
     )
 
 
-def _heads(value: Column) -> Column:
-    """Header-like texts of a line, each up to the line's end: ``skip`` bytes before it and its ``head``."""
-    parts = F.split(value, "WARC/1\\.0\r\n")
-    return F.transform(
-        F.sequence(F.lit(2), F.size(parts)),
-        lambda i: F.struct(
-            F.octet_length(F.array_join(F.slice(parts, 1, i - 1), MAGIC)).cast("long").alias("skip"),
-            F.array_join(F.slice(parts, i, F.size(parts)), MAGIC).alias("head"),
-        ),
+def _head(value: Column) -> Column:
+    """``skip, head`` if a header begins the line: the bytes before its magic and the text after it.
+
+    Separators are cut from the left. Where a payload ends in a line end of its own,
+    the cut comes two bytes early and the rest of the separator begins the line.
+    """
+    after = lambda skip: F.struct(
+        F.lit(skip).cast("long").alias("skip"), F.substring(value, F.lit(skip + len(MAGIC) + 1), F.length(value)).alias("head")
     )
+    begins = lambda skip: value.rlike(f"^(?:\r\n){{{skip // 2}}}WARC/1\\.0\r\n[A-Za-z0-9-]+:")
+    return F.when(begins(0), after(0)).when(begins(2), after(2))
 
 
 def _field(name: str) -> Column:
@@ -158,11 +160,11 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
         "file", "block", "seq",
         F.octet_length("value").cast("long").alias("bytes"),
         F.sha1(F.col("value").cast("binary")).alias("sha1"),
-        F.when(F.contains("value", F.lit(MAGIC)), _heads(F.col("value"))).alias("heads"),
+        _head(F.col("value")).alias("_h"),
     )
     light = stored(_placed(light), "lines")
     headers = (
-        light.select("file", "place", "bytes", F.explode("heads").alias("_h"))
+        light.where("_h is not null")
         .select("file", (F.col("place") + F.col("_h.skip")).alias("place"), (F.col("place") + F.col("bytes") + len(BREAK)).alias("begin"), F.col("_h.head").alias("head"))
         .withColumn("length", _field("Content-Length").try_cast("bigint"))
         .where("length >= 0")
@@ -222,10 +224,13 @@ def page_records(records: DataFrame) -> DataFrame:
     rows = records.select(
         page("id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), page("refers_to").alias("refers_to")
     )
-    responses = rows.where("record_type = 'response'").select(
-        F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("_bytes"), F.col("payload_digest").alias("_digest")
-    ).where("refers_to is not null").dropDuplicates(["refers_to"])
-    visits = rows.where("record_type = 'revisit'").join(responses, "refers_to", "left").select(
-        "page_id", F.col("_bytes").alias("payload_bytes"), F.col("_digest").alias("payload_digest"), "record_type", "refers_to"
+    # Page ids may repeat; a revisit's own header has the digest that says which page it means.
+    responses = rows.where("record_type = 'response' and page_id is not null").select(
+        F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("_bytes"), "payload_digest"
+    ).dropDuplicates(["refers_to", "payload_digest"])
+    own = F.regexp_extract("digest", "^sha1:([0-9a-f]{40})$", 1)
+    visits = records.where("type = 'revisit'").select(
+        page("id").alias("page_id"), own.alias("payload_digest"), F.col("type").alias("record_type"), page("refers_to").alias("refers_to")
     )
-    return rows.where("record_type = 'response'").unionByName(visits)
+    visits = visits.join(responses, ["refers_to", "payload_digest"], "left")
+    return rows.where("record_type = 'response'").unionByName(visits.withColumnRenamed("_bytes", "payload_bytes"))
