@@ -182,7 +182,7 @@ class Phrases:
             terms[i, : len(row)] = np.searchsorted(asked, row)
         frequency = np.array([counts.get(int(t), 0) for t in asked.view(np.int64)], np.int64)
         weight = np.where(terms >= 0, frequency[terms] if len(asked) else 0, np.iinfo(np.int64).max)
-        return cls(asked, terms, (terms >= 0).sum(1), np.argsort(weight, axis=1, kind="stable"), [sorted(s) for s in windows.values()])
+        return cls(asked, terms, (terms >= 0).sum(1), np.argsort(weight, axis=1, kind="stable"), [sorted(s, key=lambda i: (i is not None, i)) for s in windows.values()])
 
 
 def term_hashes(text: str | None) -> np.ndarray:
@@ -226,7 +226,7 @@ def near_places(shard: Shard, phrases: Phrases, within: int) -> tuple[np.ndarray
 
 def _in_blocks(items: DataFrame, block_items: int) -> Iterator[list[tuple[str, str]]]:
     block: list[tuple[str, str]] = []
-    rows = items.where("item_id is not null and text is not null").select(F.col("item_id").cast("string"), "text").distinct()
+    rows = items.where("text is not null").select(F.col("item_id").cast("string"), "text").distinct()
     for row in rows.toLocalIterator():
         block.append((row[0], row[1]))
         if len(block) == block_items:
@@ -344,10 +344,11 @@ def contamination(
         .select(*key, F.explode(F.sequence(F.col("place"), F.col("place") + F.col("length") - 1)).alias("word"))
         .distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("n_hit"))
     )
-    names = phrase.select(*key, "item_id").distinct().groupBy(*key).agg(
+    # Items without an id hit words; there is nothing to name or count.
+    names = phrase.where("item_id is not null").select(*key, "item_id").distinct().groupBy(*key).agg(
         F.count(F.lit(1)).alias("n_items"), F.array_sort(F.collect_list("item_id")).alias("item_ids")
     )
-    near = found.where("kind = 'near'").select(*key, "item_id").distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("n_near"))
+    near = found.where("kind = 'near' and item_id is not null").select(*key, "item_id").distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("n_near"))
     none = F.lit(0).cast("long")
     joined = indexed_documents(index).join(hits, key, "left").join(names, key, "left").join(near, key, "left")
     return joined.select(
