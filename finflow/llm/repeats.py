@@ -51,9 +51,14 @@ _CHUNKS = "chunk long, ids binary, offsets binary, blob binary, raw long, n_word
 _STATE = "chunk long, ids binary, n_words binary, steps binary, ha binary, hb binary, n long"
 
 
-def _ids(batch: pa.RecordBatch, name: str) -> np.ndarray:
-    column = batch.column(batch.schema.get_field_index(name)).cast(pa.int64())
-    return column.fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)
+def _packed_ids(ids: pa.Array | pa.ChunkedArray) -> bytes:
+    """Ids, null as the largest number, which removes nothing; then a byte each: is there an id?"""
+    return ids.fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64).tobytes() + np.asarray(ids.is_valid()).tobytes()
+
+
+def _unpacked_ids(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    rows = len(packed) // 9
+    return np.frombuffer(packed, np.int64, rows), np.frombuffer(packed, bool, rows, 8 * rows)
 
 
 def pack_chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
@@ -63,7 +68,7 @@ def pack_chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             data, offsets = w.text_column(batch, "text")
-            ids = _ids(batch, "doc_id")
+            ids = batch.column(batch.schema.get_field_index("doc_id")).cast(pa.int64())
             for first, last in w.runs(offsets, chunk_bytes):
                 part = data[offsets[first] : offsets[last]]
                 own = offsets[first : last + 1] - offsets[first]
@@ -74,7 +79,7 @@ def pack_chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
                 yield pa.RecordBatch.from_pydict(
                     {
                         "chunk": pa.array([number], pa.int64()),
-                        "ids": pa.array([ids[first:last].tobytes()], pa.binary()),
+                        "ids": pa.array([_packed_ids(ids[first:last])], pa.binary()),
                         "offsets": pa.array([own.tobytes()], pa.binary()),
                         "blob": pa.array([blob], pa.binary()),
                         "raw": pa.array([len(part)], pa.int64()),
@@ -263,7 +268,7 @@ def _unpack(row: dict):
     bounds = np.append(0, np.cumsum(_from_planes(row["n_words"]), dtype=np.int64))
     doc = np.searchsorted(bounds, pos, "right") - 1
     return (
-        np.frombuffer(row["ids"], np.int64), bounds, doc, pos,
+        _unpacked_ids(row["ids"])[0], bounds, doc, pos,
         np.frombuffer(row["ha"], np.uint64), _from_planes(row["hb"]).astype(np.uint64),
     )
 
@@ -378,9 +383,10 @@ def _finished(state: DataFrame, answers: DataFrame, window: int, keep_text: bool
     def finish(batches):
         for row in _rows(batches):
             ids, bounds, doc, pos, _, _ = _unpack(row)
+            known = _unpacked_ids(row["ids"])[1]
             counts = np.diff(bounds)
             _, least = _verdicts(row)
-            covering = pos[(least < ids[doc]) & (ids[doc] != NO_ID)]
+            covering = pos[(least < ids[doc]) & known[doc]]
             change = np.zeros(bounds[-1] + window + 1, np.int64)
             np.add.at(change, covering, 1)
             np.add.at(change, covering + window, -1)
@@ -398,7 +404,7 @@ def _finished(state: DataFrame, answers: DataFrame, window: int, keep_text: bool
                 {
                     "chunk": pa.array(np.full(len(ids), row["chunk"]), pa.int64()),
                     "doc": pa.array(np.arange(len(ids)), pa.int32()),
-                    "doc_id": pa.array(ids, pa.int64(), mask=ids == NO_ID),
+                    "doc_id": pa.array(ids, pa.int64(), mask=~known),
                     "n_words": pa.array(counts, pa.int64()),
                     "n_removed": pa.array(gone, pa.int64()),
                     "kept_sha256": pa.array(kept, pa.string()),

@@ -55,9 +55,8 @@ def contamination(rows, items, window=13):
     wanted = {}
     for item, text in items:
         ws = ALNUM_WORD.findall(lower(text))
-        if item is not None and ws:
-            for i in range(max(1, len(ws) - window + 1)):
-                wanted.setdefault(tuple(ws[i : i + window]), set()).add(str(item))
+        for i in range(max(1, len(ws) - window + 1) if ws else 0):
+            wanted.setdefault(tuple(ws[i : i + window]), set()).update([] if item is None else [str(item)])
     sizes = sorted({len(k) for k in wanted})
     out = []
     for d, t in rows:
@@ -66,7 +65,7 @@ def contamination(rows, items, window=13):
         for n in sizes:
             for i in range(len(ws) - n + 1):
                 found = wanted.get(tuple(ws[i : i + n]))
-                if found:
+                if found is not None:
                     hit.update(range(i, i + n))
                     seen |= found
         digest = hashlib.sha256(",".join(sorted(seen)).encode()).hexdigest()
@@ -161,7 +160,7 @@ def warc(pages, least=1000):
     first = {}
     for p, html in pages:
         raw = (html or "").encode()
-        if len(raw) >= least:
+        if len(raw) >= least and p is not None:
             first[raw] = max(first.get(raw, p), p)
     out = []
     for p, html in pages:

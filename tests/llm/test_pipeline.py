@@ -51,6 +51,17 @@ def test_near_stage_keeps_one_of_equal_rows(spark, small, messy):  # noqa: F811
     assert ids.count(8) == 1 and 9 not in ids and 7 not in ids and ids.count(None) == 1
 
 
+def test_near_stage_keeps_one_row_of_each_group(spark, small):
+    """Near texts of one id, equal rows with other columns, unlike texts of one id, texts without words."""
+    near = [" ".join([f"w{i}" for i in range(80)] + [end]) for end in ("one", "two")]
+    rows = [(1, near[0], "en", "b"), (1, near[1], "en", "a"), (1, "quite another text", "en", "a"), (2, near[0], "en", "a")]
+    rows += [(3, "same text", "fr", "b"), (3, "same text", "en", "c"), (3, "same text", "en", "b"), (4, "", "en", "a"), (4, None, "en", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(5)
+    got = rows_of(STAGES["MinHash near-dedup"](spark, docs, small), "doc_id", "text", "lang", "source")
+    assert len([r for r in got if r[0] == 1]) == 2 and (1, "quite another text", "en", "a") in got
+    assert [r for r in got if r[0] != 1] == [(3, "same text", "en", "b"), (4, "", "en", "a"), (4, None, "en", "a")]
+
+
 def test_mixture_of_awkward_rows(spark, small, messy, nothing):  # noqa: F811
     assert STAGES["mixing"](spark, messy, small).count() == messy.count()
     assert STAGES["mixing"](spark, nothing, small).count() == 0
