@@ -72,16 +72,28 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each group of near copies (five words, 0.8), and one of equal rows."""
-    found = stored(near_copies(_keyed(docs), carry=("row",)), "near")
-    rest = _without(docs, found.where(~F.col("kept")))
-    twice = found.where("kept").groupBy("doc_id", "row").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    twice = stored(_keys(twice), "twice")
-    if twice.isEmpty():
-        return rest
-    tagged, twice = _tagged(rest), small(twice)
-    once = tagged.join(twice, _same(tagged, twice), "left_semi").dropDuplicates(["doc_id", _ROW])
-    return tagged.join(twice, _same(tagged, twice), "left_anti").unionByName(once).drop(_ROW)
+    """Keeps one document of each group of near copies (five words, 0.8).
+
+    It is the one of the smallest id; of several rows with that id the one of the least
+    text hash, and of rows equal in both the least by its other columns. Documents
+    without words stay.
+    """
+    found = stored(near_copies(_keyed(docs), carry=("row",), named=True), "near")
+    several = found.where("kept and component is not null").groupBy("component").agg(
+        F.first("doc_id").alias("doc_id"), F.min("row").alias("row"), F.count(F.lit(1)).alias("n")
+    ).where("n > 1")
+    several = stored(several, "several")
+    gone = found.where(~F.col("kept")).select("doc_id", "row")
+    if several.isEmpty():
+        return _without(docs, gone)
+    first = several.select("component", F.col("row").alias("_first"))
+    other = found.where("kept").join(small(first), "component").where("row <> _first").select("doc_id", "row")
+    rest = _tagged(_without(docs, gone.unionByName(other)))
+    twice = small(stored(_keys(several), "twice"))
+    own = F.struct("lang", "source", *[c for c in docs.columns if c not in ("lang", "source")])
+    once = rest.join(twice, _same(rest, twice), "left_semi").groupBy("doc_id", _ROW).agg(F.min(own).alias("_least"))
+    once = once.select(*[F.col("_least")[c].alias(c) for c in docs.columns])
+    return rest.join(twice, _same(rest, twice), "left_anti").drop(_ROW).unionByName(once)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
