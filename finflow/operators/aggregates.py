@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finflow.operators.skew import HOT_ROWS, HOT_SHARE, aside
+from finflow.operators.skew import Heat, HotKeys, aside
 from finflow.operators.windows import numbered
 
 
@@ -96,18 +96,34 @@ def reduce_groups(
     )
 
 
+def _first(c: Column, order: Column) -> Column:
+    return F.min_by(c, F.when(c.isNotNull(), F.struct(order.isNull(), order)))
+
+
+def _last(c: Column, order: Column) -> Column:
+    return F.max_by(c, F.when(c.isNotNull(), F.struct(order.isNotNull(), order)))
+
+
 def first_by(df: DataFrame, keys: Sequence[str], order: Column, **columns: Column) -> DataFrame:
-    """Value of the first row of each group in ``order`` that is not null in the column."""
-    return df.groupBy(*keys).agg(
-        *[F.min_by(c, F.when(c.isNotNull(), order)).alias(n) for n, c in columns.items()]
-    )
+    """Value of the first row of each group in ``order`` that is not null in the column.
+
+    Rows without an order come last: they answer for a group that has no others.
+    """
+    return df.groupBy(*keys).agg(*[_first(c, order).alias(n) for n, c in columns.items()])
 
 
 def last_by(df: DataFrame, keys: Sequence[str], order: Column, **columns: Column) -> DataFrame:
-    """Value of the last row of each group in ``order`` that is not null in the column."""
-    return df.groupBy(*keys).agg(
-        *[F.max_by(c, F.when(c.isNotNull(), order)).alias(n) for n, c in columns.items()]
-    )
+    """Value of the last row of each group in ``order`` that is not null in the column.
+
+    Rows without an order come first: they answer for a group that has no others.
+    """
+    return df.groupBy(*keys).agg(*[_last(c, order).alias(n) for n, c in columns.items()])
+
+
+def first_and_last(df: DataFrame, keys: Sequence[str], order: Column, **columns: Column) -> DataFrame:
+    """``first_<name>`` and ``last_<name>`` of each column, in one aggregation."""
+    ends = [f(c, order).alias(f"{p}_{n}") for n, c in columns.items() for p, f in (("first", _first), ("last", _last))]
+    return df.groupBy(*keys).agg(*ends)
 
 
 def drop_duplicates_by(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
@@ -125,26 +141,40 @@ def collect_lists(
     order: Sequence[str],
     value: str,
     out: str,
-    bucket: Column,
-    chunk_rows: int = 100_000,
+    chunk_rows: int,
     chunk: str = "chunk",
-    hot_rows: int = HOT_ROWS,
-    hot_share: float = HOT_SHARE,
+    range_rows: int = Heat.range_rows,
 ) -> DataFrame:
-    """The non-null values of each group as lists in ``order``.
+    """The non-null values of each group as lists in ``order``, at most ``chunk_rows`` to a list.
 
-    A group longer than ``chunk_rows`` continues in further rows with ``chunk``
-    1, 2, ...; no row and no task ever holds an unbounded list.
+    A group that is longer continues in further rows with ``chunk`` 1, 2, ...; no
+    row and no task ever holds an unbounded list. Groups that fit in one list
+    take the plain aggregate.
     """
-    placed = numbered(
-        df.where(F.col(value).isNotNull()), keys, order, "_pos", bucket, hot_rows, hot_share
-    )
-    which = F.floor((F.col("_pos") - 1) / F.lit(chunk_rows)).cast("int")
-    return (
-        placed.groupBy(*keys, which.alias(chunk))
-        .agg(F.array_sort(F.collect_list(F.struct("_pos", value))).alias("_items"))
-        .select(*keys, chunk, F.transform("_items", lambda item: item[value]).alias(out))
-    )
+    values = df.where(F.col(value).isNotNull())
+    long = Heat(hot_rows=chunk_rows, hot_share=0.0, range_rows=range_rows).find(values, keys)
+    place = F.struct(*[F.col(o.removeprefix("-")).alias(f"_{n}") for n, o in enumerate(order)])
+    descending = {o.startswith("-") for o in order}
+
+    def gathered(rows: DataFrame, at: Column, which: Column, falling: bool) -> DataFrame:
+        items = F.sort_array(F.collect_list(F.struct(at.alias("_at"), F.col(value).alias("_value"))), not falling)
+        lists = rows.groupBy(*keys, which.alias(chunk)).agg(items.alias("_items"))
+        return lists.select(*keys, chunk, F.transform("_items", lambda item: item["_value"]).alias(out))
+
+    def by_number(rows: DataFrame, heat: Heat | HotKeys) -> DataFrame:
+        placed = numbered(rows, keys, order, "_pos", heat)
+        which = F.floor((F.col("_pos") - 1) / F.lit(chunk_rows)).cast("int")
+        return gathered(placed, F.col("_pos"), which, False)
+
+    def short(rows: DataFrame) -> DataFrame:
+        if len(descending) > 1:  # mixed directions: no array sort says them
+            return by_number(rows, HotKeys(tuple(keys), long.heat))
+        return gathered(rows, place, F.lit(0), True in descending)
+
+    if long.table is None:
+        return short(values)
+    cold, hot = long.split(values)
+    return short(cold).unionByName(by_number(hot, long))
 
 
 def profile(df: DataFrame, keys: Sequence[str], amount: str) -> DataFrame:

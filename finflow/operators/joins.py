@@ -9,13 +9,14 @@ nulls; ``outer_join`` covers these.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finflow.operators.skew import HOT_ROWS, HOT_SHARE, hot_keys, split_by_heat
+from finflow.operators.skew import Heat, HotKeys
 
 # Other names of the outer joins.
 OUTER_NAMES = {
@@ -72,8 +73,7 @@ def outer_join(
     right: DataFrame,
     on: Sequence[str],
     how: str,
-    hot_rows: int = HOT_ROWS,
-    hot_share: float = HOT_SHARE,
+    heat: Heat | HotKeys = Heat(),
 ) -> DataFrame:
     """Left, right or full outer join by column names with any key allowed to be hot.
 
@@ -84,11 +84,14 @@ def outer_join(
     """
     on, how = list(on), OUTER_NAMES[how.replace("_", "")]
     filled = {"left": [right], "right": [left], "full": [left, right]}[how]
-    hot = reduce(
-        lambda a, b: a.union(b), [hot_keys(side, on, hot_rows, hot_share) for side in filled]
-    ).distinct()
-    cold_left, hot_left = split_by_heat(left, on, hot=hot)
-    cold_right, hot_right = split_by_heat(right, on, hot=hot)
+    # The keys of all sides that may be filled, a side's keys counted for themselves.
+    sides = reduce(lambda a, b: a.union(b), [s.select(*on, F.lit(n).alias("_side")) for n, s in enumerate(filled)])
+    hot = heat if isinstance(heat, HotKeys) else heat.find(sides, [*on, "_side"])
+    if hot.table is None:
+        return left.join(right, on, how)
+    hot = replace(hot, keys=tuple(on), table=hot.table.select(*on).distinct())
+    cold_left, hot_left = hot.split(left)
+    cold_right, hot_right = hot.split(right)
     plain = cold_left.join(cold_right, on, how)
 
     parts = [hot_left.join(hot_right, on, "inner")]
@@ -105,8 +108,7 @@ def pair_join(
     right: DataFrame,
     on: Sequence[tuple[str, str]],
     how: str = "inner",
-    hot_rows: int = HOT_ROWS,
-    hot_share: float = HOT_SHARE,
+    heat: Heat = Heat(),
 ) -> DataFrame:
     """Join that keeps both records whole, in the struct columns ``_1`` and ``_2``.
 
@@ -123,7 +125,7 @@ def pair_join(
     if how == "inner":
         joined = packed_left.join(packed_right, keys, how)
     else:
-        joined = outer_join(packed_left, packed_right, keys, how, hot_rows, hot_share)
+        joined = outer_join(packed_left, packed_right, keys, how, heat)
     return joined.select("_1", "_2")
 
 

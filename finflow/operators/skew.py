@@ -1,34 +1,103 @@
 """Keys that hold too many rows for one task.
 
-``split_by_heat`` cuts a table into the rows of ordinary keys and the rows of
-hot keys, so that an operator can treat the hot ones another way and union the
-two results. Both parts are lazy; with adaptive execution the hot part costs
-nothing beyond the key count when there is no hot key.
+Hot keys are found in one pass over the key columns. A table of counters by key
+hash (a count-min sketch of one row) is added up like any aggregate: combined
+by task, then by counter, so nothing of the size of the keys is shuffled. A
+counter never says less than a key has, so a table without a large counter has
+no hot key and the operator uses its plain form: its plan is the plain plan.
+Only keys behind large counters are counted exactly.
+
+``Heat`` says what counts as hot; ``HotKeys`` is the list found, which several
+operators over the same rows may share. The pass runs when the operator is
+built, as does the writing of the list if there is one.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot above this many rows ...
-HOT_ROWS = 1_000_000
-# ... and above this share of all rows, so there are at most 1 / HOT_SHARE hot
-# keys whatever the table holds. That bound is what allows broadcasting them.
-HOT_SHARE = 1e-5
+from finflow.session import saved
+
+# Counters of the sketch: many more than there can be hot keys.
+CELLS = 1 << 20
+# Hot keys up to which their list is broadcast; with the default share there are never more.
+MOST_BROADCAST = 100_000
+
+
+@dataclass(frozen=True)
+class Heat:
+    """A key is hot above ``hot_rows`` rows *and* ``hot_share`` of all rows.
+
+    The share bounds the number of hot keys, whatever the table holds. Rows of hot
+    keys are cut into pieces of about ``range_rows`` in their order (see ``in_ranges``).
+    """
+
+    hot_rows: int = 1_000_000
+    hot_share: float = 1 / MOST_BROADCAST
+    range_rows: int = 250_000
+
+    def find(self, df: DataFrame, keys: Sequence[str]) -> HotKeys:
+        """The hot keys of ``df``."""
+        keys = tuple(keys)
+        cell = F.pmod(F.xxhash64(*keys), F.lit(CELLS))
+        cells = df.groupBy(cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_rows"))
+        # At most CELLS entries, and with the default limits one per million rows.
+        large = F.collect_list(F.when(F.col("_rows") > self.hot_rows, F.struct("_cell", "_rows")))
+        found = cells.agg(F.sum("_rows").alias("total"), large.alias("large")).first()
+        least = max(self.hot_rows, (found["total"] or 0) * self.hot_share)
+        large = [(c["_cell"],) for c in found["large"] if c["_rows"] > least]
+        if not large:
+            return HotKeys(keys, self)
+        marked = df.sparkSession.createDataFrame(large, "_cell long")
+        candidates = df.select(*keys).join(F.broadcast(marked), cell == F.col("_cell"), "left_semi")
+        counts = candidates.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > least)
+        table = saved(counts, "hot-keys")
+        size = table.agg(F.count(F.lit(1)).alias("keys"), F.sum("_rows").alias("rows")).first()
+        return HotKeys(keys, self, table, size["keys"], size["rows"]) if size["keys"] else HotKeys(keys, self)
 
 
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, hot_share: float = HOT_SHARE
-) -> DataFrame:
-    """The keys with more than ``hot_rows`` rows and more than ``hot_share`` of all rows."""
-    total = df.agg(F.count(F.lit(1))).scalar()
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    is_hot = (F.col("_rows") > hot_rows) & (F.col("_rows") > total * F.lit(hot_share))
-    return counts.where(is_hot).select(*keys)
+@dataclass(frozen=True)
+class HotKeys:
+    """Hot keys of a table (``table``: the key columns and ``_rows``; None if there are none)."""
+
+    keys: tuple[str, ...]
+    heat: Heat
+    table: DataFrame | None = None
+    count: int = 0
+    rows: int = 0
+
+    def find(self, df: DataFrame, keys: Sequence[str]) -> HotKeys:
+        """This list, found before; operators call it like ``Heat.find``."""
+        if tuple(keys) != self.keys:
+            raise ValueError(f"hot keys are of {self.keys}, not {tuple(keys)}")
+        return self
+
+    def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """``(cold, hot)`` rows of ``df``, which together are ``df``; ask only if there is a list."""
+        marks, match = aside(self.table.select(*self.keys), self.keys)
+        if self.count <= MOST_BROADCAST:
+            marks = F.broadcast(marks)
+        return df.join(marks, match, "left_anti"), df.join(marks, match, "left_semi")
+
+    def in_ranges(self, hot: DataFrame, order: Sequence[Column], name: str = "_range") -> DataFrame:
+        """Hot rows cut in ``order`` into pieces of about equal size, numbered by ``name``.
+
+        Spark's range partitioner draws the quantiles of (key, order) and deals the
+        rows; a piece is a partition, so pieces follow each other in the order, and
+        rows that tie are in one. The result is written, so that every use of it
+        sees the same pieces, also after an executor is lost. Pieces are
+        small against a task, and many, so the windows over them are dealt evenly
+        even if a key has all its rows on one day.
+        """
+        pieces = max(1, math.ceil(self.rows / self.heat.range_rows))
+        dealt = hot.repartitionByRange(pieces, *self.keys, *order)
+        return saved(dealt.withColumn(name, F.spark_partition_id()), "ranges")
 
 
 def aside(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
@@ -39,18 +108,3 @@ def aside(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
     renamed = {k: f"_aside_{k}" for k in keys}
     match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in renamed.items()])
     return df.withColumnsRenamed(renamed), match
-
-
-def split_by_heat(
-    df: DataFrame,
-    keys: Sequence[str],
-    hot_rows: int = HOT_ROWS,
-    hot_share: float = HOT_SHARE,
-    hot: DataFrame | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """``(cold, hot)`` rows of ``df``; together they are ``df``."""
-    if hot is None:
-        hot = hot_keys(df, keys, hot_rows, hot_share)
-    marks, match = aside(hot.select(*keys), keys)
-    marks = F.broadcast(marks)
-    return df.join(marks, match, "left_anti"), df.join(marks, match, "left_semi")

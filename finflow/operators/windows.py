@@ -1,12 +1,9 @@
 """Window functions that hold up when one key owns a large part of the table.
 
-Ordinary keys use a plain ``Window``: one shuffle, one sort. The rows of hot
-keys (see ``skew``) are cut further into *buckets*, a column the caller derives
-from the first order column, so that buckets follow each other in the window
-order and rows that tie on that column share one. Inside a bucket the plain
-window does the work; what crosses a bucket edge comes from small per-bucket
-tables. A day is a good bucket for dates: it cuts years of one key into
-thousands of pieces.
+Without hot keys (see ``skew``) these are a plain ``Window``: one shuffle, one
+sort. The rows of hot keys are cut into *ranges* of about equal size in the
+window's order; inside a range the plain window does the work, and what crosses
+from range to range is a prefix scan over one small row per range.
 
 Orders are lists of column names; a leading ``-`` means descending.
 """
@@ -18,7 +15,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from finflow.operators.skew import HOT_ROWS, HOT_SHARE, aside, split_by_heat
+from finflow.operators.skew import Heat, HotKeys, aside
 
 WindowColumn = Callable[[WindowSpec], Column]
 
@@ -38,38 +35,35 @@ def lookback_rows(
     order: Sequence[str],
     back: int,
     columns: Mapping[str, WindowColumn],
-    bucket: Column,
-    hot_rows: int = HOT_ROWS,
-    hot_share: float = HOT_SHARE,
+    heat: Heat | HotKeys = Heat(),
 ) -> DataFrame:
     """Add window columns that look at most ``back`` rows behind the current one.
 
     ``order`` must be total (name a unique column last). For a hot key only the
-    first ``back`` rows of a bucket need rows of earlier buckets, and these are
-    among the last ``back`` rows of each bucket: the second window runs over
+    first ``back`` rows of a range need rows of earlier ranges, and these are
+    among the last ``back`` rows of each range: the second window runs over
     those edge rows alone.
     """
-    cold, hot = split_by_heat(df, keys, hot_rows, hot_share)
     whole = Window.partitionBy(*keys).orderBy(*ordering(order))
-    plain = cold.select("*", *[make(whole).alias(name) for name, make in columns.items()])
-
-    hot = hot.withColumn("_bucket", bucket)
-    part = Window.partitionBy(*keys, "_bucket").orderBy(*ordering(order))
-    placed = hot.withColumns(
+    plain = lambda rows: rows.select("*", *[make(whole).alias(name) for name, make in columns.items()])
+    found = heat.find(df, keys)
+    if found.table is None:
+        return plain(df)
+    cold, hot = found.split(df)
+    part = Window.partitionBy(*keys, "_range").orderBy(*ordering(order))
+    placed = found.in_ranges(hot, ordering(order)).withColumns(
         {
             "_pos": F.row_number().over(part),
-            "_size": F.count(F.lit(1)).over(Window.partitionBy(*keys, "_bucket")),
+            "_size": F.count(F.lit(1)).over(Window.partitionBy(*keys, "_range")),
         }
     )
     inner = placed.select(
         "*", *[make(part).alias(name) for name, make in columns.items()]
     ).where(F.col("_pos") > back)
     edges = placed.where((F.col("_pos") <= back) | (F.col("_pos") > F.col("_size") - back))
-    heads = edges.select(
-        "*", *[make(whole).alias(name) for name, make in columns.items()]
-    ).where(F.col("_pos") <= back)
-    split = inner.unionByName(heads).drop("_bucket", "_pos", "_size")
-    return plain.unionByName(split)
+    heads = plain(edges).where(F.col("_pos") <= back)
+    split = inner.unionByName(heads).drop("_range", "_pos", "_size")
+    return plain(cold).unionByName(split)
 
 
 def rolling_average(
@@ -79,16 +73,14 @@ def rolling_average(
     value: str,
     rows: int,
     out: str,
-    bucket: Column,
-    hot_rows: int = HOT_ROWS,
-    hot_share: float = HOT_SHARE,
+    heat: Heat | HotKeys = Heat(),
 ) -> DataFrame:
     """Average of ``value`` over the current row and the ``rows - 1`` before it."""
     back = rows - 1
     return lookback_rows(
         df, keys, order, back,
         {out: lambda w: F.avg(value).over(w.rowsBetween(-back, 0))},
-        bucket, hot_rows, hot_share,
+        heat,
     )
 
 
@@ -98,17 +90,15 @@ def previous(
     order: Sequence[str],
     value: str,
     out: str,
-    bucket: Column,
     offset: int = 1,
     default: object = None,
-    hot_rows: int = HOT_ROWS,
-    hot_share: float = HOT_SHARE,
+    heat: Heat | HotKeys = Heat(),
 ) -> DataFrame:
     """``value`` of the row ``offset`` places earlier, ``default`` where there is none."""
     return lookback_rows(
         df, keys, order, offset,
         {out: lambda w: F.lag(value, offset, default).over(w)},
-        bucket, hot_rows, hot_share,
+        heat,
     )
 
 
@@ -119,8 +109,7 @@ def range_totals(
     span: int,
     value: str,
     prefix: str = "",
-    hot_rows: int = HOT_ROWS,
-    hot_share: float = HOT_SHARE,
+    heat: Heat | HotKeys = Heat(),
 ) -> DataFrame:
     """Add ``sum``, ``count``, ``min`` and ``max`` of ``value`` over the rows of the
     key whose ``by`` lies in ``[by - span, by]``; names start with ``prefix``.
@@ -132,16 +121,19 @@ def range_totals(
     of them.
     """
     df = df.withColumn("_by", by.cast("bigint"))
-    cold, hot = split_by_heat(df, keys, hot_rows, hot_share)
     names = {kind: f"{prefix}{kind}" for kind in ("sum", "count", "min", "max")}
     frame = Window.partitionBy(*keys).orderBy("_by").rangeBetween(-span, 0)
-    plain = cold.select(
+    plain = lambda rows: rows.select(
         "*",
         F.sum(value).over(frame).alias(names["sum"]),
         F.count(value).over(frame).alias(names["count"]),
         F.min(value).over(frame).alias(names["min"]),
         F.max(value).over(frame).alias(names["max"]),
     )
+    found = heat.find(df, keys)
+    if found.table is None:
+        return plain(df).drop("_by")
+    cold, hot = found.split(df)
 
     points = hot.groupBy(*keys, "_by").agg(
         F.sum(value).alias("_sum"),
@@ -167,16 +159,15 @@ def range_totals(
     ).where(F.col("_own") == F.col("_bucket"))
     answers, match = aside(answers, [*keys, "_by"])
     split = hot.join(answers, match, "inner").select(*df.columns, *names.values())
-    return plain.unionByName(split).drop("_by")
+    return plain(cold).unionByName(split).drop("_by")
 
 
-def _offsets(sizes: DataFrame, keys: Sequence[str], counts: Mapping[str, str], descending: bool) -> DataFrame:
-    """Per bucket, the total of each count over the buckets before it."""
-    follow = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
-    earlier = Window.partitionBy(*keys).orderBy(follow).rowsBetween(Window.unboundedPreceding, -1)
+def _offsets(sizes: DataFrame, keys: Sequence[str], counts: Mapping[str, str]) -> DataFrame:
+    """Per range, the total of each count over the ranges before it."""
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     return sizes.select(
         *keys,
-        "_bucket",
+        "_range",
         *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(n) for n, c in counts.items()],
     )
 
@@ -186,26 +177,26 @@ def numbered(
     keys: Sequence[str],
     order: Sequence[str],
     out: str,
-    bucket: Column,
-    hot_rows: int = HOT_ROWS,
-    hot_share: float = HOT_SHARE,
+    heat: Heat | HotKeys = Heat(),
 ) -> DataFrame:
     """Add the row number within the key.
 
-    For a hot key the number inside a bucket is moved on by the sizes of the
-    buckets before it.
+    For a hot key the number inside a range is moved on by the sizes of the
+    ranges before it.
     """
-    cold, hot = split_by_heat(df, keys, hot_rows, hot_share)
     whole = Window.partitionBy(*keys).orderBy(*ordering(order))
+    found = heat.find(df, keys)
+    if found.table is None:
+        return df.withColumn(out, F.row_number().over(whole).cast("bigint"))
+    cold, hot = found.split(df)
     plain = cold.withColumn(out, F.row_number().over(whole).cast("bigint"))
 
-    hot = hot.withColumn("_bucket", bucket)
-    sizes = hot.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = _offsets(sizes, keys, {"_rows_before": "_n"}, order[0].startswith("-"))
-    before, match = aside(before, [*keys, "_bucket"])
-    part = Window.partitionBy(*keys, "_bucket").orderBy(*ordering(order))
+    placed = found.in_ranges(hot, ordering(order))
+    sizes = placed.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before, match = aside(_offsets(sizes, keys, {"_rows_before": "_n"}), [*keys, "_range"])
+    part = Window.partitionBy(*keys, "_range").orderBy(*ordering(order))
     split = (
-        hot.withColumn("_pos", F.row_number().over(part))
+        placed.withColumn("_pos", F.row_number().over(part))
         .join(before, match, "inner")
         .select(*df.columns, (F.col("_pos") + F.col("_rows_before")).alias(out))
     )
@@ -217,44 +208,41 @@ def ranked(
     keys: Sequence[str],
     order: Sequence[str],
     columns: Mapping[str, str],
-    bucket: Column,
-    hot_rows: int = HOT_ROWS,
-    hot_share: float = HOT_SHARE,
+    heat: Heat | HotKeys = Heat(),
 ) -> DataFrame:
     """Add ranks: ``columns`` maps an output name to ``rank``, ``dense_rank`` or ``percent_rank``.
 
     A rank depends on the order values alone, so the rows of a hot key are first
-    combined to one per distinct value with its count; ranks are found bucket by
-    bucket on those and joined back.
+    combined to one per distinct value with its count; ranks are found range by
+    range on those and joined back.
     """
-    cold, hot = split_by_heat(df, keys, hot_rows, hot_share)
     whole = Window.partitionBy(*keys).orderBy(*ordering(order))
     plain_column = {
         "rank": lambda: F.rank().over(whole).cast("bigint"),
         "dense_rank": lambda: F.dense_rank().over(whole).cast("bigint"),
         "percent_rank": lambda: F.percent_rank().over(whole),
     }
-    plain = cold.select("*", *[plain_column[kind]().alias(n) for n, kind in columns.items()])
-
-    values = (
-        hot.withColumn("_bucket", bucket)
-        .groupBy(*keys, "_bucket", *_names(order))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    sizes = values.groupBy(*keys, "_bucket").agg(
+    plain = lambda rows: rows.select("*", *[plain_column[kind]().alias(n) for n, kind in columns.items()])
+    found = heat.find(df, keys)
+    if found.table is None:
+        return plain(df)
+    cold, hot = found.split(df)
+
+    distinct = [o for o in _names(order) if o not in keys]
+    values = hot.groupBy(*keys, *distinct).agg(F.count(F.lit(1)).alias("_n"))
+    values = found.in_ranges(values, ordering(order))
+    sizes = values.groupBy(*keys, "_range").agg(
         F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_values")
     )
-    before = _offsets(
-        sizes, keys, {"_rows_before": "_rows", "_values_before": "_values"}, order[0].startswith("-")
-    )
+    before = _offsets(sizes, keys, {"_rows_before": "_rows", "_values_before": "_values"})
     totals = sizes.groupBy(*keys).agg(F.sum("_rows").alias("_total"))
     totals, same_key = aside(totals, keys)
     before = before.join(totals, same_key, "inner").select(
-        *keys, "_bucket", "_rows_before", "_values_before", "_total"
+        *keys, "_range", "_rows_before", "_values_before", "_total"
     )
-    before, match = aside(before, [*keys, "_bucket"])
+    before, match = aside(before, [*keys, "_range"])
 
-    part = Window.partitionBy(*keys, "_bucket").orderBy(*ordering(order))
+    part = Window.partitionBy(*keys, "_range").orderBy(*ordering(order))
     ahead = F.coalesce(
         F.sum("_n").over(part.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
@@ -269,12 +257,10 @@ def ranked(
             F.lit(0.0)
         ),
     }
-    ranks = placed.select(
-        *keys, *_names(order), *[split_column[kind].alias(n) for n, kind in columns.items()]
-    )
-    ranks, same_value = aside(ranks, [*keys, *[o for o in _names(order) if o not in keys]])
+    ranks = placed.select(*keys, *distinct, *[split_column[kind].alias(n) for n, kind in columns.items()])
+    ranks, same_value = aside(ranks, [*keys, *distinct])
     split = hot.join(ranks, same_value, "inner").select(*df.columns, *columns)
-    return plain.unionByName(split)
+    return plain(cold).unionByName(split)
 
 
 def running_totals(
@@ -282,52 +268,51 @@ def running_totals(
     keys: Sequence[str],
     order: Sequence[str],
     value: str,
-    bucket: Column,
     running_sum: str = "running_sum",
     running_count: str = "running_count",
     key_total: str = "key_total",
-    hot_rows: int = HOT_ROWS,
-    hot_share: float = HOT_SHARE,
+    heat: Heat | HotKeys = Heat(),
 ) -> DataFrame:
     """Add the running sum and count of ``value`` and its total over the whole key.
 
     ``order`` must be total. Frames: unbounded preceding to current row, and
     unbounded on both ends.
     """
-    cold, hot = split_by_heat(df, keys, hot_rows, hot_share)
     so_far = (
         Window.partitionBy(*keys).orderBy(*ordering(order))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    everything = Window.partitionBy(*keys)
-    plain = cold.select(
+    plain = lambda rows: rows.select(
         "*",
         F.sum(value).over(so_far).alias(running_sum),
         F.count(value).over(so_far).alias(running_count),
-        F.sum(value).over(everything).alias(key_total),
+        F.sum(value).over(Window.partitionBy(*keys)).alias(key_total),
     )
+    found = heat.find(df, keys)
+    if found.table is None:
+        return plain(df)
+    cold, hot = found.split(df)
 
-    hot = hot.withColumn("_bucket", bucket)
+    placed = found.in_ranges(hot, ordering(order))
     part = (
-        Window.partitionBy(*keys, "_bucket").orderBy(*ordering(order))
+        Window.partitionBy(*keys, "_range").orderBy(*ordering(order))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    local = hot.withColumns(
+    local = placed.withColumns(
         {"_sum": F.sum(value).over(part), "_count": F.count(value).over(part)}
     )
-    sizes = hot.groupBy(*keys, "_bucket").agg(
+    sizes = placed.groupBy(*keys, "_range").agg(
         F.sum(value).alias("_s"), F.count(value).alias("_n")
     )
-    follow = F.col("_bucket").desc() if order[0].startswith("-") else F.col("_bucket").asc()
-    earlier = Window.partitionBy(*keys).orderBy(follow).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.select(
         *keys,
-        "_bucket",
+        "_range",
         F.sum("_s").over(earlier).alias("_sum_before"),
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_count_before"),
         F.sum("_s").over(Window.partitionBy(*keys)).alias("_total"),
     )
-    before, match = aside(before, [*keys, "_bucket"])
+    before, match = aside(before, [*keys, "_range"])
     # A sum over no values is null, so add only the side that exists.
     total = F.coalesce(F.col("_sum") + F.col("_sum_before"), F.col("_sum"), F.col("_sum_before"))
     split = local.join(before, match, "inner").select(
@@ -336,7 +321,7 @@ def running_totals(
         (F.col("_count") + F.col("_count_before")).alias(running_count),
         F.col("_total").alias(key_total),
     )
-    return plain.unionByName(split)
+    return plain(cold).unionByName(split)
 
 
 def time_bucket(

@@ -6,10 +6,9 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from finflow.operators.aggregates import (
-    collect_lists, drop_duplicates_by, first_by, flat_map_groups, group_count, group_keys,
-    last_by, map_groups, reduce_groups,
+    collect_lists, drop_duplicates_by, first_and_last, flat_map_groups, group_count, group_keys,
+    map_groups, reduce_groups,
 )
-from finflow.operators.skew import aside
 from finflow.plans.inputs import GAPPY, TRANSACTIONS, gappy, steady, transactions
 from finflow.plans.registry import query
 
@@ -103,7 +102,6 @@ def _order_lists(t, **limits):
         ["o_orderdate", "o_orderkey"],
         "o_orderkey",
         "keys",
-        F.to_date("o_orderdate"),
         **limits,
     )
     return lists.select(
@@ -113,13 +111,14 @@ def _order_lists(t, **limits):
 
 @query("agg_06_collect_list", _LISTS.format(rows=100000))
 def _(t):
-    return _order_lists(t)
+    """Whole lists; one longer than a hundred thousand values would continue in a further row."""
+    return _order_lists(t, chunk_rows=100_000)
 
 
 @query("agg_06_collect_list_chunked", _LISTS.format(rows=4))
 def _(t):
-    """Lists longer than four values continue in further rows; most keys count as hot."""
-    return _order_lists(t, chunk_rows=4, hot_rows=8)
+    """Lists longer than four values continue in further rows, so most keys go in ranges."""
+    return _order_lists(t, chunk_rows=4, range_rows=1000)
 
 
 @query(
@@ -129,11 +128,7 @@ def _(t):
 )
 def _(t):
     """First and last description that is not null, in order of id."""
-    rows = gappy(t)
-    first = first_by(rows, ["account"], F.col("id"), first_known=F.col("description"))
-    last = last_by(rows, ["account"], F.col("id"), last_known=F.col("description"))
-    last, match = aside(last, ["account"])
-    return first.join(last, match).select("account", "first_known", "last_known")
+    return first_and_last(gappy(t), ["account"], F.col("id"), known=F.col("description"))
 
 
 @query("agg_08_distinct", "select distinct o_custkey, o_orderstatus from orders")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from finflow.operators.joins import (
     band_join, broadcast_join, cogroup, cross_join, outer_join, pair_join,
 )
+from finflow.operators.skew import Heat
 from finflow.plans.explain import join_strategies
 from finflow.plans.registry import query
 from finflow.sources.readers import local_table
@@ -64,7 +65,7 @@ def _(t):
 @query("jon_05_full_outer_hot_keys", _SIDES + "select * from people full join bought using (c_custkey)")
 def _(t):
     """The same with a threshold that sends most keys through the path for hot keys."""
-    return outer_join(_people(t), _bought(t), ["c_custkey"], "full", hot_rows=1)
+    return outer_join(_people(t), _bought(t), ["c_custkey"], "full", Heat(hot_rows=1))
 
 
 @query("jon_06_left_semi", _SIDES + "select * from people semi join bought using (c_custkey)")

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from finflow.operators.aggregates import collect_lists
 from finflow.operators.layout import glom, in_order, positioned, stable_sample, stable_split
-from finflow.operators.windows import numbered
 from finflow.plans.inputs import GAPPY, gappy
 from finflow.plans.registry import query
 from finflow.session import cut_lineage
@@ -308,17 +308,10 @@ def _(t):
 )
 def _(t):
     """Line items gathered per order, a thousand at most to an array, then flattened to their fields."""
-    placed = numbered(
-        t.lineitem.select("l_orderkey", "l_shipdate", "l_linenumber", "l_quantity"),
-        ["l_orderkey"],
-        ["l_shipdate", "l_linenumber"],
-        "_pos",
-        F.to_date("l_shipdate"),
-    )
-    chunk = F.floor(F.col("_pos") / 1000)
-    orders = placed.groupBy("l_orderkey", chunk.alias("chunk")).agg(
-        F.collect_list(F.struct("l_linenumber", "l_quantity")).alias("items")
+    items = t.lineitem.select(
+        "l_orderkey", "l_linenumber", "l_shipdate", F.struct("l_linenumber", "l_quantity").alias("item")
     )
+    orders = collect_lists(items, ["l_orderkey"], ["l_shipdate", "l_linenumber"], "item", "items", chunk_rows=1000)
     flat = orders.select("l_orderkey", F.explode("items").alias("item"))
     return flat.select("l_orderkey", "item.l_linenumber", F.expr("item.l_quantity as l_quantity"))
 

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from finflow.operators.windows import (
     numbered, previous, range_totals, ranked, rolling_average, running_totals, time_bucket,
 )
+from finflow.operators.skew import Heat
 from finflow.plans.inputs import TRANSACTIONS, steady, transactions
 from finflow.plans.registry import query
 
-# With these limits the busier customers take the path for hot keys.
-_LOW = {"hot_rows": 10}
+# With these limits the busier customers take the path for hot keys, in many ranges.
+_LOW = {"heat": Heat(hot_rows=10, range_rows=100)}
 
 
 BY_DATE = ["date", "id"]
@@ -30,8 +31,7 @@ _ROLLING = """
 
 def _rolling(t, **limits):
     rows = rolling_average(
-        _slim(t), ["account_number"], BY_DATE, "amount", 5, "rolling_avg",
-        F.to_date("date"), **limits,
+        _slim(t), ["account_number"], BY_DATE, "amount", 5, "rolling_avg", **limits,
     )
     return rows.select("id", "account_number", "amount", steady("rolling_avg").alias("rolling_avg"))
 
@@ -87,7 +87,7 @@ _RUNNING = """
 
 def _running(t, **limits):
     rows = running_totals(
-        _slim(t), ["account_number"], BY_DATE, "amount", F.to_date("date"), **limits
+        _slim(t), ["account_number"], BY_DATE, "amount", **limits
     )
     return rows.select(
         "id",
@@ -126,7 +126,7 @@ _STATUSES = "(select o_orderkey as id, o_custkey as customer, o_orderstatus as s
 )
 def _(t):
     rows = previous(
-        _statuses(t), ["customer"], BY_DATE, "status", "prev_status", F.to_date("date")
+        _statuses(t), ["customer"], BY_DATE, "status", "prev_status"
     )
     return rows.drop("date")
 
@@ -138,7 +138,7 @@ def _(t):
 )
 def _(t):
     rows = previous(
-        _statuses(t), ["customer"], BY_DATE, "status", "third_last", F.to_date("date"),
+        _statuses(t), ["customer"], BY_DATE, "status", "third_last",
         offset=3, default="none", **_LOW,
     )
     return rows.drop("date")
@@ -151,7 +151,7 @@ _NUMBERED = (
 
 
 def _numbered(t, **limits):
-    rows = numbered(_statuses(t), ["customer"], BY_DATE, "position", F.to_date("date"), **limits)
+    rows = numbered(_statuses(t), ["customer"], BY_DATE, "position", **limits)
     return rows.select("id", "customer", "position")
 
 
@@ -179,7 +179,7 @@ _BY_YEAR = "(select o_orderkey, o_custkey, year(o_orderdate) as year from orders
 )
 def _(t):
     rows = ranked(
-        _by_year(t), ["o_custkey"], ["-year"], {"rank": "rank"}, F.col("year")
+        _by_year(t), ["o_custkey"], ["-year"], {"rank": "rank"}
     )
     return rows.select("o_orderkey", "rank")
 
@@ -191,7 +191,7 @@ def _(t):
 )
 def _(t):
     rows = ranked(
-        _by_year(t), ["o_custkey"], ["year"], {"dense_rank": "dense_rank"}, F.col("year")
+        _by_year(t), ["o_custkey"], ["year"], {"dense_rank": "dense_rank"}
     )
     return rows.select("o_orderkey", "dense_rank")
 
@@ -203,7 +203,7 @@ def _(t):
 )
 def _(t):
     rows = ranked(
-        _by_year(t), ["o_custkey"], ["year"], {"percent_rank": "percent_rank"}, F.col("year")
+        _by_year(t), ["o_custkey"], ["year"], {"percent_rank": "percent_rank"}
     )
     return rows.select("o_orderkey", F.round("percent_rank", 6).alias("percent_rank"))
 
@@ -218,7 +218,7 @@ def _(t):
     rows = ranked(
         _by_year(t), ["o_custkey"], ["-year"],
         {"rank": "rank", "dense_rank": "dense_rank", "percent_rank": "percent_rank"},
-        F.col("year"), **_LOW,
+        **_LOW,
     )
     return rows.select(
         "o_orderkey", "rank", "dense_rank", F.round("percent_rank", 6).alias("percent_rank")

@@ -68,6 +68,13 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: every use sees the same rows."""
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """``df`` saved to the shared folder, so a lost executor costs a re-read and not a recompute."""
     context = df.sparkSession.sparkContext

@@ -14,7 +14,6 @@ from finflow.operators.transactions import (
 from finflow.schemas import (
     EVALUATED_TRANSACTION, MALFORMED_LINE, SIMPLE_TRANSACTION, TRANSACTION, TRANSACTION_FOR_AVERAGE,
 )
-from test_windows import LIMITS
 
 LINES = {
     "1,01/31/2020,A1,10.5,food": None,
@@ -154,20 +153,24 @@ def test_reduce_groups(spark, combine_rows):
     assert got == sorted(map(tuple, expected.collect()), key=str)
 
 
-@pytest.mark.parametrize("limits", LIMITS)
-def test_collect_lists_chunks_add_up(spark, limits):
+@pytest.mark.parametrize("order", [["id"], ["-id"], ["-half", "id"]])
+@pytest.mark.parametrize(("chunk_rows", "range_rows"), [(8, 5), (32, 1000), (1000, 1000)])
+def test_collect_lists_chunks_add_up(spark, order, chunk_rows, range_rows):
+    """All groups are longer than a list, some are, none is."""
     rows = spark.range(100).select(
-        (F.col("id") % 3).alias("k"),
+        F.when(F.col("id") % 4 != 0, 0).otherwise(F.col("id") % 3).alias("k"),
         F.col("id"),
+        F.floor(F.col("id") / 2).alias("half"),
         F.when(F.col("id") % 10 != 0, F.col("id")).alias("v"),
-        F.floor(F.col("id") / 7).alias("b"),
     )
-    lists = collect_lists(rows, ["k"], ["id"], "v", "vs", F.col("b"), chunk_rows=8, **limits)
     got = {}
-    for r in lists.orderBy("k", "chunk").collect():
-        assert len(r["vs"]) <= 8
+    for r in collect_lists(rows, ["k"], order, "v", "vs", chunk_rows, range_rows=range_rows).orderBy("k", "chunk").collect():
+        assert len(r["vs"]) <= chunk_rows
         got.setdefault(r["k"], []).extend(r["vs"])
-    assert got == {k: [v for v in range(100) if v % 3 == k and v % 10] for k in range(3)}
+    place = {"id": lambda i: i, "-id": lambda i: -i, "-half": lambda i: (-(i // 2), i)}[order[0]]
+    assert got == {
+        k: sorted((v for v in range(100) if v % 10 and (0 if v % 4 else v % 3) == k), key=place) for k in range(3)
+    }
 
 
 def test_flat_map_groups_keeps_the_null_group(spark):
