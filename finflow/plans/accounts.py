@@ -13,8 +13,9 @@ from finflow.streaming.fraud import fraud_on_table, run_fraud_stream
 from finflow.streaming.run import run_available, to_batches, to_files
 from finflow.streaming.sources import read_stream, replay, stream_lines, stream_table
 from finflow.streaming.state import (
-    KEY, StateTable, advance_state, empty_state, keep_state, last_window_end, track_active, window_totals,
+    KEY, StateTable, advance_state, empty_state, keep_state, last_window_end, window_totals,
 )
+from finflow.streaming.tracked import active_totals, state_snapshot, track_active
 from finflow.streaming.windows import with_event_time
 
 LENGTH = "30 days"
@@ -183,6 +184,14 @@ def _(t):
     return _shown(table.read())
 
 
+def _event_payments(events):
+    return events.select(
+        F.col("user_id").cast("string").alias(KEY),
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.col("value").alias("amount"),
+    )
+
+
 @query(
     "stm_20_state_of_active_accounts",
     """with w as (select user_id::varchar as account_number, sum(value) as s, count(*) as n,
@@ -192,27 +201,87 @@ def _(t):
        from w group by account_number""",
 )
 def _(t):
-    """Per-account state in Spark's state store, events in four micro-batches of any order."""
+    """Totals of accounts with news, events in four micro-batches in order of time: a native streaming aggregate."""
     out = work_folder(t.spark, "tracked")
-    files = replay(t.events.select("user_id", "ts", "value"), f"{out}/files", 4)
-    stream = stream_table(t.spark, f"{out}/files", files).select(
-        F.col("user_id").cast("string").alias(KEY),
-        F.col("ts").cast("timestamp").alias("ts"),
-        F.col("value").alias("amount"),
+    files = replay(t.events.select("user_id", "ts", "value"), f"{out}/files", 4, "ts")
+    stream = with_event_time(_event_payments(stream_table(t.spark, f"{out}/files", files)), "ts")
+
+    def save(batch, batch_id):
+        upsert_batch(batch, batch_id, f"{out}/table", [KEY, "window_start"])
+
+    run_available(to_batches(active_totals(stream, "ts", "1 day"), save, "update"), f"{out}/checkpoint")
+    return read_upserted(t.spark, f"{out}/table", [KEY, "window_start"]).groupBy(KEY).agg(
+        F.round(F.sum("spent"), 2).alias("total_spending"),
+        F.sum("n").alias("num_tx"),
+        steady(F.max_by(F.col("spent") / F.col("n"), "window_start")).alias("window_avg"),
     )
 
+
+SEEDED_TO = "2024-01-12"
+PATIENCE = "2 days"
+
+
+def _run_seeded(t):
+    """Events from ``SEEDED_TO`` on, in five micro-batches in order of time, on state seeded with those before."""
+    out = work_folder(t.spark, "seeded")
+    events, start = t.events.select("user_id", "ts", "value"), F.lit(SEEDED_TO).cast("timestamp_ntz")
+    past = _event_payments(events.where(F.col("ts") < start)).groupBy(KEY).agg(
+        F.sum("amount").alias("total_spending"), F.count("amount").alias("num_tx"), F.max("ts").alias("last_seen")
+    )
+    past.write.parquet(f"{out}/seeds")
+    files = replay(events.where(F.col("ts") >= start), f"{out}/files", 5, "ts")
+    stream = _event_payments(stream_table(t.spark, f"{out}/files", files))
+    tracked = track_active(stream, "ts", "1 day", PATIENCE, stream_table(t.spark, f"{out}/seeds"))
+
     def save(batch, batch_id):
         upsert_batch(batch, batch_id, f"{out}/table", [KEY])
 
-    run_available(to_batches(track_active(stream, "ts", "1 day"), save, "update"), f"{out}/checkpoint")
-    return read_upserted(t.spark, f"{out}/table", [KEY]).select(
+    run_available(to_batches(tracked, save, "update"), f"{out}/checkpoint")
+    return out
+
+
+def _shown_tracked(states):
+    return states.select(
         KEY,
         F.round("total_spending", 2).alias("total_spending"),
         "num_tx",
         steady("window_avg").alias("window_avg"),
+        F.col("last_seen").cast("timestamp_ntz").alias("last_seen"),
     )
 
 
+_SEEDED = f"""
+    with marks as (select user_id::varchar as account_number, ts, value as s, 1 as n,
+                          time_bucket(interval 1 day, ts, timestamp '1970-01-01') as start
+                   from events where ts >= timestamp '{SEEDED_TO}'
+                   union all
+                   select user_id::varchar, max(ts), sum(value), count(*), null
+                   from events where ts < timestamp '{SEEDED_TO}' group by 1),
+         gaps as (select *, ts - lag(ts) over w > interval {PATIENCE} as fresh from marks
+                  window w as (partition by account_number order by ts)),
+         lives as (select *, sum(coalesce(fresh, false)::integer) over (partition by account_number order by ts) as life
+                   from gaps),
+         last_life as (select * from lives qualify life = max(life) over (partition by account_number)),
+         newest as (select *, max(start) over (partition by account_number) as newest from last_life)
+    select account_number, round(sum(s), 2) as total_spending, sum(n)::bigint as num_tx,
+           round(coalesce(avg(s) filter (start = newest), 0) + 1e-6, 4) as window_avg, max(ts) as last_seen
+    from newest group by account_number
+    having max(ts) >= (select max(ts) from events) - interval {PATIENCE} - interval 10 seconds"""
+
+
+@query("stm_20_seeded_state_with_timeout", _SEEDED)
+def _(t):
+    """Python state with event-time timers: seeds are where accounts start, two idle days where they end."""
+    table = read_upserted(t.spark, f"{_run_seeded(t)}/table", [KEY])
+    return _shown_tracked(table.where("not expired"))
+
+
+@query("stm_21_snapshot_from_state_store", _SEEDED)
+def _(t):
+    """The same states, read out of the state store the stream left in its checkpoint."""
+    return _shown_tracked(state_snapshot(t.spark, f"{_run_seeded(t)}/checkpoint"))
+
+
 @query(
     "udf_04_custom_state_function",
     """with w as (select o_custkey::varchar as account_number, sum(o_totalprice) as s, count(*) as n,
@@ -231,12 +300,7 @@ def _(t):
         upsert_batch(batch, batch_id, f"{out}/table", [KEY])
 
     run_available(to_batches(track_active(stream, "ts", LENGTH), save, "update"), f"{out}/checkpoint")
-    return read_upserted(t.spark, f"{out}/table", [KEY]).select(
-        KEY,
-        F.round("total_spending", 2).alias("total_spending"),
-        "num_tx",
-        steady("window_avg").alias("window_avg"),
-    )
+    return _shown_tracked(read_upserted(t.spark, f"{out}/table", [KEY])).drop("last_seen")
 
 
 @query(

@@ -10,13 +10,13 @@ from finflow.operators.transactions import (
 )
 from finflow.streaming.run import run_available, to_batches
 from finflow.streaming.state import (
-    KEY, StateTable, advance_state, keep_state, last_window_end, window_totals,
+    KEY, StateTable, keep_state, last_window_end, list_windows, state_intervals, window_totals,
 )
 from finflow.streaming.windows import with_event_time
 
 
 def red_flags(states: DataFrame, history: DataFrame, margin: float = RED_FLAG_MARGIN) -> DataFrame:
-    """State rows whose average, overall or of the window, is far above the account's history.
+    """Runs of state whose average, overall or of the window, is far above the account's history.
 
     ``history`` holds ``account_number`` and ``average_transaction``; accounts
     without history are not judged.
@@ -63,7 +63,11 @@ def fraud_on_table(
     transactions: DataFrame, history: DataFrame, state: DataFrame, length: str, time: str = "ts",
     margin: float = RED_FLAG_MARGIN,
 ) -> DataFrame:
-    """The same flags for a table of transactions, every window taken as closed."""
+    """The same flags for a table of transactions, every window taken as closed.
+
+    Flags are tested by run of equal state; only the flagged runs are listed window by window.
+    """
     totals = window_totals(transactions, time, length)
     upto = last_window_end(transactions, time, length)
-    return red_flags(advance_state(state, totals, length, upto), history, margin)
+    flagged = red_flags(state_intervals(state, totals, length, upto), history, margin)
+    return list_windows(flagged, length)

@@ -60,13 +60,26 @@ def stream_queue(spark: SparkSession, servers: str, topics: str, **options: obje
     )
 
 
-def replay(df: DataFrame, path: str, batches: int) -> int:
+def replay(df: DataFrame, path: str, batches: int, order: str | None = None) -> int:
     """Write ``df`` to be streamed in ``batches`` micro-batches; returns the files of each.
 
     There are as many files as the session shuffles partitions, rounded up to
-    fill the batches, so a batch is read by many tasks.
+    fill the batches, so a batch is read by many tasks. With ``order``, a time column, the
+    batches follow each other in time, each about as large as the others; rows
+    without a time are in the first.
     """
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     files_per_batch = -(-tasks // batches)
-    df.repartition(batches * files_per_batch).write.mode("append").parquet(path)
+    if order is None:
+        df.repartition(batches * files_per_batch).write.mode("append").parquet(path)
+        return files_per_batch
+    at = F.unix_micros(F.col(order).cast("timestamp")).cast("double")
+    cuts = df.select(at.alias("at")).approxQuantile("at", [i / batches for i in range(1, batches)], 0.01)
+    bounds = [None, *sorted(set(cuts)), None]
+    for low, high in zip(bounds, bounds[1:]):
+        inside = F.lit(True) if low is None else at >= low
+        if high is not None:
+            inside = inside & (at < high)
+        part = df.where(inside | at.isNull() if low is None else inside)
+        part.repartition(files_per_batch).write.mode("append").parquet(path)
     return files_per_batch

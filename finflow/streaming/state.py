@@ -1,19 +1,15 @@
 """Running state per account.
 
-Two forms. ``advance_state`` visits every known account in every window, active
-or not, in native expressions over a state table; ``track_active`` runs a
-Python function for the accounts that have news, on Spark's own state store.
+``state_intervals`` says the state of every known account in every window, active
+or not, as runs of equal state over a state table, in native expressions. For
+state that is touched only by accounts with news see ``tracked``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import LongType, StructType
 
 from finflow.schemas import ACCOUNT_STATE
@@ -49,7 +45,7 @@ def empty_state(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], ACCOUNT_STATE)
 
 
-def advance_state(
+def state_intervals(
     state: DataFrame,
     totals: DataFrame,
     length: str,
@@ -57,85 +53,107 @@ def advance_state(
     timeout: str | None = None,
     first: Column | None = None,
 ) -> DataFrame:
-    """State of every known account after each window up to the one ending at ``upto``.
+    """State of every known account up to the window that ends at ``upto``, as runs of equal state.
+
+    A run is one row: the state columns, and the ends of its first and last window
+    (``first_end``, ``last_end``). An account's state changes only in windows with
+    transactions; between them one run says the totals of all idle windows, whose
+    average is 0. So there are at most two rows for a row of the input, however many
+    windows lie between, and one sort of them by account finds all.
 
     ``state`` holds one row per account as of an earlier window (``ACCOUNT_STATE``),
-    ``totals`` the window totals since then. An account without transactions in a
-    window keeps its totals and gets the window average 0. With ``timeout`` an
-    account idle for longer than that is forgotten, and starts anew if it returns.
-    A state row without ``window_end`` (an initial state) is first visited in the
-    window that ends at ``first``, or else only at ``upto``.
-
-    Both inputs are shuffled once, by account, before the windows are listed.
-    Per account a task holds one entry per window, never single transactions.
+    ``totals`` the window totals since then. With ``timeout`` an account idle for
+    longer than that is forgotten, and starts anew if it returns. A state row without
+    ``window_end`` (an initial state) is first visited in the window that ends at
+    ``first``, or else only at ``upto``.
     """
-    step = F.expr(f"interval {length}")
-    # One grouping of state and news together: unlike a full join it leaves the
-    # rows partitioned by account, so the windows below shuffle nothing.
-    news = totals.select(KEY, F.struct("window_end", F.struct("spent", "n").alias("now")).alias("_entry"))
-    old = state.select(
+    micros = lambda time: F.unix_micros(time.cast("timestamp"))
+    span = lambda text: micros(F.lit("1970-01-01 00:00:00").cast("timestamp") + F.expr(f"interval {text}"))
+    step, end = span(length), micros(upto)
+    # What is known of an account comes before its news; both as microseconds.
+    since = F.coalesce(F.col("window_end"), upto - F.expr(f"interval {length}") if first is None else first - F.expr(f"interval {length}"))
+    known = state.select(
         KEY,
-        F.col("total_spending").alias("_total"),
-        F.col("num_tx").alias("_n"),
-        F.col("window_end").alias("_since"),
-        F.col("last_seen").alias("_seen"),
+        F.lit(0).alias("_kind"),
+        micros(since).alias("_at"),
+        F.coalesce("total_spending", F.lit(0.0)).alias("_base"),
+        F.coalesce("num_tx", F.lit(0)).cast("bigint").alias("_base_n"),
+        micros(F.col("last_seen")).alias("_seen"),
+        F.lit(None).cast("double").alias("_spent"),
+        F.lit(0).cast("bigint").alias("_n"),
     )
-    accounts = (
-        old.unionByName(news, allowMissingColumns=True)
-        .groupBy(KEY)
-        .agg(
-            *[F.max(c).alias(c) for c in ("_total", "_n", "_since", "_seen")],
-            F.map_from_entries(F.collect_list("_entry")).alias("_news"),
-            F.min("_entry.window_end").alias("_first"),
-        )
-    )
-    seeded = F.col("_total").isNotNull() & F.col("_since").isNull()
-    begin = F.when(seeded, upto if first is None else first).otherwise(
-        F.coalesce(F.col("_since") + step, F.col("_first"))
+    news = totals.where(F.col("window_end") <= upto).select(
+        KEY,
+        F.lit(1).alias("_kind"),
+        micros(F.col("window_end")).alias("_at"),
+        F.lit(None).cast("double").alias("_base"),
+        F.lit(None).cast("bigint").alias("_base_n"),
+        micros(F.col("window_end")).alias("_seen"),
+        F.coalesce("spent", F.lit(0.0)).alias("_spent"),
+        F.col("n").cast("bigint").alias("_n"),
     )
-    grid = (
-        accounts.select("*", begin.alias("_begin"), upto.alias("_upto"))
-        .where(F.col("_begin") <= F.col("_upto"))
-        .select("*", F.explode(F.sequence("_begin", "_upto", step)).alias("window_end"))
-        .select("*", F.try_element_at("_news", F.col("window_end")).alias("_now"))
+    in_order = Window.partitionBy(KEY).orderBy("_kind", "_at")
+    marks = known.unionByName(news).select(
+        "*",
+        F.coalesce(F.lead("_at").over(in_order) - step, end).alias("_until"),
+        F.lag("_seen").over(in_order).alias("_before"),
+        F.first("_base").over(in_order).alias("_from"),
+        F.first("_base_n").over(in_order).alias("_from_n"),
     )
-
-    by_window = Window.partitionBy(KEY).orderBy("window_end")
-    earlier = by_window.rowsBetween(Window.unboundedPreceding, -1)
-    active_end = F.when(F.col("_now").isNotNull(), F.col("window_end"))
-    grid = grid.withColumns(
-        {
-            "_before": F.coalesce(F.last(active_end, ignorenulls=True).over(earlier), F.col("_seen")),
-        }
-    ).withColumn("last_seen", F.coalesce(active_end, F.col("_before")))
-
     life = F.lit(0)
     if timeout is not None:
-        patience = F.expr(f"interval {timeout}")
-        returns = F.col("_now").isNotNull() & (F.col("window_end") - step - patience > F.col("_before"))
-        grid = grid.withColumn("_returns", F.when(returns, 1).otherwise(0))
-        life = F.sum("_returns").over(by_window)
-    grid = grid.withColumn("_life", life)
-
+        patience = span(timeout)
+        returns = (F.col("_kind") == 1) & (F.col("_at") - step - patience > F.col("_before"))
+        marks = marks.withColumn("_returns", F.when(returns, 1).otherwise(0))
+        marks = marks.withColumn("_until", F.least("_until", F.col("_seen") + patience))
+        life = F.sum("_returns").over(in_order)
+    marks = marks.withColumn("_life", life)
     lived = (
-        Window.partitionBy(KEY, "_life").orderBy("window_end")
+        Window.partitionBy(KEY, "_life").orderBy("_kind", "_at")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    spent, n = F.coalesce("_now.spent", F.lit(0.0)), F.coalesce("_now.n", F.lit(0))
     carried = F.col("_life") == 0
-    rows = grid.select(
-        KEY,
-        (F.sum(spent).over(lived) + F.when(carried, F.coalesce("_total", F.lit(0.0))).otherwise(0.0))
+    marks = marks.select(
+        KEY, "_kind", "_at", "_until", "_seen", "_spent", "_n",
+        (F.coalesce(F.sum("_spent").over(lived), F.lit(0.0)) + F.when(carried, F.coalesce("_from", F.lit(0.0))).otherwise(0.0))
         .alias("total_spending"),
-        (F.sum(n).over(lived) + F.when(carried, F.coalesce("_n", F.lit(0))).otherwise(0))
-        .alias("num_tx"),
-        F.when(n > 0, spent / n).otherwise(F.lit(0.0)).alias("window_avg"),
-        "window_end",
-        "last_seen",
+        (F.sum("_n").over(lived) + F.when(carried, F.coalesce("_from_n", F.lit(0))).otherwise(0)).alias("num_tx"),
     )
-    if timeout is not None:
-        rows = rows.where(F.col("window_end") - F.expr(f"interval {timeout}") <= F.col("last_seen"))
-    return rows
+    # A window with transactions, then the idle ones up to the next.
+    run = lambda begin, until, average: F.struct(begin.alias("begin"), until.alias("until"), average.alias("window_avg"))
+    idle = run(F.col("_at") + step, F.col("_until"), F.lit(0.0))
+    average = F.when(F.col("_n") > 0, F.col("_spent") / F.col("_n")).otherwise(F.lit(0.0))
+    active = run(F.col("_at"), F.col("_at"), average)
+    runs = marks.select("*", F.explode(F.when(F.col("_kind") == 1, F.array(active, idle)).otherwise(F.array(idle))).alias("_run"))
+    windows = F.floor((F.col("_run.until") - F.col("_run.begin")) / step)
+    return runs.where(F.col("_run.begin") <= F.col("_run.until")).select(
+        KEY, "total_spending", "num_tx", "_run.window_avg",
+        F.timestamp_micros("_run.begin").alias("first_end"),
+        F.timestamp_micros(F.col("_run.begin") + windows * step).alias("last_end"),
+        F.timestamp_micros("_seen").alias("last_seen"),
+    )
+
+
+def list_windows(intervals: DataFrame, length: str) -> DataFrame:
+    """Each run of ``state_intervals`` as one row per window, with ``window_end``."""
+    ends = F.explode(F.sequence("first_end", "last_end", F.expr(f"interval {length}")))
+    return intervals.select("*", ends.alias("window_end")).select(*ACCOUNT_STATE.names)
+
+
+def advance_state(
+    state: DataFrame,
+    totals: DataFrame,
+    length: str,
+    upto: Column,
+    timeout: str | None = None,
+    first: Column | None = None,
+) -> DataFrame:
+    """State of every known account after each window up to the one ending at ``upto``.
+
+    The runs of ``state_intervals``, listed. Whoever asks for a few windows or accounts
+    only should filter the runs first.
+    """
+    return list_windows(state_intervals(state, totals, length, upto, timeout, first), length)
 
 
 class StateTable:
@@ -203,8 +221,9 @@ def keep_state(
 ):
     """Handler for a stream of closed ``window_totals``: advances ``table`` batch by batch.
 
-    ``evaluate`` maps the state rows of the new windows to what is written to
-    ``output``, one folder per batch.
+    The state after each new window goes to ``output``, one folder per batch;
+    ``evaluate`` may choose among the runs (``state_intervals``) before their windows
+    are listed.
     """
 
     def handle(totals: DataFrame, batch_id: int) -> None:
@@ -217,66 +236,17 @@ def keep_state(
                 return
             begin, end = F.lit(first).cast("timestamp"), F.lit(last).cast("timestamp")
             known = table.locate(before=batch_id)
-            rows = advance_state(table.read(known), totals, length, end, timeout, begin).persist()
+            runs = state_intervals(table.read(known), totals, length, end, timeout, begin).persist()
             try:
-                table.write(rows.where(F.col("window_end") == end), batch_id, known)
+                last_runs = runs.where((F.col("first_end") <= end) & (end <= F.col("last_end")))
+                table.write(last_runs.withColumn("window_end", end), batch_id, known)
                 if output is not None:
-                    result = evaluate(rows) if evaluate else rows
-                    result.write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
+                    chosen = evaluate(runs) if evaluate else runs
+                    listed = list_windows(chosen, length)
+                    listed.write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
             finally:
-                rows.unpersist()
+                runs.unpersist()
         finally:
             totals.unpersist()
 
     return handle
-
-
-_PARTIAL = f"{KEY} string, window_start timestamp, spent double, n bigint"
-_TRACKED = f"{KEY} string, total_spending double, num_tx bigint, window_avg double"
-_TRACKED_NAMES = [KEY, "total_spending", "num_tx", "window_avg"]
-_TRACKED_STATE = "total double, n bigint, window_start bigint, window_sum double, window_n bigint"
-
-
-def _sum_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Totals per account and window of each Arrow batch, ahead of the shuffle."""
-    for rows in batches:
-        sums = rows.groupby([KEY, "window_start"], as_index=False, dropna=False).agg(
-            spent=("amount", "sum"), n=("amount", "count")
-        )
-        yield sums[[KEY, "window_start", "spent", "n"]]
-
-
-def _track(key, partials: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    if state.hasTimedOut:
-        state.remove()
-        return
-    total, n, start, window_sum, window_n = state.get if state.exists else (0.0, 0, -(2**62), 0.0, 0)
-    for rows in partials:
-        spent, counts = rows["spent"].to_numpy(), rows["n"].to_numpy()
-        starts = rows["window_start"].to_numpy().astype("datetime64[us]").astype("int64")
-        total += float(spent.sum())
-        n += int(counts.sum())
-        newest = int(starts.max())
-        if newest > start:
-            start, window_sum, window_n = newest, 0.0, 0
-        window_sum += float(spent[starts == start].sum())
-        window_n += int(counts[starts == start].sum())
-    state.update((total, n, start, window_sum, window_n))
-    average = window_sum / window_n if window_n else 0.0
-    yield pd.DataFrame([(key[0], total, n, average)], columns=_TRACKED_NAMES)
-
-
-def track_active(stream: DataFrame, time: str, length: str) -> DataFrame:
-    """Updated totals of the accounts with news, one row per account and micro-batch.
-
-    ``window_avg`` is the average of the newest window the account was active
-    in. Transactions are summed per Arrow batch before the shuffle, so a busy
-    account sends a few rows to its task rather than all of its transactions.
-    """
-    windowed = stream.select(
-        KEY, F.window(time, length)["start"].alias("window_start"), "amount"
-    )
-    partial = windowed.mapInPandas(_sum_batches, _PARTIAL)
-    return partial.groupBy(KEY).applyInPandasWithState(
-        _track, _TRACKED, _TRACKED_STATE, "update", GroupStateTimeout.NoTimeout
-    )

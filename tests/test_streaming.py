@@ -11,8 +11,9 @@ from finflow.streaming.monitor import ProgressLog, describe, progress_table
 from finflow.streaming.run import batch_folder, finish, run_available, start, to_batches, to_files
 from finflow.streaming.sources import read_stream, replay, stream_lines, stream_queue, stream_table
 from finflow.streaming.state import (
-    KEY, StateTable, advance_state, empty_state, keep_state, window_totals,
+    KEY, StateTable, advance_state, empty_state, keep_state, list_windows, state_intervals, window_totals,
 )
+from finflow.streaming.tracked import active_totals, state_snapshot, track_active
 from finflow.streaming.windows import window_counts, with_event_time
 
 
@@ -73,6 +74,77 @@ def test_initial_state_is_visited_from_the_first_window(spark):
     assert got[("s", 2)] == (7.0, 1, 0.0) and got[("s", 3)] == (8.0, 2, 1.0)
 
 
+def test_runs_of_equal_state(spark):
+    """Two transactions a million windows apart are three runs; a busy account has one per window."""
+    begin = datetime.datetime(2024, 1, 1)
+    late = begin + datetime.timedelta(seconds=1_000_000)
+    news = totals(spark, ("a", begin, 10.0, 2), ("a", late, 3.0, 1), ("b", late, 4.0, 1))
+    seed = spark.createDataFrame([("s", 7.0, 1, 0.5, begin, begin)], empty_state(spark).schema)
+    runs = state_intervals(seed, news, "1 second", F.lit(late))
+    got = sorted((r[KEY], r["total_spending"], r["num_tx"], r["window_avg"], r["first_end"], r["last_end"]) for r in runs.collect())
+    second = datetime.timedelta(seconds=1)
+    assert got == [
+        ("a", 10.0, 2, 0.0, begin + second, late - second), ("a", 10.0, 2, 5.0, begin, begin), ("a", 13.0, 3, 3.0, late, late),
+        ("b", 4.0, 1, 4.0, late, late), ("s", 7.0, 1, 0.0, begin + second, late),
+    ]
+    assert list_windows(runs, "1 second").count() == 2 * 1_000_000 + 2
+    forgotten = state_intervals(seed, news, "1 second", F.lit(late), "10 seconds").collect()
+    assert sorted((r[KEY], r["num_tx"], (r["last_end"] - r["first_end"]).seconds) for r in forgotten) == [
+        ("a", 1, 0), ("a", 2, 0), ("a", 2, 9), ("b", 1, 0), ("s", 1, 9)
+    ]
+
+
+def test_a_million_active_windows_of_one_account(spark):
+    """Linear: a few seconds for what a lookup per window in a list of all windows would not finish."""
+    news = spark.range(1_000_000).select(
+        F.lit("a").alias(KEY), F.timestamp_seconds(F.col("id") * 2).alias("window_end"), F.lit(1.0).alias("spent"), F.lit(1).cast("bigint").alias("n")
+    )
+    upto = F.lit("1970-01-24 03:33:18").cast("timestamp")
+    runs = state_intervals(empty_state(spark), news, "1 second", upto)
+    assert runs.agg(F.count(F.lit(1)), F.max("num_tx"), F.max("last_end")).first()[:2] == (1_999_999, 1_000_000)
+
+
+def test_tracked_state_seeds_and_timers(spark, tmp_path):
+    """Key by key: one idles out, one returns anew, one goes on from its seed, one only has a seed."""
+    def arrive(*rows):
+        schema = f"{KEY} string, ts timestamp, amount double"
+        spark.createDataFrame([(k, at(0) + datetime.timedelta(hours=h), x) for k, h, x in rows], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+
+    seeds = [("seeded", 100.0, 4, at(0)), ("only seed", 7.0, 1, at(1)), ("late seed", 9.0, 1, at(0)), ("lasting seed", 1.0, 1, at(0) + datetime.timedelta(hours=47))]
+    spark.createDataFrame(seeds, f"{KEY} string, total_spending double, num_tx bigint, last_seen timestamp").write.parquet(f"{tmp_path}/seeds")
+    arrive(("idle", 1, 5.0), ("back", 2, 6.0), ("back", 3, 1.0), ("seeded", 5, 1.0))
+    arrive(("busy", 30, 1.0), ("back", 31, 2.0))
+    arrive(("busy", 50, 1.0), ("late seed", 51, 2.0), ("back", 54, 8.0))
+    arrive(("busy", 70, 1.0), ("busy", 71, 3.0))
+    stream = stream_table(spark, f"{tmp_path}/in", 1)
+    tracked = track_active(stream, "ts", "1 hour", "24 hours", stream_table(spark, f"{tmp_path}/seeds"))
+    rows = []
+    run_available(to_batches(tracked, lambda batch, i: rows.extend((i, *r) for r in batch.collect()), "update"), f"{tmp_path}/checkpoint")
+    ended = {r[1]: r[2:4] for r in rows if r[6]}
+    assert ended == {"idle": (5.0, 1), "only seed": (7.0, 1), "seeded": (101.0, 5)}
+    newest = {r[1]: (r[2], r[3], r[4], r[6]) for r in sorted(rows)}
+    assert newest["back"] == (10.0, 2, 8.0, False)
+    assert newest["busy"] == (6.0, 4, 3.0, False) and newest["late seed"][:2] == (2.0, 1)
+    alive = {k: v for k, v in newest.items() if not v[3]}
+    held = {r[KEY]: (r["total_spending"], r["num_tx"], r["window_avg"], False) for r in state_snapshot(spark, f"{tmp_path}/checkpoint").collect()}
+    assert held == alive and "lasting seed" in held
+    with pytest.raises(ValueError, match="shorter"):
+        track_active(stream, "ts", "2 hours", "1 hour")
+
+
+def test_active_totals_forget_closed_windows(spark, tmp_path):
+    rows = [("a", at(1), 1.0), ("a", at(1), 2.0), ("a", at(5), 4.0), ("b", at(9), 8.0), (None, at(9), 16.0)]
+    table = spark.createDataFrame(rows, f"{KEY} string, ts timestamp, amount double")
+    files = replay(table, f"{tmp_path}/in", 3, "ts")
+    stream = with_event_time(stream_table(spark, f"{tmp_path}/in", files), "ts")
+    got = {}
+    run_available(
+        to_batches(active_totals(stream, "ts", "1 hour"), lambda b, i: got.update({(r[0], r[1].hour): r[2:] for r in b.collect()}), "update"),
+        f"{tmp_path}/checkpoint",
+    )
+    assert got == {("a", 1): (3.0, 2), ("a", 5): (4.0, 1), ("b", 9): (8.0, 1), (None, 9): (16.0, 1)}
+
+
 def test_repeated_batch_changes_nothing(spark, tmp_path):
     table = StateTable(spark, str(tmp_path / "state"), partitions=2)
     handle = keep_state(table, "1 hour", output=str(tmp_path / "out"))
