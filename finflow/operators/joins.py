@@ -8,6 +8,7 @@ nulls; ``outer_join`` covers these.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import replace
 from functools import reduce
@@ -27,6 +28,9 @@ OUTER_NAMES = {
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 
+# Values beyond this share the outermost cells of a band join.
+_FARTHEST = 1e300
+
 _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -130,14 +134,25 @@ def pair_join(
 
 
 def cross_join(left: DataFrame, right: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Every combination of rows, for a ``right`` that measures at most ``max_bytes``.
+    """Every combination of rows.
 
-    There is no other way to compute a larger product than to write it all
-    out, so this asks for a keyed join instead.
+    A ``right`` that measures at most ``max_bytes`` goes to every task. Otherwise both
+    sides are cut by hash into blocks of about that size, and every pair of blocks is one
+    group of an equi join: each task holds two blocks, and a row travels once for each
+    block of the other side, the least that a product of that size allows. Equal rows
+    are in one block. The measuring jobs run when the join is built.
     """
-    if not fits_in_broadcast(right, max_bytes):
-        raise ValueError(f"cross join: right side is over {max_bytes} bytes, join on a key or a band")
-    return left.crossJoin(F.broadcast(right))
+    size = lambda df: df.agg(measured_bytes(df).alias("size")).first()["size"] or 0
+    right_bytes = size(right)
+    if right_bytes <= max_bytes:
+        return left.crossJoin(F.broadcast(right))
+    rows, columns = (max(1, math.ceil(n / max_bytes)) for n in (size(left), right_bytes))
+    block = lambda df, blocks: F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(blocks)).cast("int")
+    all_of = lambda blocks: F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    one = left.select("*", block(left, rows).alias("_row"), all_of(columns).alias("_column"))
+    two = right.select("*", all_of(rows).alias("_other_row"), block(right, columns).alias("_other_column"))
+    met = one.join(two, (F.col("_row") == F.col("_other_row")) & (F.col("_column") == F.col("_other_column")))
+    return met.drop("_row", "_column", "_other_row", "_other_column")
 
 
 def band_join(
@@ -146,25 +161,53 @@ def band_join(
     value: str,
     low: str,
     high: str,
-    width: float,
+    width: float | None = None,
     extra: Column | None = None,
 ) -> DataFrame:
-    """Rows with ``low <= value < high``: a theta join given an equi key.
-
-    Each right row is listed under the cells of ``width`` its band touches, so
-    the join is on the cell and each pair meets in exactly one cell. Choose
-    ``width`` near the usual width of a band.
+    """Rows with ``low <= value < high``: a theta join given an equi key, for bands of any width.
+
+    The line of values is cut into cells on levels, each level twice as wide as the one
+    below. A band is listed on the level where cells are as long as it is, or at most twice,
+    so in two cells at most; a value is listed in its one cell of each level that bands are on.
+    A pair meets in exactly one cell. Bands with an infinite end are first cut to the
+    range of the values. ``width`` says the finest cells: narrower bands use them too, which
+    saves levels. Two aggregations run when the join is built: the range of the values,
+    and the levels in use (as many as doublings between the narrowest and the widest band).
+    Values and ends that are null or not a number match nothing.
     """
-    cells = F.sequence(
-        F.floor(F.col(low) / F.lit(width)).cast("long"),
-        F.floor(F.col(high) / F.lit(width)).cast("long"),
-    )
-    listed = right.where(F.col(low) < F.col(high)).withColumn("_cell", F.explode(cells))
-    placed = left.withColumn("_cell", F.floor(F.col(value) / F.lit(width)).cast("long"))
+    numbers = lambda c: F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    at = F.col(value).cast("double")
+    finite = left.where(numbers(value))
+    ends = finite.agg(F.min(at).alias("least"), F.max(at).alias("most")).first()
+    if ends["least"] is None:
+        return left.limit(0).crossJoin(F.broadcast(right.limit(0)))
+    # What decides the cells; the condition itself compares the columns as they are.
+    near = lambda x: F.greatest(F.least(x, F.lit(_FARTHEST)), F.lit(-_FARTHEST))
+    begin = near(F.greatest(F.col(low).cast("double"), F.lit(ends["least"])))
+    end = near(F.least(F.col(high).cast("double"), F.lit(ends["most"])))
+    bands = right.where(numbers(low) & numbers(high) & (F.col(low) < F.col(high)))
+    bands = bands.where((F.col(low).cast("double") <= ends["most"]) & (F.col(high).cast("double") > ends["least"]))
+    least = -1074 if width is None else math.floor(math.log2(width))
+    # A band that touches one value only has no length of its own.
+    level = F.when(end > begin, F.ceil(F.log2(end - begin))).otherwise(F.lit(least)).cast("int")
+    # Cells are never finer than doubles of that size are apart, or numbers of cells would not be exact.
+    reach = F.greatest(F.abs(begin), F.abs(end))
+    spacing = F.when(reach > 0, F.ceil(F.log2(reach)) - 50).otherwise(F.lit(-1074)).cast("int")
+    levelled = bands.withColumn("_level", F.greatest(level, spacing, F.lit(least)))
+    levels = [r[0] for r in levelled.select("_level").distinct().collect()]
+
+    def cell(x: Column, level: Column) -> Column:
+        return F.floor(x / F.pow(F.lit(2.0), level))
+
+    first, last = cell(begin, F.col("_level")), cell(end, F.col("_level"))
+    listed = levelled.withColumn("_cell", F.explode(F.sequence(first, last)))
+    placed = finite.withColumn("_of_level", F.explode(F.array(*[F.lit(n) for n in sorted(levels)]).cast("array<int>")))
+    placed = placed.withColumn("_of_cell", cell(near(at), F.col("_of_level")))
     inside = (F.col(value) >= F.col(low)) & (F.col(value) < F.col(high))
     if extra is not None:
         inside = inside & extra
-    return placed.join(listed, "_cell", "inner").where(inside).drop("_cell")
+    same_cell = (F.col("_of_level") == F.col("_level")) & (F.col("_of_cell") == F.col("_cell"))
+    return placed.join(listed, same_cell & inside, "inner").drop("_of_level", "_of_cell", "_level", "_cell")
 
 
 def cogroup(

@@ -118,6 +118,43 @@ def _(t):
     )
 
 
+@query(
+    "jon_08_cross_join_in_blocks",
+    """select p_brand, s_nationkey, count(*) as pairs, sum(p_size * s_suppkey)::bigint as weight
+       from part cross join supplier group by p_brand, s_nationkey""",
+)
+def _(t):
+    """Every part with every supplier, both sides cut into blocks as if neither could be broadcast."""
+    suppliers = t.supplier.select("s_suppkey", "s_nationkey")
+    pairs = cross_join(t.part.select("p_partkey", "p_brand", "p_size"), suppliers, max_bytes=1000)
+    return pairs.groupBy("p_brand", "s_nationkey").agg(
+        F.count(F.lit(1)).alias("pairs"), F.sum(F.col("p_size") * F.col("s_suppkey")).alias("weight")
+    )
+
+
+@query(
+    "jon_09_wide_and_open_bands",
+    """select nation, count(*) as orders, min(o_totalprice) as least, max(o_totalprice) as most
+       from orders join (select c_nationkey as nation, min(c_acctbal) * 50 as low,
+                                case c_nationkey % 3 when 0 then 'infinity'::double when 1 then 1e10
+                                                     else max(c_acctbal) * 50 end as high
+                         from customer group by c_nationkey)
+         on o_totalprice >= low and o_totalprice < high
+       group by nation""",
+)
+def _(t):
+    """Orders within a price band of each nation: bands of every width, some without an upper end."""
+    kind = F.col("nation") % 3
+    high = F.when(kind == 0, F.lit(float("inf"))).when(kind == 1, F.lit(1e10)).otherwise(F.col("most") * 50)
+    bands = t.customer.groupBy(F.col("c_nationkey").alias("nation")).agg(
+        (F.min("c_acctbal") * 50).alias("low"), F.max("c_acctbal").alias("most")
+    )
+    bands = bands.select("nation", "low", high.alias("high"))
+    return band_join(t.orders.select("o_totalprice"), bands, "o_totalprice", "low", "high").groupBy("nation").agg(
+        F.count(F.lit(1)).alias("orders"), F.min("o_totalprice").alias("least"), F.max("o_totalprice").alias("most")
+    )
+
+
 @query(
     "jon_10_pair_join",
     "select c_custkey as person_id, c_name as person_name, o_orderkey as role_id, o_orderstatus as role"

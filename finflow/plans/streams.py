@@ -15,13 +15,13 @@ from finflow.plans.registry import query
 from finflow.session import work_folder
 from finflow.sources.keyed import read_upserted, upsert_batch
 from finflow.streaming.joins import enrich, stream_join
-from finflow.streaming.monitor import progress_table
+from finflow.streaming.monitor import ProgressFiles
 from finflow.streaming.run import batch_folder, finish, run_available, start, to_batches, to_files
 from finflow.streaming.sources import (
     read_stream, replay, stream_lines, stream_table,
 )
 from finflow.streaming.windows import (
-    sliding_totals, slice_archive, window_aggregate, window_counts, with_event_time,
+    cogroup_windows, sliding_records, sliding_totals, slice_archive, window_aggregate, window_counts, with_event_time,
 )
 
 
@@ -190,11 +190,10 @@ def _(t):
     _tumbling("1 day", "count(*) as count", ["event_type"]),
 )
 def _(t):
-    """Changed windows are upserted, so open ones are there too."""
+    """Changed windows are upserted, so open ones are there too; events arrive in order of time."""
     out = work_folder(t.spark, "update")
-    files = replay(t.events.select("ts", "event_type"), f"{out}/files", 3)
-    # Files come in any order, so nothing may count as late.
-    timed = with_event_time(stream_table(t.spark, f"{out}/files", files), "ts", "400 days")
+    files = replay(t.events.select("ts", "event_type"), f"{out}/files", 3, "ts")
+    timed = with_event_time(stream_table(t.spark, f"{out}/files", files), "ts")
     counts = window_counts(timed, "ts", "1 day", "event_type")
 
     def save(batch, batch_id):
@@ -383,18 +382,41 @@ def _(t):
     return _plain_times(_collected(t, totals)).withColumn("total", F.round("total", 2))
 
 
+_RECORDS = _SLIDING.replace("select *, time_bucket", "select *, (event_id % 2)::integer as part, time_bucket").format(
+    keys="user_id, part", columns="string_agg(event_id::varchar, ',' order by event_id) as events"
+)
+
+
+@query("stm_19_sliding_records", _RECORDS)
+def _(t):
+    """The records of every window themselves: events of three hours each hour, by user, in two lists."""
+    rows = sliding_records(
+        _timed_events(t), "ts", "3 hours", "1 hour", ["user_id"], F.col("event_id"), part=F.col("event_id") % 2
+    )
+    listed = rows.select("window_start", "window_end", "user_id", "part", F.array_join(F.col("records").cast("array<string>"), ",").alias("events"))
+    return _plain_times(_collected(t, listed))
+
+
 @query(
     "stm_27_progress_table",
     "select count(*) as input_rows, true as has_batches, true as ended_well from events",
 )
 def _(t):
-    """Rows read by the query, by its own account."""
+    """Rows read by the query, by its own account of every batch, written as it went."""
     out = work_folder(t.spark, "progress")
-    ran = run_available(to_files(_events(t), f"{out}/rows"), f"{out}/checkpoint")
-    return progress_table(ran).agg(
+    log = ProgressFiles(t.spark, f"{out}/progress")
+    t.spark.streams.addListener(log)
+    try:
+        files = replay(t.events.select("event_id"), f"{out}/files", 5)
+        stream = stream_table(t.spark, f"{out}/files", files)
+        ran = run_available(to_files(stream, f"{out}/rows"), f"{out}/checkpoint")
+        complete = log.wait(ran)
+    finally:
+        t.spark.streams.removeListener(log)
+    return log.table().agg(
         F.sum("input_rows").alias("input_rows"),
         (F.count("batch_id") > 0).alias("has_batches"),
-        F.lit(ran.exception() is None).alias("ended_well"),
+        F.lit(complete and ran.exception() is None).alias("ended_well"),
     )
 
 
@@ -463,3 +485,29 @@ def _(t):
 @query("jon_16_stream_stream_full_outer", _VISITS + _LEFT_ONLY + _RIGHT_ONLY)
 def _(t):
     return _visit_join(t, "full")
+
+
+@query(
+    "jon_13_cogroup_of_streams",
+    """with clicks as (select user_id, time_bucket(interval 1 day, ts, timestamp '1970-01-01') as d, count(*) as n
+                       from events where event_type = 'click' group by 1, 2),
+            buys as (select user_id, time_bucket(interval 1 day, ts, timestamp '1970-01-01') as d, count(*) as n,
+                            max(value) as most
+                     from events where event_type = 'purchase' group by 1, 2),
+            mark as (select least(max(ts) filter (event_type = 'click'), max(ts) filter (event_type = 'purchase'))
+                            - interval 10 minutes as w from events)
+       select d as window_start, d + interval 1 day as window_end, user_id, coalesce(clicks.n, 0) as clicks,
+              coalesce(buys.n, 0) as purchases, most
+       from clicks full join buys using (d, user_id), mark where d + interval 1 day <= w""",
+)
+def _(t):
+    """Clicks and purchases of each user and day, from a stream each; days that only one has are there too."""
+    rows = cogroup_windows(
+        _timed_events(t, "10 minutes").where("event_type = 'click'"),
+        _timed_events(t, "10 minutes").where("event_type = 'purchase'"),
+        "ts", "ts", "1 day", ["user_id"],
+        {"n_clicks": F.count(F.lit(1))},
+        {"n_purchases": F.count(F.lit(1)), "most": F.max("value")},
+        {"clicks": F.coalesce("n_clicks", F.lit(0)), "purchases": F.coalesce("n_purchases", F.lit(0)), "most": F.col("most")},
+    )
+    return _plain_times(_collected(t, rows))

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import threading
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from finflow.sources.files import write_text
+
 PROGRESS = (
     "query_id string, run_id string, name string, batch_id bigint, started string,"
     " input_rows bigint, input_rows_per_second double, processed_rows_per_second double,"
@@ -29,12 +35,6 @@ def _row(progress) -> tuple:
     )
 
 
-def progress_table(query: StreamingQuery) -> DataFrame:
-    """The recent batches of ``query`` as a table; Spark keeps the last hundred."""
-    spark = SparkSession.active()
-    return spark.createDataFrame([_row(p) for p in query.recentProgress], PROGRESS)
-
-
 def describe(query: StreamingQuery) -> dict[str, object]:
     """Identity, status, failure and last progress of ``query``."""
     failure = query.exception()
@@ -50,25 +50,53 @@ def describe(query: StreamingQuery) -> dict[str, object]:
     }
 
 
-class ProgressLog(StreamingQueryListener):
-    """Listener that keeps the newest ``limit`` progress rows of all queries of a session."""
+class ProgressFiles(StreamingQueryListener):
+    """Listener that keeps the progress of every batch of all queries of a session below ``path``.
+
+    Spark itself keeps a query's last hundred. A file holds ``rows_per_file`` batches of a
+    run, in lines of JSON, and is written anew with each of them: what a query
+    reported is on disk before its next batch reports, whatever becomes of the driver.
+    Register it with ``spark.streams.addListener`` before queries start.
+    """
 
-    def __init__(self, limit: int = 10_000):
-        self.limit, self.rows, self.ended = limit, [], []
+    def __init__(self, spark: SparkSession, path: str, rows_per_file: int = 100):
+        self.spark, self.path, self.rows_per_file = spark, path, rows_per_file
+        self.names = [c.split()[0] for c in PROGRESS.split(", ")]
+        self.open: dict[str, tuple[int, list[str]]] = {}
+        self.ended: dict[str, str | None] = {}
+        self._lock = threading.Condition()
 
     def onQueryStarted(self, event):
         pass
 
     def onQueryProgress(self, event):
-        self.rows.append(_row(event.progress))
-        del self.rows[: -self.limit]
+        run = str(event.progress.runId)
+        with self._lock:
+            number, lines = self.open.get(run, (0, []))
+            if len(lines) == self.rows_per_file:
+                number, lines = number + 1, []
+            lines.append(json.dumps(dict(zip(self.names, _row(event.progress)))))
+            self.open[run] = number, lines
+            write_text(self.spark, f"{self.path}/{run}-{number}.json", "\n".join(lines) + "\n")
 
     def onQueryIdle(self, event):
         pass
 
     def onQueryTerminated(self, event):
-        self.ended.append((str(event.id), event.exception))
-        del self.ended[: -self.limit]
-
-    def table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.rows, PROGRESS)
+        with self._lock:
+            self.open.pop(str(event.runId), None)
+            self.ended[str(event.runId)] = event.exception
+            self._lock.notify_all()
+
+    def wait(self, query: StreamingQuery, seconds: float = 60) -> bool:
+        """Wait until all that a finished ``query`` reported has arrived; reports follow a query at some distance."""
+        until = time.monotonic() + seconds
+        with self._lock:
+            while str(query.runId) not in self.ended:
+                if not self._lock.wait(max(0.0, until - time.monotonic())) and time.monotonic() >= until:
+                    return False
+        return True
+
+    def table(self) -> DataFrame:
+        """All batches reported so far."""
+        return self.spark.read.schema(PROGRESS).json(self.path)

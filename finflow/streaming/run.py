@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from finflow.sources.files import claim, current_stream
+
 
 def start(writer: DataStreamWriter, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Start a query: a batch ``every`` interval, or else on what is there now.
@@ -62,9 +64,14 @@ def to_batches(
 
 
 def batch_folder(path: str) -> Callable[[DataFrame, int], None]:
-    """Handler that writes each batch to its own folder; a repeated batch replaces itself."""
+    """Handler that writes each batch to its own folder; a repeated batch replaces itself.
+
+    The folder belongs to the stream that first wrote to it; another, or the same one
+    after its checkpoint was lost, is refused.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        claim(batch.sparkSession, path, current_stream(batch.sparkSession))
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return handle

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from finflow.streaming.state import KEY
+from finflow.streaming.windows import micros
 
 # Spark itself joins the state function's output to empty frames, once per account.
 warnings.filterwarnings("ignore", message="The behavior of DataFrame concatenation with empty", category=FutureWarning)
@@ -104,12 +105,6 @@ def _tracker(patience: int | None) -> Callable:
     return track
 
 
-def _length(spark: SparkSession, text: str) -> int:
-    """Microseconds of an interval."""
-    epoch = "timestamp '1970-01-01 00:00:00'"
-    return spark.sql(f"select unix_micros({epoch} + interval {text}) - unix_micros({epoch})").first()[0]
-
-
 def track_active(
     stream: DataFrame,
     time: str,
@@ -134,8 +129,8 @@ def track_active(
     has state already is ignored; of several for one account the largest counts.
     """
     spark = stream.sparkSession
-    limit = None if patience is None else _length(spark, patience)
-    if limit is not None and limit < _length(spark, length):
+    limit = None if patience is None else micros(spark, patience)
+    if limit is not None and limit < micros(spark, length):
         raise ValueError(f"patience {patience} is shorter than a window of {length}")
     windowed = stream.select(
         KEY, F.window(time, length)["start"].alias("window_start"), "amount", F.col(time).alias("_time")

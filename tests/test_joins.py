@@ -63,11 +63,42 @@ def test_broadcast_only_below_the_limit(spark, small):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_cross_join_asks_for_a_key_when_large(spark, small):
-    t = Tables(spark, small)
-    assert cross_join(t.region, t.nation).count() == t.region.count() * t.nation.count()
-    with pytest.raises(ValueError):
-        cross_join(t.region, t.nation, max_bytes=10)
+@pytest.mark.parametrize("max_bytes", [10, 700, 5000, 1 << 20])
+def test_cross_join_of_any_size(spark, max_bytes):
+    """Repeated rows and nulls included; blocks meet once each."""
+    left = spark.range(60).select(F.when(F.col("id") % 7 != 0, F.col("id") % 40).alias("a"), F.lit("x").alias("name"))
+    right = spark.range(50).select((F.col("id") % 45).alias("b"), F.when(F.col("id") % 3 == 0, F.lit("y")).alias("other"))
+    same(cross_join(left, right, max_bytes), left.crossJoin(right))
+    assert cross_join(left.limit(0), right, max_bytes).count() == cross_join(left, right.limit(0), max_bytes).count() == 0
+
+
+def test_cross_join_in_blocks_has_no_nested_loop(spark):
+    left, right = spark.range(1000).toDF("a"), spark.range(900).toDF("b")
+    plan = plan_text(cross_join(left, right, max_bytes=2000))
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("width", [None, 0.5, 10.0, 1e6])
+def test_band_join_of_any_width(spark, width):
+    """Narrow, wide and open bands, far and tiny values, against the condition itself."""
+    inf, nan = float("inf"), float("nan")
+    numbers = [0.0, -0.0, 1.0, 9.99, 10.0, 250.0, -3.0, 1e-300, -1e-9, 1e15, 1e15 + 1, 1e308, -1e308, inf, -inf, nan, None, 2.0**53]
+    ends = [-inf, -1e308, -1e10, -3.0, 0.0, 1e-300, 1.0, 9.99, 10.0, 10.000001, 1e10, 1e15, 1e15 + 1, 1e308, inf, nan, None]
+    values = spark.createDataFrame([(i, v) for i, v in enumerate(numbers)], "n int, v double")
+    bands = spark.createDataFrame([(f"{a} {b}", a, b) for a in ends for b in ends], "band string, lo double, hi double")
+    got = sorted(map(tuple, band_join(values, bands, "v", "lo", "hi", width).select("n", "band").collect()))
+    real = lambda x: x is not None and x == x
+    wanted = [(i, f"{a} {b}") for i, v in enumerate(numbers) for a in ends for b in ends if real(v) and real(a) and real(b) and a <= v < b]
+    assert got == sorted(wanted)
+    assert band_join(values.limit(0), bands, "v", "lo", "hi", width).count() == 0
+    assert band_join(values, bands.limit(0), "v", "lo", "hi", width).count() == 0
+
+
+def test_band_join_is_an_equi_join(spark):
+    values = spark.range(1000).select(F.col("id").cast("double").alias("v"))
+    bands = spark.range(20).select((F.col("id") * 7.5).alias("lo"), (F.col("id") * 7.5 + F.pow(F.lit(10.0), "id")).alias("hi"))
+    plan = plan_text(band_join(values, bands, "v", "lo", "hi"))
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_filters_and_columns_reach_the_scan(spark, small):
