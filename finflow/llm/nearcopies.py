@@ -398,8 +398,8 @@ def sketch(sets: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_pydict({"cell": pa.array(cells.astype(np.int32)), "n": pa.array(counts[cells])})
 
     found = sets.select("grams").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(len(_SKETCH_SALTS) << SKETCH_BITS, np.int64)
-    counts[found.column("cell").to_numpy()] = found.column("n").to_numpy()
+    counts = np.zeros(len(_SKETCH_SALTS) << SKETCH_BITS, np.int32)  # it goes to every task
+    counts[found.column("cell").to_numpy()] = np.minimum(found.column("n").to_numpy(), np.iinfo(np.int32).max)
     return counts
 
 

@@ -18,6 +18,7 @@ def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """
     path = work_folder(df.sparkSession, name)
     df.write.option("compression", compression).parquet(path)
+    relieve(df.sparkSession)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back._stored_at = path
     return back
@@ -39,6 +40,17 @@ def dropped(df: DataFrame) -> None:
         drop_folder(df.sparkSession, path)
 
 
+def relieve(spark: SparkSession) -> None:
+    """Collect the driver's garbage once half of its heap is taken.
+
+    Plans of finished jobs are most of it; left alone, the heap grows to its limit
+    before the collector acts, and the process with it.
+    """
+    runtime = spark._jvm.java.lang.Runtime.getRuntime()
+    if 2 * (runtime.totalMemory() - runtime.freeMemory()) > runtime.maxMemory():
+        release(spark)
+
+
 def release(spark: SparkSession) -> None:
     """Let the cleaner delete shuffle files that only finished, stored tables needed.
 
