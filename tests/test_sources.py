@@ -102,6 +102,21 @@ def test_json_rows_leave_out_nulls(spark):
     assert sorted(r[0] for r in to_json_rows(rows).collect()) == ['{"id":1}', '{"id":2,"name":"x"}']
 
 
+def test_keyed_log_is_folded(spark, tmp_path):
+    """Forty batches stay a bounded number of folders; the table is what it was without folding."""
+    folded, plain = str(tmp_path / "folded"), str(tmp_path / "plain")
+    for n in range(40):
+        batch = spark.range(n % 7, n % 7 + 5).select("id", F.lit(n).alias("v"), F.when(F.col("id") % 2 == 0, F.lit(f"b{n}")).alias("w"))
+        for path, most in ((folded, 4), (plain, 1000)):
+            upsert_batch(batch.coalesce(1), n, path, ["id"], most_batches=most)
+            if n in (3, 17):  # the same batch again, before and after it was folded
+                upsert_batch(batch.coalesce(1), n, path, ["id"], most_batches=most)
+    rows = lambda p: sorted(map(tuple, read_upserted(spark, p, ["id"]).collect()))
+    assert rows(folded) == rows(plain) and len(rows(folded)) == 11
+    names = [p.name for p in (tmp_path / "folded").iterdir() if p.is_dir()]
+    assert len(names) <= 2 * 4 + 2 and sum(n.startswith("base=") for n in names) == 2
+
+
 def test_upsert_is_repeatable(spark, tmp_path):
     path = str(tmp_path / "t")
     first = spark.createDataFrame([(1, "a"), (2, "b"), (1, "a")], "id int, v string")

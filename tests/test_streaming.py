@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from finflow.plans.explain import shuffles
 from finflow.session import work_folder
-from finflow.streaming.monitor import ProgressLog, describe, progress_table
+from finflow.sources.keyed import read_upserted, upsert_batch
+from finflow.streaming.joins import stream_join
+from finflow.streaming.monitor import ProgressFiles, describe
 from finflow.streaming.run import batch_folder, finish, run_available, start, to_batches, to_files
 from finflow.streaming.sources import read_stream, replay, stream_lines, stream_queue, stream_table
 from finflow.streaming.state import (
@@ -264,7 +266,7 @@ def test_empty_batch_reaches_the_sink(spark, small, tmp_path):
 def test_processing_time_trigger_and_monitoring(spark, tmp_path):
     folder = str(tmp_path / "in")
     spark.range(10).write.parquet(folder)
-    log = ProgressLog()
+    log = ProgressFiles(spark, str(tmp_path / "progress"))
     spark.streams.addListener(log)
     try:
         stream = read_stream(spark, "parquet", folder, "id bigint", arrival_time="at")
@@ -275,18 +277,67 @@ def test_processing_time_trigger_and_monitoring(spark, tmp_path):
         assert finish(query, timeout=1.0) is False
         facts = describe(query)
         assert facts["exception"] is None and not facts["is_active"] and facts["name"] == "watched"
-        table = progress_table(query)
-        assert table.agg(F.sum("input_rows")).first()[0] == 10
-        for _ in range(50):
-            if log.rows and log.ended:
-                break
-            time.sleep(0.1)
-        assert log.table(spark).agg(F.sum("input_rows")).first()[0] == 10
-        assert log.ended[0][1] is None
+        assert log.wait(query)
+        assert log.table().agg(F.sum("input_rows")).first()[0] == 10
+        assert log.ended[str(query.runId)] is None
     finally:
         spark.streams.removeListener(log)
 
 
+def test_progress_of_more_batches_than_spark_keeps(spark, tmp_path):
+    """A hundred and thirty batches, and a second run of the same query, add up; files stay few."""
+    folder, log = str(tmp_path / "in"), ProgressFiles(spark, str(tmp_path / "progress"), rows_per_file=50)
+    spark.range(130).repartition(130, "id").sortWithinPartitions("id").write.option("maxRecordsPerFile", 1).parquet(folder)
+    spark.streams.addListener(log)
+    try:
+        for _ in range(2):
+            stream = read_stream(spark, "parquet", folder, "id bigint", maxFilesPerTrigger=1)
+            query = run_available(to_files(stream, str(tmp_path / "out")), str(tmp_path / "cp"))
+            assert log.wait(query)
+            spark.range(130, 135).coalesce(1).write.mode("append").parquet(folder)
+    finally:
+        spark.streams.removeListener(log)
+    assert log.table().agg(F.sum("input_rows"), F.count_distinct("run_id")).first()[:] == (135, 2)
+    assert len(query.recentProgress) <= 100 and len(list((tmp_path / "progress").glob("*.json"))) == 4
+
+
+def test_keyed_table_belongs_to_its_stream(spark, tmp_path):
+    """A lost checkpoint is noticed before an old batch is overwritten; a kept one goes on."""
+    folder, table = str(tmp_path / "in"), str(tmp_path / "table")
+
+    def run(first, last, checkpoint):
+        spark.range(first, last).select("id", (F.col("id") * 10).alias("v")).coalesce(1).write.mode("append").parquet(folder)
+        stream = read_stream(spark, "parquet", folder, "id bigint, v bigint", maxFilesPerTrigger=1)
+        run_available(to_batches(stream, lambda b, i: upsert_batch(b, i, table, ["id"])), str(tmp_path / checkpoint))
+
+    run(0, 3, "cp")
+    run(2, 5, "cp")
+    with pytest.raises(PySparkException, match="belongs to stream"):
+        run(5, 6, "other")
+    assert sorted(r["id"] for r in read_upserted(spark, table, ["id"]).collect()) == [0, 1, 2, 3, 4]
+    run(6, 7, "cp")
+    assert read_upserted(spark, table, ["id"]).count() == 7
+    sink = batch_folder(str(tmp_path / "batches"))
+    run_available(to_batches(read_stream(spark, "parquet", folder, "id bigint"), sink), str(tmp_path / "cp2"))
+    with pytest.raises(PySparkException, match="belongs to stream"):
+        run_available(to_batches(read_stream(spark, "parquet", folder, "id bigint"), sink), str(tmp_path / "cp3"))
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right"])
+@pytest.mark.parametrize("cell_bands", [1, 8])
+def test_join_by_time_cells_equals_the_join(spark, how, cell_bands):
+    """On tables, where both can be asked: bands across cell edges, repeated rows, null keys and times."""
+    time = F.timestamp_seconds(F.col("id") * 37 % 5000)
+    key = F.when(F.col("id") % 11 != 0, F.col("id") % 3)
+    left = spark.range(300).select("id", key.alias("k"), F.when(F.col("id") % 13 != 0, time).alias("lt")).unionByName(
+        spark.range(5).select("id", F.lit(1).cast("long").alias("k"), F.timestamp_seconds(F.lit(-70)).alias("lt")))
+    right = spark.range(200).select(F.col("id").alias("rid"), key.alias("rk"), time.alias("rt"))
+    near = F.expr("k = rk and rt >= lt and rt <= lt + interval 90 seconds")
+    wanted = left.join(right, near, {"inner": "inner", "left": "left_outer", "right": "right_outer"}[how])
+    got = stream_join(left, right, "k", "rk", "lt", "rt", "90 seconds", how, cell_bands)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, wanted.collect()))
+
+
 def test_text_stream_of_lines(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.txt").write_text("one\ntwo\n")
