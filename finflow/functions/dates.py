@@ -19,7 +19,9 @@ def strict_us_date(text: Column) -> Column:
 def lenient_us_date(text: Column) -> Column:
     """Date that starts ``text``, with out-of-range months and days carried over.
 
-    Plain dates take the quick way; only other text is taken apart.
+    Plain dates take the quick way; only other text is taken apart. Null where the year, as
+    written or as it comes out, is not between 1 and 9999, the years a date may have; months
+    and days beyond ten thousand years could only lead there, and are not counted out.
     """
 
     def part(group: int) -> Column:
@@ -27,8 +29,8 @@ def lenient_us_date(text: Column) -> Column:
 
     month, day, year = part(1), part(2), part(3)
     sensible = (
-        year.between(1, 9999) & month.between(-100_000, 100_000) & day.between(-1_000_000, 1_000_000)
+        year.between(1, 9999) & month.between(-120_000, 120_000) & day.between(-3_660_000, 3_660_000)
     )
     january = F.make_date(year, F.lit(1), F.lit(1))
     carried = F.when(sensible, F.date_add(F.add_months(january, month - 1), day - 1))
-    return F.coalesce(strict_us_date(text), carried)
+    return F.coalesce(strict_us_date(text), F.when(F.year(carried).between(1, 9999), carried))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,13 +39,17 @@ def has_column(df: DataFrame, name: str) -> bool:
 def corrupted(df: DataFrame) -> DataFrame | None:
     """The raw text of the corrupt rows, or None if ``df`` has no such column.
 
-    Spark refuses to scan a raw file for the corrupt column alone, so ``df`` is
-    persisted (memory, then disk); the caller may unpersist ``df`` afterwards.
+    Spark refuses to scan a raw file for the corrupt column alone, and a row counts as
+    corrupt by the columns that are asked for. So the condition looks at all of them,
+    in a way that holds for every row; nothing is kept.
     """
     if not has_column(df, CORRUPT_COLUMN):
         return None
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    return kept.where(F.col(CORRUPT_COLUMN).isNotNull()).select(CORRUPT_COLUMN)
+    others = [F.col(f"`{c}`") for c in df.columns if c.lower() != CORRUPT_COLUMN.lower()]
+    bad = F.col(CORRUPT_COLUMN).isNotNull()
+    if others:
+        bad = bad & (F.coalesce(F.length(F.to_json(F.struct(*others))), F.lit(0)) >= 0)
+    return df.where(bad).select(CORRUPT_COLUMN)
 
 
 def drop_if_all_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -42,6 +43,12 @@ def glom(df: DataFrame, column: str, out: str = "items") -> DataFrame:
     return source.mapInArrow(pack, schema)
 
 
+def partitions_for(df: DataFrame, partition_bytes: int = 128 << 20) -> int:
+    """Partitions of about ``partition_bytes`` that ``df`` makes, by the size the optimizer expects of it."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return max(1, math.ceil(int(str(size)) / partition_bytes))
+
+
 def _unit_interval(keys: Sequence[str], seed: int) -> Column:
     """A number in [0, 1) that depends on the row's key alone."""
     text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])

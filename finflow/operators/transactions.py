@@ -71,9 +71,13 @@ def parse_lines(lines: DataFrame, line: str = "value", strict: bool = False) ->
 
 
 def _misspelled(amount: Column) -> Column:
-    """Casts take ``nan`` and ``inf`` in any spelling; an amount may only say ``NaN`` or ``Infinity``."""
+    """Casts take ``nan`` and ``inf`` in any spelling; an amount may only say ``NaN`` or ``Infinity``.
+
+    Only what ends like one of these words is looked at closely.
+    """
     text = F.trim(amount)
-    return text.rlike("(?i)^[+-]?(nan|inf|infinity)$") & ~text.rlike("^[+-]?(NaN|Infinity)$")
+    word = F.lower(F.substring(text, -1, 1)).isin("n", "f", "y")
+    return word & text.rlike("(?i)^[+-]?(nan|inf|infinity)$") & ~text.rlike("^[+-]?(NaN|Infinity)$")
 
 
 def valid(parsed: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from finflow.operators.clean import corrupted, has_column
+from finflow.operators.layout import partitions_for
 from finflow.operators.transactions import account_profile
 from finflow.plans.inputs import GAPPY, TRANSACTIONS, gappy, steady, transactions
 from finflow.plans.registry import Tables, query
@@ -199,7 +200,8 @@ def _(t):
 def _(t):
     path = work_folder(t.spark, "parquet")
     write_parquet(t.customer.select("c_custkey", "c_name"), path)
-    write_parquet(t.customer.select("c_custkey", "c_name", "c_mktsegment"), path, files=2)
+    customers = t.customer.select("c_custkey", "c_name", "c_mktsegment")
+    write_parquet(customers, path, files=partitions_for(customers))
     return t.spark.read.parquet(path)
 
 

@@ -37,14 +37,12 @@ def test_permissive_keeps_the_text(spark, broken):
     assert rows.count() == 3
     bad = corrupted(rows)
     assert [r[0] for r in bad.collect()] == ['{"id": 2, "na']
-    rows.unpersist()
 
 
 def test_inferred_schema_has_corrupt_column(spark, broken):
     rows = read_json(spark, broken)
     assert has_column(rows, "_corrupt_record")
     assert corrupted(rows).count() == 1
-    rows.unpersist()
 
 
 def test_no_corrupt_column_no_corrupt_rows(spark):
