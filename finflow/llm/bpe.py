@@ -5,8 +5,9 @@ knows has a rank; a segment tree over the pairs keeps the least of ``rank, place
 its root names the leftmost pair of the lowest rank. Merging a pair changes three
 leaves: the pair itself, its left neighbour and the pair that is gone, each in
 logarithmic time; the word is done when the root holds no pair. A word of n bytes
-costs n log n, however long it is. Tasks remember the ids of words they have met, up
-to a bound, so a frequent word is merged once.
+costs n log n, however long it is. The trees of many short words stand in the rows of one
+array and make their merges at the same time. Tasks remember the ids of words they have
+met, up to a bound, so a frequent word is merged once.
 
 What comes before the merges is what the file says: special tokens cut out of the raw
 text, normalization, the split into words, bytes as characters. Texts of characters
@@ -25,7 +26,6 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,7 +45,7 @@ _CUT = re.compile("[ \n]")
 
 PIECE = 1 << 20  # characters worked on at a time
 MOST_CACHED = 250_000  # words remembered by a task, in each of two caches
-LONGEST_CACHED = 64  # characters of such a word
+LONGEST_CACHED = 64  # bytes of such a word, and of words merged together
 
 _NO_PAIR = 1 << 62
 
@@ -58,6 +58,18 @@ class Merges:
         self.made = [made for _, _, made in pairs]
         # A pair listed twice has its last rank, as in the library.
         self.ranks = {left * width + right: rank for rank, (left, right, _) in enumerate(pairs)}
+        # The same as arrays, in order of pairs; the end is a pair that no two symbols make.
+        order = sorted(self.ranks)
+        self.keys = np.array([*order, np.iinfo(np.int64).max], np.int64)
+        self.rank_of_key = np.array([*map(self.ranks.__getitem__, order), 0], np.int64)
+        self.made_by_rank = np.array([*self.made, 0], np.int64)
+
+    def values(self, left: np.ndarray, right: np.ndarray, place: np.ndarray, n: int) -> np.ndarray:
+        """``rank * n + place`` of pairs of symbols; pairs with a symbol below 0 are none."""
+        key = left * self.width + right
+        at = np.searchsorted(self.keys, key)
+        known = (self.keys[at] == key) & (left >= 0) & (right >= 0)
+        return np.where(known, self.rank_of_key[at] * n + place, _NO_PAIR)
 
 
 def merge(symbols: list[int], merges: Merges) -> list[int]:
@@ -110,6 +122,52 @@ def merge(symbols: list[int], merges: Merges) -> list[int]:
     return [s for s in symbols if s >= 0]
 
 
+def merge_many(symbols: np.ndarray, merges: Merges) -> np.ndarray:
+    """``merge`` of every row of a matrix; -1 fills up rows and stands in the place of symbols that are gone.
+
+    The rows' trees are rows of one array; each round makes the next merge of every row
+    that has one.
+    """
+    words, n = symbols.shape
+    size = 1 << (n - 1).bit_length()
+    symbols = np.hstack((symbols, np.full((words, 1), -1)))  # a last one that pairs with nothing
+    places = np.arange(n)
+    tree = np.full((words, 2 * size), _NO_PAIR)
+    tree[:, size : size + n] = merges.values(symbols[:, :-1], symbols[:, 1:], places, n)
+    for level in range(size.bit_length() - 2, -1, -1):
+        first = 1 << level
+        below = tree[:, 2 * first : 4 * first]
+        tree[:, first : 2 * first] = np.minimum(below[:, ::2], below[:, 1::2])
+    # Flat views: an element is named by its row's base and its place.
+    after = np.tile(np.arange(1, n + 2), (words, 1)).ravel()
+    before = np.tile(np.arange(-1, n), (words, 1)).ravel()
+    flat, nodes = symbols.ravel(), tree.ravel()
+    row = np.arange(words)
+    while True:
+        least = nodes[row * (2 * size) + 1]
+        going = least < _NO_PAIR
+        row, least = row[going], least[going]
+        if not len(row):
+            return flat.reshape(words, n + 1)[:, :n]
+        base, root = row * (n + 1), row * (2 * size)
+        rank, left = np.divmod(least, n)
+        gone = after[base + left]
+        right, previous = after[base + gone], before[base + left]
+        flat[base + left], flat[base + gone] = merges.made_by_rank[rank], -1
+        after[base + left], before[base + right] = right, left
+        nodes[root + size + gone] = _NO_PAIR
+        nodes[root + size + left] = merges.values(flat[base + left], flat[base + right], left, n)
+        some = previous >= 0
+        to_left = merges.values(flat[base + previous * some], flat[base + left], previous, n)
+        nodes[(root + size + previous)[some]] = to_left[some]
+        for place in (gone, left, np.where(some, previous, left)):
+            node = size + place
+            for _ in range(size.bit_length() - 1):
+                node >>= 1
+                pair = root + 2 * node
+                nodes[root + node] = np.minimum(nodes[pair], nodes[pair + 1])
+
+
 def byte_characters() -> list[str]:
     """The character that stands for each byte: printable ones themselves, the others from U+0100 on."""
     plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -141,8 +199,8 @@ class Bpe:
         vocabulary = model["vocab"]
         self.end = model.get("end_of_word_suffix") or ""
         characters = byte_characters()
-        self.inner = [vocabulary.get(c, -1) for c in characters]
-        self.last = [vocabulary.get(c + self.end, -1) for c in characters]
+        self.inner = np.array([vocabulary.get(c, -1) for c in characters], np.int64)
+        self.last = np.array([vocabulary.get(c + self.end, -1) for c in characters], np.int64)
         self.byte_of = {c: b for b, c in enumerate(characters)}
         pairs = [pair.split(" ") if isinstance(pair, str) else pair for pair in model["merges"]]
         self.merges = Merges([(vocabulary[a], vocabulary[b], vocabulary[a + b]) for a, b in pairs], max(vocabulary.values()) + 1)
@@ -162,48 +220,98 @@ class Bpe:
         self.tokens = pa.array(tokens, pa.string())
 
     def encode_word(self, word: bytes) -> bytes:
-        symbols = [self.inner[b] for b in word[:-1]] + [self.last[b] for b in word[-1:]]
-        found = merge([s for s in symbols if s >= 0], self.merges)
-        return struct.pack(f"={len(found)}i", *found)
-
-    def _remembered(self, word: str) -> bytes:
-        ids = self._older.get(word) or self.encode_word(word.encode())
-        if len(word) <= LONGEST_CACHED:
-            if len(self._seen) >= MOST_CACHED:  # words not met since the last change of cache go
-                self._older, self._seen = self._seen, {}
-            self._seen[word] = ids
-        return ids
-
-    def _plain(self, text: str) -> list[bytes]:
-        """Ids of the words of a piece without special tokens."""
+        data = np.frombuffer(word, np.uint8)
+        symbols = np.append(self.inner[data[:-1]], self.last[data[-1:]])
+        return np.array(merge(symbols[symbols >= 0].tolist(), self.merges), np.int32).tobytes()
+
+    def encode_words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word; words of about the same length are merged together."""
+        out: list[bytes] = [b""] * len(words)
+        sizes = np.array([len(w) for w in words], np.int64)
+        whole = min(self.inner.min(), self.last.min()) >= 0  # every byte has its symbols
+        done = 0
+        for width in (4, 8, 16, 32, LONGEST_CACHED):
+            at = np.flatnonzero((sizes > done) & (sizes <= width)) if whole else np.zeros(0, int)
+            done = width if whole else 0
+            if not len(at):
+                continue
+            data = np.frombuffer(b"".join(words[i] for i in at), np.uint8)
+            ends = np.cumsum(sizes[at])
+            symbols = self.inner[data]
+            symbols[ends - 1] = self.last[data[ends - 1]]
+            place = np.arange(len(data)) - np.repeat(ends - sizes[at], sizes[at])
+            table = np.full((len(at), width), -1)
+            table[np.repeat(np.arange(len(at)), sizes[at]), place] = symbols
+            merged = merge_many(table, self.merges)
+            kept = merged >= 0
+            ids = merged[kept].astype(np.int32).tobytes()
+            bounds = [0, *(4 * np.cumsum(kept.sum(axis=1))).tolist()]
+            for i, a, b in zip(at.tolist(), bounds, bounds[1:]):
+                out[i] = ids[a:b]
+        for i in np.flatnonzero(sizes > done).tolist():
+            out[i] = self.encode_word(words[i])
+        return out
+
+    def _split(self, text: str) -> list[str]:
+        """Words of a piece without special tokens."""
         if _UNSTABLE.search(text) is None:
-            found = self._words.findall(text.lower())
-        else:
-            if self._library is None:
-                from tokenizers import Tokenizer
-
-                self._library = Tokenizer.from_str(self.source)
-            pieces = self._library.pre_tokenizer.pre_tokenize_str(self._library.normalizer.normalize_str(text))
-            found = [bytes(map(self.byte_of.__getitem__, p)).decode() for p, _ in pieces]
-        get = self._seen.get
-        return [get(word) or self._remembered(word) for word in found]
-
-    def encode(self, text: str) -> bytes:
-        """Ids as 32-bit numbers."""
-        out, begin = [], 0
+            return self._words.findall(text.lower())
+        if self._library is None:
+            from tokenizers import Tokenizer
+
+            self._library = Tokenizer.from_str(self.source)
+        pieces = self._library.pre_tokenizer.pre_tokenize_str(self._library.normalizer.normalize_str(text))
+        return [bytes(map(self.byte_of.__getitem__, p)).decode() for p, _ in pieces]
+
+    def _pieces(self, text: str) -> Iterator[list[str] | bytes]:
+        """The words of each piece of a text, and the ids of the special tokens between them."""
+        begin = 0
         while begin < len(text):
             cut = _CUT.search(text, begin + PIECE)
             end = cut.start() if cut else len(text)
             piece, done = text[begin:end], 0
             for special in self._cut_special.finditer(piece):
-                out += self._plain(piece[done : special.start()])
-                out.append(self.special[special[0]])
+                yield self._split(piece[done : special.start()])
+                yield self.special[special[0]]
                 done = special.end()
-            out += self._plain(piece[done:])
-            if cut:  # one value by piece, or a long text holds an object per word
-                out = [b"".join(out)]
+            yield self._split(piece[done:])
             begin = end
-        return b"".join(out)
+
+    def _learn(self, lists: list[list[str]]) -> None:
+        """Make sure that the ids of all these words are known."""
+        if len(self._seen) > MOST_CACHED:  # words not met since the last change of cache go
+            self._older, self._seen = self._seen, {}
+        new = set().union(*lists).difference(self._seen)
+        again = new.intersection(self._older)
+        self._seen.update((word, self._older[word]) for word in again)
+        new = [word for word in new if word not in again]
+        self._long = [word for word in new if len(word) > LONGEST_CACHED]
+        self._seen.update(zip(new, self.encode_words([word.encode() for word in new])))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as 32-bit numbers."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        waiting: list[tuple[int, list[str] | bytes]] = []
+
+        def settle() -> None:
+            self._learn([found for _, found in waiting if isinstance(found, list)])
+            get = self._seen.__getitem__
+            for i, found in waiting:
+                out[i].append(found if isinstance(found, bytes) else b"".join(map(get, found)))
+            for word in self._long:
+                del self._seen[word]
+            waiting.clear()
+
+        size = 0
+        for i, text in enumerate(texts):
+            for found in self._pieces(text):
+                waiting.append((i, found))
+                size += len(found)
+                if size > PIECE // 4:  # words
+                    settle()
+                    size = 0
+        settle()
+        return [b"".join(parts) for parts in out]
 
     def decode(self, ids: pa.ListArray) -> pa.Array:
         """Texts of lists of ids: the tokens joined by a space."""
@@ -241,7 +349,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
             data, offsets = w.text_column(batch, "text")
             names = batch.column(0)
             for first, last in w.runs(offsets):
-                found = [bpe.encode(data[offsets[i] : offsets[i + 1]].tobytes().decode()) for i in range(first, last)]
+                found = bpe.encode([data[offsets[i] : offsets[i + 1]].tobytes().decode() for i in range(first, last)])
                 sizes = np.array([len(f) // 4 for f in found], np.int64)
                 bounds = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
                 values = pa.array(np.frombuffer(b"".join(found), np.int32))

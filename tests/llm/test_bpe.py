@@ -28,7 +28,7 @@ def own():
 
 
 def ids_of(own, text):
-    return np.frombuffer(own.encode(text), np.int32).tolist()
+    return np.frombuffer(own.encode([text])[0], np.int32).tolist()
 
 
 def test_merges_leftmost_of_lowest_rank():
@@ -42,6 +42,13 @@ def test_merges_leftmost_of_lowest_rank():
     assert bpe.merge([0, 1, 0, 1], bpe.Merges([(2, 2, 3), (0, 1, 2)], 4)) == [3]
 
 
+def test_words_merged_together_are_merged_alone(own):
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdehinorst'é漢", k=rng.randint(1, 40))).encode() for _ in range(3000)] + [b"a" * 64, b"a" * 65, b"x"]
+    assert own.encode_words(words) == [own.encode_word(w) for w in words]
+    assert own.encode_words([]) == []
+
+
 def test_same_ids_and_texts_as_the_library(own, library):
     rng = random.Random(5)
     parts = [*"ab cd'sl'll\t\n\x1c\x85 ÉéÀİıſßẞΣσς1½²ªḉ’ 漢かがカ゚😀‍﻿힣가İ­"]
@@ -64,6 +71,7 @@ def test_pieces_and_caches_do_not_change_ids(own, library, monkeypatch):
     monkeypatch.setattr(bpe, "MOST_CACHED", 20)
     monkeypatch.setattr(bpe, "LONGEST_CACHED", 4)
     assert ids_of(own, text) == wanted
+    assert [len(x) // 4 for x in own.encode([text, "", text[:100], text])][::3] == [len(wanted)] * 2
 
 
 def test_long_word(own, library):
