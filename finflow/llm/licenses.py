@@ -34,7 +34,9 @@ from finflow.llm import words as w
 
 BLOCK = 1 << 16
 DRIFT = 4
-# Shares of the template's words and of the span's words that votes must cover.
+# Words between two spans of one template that may be parts of one copy, and the share of the template that makes a part.
+GAP, PART_SHARE = 60, 0.04
+# Shares of the template's words and of the words from first to last that votes must cover.
 TEMPLATE_SHARE, SPAN_SHARE = 0.6, 0.6
 # Words of a gram: phrases are taken whole and short, license bodies by longer grams.
 PHRASE_GRAM, BODY_GRAM = 2, 4
@@ -234,11 +236,25 @@ def license_spans(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) ->
             F.collect_set("place").alias("places"),
         )
     )
+    # A copy with words put in between is several spans: each goes on in the template where the one before ended.
     covered = lambda name: F.size(F.array_distinct(F.flatten(F.transform(name, lambda p: F.sequence(p, p + F.col("size") - 1)))))
+    parts = merged.where(covered("ats") >= PART_SHARE * F.col("n"))
+    in_text = Window.partitionBy("doc_id", "row", "template").orderBy("first", "_span")
+    before = lambda c: F.lag(c).over(in_text)
+    goes_on = (F.col("first") - before(F.col("last")) <= GAP) & (F.array_min("ats") >= before(F.array_max("ats")) - DRIFT)
+    copies = (
+        parts.withColumn("_break", F.when(F.coalesce(goes_on, F.lit(False)), 0).otherwise(1))
+        .withColumn("_copy", F.sum("_break").over(in_text))
+        .groupBy(*template, "_copy")
+        .agg(
+            F.min("first").alias("first"), F.max("last").alias("last"),
+            F.flatten(F.collect_list("ats")).alias("ats"), F.flatten(F.collect_list("places")).alias("places"),
+        )
+    )
     of_template = covered("ats") / F.col("n")
     of_span = covered("places") / (F.col("last") - F.col("first") + 1)
     verified = (
-        merged.withColumn("_t", of_template).withColumn("_s", of_span)
+        copies.withColumn("_t", of_template).withColumn("_s", of_span)
         .where((F.col("_t") >= TEMPLATE_SHARE) & (F.col("_s") >= SPAN_SHARE))
         .select(*template, "first", "last", (F.col("_t") * F.col("_s")).alias("score"))
     )

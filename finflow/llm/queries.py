@@ -49,26 +49,29 @@ def op9(spark, folder):
     return rate(docs, fit_ratio(docs, labels))
 
 
-# Rules of the contract; hosts with one of these words in a label are listed as bad.
+# Rules of the contract.
 URL_RULES = (
     ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
     ("allow", "com", "/fr/"), ("block", "com", "/de/"),
 )
-BAD_HOST_WORDS = ("casino", "farm", "porn", "spam", "warez")
-
 
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _URL_SQL = f"""
     with rests as (
-        select page_id, coalesce(case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) end, '') as rest
+        select page_id, coalesce(html, '') as html,
+               coalesce(case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) end, '') as rest
         from pages
     ),
     parts as (
         select row_number() over () as n, page_id,
                translate(regexp_extract(rest, '^[^/?#]*'), '{_CAPITALS}', '{_CAPITALS.lower()}') as host,
-               regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+               regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path,
+               count(*) over (partition by html) as copies
         from rests
     ),
+    bad as (
+        select host from parts where host <> '' group by host having 2 * count_if(copies > 1) >= count(*)
+    ),
     rules(action, rule_host, rule_path) as (values {", ".join(map(str, URL_RULES))}),
     fits as (
         select n, arg_max(rule_host || rule_path, length(rule_host || rule_path)) as rule,
@@ -77,19 +80,18 @@ _URL_SQL = f"""
         group by n
     )
     select page_id, host, path, rule,
-           coalesce(action, case when regexp_matches(host, '{"|".join(BAD_HOST_WORDS)}') then 'block' else 'allow' end) as verdict
+           coalesce(action, case when host in (from bad) then 'block' else 'allow' end) as verdict
     from parts left join fits using (n)"""
 
 
 @query("op10_url_filters", _URL_SQL)
 def op10(spark, folder):
-    """Verdict on every url: the longest rule's, else that of the list of bad hosts."""
-    from finflow.llm.urls import judge_urls, split_url
+    """Verdict on every url: the longest rule's, else that of the list of hosts that mostly copy."""
+    from finflow.llm.urls import copying_hosts, judge_urls
 
     pages = table(spark, folder, "pages")
-    hosts = pages.select(split_url(F.col("url"))[0].alias("key")).distinct()
-    bad = hosts.where(F.col("key").rlike("|".join(BAD_HOST_WORDS)))
-    return judge_urls(pages, spark.createDataFrame(URL_RULES, "action string, host string, path string"), bad)
+    rules = spark.createDataFrame(URL_RULES, "action string, host string, path string")
+    return judge_urls(pages, rules, copying_hosts(pages))
 
 
 @query("op3_benchmark_decontamination")

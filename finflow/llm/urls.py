@@ -171,6 +171,20 @@ def rule_keys(host: Column, path: Column, path_lengths: Sequence[int]) -> Column
     )
 
 
+def copying_hosts(pages: DataFrame) -> DataFrame:
+    """``key``: the hosts of which at least half the pages have a payload that another page has too.
+
+    Pages are counted by payload and host first; a payload that many pages share is one row for each host.
+    """
+    counted = pages.select(split_url(F.col("url"))[0].alias("key"), F.sha2(F.coalesce("html", F.lit("")), 256).alias("payload"))
+    counted = counted.groupBy("payload", "key").agg(F.count(F.lit(1)).alias("n"))
+    copied = counted.groupBy("payload").agg(F.sum("n").alias("copies")).where("copies > 1")
+    shares = counted.join(copied, "payload", "left").groupBy("key").agg(
+        F.sum("n").alias("n"), F.sum(F.when(F.col("copies").isNotNull(), F.col("n"))).alias("again")
+    )
+    return shares.where("key <> '' and 2 * again >= n").select("key")
+
+
 def judge_urls(
     pages: DataFrame,
     rules: DataFrame,

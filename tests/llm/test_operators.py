@@ -14,7 +14,7 @@ import brute  # noqa: E402
 
 from finflow.llm import language, licenses, mixing, nearcopies, phrases, pii, quality, repeats, urls, warc  # noqa: E402
 from finflow.llm import words as w  # noqa: E402
-from finflow.llm.queries import BAD_HOST_WORDS, QUERIES, URL_RULES  # noqa: E402
+from finflow.llm.queries import QUERIES, URL_RULES  # noqa: E402
 
 LONG = " ".join(f"long{i % 977} word{i % 31}" for i in range(20_000))
 PASSAGE = " ".join(f"shared{i}" for i in range(60))
@@ -142,6 +142,22 @@ def test_edited_license_body(spark):
     assert [(s["doc_id"], s["first"]) for s in spans] == [(1, 7)] and 0.8 < spans[0]["score"] <= 1
 
 
+def test_license_body_with_words_in_between(spark):
+    """A page header in the middle keeps the label; half a body, or its halves far apart, has none."""
+    body = next(t.text for t in licenses.BODIES if t.name == "mit body").split()
+    half = len(body) // 2
+    extra = "page two of this file".split()
+    docs = [
+        (1, body[:half] + extra + body[half:]), (2, body[:half]), (3, body[:half] + ["far"] * 500 + body[half:]),
+        (4, body[:half] + extra + body[half:] + body[:half] + extra + extra + body[half:]), (5, body[half:] + body[:half]),
+    ]
+    found = licenses.scan_licenses(spark.createDataFrame([(d, " ".join(ws)) for d, ws in docs], "doc_id long, text string"))
+    labels = {r["doc_id"]: r["labels"] for r in found.collect()}
+    assert "mit" in labels[1] and "mit" in labels[4] and labels[2] == labels[3] == ""
+    spans = licenses.license_spans(spark.createDataFrame([(d, " ".join(ws)) for d, ws in docs], "doc_id long, text string"))
+    assert spans.where("template = 'mit body' and doc_id = 4").count() == 2
+
+
 def test_decontamination(spark, messy, nothing):
     items = [(1, " ".join(f"Shared{i}" for i in range(5, 40))), (2, "deux mots"), (3, None), (4, ""), (5, LONG[3000:3300]), (None, "alpha beta"), (2, "deux mots")]
     bench = spark.createDataFrame(items, "item_id long, text string")
@@ -444,7 +460,10 @@ URLS = [
 ]
 
 
-def judged(url):
+BAD_HOST_WORDS = ("casino", "farm", "porn", "spam", "warez")
+
+
+def judged(url, listed=lambda host: any(b in host for b in BAD_HOST_WORDS)):
     host, path = "", ""
     if url and "://" in url:
         rest = url.split("://", 1)[1]
@@ -452,8 +471,7 @@ def judged(url):
         path = brute.re.match(r"[^?#]*", rest[len(host) :])[0]
         host = brute.lower(host)
     fits = [(len(h + p), h + p, a) for a, h, p in URL_RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
-    bad = any(b in host for b in BAD_HOST_WORDS)
-    rule = max(fits) if fits else (0, None, "block" if bad else "allow")
+    rule = max(fits) if fits else (0, None, "block" if listed(host) else "allow")
     return host, path, rule[1], rule[2]
 
 
@@ -504,4 +522,18 @@ def test_page_queries(spark, small):
     columns = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
     assert rows_of(QUERIES["op5_warc"](spark, small), *columns) == sorted(brute.warc([(r["page_id"], r["html"]) for r in pages]), key=repr)
     got = rows_of(QUERIES["op10_url_filters"](spark, small), "page_id", "host", "path", "rule", "verdict")
-    assert got == sorted(((r["page_id"], *judged(r["url"])) for r in pages), key=repr)
+    copies, shares = {}, {}
+    for r in pages:
+        copies[r["html"] or ""] = copies.get(r["html"] or "", 0) + 1
+    for r in pages:
+        shares.setdefault(judged(r["url"])[0], []).append(copies[r["html"] or ""] > 1)
+    listed = lambda host: host != "" and 2 * sum(shares[host]) >= len(shares[host])
+    assert got == sorted(((r["page_id"], *judged(r["url"], listed)) for r in pages), key=repr)
+
+
+def test_hosts_that_mostly_copy(spark):
+    pages = [("http://a/1", "x"), ("http://a/2", "x"), ("http://a/3", "own"), ("http://B.com", "x"), ("http://b.com/2", "mine"), ("http://c", "y")]
+    pages += [(None, "x"), ("no host", "x"), ("http://d/", None), ("http://e/", ""), ("http://f", "z1"), ("http://f", "z2"), ("http://f", "x")]
+    found = urls.copying_hosts(spark.createDataFrame(pages, "url string, html string"))
+    assert rows_of(found, "key") == [("a",), ("b.com",), ("d",), ("e",)]
+    assert urls.copying_hosts(spark.createDataFrame([], "url string, html string")).count() == 0
