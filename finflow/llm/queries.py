@@ -49,11 +49,13 @@ def op9(spark, folder):
     return rate(docs, fit_ratio(docs, labels))
 
 
-# Rules of the contract.
+# Rules of the contract. Listed as bad are hosts with one of these words in their name, and hosts of thin pages.
 URL_RULES = (
     ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
     ("allow", "com", "/fr/"), ("block", "com", "/de/"),
 )
+BAD_HOST_WORDS = ("casino", "farm", "porn", "spam", "warez")
+THIN_PERCENT = 80
 
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _URL_SQL = f"""
@@ -66,11 +68,14 @@ _URL_SQL = f"""
         select row_number() over () as n, page_id,
                translate(regexp_extract(rest, '^[^/?#]*'), '{_CAPITALS}', '{_CAPITALS.lower()}') as host,
                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path,
-               count(*) over (partition by html) as copies
+               strlen(html)::hugeint as bytes
         from rests
     ),
     bad as (
-        select host from parts where host <> '' group by host having 2 * count_if(copies > 1) >= count(*)
+        select host from parts, (select sum(bytes) as all_bytes, count(*) as pages from parts)
+        group by host, all_bytes, pages
+        having regexp_matches(host, '{"|".join(BAD_HOST_WORDS)}')
+               or (host <> '' and 100 * sum(bytes) * pages < {THIN_PERCENT} * all_bytes * count(*))
     ),
     rules(action, rule_host, rule_path) as (values {", ".join(map(str, URL_RULES))}),
     fits as (
@@ -86,12 +91,13 @@ _URL_SQL = f"""
 
 @query("op10_url_filters", _URL_SQL)
 def op10(spark, folder):
-    """Verdict on every url: the longest rule's, else that of the list of hosts that mostly copy."""
-    from finflow.llm.urls import copying_hosts, judge_urls
+    """Verdict on every url: the longest rule's, else that of the list of bad hosts."""
+    from finflow.llm.urls import judge_urls, split_url, thin_hosts
 
     pages = table(spark, folder, "pages")
     rules = spark.createDataFrame(URL_RULES, "action string, host string, path string")
-    return judge_urls(pages, rules, copying_hosts(pages))
+    named = pages.select(split_url(F.col("url"))[0].alias("key")).distinct().where(F.col("key").rlike("|".join(BAD_HOST_WORDS)))
+    return judge_urls(pages, rules, named.unionByName(thin_hosts(pages, THIN_PERCENT)).distinct())
 
 
 @query("op3_benchmark_decontamination")

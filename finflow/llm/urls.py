@@ -171,18 +171,21 @@ def rule_keys(host: Column, path: Column, path_lengths: Sequence[int]) -> Column
     )
 
 
-def copying_hosts(pages: DataFrame) -> DataFrame:
-    """``key``: the hosts of which at least half the pages have a payload that another page has too.
+def thin_hosts(pages: DataFrame, percent: int = 80) -> DataFrame:
+    """``key``: the hosts whose pages have on average less than ``percent`` of the bytes that pages have on the whole.
 
-    Pages are counted by payload and host first; a payload that many pages share is one row for each host.
+    Two short rows go on from all pages: a sum by host, and one over the hosts.
     """
-    counted = pages.select(split_url(F.col("url"))[0].alias("key"), F.sha2(F.coalesce("html", F.lit("")), 256).alias("payload"))
-    counted = counted.groupBy("payload", "key").agg(F.count(F.lit(1)).alias("n"))
-    copied = counted.groupBy("payload").agg(F.sum("n").alias("copies")).where("copies > 1")
-    shares = counted.join(copied, "payload", "left").groupBy("key").agg(
-        F.sum("n").alias("n"), F.sum(F.when(F.col("copies").isNotNull(), F.col("n"))).alias("again")
-    )
-    return shares.where("key <> '' and 2 * again >= n").select("key")
+    bytes_ = F.octet_length(F.coalesce("html", F.lit(""))).cast("decimal(20,0)")
+    hosts = pages.select(split_url(F.col("url"))[0].alias("key"), bytes_.alias("b"))
+    hosts = hosts.groupBy("key").agg(F.sum("b").alias("b"), F.count(F.lit(1)).cast("decimal(18,0)").alias("n"))
+    whole = hosts.agg(F.sum("b").alias("all_b"), F.sum("n").alias("all_n")).first()
+    if whole["all_n"] is None:
+        return hosts.select("key")
+    # In whole numbers, so that no rounding decides.
+    share = lambda value, factor: value.cast("decimal(38,0)") * F.lit(int(factor)).cast("decimal(38,0)")
+    thin = share(F.col("b"), 100 * whole["all_n"]) < share(F.col("n"), percent * whole["all_b"])
+    return hosts.where((F.col("key") != "") & thin).select("key")
 
 
 def judge_urls(

@@ -14,7 +14,7 @@ import brute  # noqa: E402
 
 from finflow.llm import language, licenses, mixing, nearcopies, phrases, pii, quality, repeats, urls, warc  # noqa: E402
 from finflow.llm import words as w  # noqa: E402
-from finflow.llm.queries import QUERIES, URL_RULES  # noqa: E402
+from finflow.llm.queries import BAD_HOST_WORDS, QUERIES, THIN_PERCENT, URL_RULES  # noqa: E402
 
 LONG = " ".join(f"long{i % 977} word{i % 31}" for i in range(20_000))
 PASSAGE = " ".join(f"shared{i}" for i in range(60))
@@ -460,9 +460,6 @@ URLS = [
 ]
 
 
-BAD_HOST_WORDS = ("casino", "farm", "porn", "spam", "warez")
-
-
 def judged(url, listed=lambda host: any(b in host for b in BAD_HOST_WORDS)):
     host, path = "", ""
     if url and "://" in url:
@@ -522,18 +519,20 @@ def test_page_queries(spark, small):
     columns = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
     assert rows_of(QUERIES["op5_warc"](spark, small), *columns) == sorted(brute.warc([(r["page_id"], r["html"]) for r in pages]), key=repr)
     got = rows_of(QUERIES["op10_url_filters"](spark, small), "page_id", "host", "path", "rule", "verdict")
-    copies, shares = {}, {}
-    for r in pages:
-        copies[r["html"] or ""] = copies.get(r["html"] or "", 0) + 1
+    sizes = {}
     for r in pages:
-        shares.setdefault(judged(r["url"])[0], []).append(copies[r["html"] or ""] > 1)
-    listed = lambda host: host != "" and 2 * sum(shares[host]) >= len(shares[host])
-    assert got == sorted(((r["page_id"], *judged(r["url"], listed)) for r in pages), key=repr)
-
-
-def test_hosts_that_mostly_copy(spark):
-    pages = [("http://a/1", "x"), ("http://a/2", "x"), ("http://a/3", "own"), ("http://B.com", "x"), ("http://b.com/2", "mine"), ("http://c", "y")]
-    pages += [(None, "x"), ("no host", "x"), ("http://d/", None), ("http://e/", ""), ("http://f", "z1"), ("http://f", "z2"), ("http://f", "x")]
-    found = urls.copying_hosts(spark.createDataFrame(pages, "url string, html string"))
-    assert rows_of(found, "key") == [("a",), ("b.com",), ("d",), ("e",)]
-    assert urls.copying_hosts(spark.createDataFrame([], "url string, html string")).count() == 0
+        sizes.setdefault(judged(r["url"])[0], []).append(len((r["html"] or "").encode()))
+    mean = sum(map(sum, sizes.values())) / len(pages)
+    thin = {host for host, s in sizes.items() if host and 100 * sum(s) / len(s) < THIN_PERCENT * mean}
+    assert thin
+    bad = lambda host: host in thin or any(b in host for b in BAD_HOST_WORDS)
+    assert got == sorted(((r["page_id"], *judged(r["url"], bad)) for r in pages), key=repr)
+
+
+def test_thin_hosts(spark):
+    pages = [("http://a/1", "x" * 10), ("http://A/2", "x" * 30), ("http://b", "y" * 25), ("http://b/2", None), ("http://c", "é" * 50)]
+    pages += [(None, "x"), ("no host", None)]
+    found = urls.thin_hosts(spark.createDataFrame(pages, "url string, html string"))
+    mean = (10 + 30 + 25 + 0 + 100 + 1 + 0) / 7
+    assert [k for k, m in (("a", 20), ("b", 12.5), ("c", 100)) if 100 * m < 80 * mean] == [r[0] for r in rows_of(found, "key")]
+    assert urls.thin_hosts(spark.createDataFrame([], "url string, html string")).count() == 0
