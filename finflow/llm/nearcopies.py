@@ -41,6 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,6 +58,7 @@ FEW_PAIRS = 8
 # The sketch of shingle counts: rows of 2 ** SKETCH_BITS cells.
 SKETCH_BITS = 18
 _SKETCH_SALTS = (0xC2B2AE3D27D4EB4F, 0x27D4EB2F165667C5)
+_PIECE_CELLS = 1 << 15
 
 
 def bands_for(threshold: float, miss: float = 1e-8) -> tuple[int, int]:
@@ -238,7 +240,7 @@ def _members(pairs: DataFrame) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, described: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """``node, grams`` of the classes ``nodes`` (distinct), from one document of each."""
+    """``node, grams`` of the classes ``nodes`` (distinct), from one document of each; stored."""
     one = stored(described.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "wanted")
     texts = docs.select("doc_id", "text").join(small(one.where("doc_id is not null")), "doc_id").select("text", "node")
 
@@ -258,13 +260,19 @@ def _full_sets(docs: DataFrame, described: DataFrame, nodes: DataFrame, size: in
                     }
                 )
 
+    found = texts.mapInArrow(run, "node binary, grams binary")
     nameless = one.where("doc_id is null").select("node")
-    if nameless.isEmpty():
-        return texts.mapInArrow(run, "node binary, grams binary").dropDuplicates(["node"])
-    # Classes of rows without an id are looked up by name among those rows.
-    others = docs.where("doc_id is null").select("text", F.lit(None).cast("binary").alias("node"))
-    found = others.mapInArrow(run, "node binary, grams binary").join(nameless, "node", "left_semi")
-    return texts.mapInArrow(run, "node binary, grams binary").unionByName(found).dropDuplicates(["node"])
+    if not nameless.isEmpty():
+        # Classes of rows without an id are looked up by name among those rows.
+        others = docs.where("doc_id is null").select("text", F.lit(None).cast("binary").alias("node"))
+        found = found.unionByName(others.mapInArrow(run, "node binary, grams binary").join(nameless, "node", "left_semi"))
+    found = stored(found, "sets")
+    # Only rows equal in id and text, or without an id, bring a set twice; else sets need not be shuffled here.
+    if found.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return found
+    once = stored(found.dropDuplicates(["node"]), "sets")
+    dropped(found)
+    return once
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -387,20 +395,42 @@ def _cells(grams: np.ndarray) -> np.ndarray:
 
 
 def sketch(sets: DataFrame) -> np.ndarray:
-    """Count-min sketch of the shingles of ``sets``: added up by task, then by cell."""
+    """Count-min sketch of the shingles of ``sets``: counted by task, then added up in two steps.
+
+    It travels in pieces of ``_PIECE_CELLS`` counters. The first step adds the pieces of every
+    64th task, so no group holds those of all tasks.
+    """
+    cells = len(_SKETCH_SALTS) << SKETCH_BITS
 
     def run(batches):
-        counts = np.zeros(len(_SKETCH_SALTS) << SKETCH_BITS, np.int64)
+        counts = np.zeros(cells, np.int64)
         for batch in batches:
             for grams in batch.column("grams"):
                 np.add.at(counts, _cells(np.frombuffer(grams.as_py(), np.uint64)), 1)
-        cells = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_pydict({"cell": pa.array(cells.astype(np.int32)), "n": pa.array(counts[cells])})
-
-    found = sets.select("grams").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(len(_SKETCH_SALTS) << SKETCH_BITS, np.int32)  # it goes to every task
-    counts[found.column("cell").to_numpy()] = np.minimum(found.column("n").to_numpy(), np.iinfo(np.int32).max)
-    return counts
+        pieces = counts.reshape(-1, _PIECE_CELLS)
+        some = np.flatnonzero(pieces.any(axis=1))
+        part = TaskContext.get().partitionId() % 64
+        yield pa.RecordBatch.from_pydict(
+            {
+                "piece": pa.array(some.astype(np.int32)),
+                "part": pa.array(np.full(len(some), part, np.int32)),
+                "counts": pa.array([pieces[i].tobytes() for i in some], pa.binary()),
+            }
+        )
+
+    def added(pieces: pa.Table) -> pa.Table:
+        total = np.zeros(_PIECE_CELLS, np.int64)
+        for counts in pieces.column("counts"):
+            total += np.frombuffer(counts.as_py(), np.int64)
+        return pa.table({"piece": pieces.column("piece").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+
+    by_task = sets.select("grams").mapInArrow(run, "piece int, part int, counts binary")
+    by_part = by_task.groupBy("piece", "part").applyInArrow(added, "piece int, counts binary")
+    found = by_part.groupBy("piece").applyInArrow(added, "piece int, counts binary").collect()
+    counts = np.zeros((cells // _PIECE_CELLS, _PIECE_CELLS), np.int32)  # it goes to every task
+    for row in found:
+        counts[row["piece"]] = np.minimum(np.frombuffer(row["counts"], np.int64), np.iinfo(np.int32).max)
+    return counts.ravel()
 
 
 def _rarest_across(open_: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -481,7 +511,7 @@ def near_copies(
     hubs = shared.join(weights, "node").groupBy("key").agg(F.max(F.struct("weight", "node"))["node"].alias("hub"))
     pairs = _ordered(shared.join(hubs, "key").where("node <> hub"), "node", "hub")
     # Texts are read once more, for the sets of all classes that may have a partner.
-    sets = stored(_full_sets(docs, described, shared.select("node").distinct(), shingle), "sets")
+    sets = _full_sets(docs, described, shared.select("node").distinct(), shingle)
     compared, roots = stored(_plausible(pairs, classes, threshold), "pairs"), None
     found, before, turn = compared, None, 0
     while True:

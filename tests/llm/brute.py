@@ -1,8 +1,11 @@
 """Plain Python answers the operators are held against."""
 
 import hashlib
+import math
 import re
 
+import xxhash
+
 SPACE_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ALNUM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -169,3 +172,62 @@ def warc(pages, least=1000):
         kind = "response" if response == p else "revisit"
         out.append((p, len(raw), hashlib.sha1(raw).hexdigest(), kind, None if response == p else response))
     return out
+
+
+def spark_hash(*values):
+    """The 64-bit hash Spark gives to columns: long for int, ``(value,)`` for a 32-bit number, str, or None."""
+    h = 42
+    for v in values:
+        if isinstance(v, tuple):
+            h = xxhash.xxh64_intdigest(v[0].to_bytes(4, "little", signed=True), h)
+        elif isinstance(v, str):
+            h = xxhash.xxh64_intdigest(v.encode(), h)
+        elif v is not None:
+            h = xxhash.xxh64_intdigest(v.to_bytes(8, "little", signed=True), h)
+    return h
+
+
+def _signed(h):
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
+def mixture(rows, block=128, weights=(3, 1, 2), share=1.5, most=2, seed=0):
+    """``doc_id, source, size, target, taken`` of (doc_id, text, source), block by block."""
+    docs, copies = [], {}
+    for d, t, source in rows:
+        row = _signed(spark_hash(t))
+        size = len(SPACE_WORD.findall(t or ""))
+        copy = copies[d, source, row] = copies.get((d, source, row), 0) + 1
+        docs.append((d, source, size, row, copy))
+    total = {}
+    for _, source, size, _, _ in docs:
+        total[source] = total.get(source, 0) + size
+    order = sorted(total, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    goal, full = {}, set()
+    while True:  # what is cut off is shared again by weight
+        left = share * sum(total.values()) - sum(most * total[s] for s in full)
+        rest = sum(weight[s] for s in order if s not in full)
+        goal = {s: most * total[s] if s in full else left * weight[s] / rest for s in order}
+        more = {s for s in order if goal[s] > most * total[s]}
+        if not more:
+            break
+        full |= more
+        if len(full) == len(order):
+            goal = {s: most * total[s] for s in order}
+            break
+    taken = dict.fromkeys(range(len(docs)), 0)
+    for s in order:
+        for turn in range(1, math.ceil(goal[s] / total[s]) + 1 if total[s] else 1):
+            blocks = []
+            for i, (d, source, size, row, copy) in enumerate(docs):
+                if source == s:
+                    for b in range(-(-size // block)):
+                        h = spark_hash(d, row, source, copy, b, turn, (seed,))
+                        blocks.append((h >> 1, _signed(h), d is not None, d, row, copy, b, min(block, size - b * block), i))
+            before = 0
+            for *_, words, i in sorted(blocks):
+                if before + words / 2 <= goal[s] - (turn - 1) * total[s]:
+                    taken[i] += words
+                before += words
+    return [(d, source, size, goal[source], taken[i]) for i, (d, source, size, _, _) in enumerate(docs)]

@@ -196,6 +196,20 @@ def test_mixing(spark, messy, nothing):
     assert mixing.mix(nothing).count() == 0
 
 
+def mixed_by_hand(docs, **options):
+    return sorted(((d, s, n, round(g, 6), t) for d, s, n, g, t in brute.mixture(docs, **options)), key=repr)
+
+
+@pytest.mark.parametrize("block", [1, 50, 128])
+def test_mixture_block_by_block(spark, messy, small, block):
+    """The words taken of every document: targets, permuted order and cut in plain Python."""
+    columns = ("doc_id", "source", "size", "target", "taken")
+    for docs in (messy, spark.read.parquet(f"{small}/documents.parquet")):
+        rows = [(r["doc_id"], r["text"], r["source"]) for r in docs.collect()]
+        got = sorted(((*r[:3], round(r[3], 6), r[4]) for r in rows_of(mixing.mix(docs, block=block), *columns)), key=repr)
+        assert got == mixed_by_hand(rows, block=block)
+
+
 def test_targets_fill_up(spark):
     sizes = spark.createDataFrame([("a", 100), ("b", 10), ("c", 1000), (None, 5)], "source string, size long")
     got = {r["source"]: r["target"] for r in mixing.targets(sizes).collect()}
@@ -319,6 +333,47 @@ def test_language_query_reads_the_evidence_of_pages(spark, tmp_path):
     assert got[100]["language"] == "de" and got[101]["language"] == "en" and not got[102]["kept"]
 
 
+def test_posterior_is_the_sum_of_four_logarithms(spark, small):
+    """Text, declaration, suffix and smoothed host priors of every page, added up in plain Python."""
+    import math
+
+    evidence = language.page_evidence(spark.read.parquet(f"{small}/pages.parquet"))
+    languages, scored = language.text_scores(evidence)
+    rows, classes = scored.collect(), len(languages) + 1
+    speaks = [r for r in rows if r["says"] is not None]
+    whole = [sum(r["says"] == c for r in speaks) for c in range(classes)]
+    prior = [(n + 1) / (len(speaks) + classes) for n in whole]
+
+    def counts(*keys):
+        out = {}
+        for r in speaks:
+            out.setdefault(tuple(r[k] for k in keys), [0.0] * classes)[r["says"]] += 1
+        return out
+
+    def smoothed(n, parent):
+        return [(a + language.HOST_SMOOTHING * p) / (sum(n) + language.HOST_SMOOTHING) for a, p in zip(n, parent)]
+
+    by, smooth = {k: counts(k) for k in ("declared", "suffix", "domain")}, language.EVIDENCE_SMOOTHING
+    hosts = counts("host", "domain")
+    wanted = {}
+    for r in rows:
+        total = list(r["text_score"])
+        for key in ("declared", "suffix"):
+            if (r[key],) in by[key]:
+                total = [t + math.log((n + smooth) / (m + smooth * (len(by[key]) + 1))) for t, n, m in zip(total, by[key][r[key],], whole)]
+        at = prior
+        if (r["host"], r["domain"]) in hosts:
+            at = smoothed(hosts[r["host"], r["domain"]], smoothed(by["domain"][r["domain"],], prior))
+        total = [t + math.log(p) for t, p in zip(total, at)]
+        top = max(total)
+        best = [*languages, r["declared"]][total.index(top)]
+        wanted[r["page_id"]] = (best, 1 / sum(math.exp(t - top) for t in total)) if r["grams"] else (None, 0.0)
+    got = {r["page_id"]: (r["language"], r["posterior"]) for r in language.identify(evidence).collect()}
+    assert got.keys() == wanted.keys() and len(got) > 20
+    for page, (best, sure) in wanted.items():
+        assert got[page][0] == best and got[page][1] == pytest.approx(sure, rel=1e-9)
+
+
 def test_a_large_component_does_not_meet_itself(spark):
     """100,000 members of one component and four others; all pairs would be 10^10."""
     same = spark.range(100_000).select(F.lit(1).alias("key"), "id", F.lit(-1).alias("root"))
