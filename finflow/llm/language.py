@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finflow.llm import words as w
-from finflow.llm.store import dropped, stored
+from finflow.llm.store import dropped, small_batches, stored
 
 BUCKETS = 1 << 15
 LEAST_ROWS, LEAST_SHARE = 5, 1e-3
@@ -225,6 +225,7 @@ def identify(docs: DataFrame) -> DataFrame:
     columns to carry along, which the result has too, with ``language``,
     ``posterior`` and ``kept``.
     """
+    small_batches(docs.sparkSession)
     languages, scored = text_scores(docs)
     classes = len(languages) + 1  # the last is "other"
     flat = F.array_repeat(F.lit(0.0), classes)

@@ -18,7 +18,8 @@ Only ids, sizes and hashes are shuffled. Blocks are numbered by ranges of their
 hash: counts per range, running totals over the ranges, and a sort inside each
 range, so a source with a third of all blocks is spread over many tasks. On the
 driver are one row per source (the mixture the user states) and the tree's
-table of shards by source, at most ``MOST_CELLS`` numbers. Hashes depend on ids,
+table of shards by source, at most ``MOST_CELLS`` numbers: with very many sources and
+shards there are fewer and larger shards, never fewer words. Hashes depend on ids,
 texts and ``seed`` alone, so reruns agree.
 
 Edge cases. Null and empty texts have size 0 and are never drawn. A null source
@@ -30,6 +31,7 @@ gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -37,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from finflow.llm.store import small, stored
+from finflow.llm.store import small, small_batches, stored
 
 # Weights by order of the sources, repeating; share of all words; repeats of a source.
 WEIGHTS = (3, 1, 2)
@@ -48,8 +50,9 @@ BLOCK = 128
 SHARD_BLOCKS = 1 << 14
 RANGE_BLOCKS = 1 << 12
 MOST_CELLS = 10_000_000
-# numpy draws hypergeometric numbers from populations below this.
+# numpy draws hypergeometric numbers from populations below this; larger ones are drawn here.
 _POPULATION = 1_000_000_000
+_ALL_FULL = 1e300  # words by weight
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -90,7 +93,8 @@ def targets(
         if state["full"] == before:
             break
         before = state["full"]
-        level = (share * state["all"] - state["given"]) / state["weight"] if state["weight"] else 0.0
+        # With every source full there is nobody left to give the excess to: all stay at their limit.
+        level = (share * state["all"] - state["given"]) / state["weight"] if state["weight"] else _ALL_FULL
     target = F.least(limit, F.lit(level) * F.col("_weight"))
     return sources.select("source", "source_size", target.alias("target"))
 
@@ -107,26 +111,51 @@ def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
         middle = (first + last) // 2
         total = int(own.sum())
         left_size = total * (middle - first) // (last - first)
-        if total < _POPULATION:
-            rng = np.random.default_rng([seed, first, last])
-            left = rng.multivariate_hypergeometric(own, left_size, method="marginals")
-        else:
-            left = _expected(own, left_size)
+        left = _multivariate(np.random.default_rng([seed, first, last]), own, left_size)
         todo += [(first, middle, left), (middle, last, own - left)]
     return out
 
 
-def _expected(own: np.ndarray, size: int) -> np.ndarray:
-    """The mean of the draw in whole blocks, the greatest remainders rounded up.
+def _multivariate(rng: np.random.Generator, own: np.ndarray, size: int) -> np.ndarray:
+    """How many of each kind are among ``size`` drawn without replacement."""
+    rest = int(own.sum())
+    if rest < _POPULATION:
+        return rng.multivariate_hypergeometric(own, size, method="marginals")
+    left = np.zeros(len(own), np.int64)
+    for i, n in enumerate(own.tolist()):
+        rest -= n
+        left[i] = hypergeometric(rng, n, rest, size)
+        size -= int(left[i])
+    return left
+
 
-    From a population of a billion a draw strays from it by a few parts in 10^5.
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, size: int) -> int:
+    """How many of ``good`` are among ``size`` drawn from ``good + bad`` without replacement, for any population.
+
+    Ratio of uniforms around the mode. The ratio of two probabilities is the product of the
+    steps between them, so nothing is lost where factorials of large numbers would cancel;
+    there are a few standard deviations of steps.
     """
-    total = int(own.sum())
-    exact = [int(x) * size for x in own]
-    left = np.array([x // total for x in exact], np.int64)
-    rest = np.array([x % total for x in exact], float)
-    left[np.argsort(-rest, kind="stable")[: size - int(left.sum())]] += 1
-    return left
+    total = good + bad
+    if min(good, bad, size, total - size) == 0:
+        return min(good, size) if bad == 0 or size == total else 0
+    few, drawn = min(good, bad), min(size, total - size)  # the same draw seen from its smaller sides
+    mean = drawn * (few / total)
+    spread = math.sqrt(mean * ((total - few) / total) * ((total - drawn) / (total - 1)) + 0.5)
+    width = 2 * math.sqrt(2 / math.e) * spread + 3 - 2 * math.sqrt(3 / math.e)
+    mode, most = (drawn + 1) * (few + 1) // (total + 2), min(drawn, few)
+    while True:
+        u, v = rng.random(2)
+        at = mean + 0.5 + width * (v - 0.5) / u if u else -1.0
+        if not 0 <= at < most + 1:
+            continue
+        k = int(at)
+        j = np.arange(min(k, mode), max(k, mode), dtype=float)
+        steps = np.log((few - j) / (j + 1) * ((drawn - j) / (total - few - drawn + j + 1))).sum()
+        if 2 * math.log(u) <= (steps if k > mode else -steps):
+            break
+    k = k if drawn == size else few - k
+    return k if few == good else size - k
 
 
 def _numbered(blocks: DataFrame) -> DataFrame:
@@ -213,6 +242,7 @@ def draw(
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """``doc_id, source, size, source_size, target, taken, n_shards`` of every document."""
+    small_batches(docs.sparkSession)
     sizes = stored(sized(docs), "sizes")
     goals = targets(sizes)
     key = ["doc_id", "source", "row", "copy"]

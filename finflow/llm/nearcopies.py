@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finflow.llm import words as w
-from finflow.llm.store import dropped, release, small, stored
+from finflow.llm.store import dropped, release, small, small_batches, stored
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -494,6 +494,7 @@ def near_copies(
     share one: ``named`` adds ``component``, a name of its own (null without shingles).
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows, bands = bands_for(threshold)
     described = stored(describe(docs, shingle, rows * bands, carry), "signatures")
     classes = stored(

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finflow.llm import words as w
-from finflow.llm.store import stored
+from finflow.llm.store import small_batches, stored
 
 WINDOW = 13
 SHARD_BYTES = 4 << 20
@@ -331,6 +331,7 @@ def contamination(
     Contaminated: a word is hit, and at least a twentieth of all words are.
     ``n_near`` counts items with a proximity match.
     """
+    small_batches(docs.sparkSession)
     vocabulary = [np.zeros(0, np.uint64)]
     for block in _in_blocks(items, block_items):
         vocabulary.append(np.unique(np.concatenate([term_hashes(t) for _, t in block])))

@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finflow.llm import words as w
+from finflow.llm.store import small_batches
 
 # The kinds in the order of the contract, then those only the model finds.
 KINDS = ("email", "ip", "card", "phone", "secret")
@@ -321,6 +322,7 @@ def _telling_texts(batch: pa.RecordBatch) -> tuple[np.ndarray, list[str]]:
 
 def find_personal_data(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     """``doc_id``, ``base`` and ``spans`` (arrays of kind, start, end) of every row of ``docs``."""
+    small_batches(docs.sparkSession)
     chain = fit_chain(labelled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,6 +343,7 @@ def find_personal_data(docs: DataFrame, labelled: DataFrame) -> DataFrame:
 
 def mask_personal_data(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     """``docs`` with ``<KIND>`` in the place of each span of ``text``."""
+    small_batches(docs.sparkSession)
     chain = fit_chain(labelled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -24,6 +24,18 @@ def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return back
 
 
+# Bytes of an Arrow batch. A task holds several copies of one, in the JVM and in Python.
+BATCH_BYTES = 16 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hold Arrow batches to ``BATCH_BYTES`` where the session allows more; a longer row is a batch of its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
+    if now <= 0 or now > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 # Rows up to which a table of keys is broadcast; more are joined by shuffle.
 MOST_BROADCAST = 500_000
 

@@ -196,6 +196,38 @@ def test_mixing(spark, messy, nothing):
     assert mixing.mix(nothing).count() == 0
 
 
+def test_targets_end_when_all_sources_are_full(spark):
+    sizes = spark.createDataFrame([("a", 100), ("b", 10), (None, 0)], "source string, size long")
+    got = {r["source"]: r["target"] for r in mixing.targets(sizes, share=3.0).collect()}
+    assert got == {"a": 200.0, "b": 20.0, None: 0.0}
+
+
+@pytest.mark.parametrize(("good", "bad", "size"), [(7, 9, 5), (9, 7, 12), (3, 40, 20), (400, 100, 250), (1, 1, 1)])
+def test_hypergeometric_draws(good, bad, size):
+    """Frequencies of small draws against the exact probabilities."""
+    import math
+
+    rng, draws = np.random.default_rng(good), 20_000
+    got = np.bincount([mixing.hypergeometric(rng, good, bad, size) for _ in range(draws)], minlength=good + 1)
+    of = lambda k: math.comb(good, k) * math.comb(bad, size - k) / math.comb(good + bad, size) if 0 <= size - k <= bad else 0.0
+    chances = np.array([of(k) for k in range(len(got))])
+    assert got[chances == 0].sum() == 0
+    assert np.abs(got - draws * chances).max() < 5 * np.sqrt(draws * chances.max())
+
+
+def test_splitting_beyond_a_billion_blocks():
+    """Quotas add up, and draws spread as they should where numpy has no draw."""
+    quotas = np.array([3 * 10**9, 10**9, 5, 2 * 10**10])
+    out = mixing.split_quotas(quotas, 4, 7)
+    assert (out.sum(axis=0) == quotas).all() and (out >= 0).all() and np.ptp(out.sum(axis=1)) <= 1
+    total, n = int(quotas.sum()), 10**9
+    rng = np.random.default_rng(1)
+    drawn = np.array([mixing.hypergeometric(rng, n, total - n, total // 2) for _ in range(60)], float)
+    deviation = (n * (1 - n / total) / 4) ** 0.5
+    assert abs(drawn.mean() - n / 2) < 4 * deviation / 60**0.5 and 0.7 < drawn.std() / deviation < 1.3
+    assert mixing.hypergeometric(rng, 0, 10**10, 5) == 0 and mixing.hypergeometric(rng, 10**10, 0, 5) == 5
+
+
 def mixed_by_hand(docs, **options):
     return sorted(((d, s, n, round(g, 6), t) for d, s, n, g, t in brute.mixture(docs, **options)), key=repr)
 
