@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from finflow.operators.layout import expected_bytes
 from finflow.operators.skew import Heat, HotKeys
 
 # Other names of the outer joins.
@@ -28,6 +29,9 @@ OUTER_NAMES = {
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 
+# An expected size this many times the limit is not worth measuring.
+_HOPELESS = 1000
+
 # Values beyond this share the outermost cells of a band join.
 _FARTHEST = 1e300
 
@@ -50,7 +54,13 @@ def measured_bytes(df: DataFrame) -> Column:
 
 
 def fits_in_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether ``df`` measures at most ``max_bytes``. Runs one distributed aggregation."""
+    """Whether ``df`` measures at most ``max_bytes``.
+
+    Runs one distributed aggregation, unless the optimizer expects ``_HOPELESS`` times as much:
+    then the join is shuffled without reading ``df`` an extra time.
+    """
+    if expected_bytes(df) > _HOPELESS * max_bytes:
+        return False
     size = df.agg(measured_bytes(df).alias("size")).first()["size"]
     return (size or 0) <= max_bytes
 

@@ -43,10 +43,14 @@ def glom(df: DataFrame, column: str, out: str = "items") -> DataFrame:
     return source.mapInArrow(pack, schema)
 
 
+def expected_bytes(df: DataFrame) -> int:
+    """Size the optimizer expects ``df`` to have; costs no job, and knows nothing of what filters leave."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def partitions_for(df: DataFrame, partition_bytes: int = 128 << 20) -> int:
-    """Partitions of about ``partition_bytes`` that ``df`` makes, by the size the optimizer expects of it."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return max(1, math.ceil(int(str(size)) / partition_bytes))
+    """Partitions of about ``partition_bytes`` that ``df`` makes, by its expected size."""
+    return max(1, math.ceil(expected_bytes(df) / partition_bytes))
 
 
 def _unit_interval(keys: Sequence[str], seed: int) -> Column:

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from finflow.operators.joins import band_join, broadcast_join, cross_join, outer_join, pair_join
+from finflow.operators.joins import band_join, broadcast_join, cross_join, fits_in_broadcast, outer_join, pair_join
 from finflow.plans.explain import join_strategies, plan_text, pushed_filters, scanned_columns, shuffles
 from finflow.plans.registry import Tables
 from finflow.schemas import PERSON, ROLE
@@ -63,6 +63,18 @@ def test_broadcast_only_below_the_limit(spark, small):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_hopeless_sides_are_not_measured(spark, small, monkeypatch):
+    """Far over the limit by the optimizer's count: no job to find out."""
+    orders = Tables(spark, small).orders
+    group = "measure"
+    spark.sparkContext.setJobGroup(group, group)
+    assert not fits_in_broadcast(orders, max_bytes=1)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(group) == []
+    assert not fits_in_broadcast(orders, max_bytes=100) and fits_in_broadcast(orders)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(group) != []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 @pytest.mark.parametrize("max_bytes", [10, 700, 5000, 1 << 20])
 def test_cross_join_of_any_size(spark, max_bytes):
     """Repeated rows and nulls included; blocks meet once each."""
