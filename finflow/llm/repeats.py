@@ -14,9 +14,10 @@ first level asks with hashes cut to the bits the corpus size calls for, which
 only drops windows found once; the second, which decides what is removed, uses
 96 bits. Longer windows are made of two repeated halves and compare 64 bits.
 
-Sizes: a task holds one chunk or one bucket. Entries per message are
-``chunk words * bucket words / all words``; for 100 TB raise ``chunk_bytes`` to
-128 MB and ``bucket_words`` to 64 million.
+Sizes: a task holds one chunk or one bucket, and there are tasks for all buckets. Entries
+per message are ``chunk words * bucket words / all words``, so both sizes grow with the
+cube root of the corpus as the optimizer expects it: from 4 MB and a million words up to
+a gigabyte of text, to 128 MB and 64 million at 32 TB and beyond.
 
 Edge cases. Null and empty texts have no words. A row whose id is null neither
 removes nor is removed from. Rows that share an id never remove from one
@@ -38,10 +39,11 @@ from pyspark.sql import functions as F
 
 from finflow.llm import words as w
 from finflow.llm.store import dropped, release, stored
+from finflow.operators.layout import expected_bytes
 
 WINDOW = 13
-CHUNK_BYTES = 4 << 20
-BUCKET_WORDS = 1 << 20
+CHUNK_BYTES, MOST_CHUNK_BYTES = 4 << 20, 128 << 20
+BUCKET_WORDS, MOST_BUCKET_WORDS = 1 << 20, 64 << 20
 # Bits beyond log2(words) in the hashes of the first question: one window in 2^17 passes by chance.
 SPARE_BITS = 17
 NO_ID = np.iinfo(np.int64).max
@@ -171,6 +173,17 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {name: batch.column(j)[i].as_py() for j, name in enumerate(batch.schema.names)}
 
 
+def _by_chunk(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Join of a few rows that hold much: their files say little of their size, so neither side is broadcast."""
+    return left.join(right.hint("merge"), "chunk", how)
+
+
+def derived_sizes(docs: DataFrame) -> tuple[int, int]:
+    """Bytes of a chunk and words of a bucket for a corpus of this size."""
+    times = max(1.0, (expected_bytes(docs.select("text")) / (1 << 30)) ** (1 / 3))
+    return min(MOST_CHUNK_BYTES, int(CHUNK_BYTES * times)), min(MOST_BUCKET_WORDS, int(BUCKET_WORDS * times))
+
+
 def _once_or_more(chunks: DataFrame, window: int, shift: int, buckets: int) -> DataFrame:
     """Per chunk, which of its distinct cut hashes occur in two documents: ``(chunk, marks)``."""
 
@@ -215,7 +228,8 @@ def _once_or_more(chunks: DataFrame, window: int, shift: int, buckets: int) -> D
         )
 
     asked = chunks.mapInArrow(ask, "bucket long, chunk long, first long, steps binary, several binary")
-    answered = asked.groupBy("bucket").applyInArrow(answer, "chunk long, bucket long, n long, marks binary")
+    # Two tasks for a bucket, so that few get several.
+    answered = asked.repartition(2 * buckets, "bucket").groupBy("bucket").applyInArrow(answer, "chunk long, bucket long, n long, marks binary")
     return answered.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("bucket", "n", "marks"))).alias("answer"))
 
 
@@ -250,7 +264,7 @@ def _candidates(chunks: DataFrame, marks: DataFrame, window: int, shift: int) ->
                 }
             )
 
-    return chunks.join(marks, "chunk", "left").mapInArrow(pick, schema)
+    return _by_chunk(chunks, marks, "left").mapInArrow(pick, schema)
 
 
 def _arrays(pos: np.ndarray, ha: np.ndarray, hb: np.ndarray) -> dict:
@@ -331,7 +345,7 @@ def _owners_of(state: DataFrame, buckets: int, with_least: bool) -> DataFrame:
     asked = state.select("chunk", "ids", "n_words", "steps", "ha", "hb").mapInArrow(
         ask, "bucket long, chunk long, ha binary, hb binary, least binary, several binary"
     )
-    answered = asked.groupBy("bucket").applyInArrow(
+    answered = asked.repartition(2 * buckets, "bucket").groupBy("bucket").applyInArrow(
         answer, "chunk long, bucket long, n long, least binary, several binary"
     )
     return answered.groupBy("chunk").agg(
@@ -372,7 +386,7 @@ def _doubled(state: DataFrame, answers: DataFrame, length: int) -> DataFrame:
                 }
             )
 
-    joined = state.select("chunk", "ids", "n_words", "steps", "ha", "hb").join(answers, "chunk")
+    joined = _by_chunk(state.select("chunk", "ids", "n_words", "steps", "ha", "hb"), answers, "inner")
     return joined.mapInArrow(extend, _STATE + ", docs array<int>")
 
 
@@ -412,14 +426,14 @@ def _finished(state: DataFrame, answers: DataFrame, window: int, keep_text: bool
                 }
             )
 
-    return state.join(answers, "chunk", "left").mapInArrow(finish, schema)
+    return _by_chunk(state, answers, "left").mapInArrow(finish, schema)
 
 
 def remove_repeats(
     docs: DataFrame,
     window: int = WINDOW,
-    chunk_bytes: int = CHUNK_BYTES,
-    bucket_words: int = BUCKET_WORDS,
+    chunk_bytes: int | None = None,
+    bucket_words: int | None = None,
     keep_text: bool = False,
 ) -> DataFrame:
     """Per document: words, removed words, digest of the rest and the longest repeat found by doubling.
@@ -428,8 +442,10 @@ def remove_repeats(
     greatest level ``window * 2^k`` at which a window of the document is found
     in another document; 0 for none). With ``keep_text`` a document that may
     have lost words carries what is left in ``kept_text`` (else null: unchanged
-    up to white space).
+    up to white space). The two sizes follow the corpus if they are not given.
     """
+    own = derived_sizes(docs)
+    chunk_bytes, bucket_words = chunk_bytes or own[0], bucket_words or own[1]
     chunks = stored(pack_chunks(docs, chunk_bytes), "chunks")
     total = chunks.agg(F.coalesce(F.sum("n_words"), F.lit(0)).alias("n")).first()["n"]
     shift = max(0, 64 - int(total).bit_length() - SPARE_BITS)

@@ -515,6 +515,15 @@ def test_repeats(messy, nothing):
     assert repeats.remove_repeats(nothing).count() == 0
 
 
+def test_sizes_follow_the_corpus(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    assert repeats.derived_sizes(docs) == (4 << 20, 1 << 20)
+    for size, times in ((1 << 30, 1), (27 << 30, 3), (1 << 45, 32), (1 << 60, 32)):
+        monkeypatch.setattr(repeats, "expected_bytes", lambda df, size=size: size)
+        chunk, bucket = repeats.derived_sizes(docs)
+        assert chunk == pytest.approx(times * (4 << 20), rel=1e-6) and min(bucket / (1 << 20), 32) == pytest.approx(times, rel=1e-6)
+
+
 def test_largest_and_least_ids_are_ids(spark):
     rows = [(2**63 - 1, f"x {PASSAGE}"), (None, f"y {PASSAGE}"), (-(2**63), f"z {PASSAGE}"), (2**63 - 1, f"q {PASSAGE}")]
     found = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
