@@ -44,6 +44,8 @@ from finflow.operators.layout import expected_bytes
 WINDOW = 13
 CHUNK_BYTES, MOST_CHUNK_BYTES = 4 << 20, 128 << 20
 BUCKET_WORDS, MOST_BUCKET_WORDS = 1 << 20, 64 << 20
+# The optimizer gives sizes beyond an exabyte to what it knows nothing of.
+_UNKNOWN = 1 << 60
 # Bits beyond log2(words) in the hashes of the first question: one window in 2^17 passes by chance.
 SPARE_BITS = 17
 NO_ID = np.iinfo(np.int64).max
@@ -179,8 +181,9 @@ def _by_chunk(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
 
 
 def derived_sizes(docs: DataFrame) -> tuple[int, int]:
-    """Bytes of a chunk and words of a bucket for a corpus of this size."""
-    times = max(1.0, (expected_bytes(docs.select("text")) / (1 << 30)) ** (1 / 3))
+    """Bytes of a chunk and words of a bucket for a corpus of this size; the least of both if nothing is known of it."""
+    expected = expected_bytes(docs.select("text"))
+    times = max(1.0, (expected / (1 << 30)) ** (1 / 3)) if expected < _UNKNOWN else 1.0
     return min(MOST_CHUNK_BYTES, int(CHUNK_BYTES * times)), min(MOST_BUCKET_WORDS, int(BUCKET_WORDS * times))
 
 

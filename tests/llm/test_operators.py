@@ -518,7 +518,7 @@ def test_repeats(messy, nothing):
 def test_sizes_follow_the_corpus(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     assert repeats.derived_sizes(docs) == (4 << 20, 1 << 20)
-    for size, times in ((1 << 30, 1), (27 << 30, 3), (1 << 45, 32), (1 << 60, 32)):
+    for size, times in ((1 << 30, 1), (27 << 30, 3), (1 << 45, 32), (1 << 59, 32), (1 << 62, 1)):
         monkeypatch.setattr(repeats, "expected_bytes", lambda df, size=size: size)
         chunk, bucket = repeats.derived_sizes(docs)
         assert chunk == pytest.approx(times * (4 << 20), rel=1e-6) and min(bucket / (1 << 20), 32) == pytest.approx(times, rel=1e-6)
