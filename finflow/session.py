@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULT_SHUFFLE_PARTITIONS = "200"
 
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # Folder made up for a local application without a setting, by application.
 _LOCAL_FOLDERS: dict[str, str] = {}
 
@@ -34,9 +37,12 @@ def configure(spark: SparkSession) -> SparkSession:
     Windows and dates are defined in UTC. Stateful streams keep the partition
     count of their first run and AQE cannot coalesce them, so a *local* session
     that still has the cluster default gets one partition per core. A cluster's
-    own setting is never touched.
+    own setting is never touched. State of streams goes to disk (Spark's RocksDB store) unless the
+    session names a store: the default keeps it all on the heap, where it also cannot grow.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if _STATE_STORE not in spark.conf.getAll:
+        spark.conf.set(_STATE_STORE, _ROCKS)
     if is_local(spark) and spark.conf.get("spark.sql.shuffle.partitions") == _DEFAULT_SHUFFLE_PARTITIONS:
         spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     return spark
