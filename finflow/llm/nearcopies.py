@@ -217,22 +217,44 @@ def _banded(classes: DataFrame, rows: int, bands: int) -> DataFrame:
     return classes.select("node", "sig").mapInArrow(run, "key long, node binary")
 
 
+def _oriented(pairs: DataFrame) -> DataFrame:
+    """``pairs`` with the node that has more partners as ``b``; stored."""
+    often = _members(pairs).groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    often = small(stored(often, "often"))
+    side = lambda s: often.select(F.col("node").alias(s), F.col("n").alias(f"{s}_n"))
+    known = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    swap = F.coalesce("a_n", F.lit(1)) > F.coalesce("b_n", F.lit(1))
+    return stored(known.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b")), "pairs")
+
+
+def _both_sides(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
+    """``a, b`` of stored ``pairs`` with ``columns`` of both nodes from ``table``, named ``a_`` and ``b_``.
+
+    What is wide moves once: rows of ``table`` find their pairs where they lie (as long as pairs are
+    few enough to send), and go to the few nodes that are ``b``.
+    """
+    side = lambda s, rows: rows.select(F.col("node").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in columns])
+    hubs = small(stored(pairs.select(F.col("b").alias("node")).distinct(), "hubs"))
+    own = side("a", table).join(small(pairs), "a")
+    return own.join(side("b", table.join(hubs, "node", "left_semi")), "b")
+
+
 def _plausible(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs whose estimate is not five standard errors below the threshold."""
-    side = lambda s: classes.select(F.col("node").alias(s), F.col("sig").alias(f"{s}_sig"), F.col("n_shingles").alias(f"{s}_n"))
-    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    """Of stored ``pairs`` those whose estimate is not five standard errors below the threshold."""
+    joined = _both_sides(pairs, classes, "sig", "n_shingles")
 
     def run(batches):
         for batch in batches:
             sig = lambda n: np.frombuffer(b"".join(batch.column(n).to_pylist()), np.uint16).reshape(batch.num_rows, -1)  # noqa: E731, B023
-            n_a, n_b = (batch.column(n).to_numpy() for n in ("a_n", "b_n"))
+            n_a, n_b = (batch.column(n).to_numpy() for n in ("a_n_shingles", "b_n_shingles"))
             near, count = estimate(sig("a_sig"), sig("b_sig"), n_a, n_b)
             error = np.sqrt(threshold * (1 - threshold) / count)
             # The sizes alone bound the Jaccard index.
             keep = (near >= threshold - 5 * error - 1 / count) & (np.minimum(n_a, n_b) >= threshold * np.maximum(n_a, n_b) - 1e-9)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
 
-    return joined.select("a", "b", "a_sig", "b_sig", "a_n", "b_n").mapInArrow(run, "a binary, b binary")
+    wanted = joined.select("a", "b", "a_sig", "b_sig", "a_n_shingles", "b_n_shingles")
+    return wanted.mapInArrow(run, "a binary, b binary")
 
 
 def _members(pairs: DataFrame) -> DataFrame:
@@ -276,11 +298,9 @@ def _full_sets(docs: DataFrame, described: DataFrame, nodes: DataFrame, size: in
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Pairs whose shingle sets meet the threshold, counted exactly."""
+    """Of stored ``pairs`` those whose shingle sets meet the threshold, counted exactly."""
     percent = round(threshold * 100)
-    sets = sets.join(small(stored(_members(pairs).distinct(), "members")), "node", "left_semi")
-    side = lambda s: sets.select(F.col("node").alias(s), F.col("grams").alias(f"{s}_grams"))
-    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    joined = _both_sides(pairs, sets, "grams")
 
     def run(batches):
         for batch in batches:
@@ -513,7 +533,7 @@ def near_copies(
     pairs = _ordered(shared.join(hubs, "key").where("node <> hub"), "node", "hub")
     # Texts are read once more, for the sets of all classes that may have a partner.
     sets = _full_sets(docs, described, shared.select("node").distinct(), shingle)
-    compared, roots = stored(_plausible(pairs, classes, threshold), "pairs"), None
+    compared, roots = stored(_plausible(_oriented(pairs), classes, threshold), "pairs"), None
     found, before, turn = compared, None, 0
     while True:
         added = stored(_confirmed(found, sets, threshold), "links")
@@ -533,7 +553,9 @@ def near_copies(
                 of_large = open_.where("large")
                 full = sets.join(of_large.select("node").distinct(), "node", "left_semi")
                 across = across.unionByName(_rarest_across(of_large, full, threshold)).distinct()
-        found = stored(_plausible(across.join(compared, ["a", "b"], "left_anti"), classes, threshold), "pairs")
+        known = _ordered(compared, "a", "b")
+        fresh = _oriented(across.join(known, ["a", "b"], "left_anti"))
+        found = stored(_plausible(fresh, classes, threshold), "pairs")
         if last:
             added = stored(_confirmed(found, sets, threshold), "links")
             roots = stored(_joined_up(roots, added), "components")
