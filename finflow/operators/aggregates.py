@@ -152,7 +152,7 @@ def collect_lists(
     take the plain aggregate.
     """
     values = df.where(F.col(value).isNotNull())
-    long = Heat(hot_rows=chunk_rows, hot_share=0.0, range_rows=range_rows).find(values, keys)
+    long = Heat(hot_rows=chunk_rows, hot_share=0.0, range_rows=range_rows).find(values, keys, sure=True)
     place = F.struct(*[F.col(o.removeprefix("-")).alias(f"_{n}") for n, o in enumerate(order)])
     descending = {o.startswith("-") for o in order}
 

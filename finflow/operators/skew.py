@@ -9,7 +9,9 @@ Only keys behind large counters are counted exactly.
 
 ``Heat`` says what counts as hot; ``HotKeys`` is the list found, which several
 operators over the same rows may share. The pass runs when the operator is
-built, as does the writing of the list if there is one.
+built, as does the writing of the list if there is one. Tables that the optimizer
+expects to be no larger than a hot key's rows are not searched: whatever they hold, a
+task can hold it.
 """
 
 from __future__ import annotations
@@ -22,12 +24,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from finflow.operators.layout import expected_bytes
 from finflow.session import saved
 
 # Counters of the sketch: many more than there can be hot keys.
 CELLS = 1 << 20
 # Hot keys up to which their list is broadcast; with the default share there are never more.
 MOST_BROADCAST = 100_000
+# Bytes of a short row, as files hold it.
+LEAST_ROW_BYTES = 16
 
 
 @dataclass(frozen=True)
@@ -42,9 +47,11 @@ class Heat:
     hot_share: float = 1 / MOST_BROADCAST
     range_rows: int = 250_000
 
-    def find(self, df: DataFrame, keys: Sequence[str]) -> HotKeys:
-        """The hot keys of ``df``."""
+    def find(self, df: DataFrame, keys: Sequence[str], sure: bool = False) -> HotKeys:
+        """The hot keys of ``df``; ``sure`` where the result depends on them and not the plan alone."""
         keys = tuple(keys)
+        if not sure and expected_bytes(df) <= self.hot_rows * LEAST_ROW_BYTES:
+            return HotKeys(keys, self)
         cell = F.pmod(F.xxhash64(*keys), F.lit(CELLS))
         cells = df.groupBy(cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_rows"))
         # At most CELLS entries, and with the default limits one per million rows.
@@ -72,7 +79,7 @@ class HotKeys:
     count: int = 0
     rows: int = 0
 
-    def find(self, df: DataFrame, keys: Sequence[str]) -> HotKeys:
+    def find(self, df: DataFrame, keys: Sequence[str], sure: bool = False) -> HotKeys:
         """This list, found before; operators call it like ``Heat.find``."""
         if tuple(keys) != self.keys:
             raise ValueError(f"hot keys are of {self.keys}, not {tuple(keys)}")
