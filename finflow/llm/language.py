@@ -280,13 +280,17 @@ def document_evidence(docs: DataFrame) -> DataFrame:
     )
 
 
+_MARKUP = r"(?is)<(script|style)\b.*?(?:</\1\s*>|\z)|<!--.*?(?:-->|\z)|<[a-z/!?][^>]*(?:>|\z)"
+
+
 def page_evidence(pages: DataFrame) -> DataFrame:
     """Evidence of web pages: the ``lang`` of the markup, the parts of the address, the text between the tags."""
     from finflow.llm.urls import split_url
 
     host, _ = split_url(F.col("url"))
     domain, suffix = host_parts(host)
-    bare = F.regexp_replace("html", r"(?s)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
+    # What is opened and never closed reaches to the end, as in a browser, so a page is gone through once.
+    bare = F.regexp_replace("html", _MARKUP, " ")
     declared = F.nullif(F.regexp_extract("html", r'(?i)<html\b[^>]*\blang\s*=\s*["\']?([a-z]{2,3})', 1), F.lit(""))
     return pages.select(
         "page_id", bare.alias("text"), F.lower(declared).alias("declared"), host.alias("host"), domain.alias("domain"), suffix.alias("suffix")

@@ -365,6 +365,17 @@ def test_language_query_reads_the_evidence_of_pages(spark, tmp_path):
     assert got[100]["language"] == "de" and got[101]["language"] == "en" and not got[102]["kept"]
 
 
+def test_text_between_the_tags(spark):
+    """Scripts, comments and tags go, also unclosed ones; a page full of unclosed ones takes no longer than its length."""
+    pages = [
+        ("<p>one</p><script>two</script> three", "one three"), ("a <SCRIPT x=1>b</Script > c", "a c"), ("a < b and c", "a < b and c"),
+        ("a<!-- b --> c<!-- d", "a c"), ("a <style>b", "a"), ("a <b c", "a"), ("<script>" * 200_000, ""), ("x" + "<!--" * 200_000, "x"), ("<a" * 200_000, ""),
+    ]
+    rows = spark.createDataFrame([(i, "http://a.b/", html) for i, (html, _) in enumerate(pages)], "page_id long, url string, html string")
+    got = {r["page_id"]: " ".join(r["text"].split()) for r in language.page_evidence(rows).collect()}
+    assert got == {i: text for i, (_, text) in enumerate(pages)}
+
+
 def test_posterior_is_the_sum_of_four_logarithms(spark, small):
     """Text, declaration, suffix and smoothed host priors of every page, added up in plain Python."""
     import math
