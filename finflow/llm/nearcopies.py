@@ -42,11 +42,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from finflow.llm import words as w
-from finflow.llm.store import dropped, release, small, small_batches, stored
+from finflow.llm.store import MOST_BROADCAST, dropped, release, small, small_batches, stored
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -217,31 +217,39 @@ def _banded(classes: DataFrame, rows: int, bands: int) -> DataFrame:
     return classes.select("node", "sig").mapInArrow(run, "key long, node binary")
 
 
-def _oriented(pairs: DataFrame) -> DataFrame:
-    """``pairs`` with the node that has more partners as ``b``; stored."""
+def _few(pairs: DataFrame) -> bool:
+    """Whether stored ``pairs``, and so their nodes, are few enough to send to all tasks."""
+    return pairs.count() <= MOST_BROADCAST
+
+
+def _oriented(pairs: DataFrame, few: bool) -> DataFrame:
+    """``pairs`` with the node that has more partners as ``b``."""
     often = _members(pairs).groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    often = small(stored(often, "often"))
     side = lambda s: often.select(F.col("node").alias(s), F.col("n").alias(f"{s}_n"))
-    known = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    sent = F.broadcast if few else (lambda rows: rows)
+    known = pairs.join(sent(side("a")), "a", "left").join(sent(side("b")), "b", "left")
     swap = F.coalesce("a_n", F.lit(1)) > F.coalesce("b_n", F.lit(1))
-    return stored(known.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b")), "pairs")
+    return known.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b"))
 
 
-def _both_sides(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
-    """``a, b`` of stored ``pairs`` with ``columns`` of both nodes from ``table``, named ``a_`` and ``b_``.
+def _both_sides(pairs: DataFrame, few: bool, table: DataFrame, *columns: str) -> DataFrame:
+    """``a, b`` of ``pairs`` with ``columns`` of both nodes from ``table``, named ``a_`` and ``b_``.
 
     What is wide moves once: rows of ``table`` find their pairs where they lie (as long as pairs are
     few enough to send), and go to the few nodes that are ``b``.
     """
     side = lambda s, rows: rows.select(F.col("node").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in columns])
-    hubs = small(stored(pairs.select(F.col("b").alias("node")).distinct(), "hubs"))
-    own = side("a", table).join(small(pairs), "a")
+    sent = F.broadcast if few else (lambda rows: rows)
+    hubs = sent(pairs.select(F.col("b").alias("node")).distinct())
+    own = side("a", table).join(sent(pairs), "a")
     return own.join(side("b", table.join(hubs, "node", "left_semi")), "b")
 
 
-def _plausible(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Of stored ``pairs`` those whose estimate is not five standard errors below the threshold."""
-    joined = _both_sides(pairs, classes, "sig", "n_shingles")
+def _plausible(pairs: DataFrame, classes: DataFrame, threshold: float) -> tuple[DataFrame, bool]:
+    """Of ``pairs`` those whose estimate is not five standard errors below the threshold, and whether they are few; stored."""
+    pairs = stored(pairs, "asked")
+    few = _few(pairs)
+    joined = _both_sides(_oriented(pairs, few), few, classes, "sig", "n_shingles")
 
     def run(batches):
         for batch in batches:
@@ -254,7 +262,7 @@ def _plausible(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFr
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
 
     wanted = joined.select("a", "b", "a_sig", "b_sig", "a_n_shingles", "b_n_shingles")
-    return wanted.mapInArrow(run, "a binary, b binary")
+    return stored(wanted.mapInArrow(run, "a binary, b binary"), "pairs"), few
 
 
 def _members(pairs: DataFrame) -> DataFrame:
@@ -297,10 +305,10 @@ def _full_sets(docs: DataFrame, described: DataFrame, nodes: DataFrame, size: in
     return once
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Of stored ``pairs`` those whose shingle sets meet the threshold, counted exactly."""
+def _confirmed(pairs: DataFrame, few: bool, sets: DataFrame, threshold: float) -> DataFrame:
+    """Of stored ``pairs`` (``few`` as in :func:`_plausible`) those whose shingle sets meet the threshold, counted exactly."""
     percent = round(threshold * 100)
-    joined = _both_sides(pairs, sets, "grams")
+    joined = _both_sides(pairs, few, sets, "grams")
 
     def run(batches):
         for batch in batches:
@@ -320,13 +328,15 @@ def components(edges: DataFrame) -> DataFrame:
     Each round links a node's greater neighbours, then its smaller ones, to its
     least neighbour; the rounds grow with the logarithm of the nodes.
     """
-    now = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "edges")
+    def kept(rows: DataFrame) -> tuple[DataFrame, dict]:
+        """The edges, and what tells whether they changed, observed as they are written."""
+        seen = Observation()
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum"))
+        return stored(rows, "edges"), seen.get
+
+    now, state = kept(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct())
     before = None
-    while True:
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
+    while state != before and state["n"]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -334,9 +344,9 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        nxt = stored(small.where("u > v").distinct(), "edges")
-        dropped(now)
-        now = nxt
+        before, last = state, now
+        now, state = kept(small.where("u > v").distinct())
+        dropped(last)
     members = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("root"))
     return members.unionByName(roots).groupBy("node").agg(F.min("root").alias("root"))
@@ -366,12 +376,12 @@ def _open_groups(shared: DataFrame, classes: DataFrame, roots: DataFrame) -> tup
     sizes = named.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inner"), F.count(F.lit(1)).alias("roots"))
     across = (F.col("n") * F.col("n") - F.col("inner")) / 2
-    mixed = mixed.where("roots > 1").withColumn("across", across).withColumn("large", across > FEW_PAIRS * F.col("n"))
-    mixed = stored(mixed, "mixed")
-    count = lambda rows: F.coalesce(F.sum(rows), F.lit(0))
-    total = mixed.agg(count(F.col("n")).alias("rows"), count(F.when(F.col("large"), F.col("across"))).alias("large")).first()
-    rows = named.join(mixed.select("key", "large"), "key").join(classes.select("node", "n_shingles"), "node")
-    return stored(rows, "open") if total["rows"] else rows, int(total["rows"]), int(total["large"])
+    mixed = mixed.where("roots > 1").select("key", "n", across.alias("across"), (across > FEW_PAIRS * F.col("n")).alias("large"))
+    rows = named.join(mixed, "key").join(classes.select("node", "n_shingles"), "node")
+    # Each row brings its share of its group's pairs, so one reading of the rows counts both.
+    rows = stored(rows.withColumn("share", F.when(F.col("large"), F.col("across") / F.col("n")).otherwise(0.0)).drop("n", "across"), "open")
+    total = rows.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("share"), F.lit(0.0)).alias("large")).first()
+    return rows.drop("share"), int(total["rows"]), round(total["large"])
 
 
 def _alike(threshold: float, size: str, other: str):
@@ -533,10 +543,10 @@ def near_copies(
     pairs = _ordered(shared.join(hubs, "key").where("node <> hub"), "node", "hub")
     # Texts are read once more, for the sets of all classes that may have a partner.
     sets = _full_sets(docs, described, shared.select("node").distinct(), shingle)
-    compared, roots = stored(_plausible(_oriented(pairs), classes, threshold), "pairs"), None
-    found, before, turn = compared, None, 0
+    compared, few = _plausible(pairs, classes, threshold)
+    roots, found, before, turn = None, compared, None, 0
     while True:
-        added = stored(_confirmed(found, sets, threshold), "links")
+        added = stored(_confirmed(found, few, sets, threshold), "links")
         roots = stored(_joined_up(roots, added), "components")
         release(spark)
         turn += 1
@@ -554,10 +564,9 @@ def near_copies(
                 full = sets.join(of_large.select("node").distinct(), "node", "left_semi")
                 across = across.unionByName(_rarest_across(of_large, full, threshold)).distinct()
         known = _ordered(compared, "a", "b")
-        fresh = _oriented(across.join(known, ["a", "b"], "left_anti"))
-        found = stored(_plausible(fresh, classes, threshold), "pairs")
+        found, few = _plausible(across.join(known, ["a", "b"], "left_anti"), classes, threshold)
         if last:
-            added = stored(_confirmed(found, sets, threshold), "links")
+            added = stored(_confirmed(found, few, sets, threshold), "links")
             roots = stored(_joined_up(roots, added), "components")
             break
         compared = stored(compared.unionByName(found), "pairs")
