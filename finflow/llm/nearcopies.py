@@ -249,7 +249,7 @@ def _plausible(pairs: DataFrame, classes: DataFrame, threshold: float) -> tuple[
     """Of ``pairs`` those whose estimate is not five standard errors below the threshold, and whether they are few; stored."""
     pairs = stored(pairs, "asked")
     few = _few(pairs)
-    joined = _both_sides(_oriented(pairs, few), few, classes, "sig", "n_shingles")
+    joined = _both_sides(stored(_oriented(pairs, few), "asked"), few, classes, "sig", "n_shingles")
 
     def run(batches):
         for batch in batches:
