@@ -150,7 +150,12 @@ def cross_join(left: DataFrame, right: DataFrame, max_bytes: int = BROADCAST_BYT
     sides are cut by hash into blocks of about that size, and every pair of blocks is one
     group of an equi join: each task holds two blocks, and a row travels once for each
     block of the other side, the least that a product of that size allows. Equal rows
-    are in one block. The measuring jobs run when the join is built.
+    are in one block. Both sides are sorted and merged: the optimizer sees the tables
+    without their copies, and would broadcast all copies of a small one. The measuring
+    jobs run when the join is built.
+
+    The pairs grow with the product of the sides. Where only totals over pairs are asked,
+    combine rows that are alike for them first.
     """
     size = lambda df: df.agg(measured_bytes(df).alias("size")).first()["size"] or 0
     right_bytes = size(right)
@@ -161,7 +166,7 @@ def cross_join(left: DataFrame, right: DataFrame, max_bytes: int = BROADCAST_BYT
     all_of = lambda blocks: F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     one = left.select("*", block(left, rows).alias("_row"), all_of(columns).alias("_column"))
     two = right.select("*", all_of(rows).alias("_other_row"), block(right, columns).alias("_other_column"))
-    met = one.join(two, (F.col("_row") == F.col("_other_row")) & (F.col("_column") == F.col("_other_column")))
+    met = one.join(two.hint("merge"), (F.col("_row") == F.col("_other_row")) & (F.col("_column") == F.col("_other_column")))
     return met.drop("_row", "_column", "_other_row", "_other_column")
 
 

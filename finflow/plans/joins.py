@@ -124,11 +124,16 @@ def _(t):
        from part cross join supplier group by p_brand, s_nationkey""",
 )
 def _(t):
-    """Every part with every supplier, both sides cut into blocks as if neither could be broadcast."""
+    """Every part with every supplier, both sides cut into blocks as if neither could be broadcast.
+
+    Parts of one brand and size are one row with their number, so the pairs grow with the suppliers alone.
+    """
     suppliers = t.supplier.select("s_suppkey", "s_nationkey")
-    pairs = cross_join(t.part.select("p_partkey", "p_brand", "p_size"), suppliers, max_bytes=1000)
+    parts = t.part.groupBy("p_brand", "p_size").agg(F.count(F.lit(1)).alias("parts"))
+    pairs = cross_join(parts, suppliers, max_bytes=1000)
     return pairs.groupBy("p_brand", "s_nationkey").agg(
-        F.count(F.lit(1)).alias("pairs"), F.sum(F.col("p_size") * F.col("s_suppkey")).alias("weight")
+        F.sum("parts").alias("pairs"),
+        F.sum(F.col("parts") * F.col("p_size") * F.col("s_suppkey")).alias("weight"),
     )
 
 

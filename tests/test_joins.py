@@ -1,7 +1,10 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from finflow.operators.joins import band_join, broadcast_join, cross_join, fits_in_broadcast, outer_join, pair_join
+from finflow.plans.catalog import QUERIES
 from finflow.plans.explain import join_strategies, plan_text, pushed_filters, scanned_columns, shuffles
 from finflow.plans.registry import Tables
 from finflow.schemas import PERSON, ROLE
@@ -90,6 +93,29 @@ def test_cross_join_in_blocks_has_no_nested_loop(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_cross_join_in_blocks_broadcasts_no_copies(spark):
+    """The optimizer expects a side without its copies, which would go through the driver."""
+    left, right = spark.range(1000).toDF("a"), spark.range(900).toDF("b")
+    assert "Broadcast" not in plan_text(cross_join(left, right, max_bytes=200))
+
+
+def test_cross_join_query_pairs_parts_that_are_alike_once(spark, tmp_path):
+    parts = [(i, ["B1", "B2", None][i % 3], None if i % 5 == 0 else i % 2) for i in range(300)]
+    suppliers = [(None if i % 7 == 0 else i, i % 4 or None) for i in range(60)] + [(1, 1)]
+    spark.createDataFrame(parts, "p_partkey long, p_brand string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame(suppliers, "s_suppkey long, s_nationkey long").write.parquet(f"{tmp_path}/supplier.parquet")
+    wanted = {}
+    for _, brand, size in parts:
+        for key, nation in suppliers:
+            n, weight = wanted.get((brand, nation), (0, None))
+            if size is not None and key is not None:
+                weight = (weight or 0) + size * key
+            wanted[brand, nation] = n + 1, weight
+    got = QUERIES["jon_08_cross_join_in_blocks"](spark, str(tmp_path))
+    assert {(r["p_brand"], r["s_nationkey"]): (r["pairs"], r["weight"]) for r in got.collect()} == wanted
+    assert re.search(r"Keys \[2\]: \[p_brand#\d+, p_size", plan_text(got))
+
+
 @pytest.mark.parametrize("width", [None, 0.5, 10.0, 1e6])
 def test_band_join_of_any_width(spark, width):
     """Narrow, wide and open bands, far and tiny values, against the condition itself."""
