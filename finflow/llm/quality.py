@@ -7,16 +7,19 @@ raw corpus, divided by the number of n-grams. Weights are whole numbers
 the same on every run. The threshold is a low quantile of the trusted
 documents' own scores.
 
-The raw counts are taken over all documents. The trusted side is a sample:
-labelled rows of quality 1, at most ``trusted_rows`` of them by hash of their
-id, which is why their ids and the weights (``buckets`` numbers) may be sent to
-all tasks. Nothing else is: a document is rated where it is read, and no text
-is shuffled.
+The raw counts are taken over all documents, the trusted ones over all that have
+a label of quality 1. For the threshold each trusted document is scored by what the
+other half of them (by hash of the id) says, as documents without a label are scored
+by others as well; its quantile is exact, found by counting cells of scores that
+get finer. The ids of trusted documents go to all tasks while they are few
+(``store.MOST_BROADCAST``); beyond that the join shuffles the texts, once for the
+counts and once for the scores. The weights (``buckets`` numbers) always go to all tasks.
+Apart from that a document is rated where it is read, and no text is shuffled.
 
 Edge cases. Null and empty texts have no words and fail the base rule. A row
 with a null id is rated like any other and is never trusted. Repeated rows are
 rated each. Without trusted rows all weights are 0 and only the base rule
-drops. Ties with the threshold are kept. Further columns are ignored. An empty
+drops; so it is where one half of them has no words, since nothing can judge the other. Ties with the threshold are kept. Further columns are ignored. An empty
 table gives no rows. One text takes some hundred bytes of memory per word while
 its repeated windows are sorted.
 """
@@ -29,8 +32,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from finflow.llm.store import small, stored
+
 BUCKETS = 1 << 16
-TRUSTED_ROWS = 20_000
 TRUSTED_QUANTILE = 0.002
 SMOOTHING = 1.0
 SCALE = 1_000_000
@@ -85,45 +89,79 @@ def fit_ratio(
     docs: DataFrame,
     labels: DataFrame,
     buckets: int = BUCKETS,
-    trusted_rows: int = TRUSTED_ROWS,
     quantile: float = TRUSTED_QUANTILE,
 ) -> Ratio:
     """Counts n-grams of all documents and of the trusted ones, by bucket."""
-    trusted = (
+    trusted = small(
         labels.where("quality = 1 and doc_id is not null")
         .select(F.col("doc_id").alias("_trusted"))
         .distinct()
-        .orderBy(F.xxhash64("_trusted"), "_trusted")
-        .limit(trusted_rows)
-        .withColumn("_held_out", F.pmod(F.xxhash64("_trusted", F.lit("held out")), F.lit(2)) == 1)
-    )
-    rows = with_ngrams(docs.select("doc_id", "text")).join(
-        F.broadcast(trusted), F.col("doc_id") == F.col("_trusted"), "left"
+        .withColumn("_half", F.pmod(F.xxhash64("_trusted", F.lit("held out")), F.lit(2)))
     )
+    texts = docs.select("doc_id", "text")
+    of_half = lambda half: F.coalesce(F.col("_half") == half, F.lit(False)).cast("long")
     counts = (
-        rows.select(
-            F.coalesce(~F.col("_held_out"), F.lit(False)).cast("long").alias("_trusted"),
-            F.explode(F.concat("_one", "_two")).alias("_gram"),
-        )
+        with_ngrams(texts.join(trusted, F.col("doc_id") == F.col("_trusted"), "left"))
+        .select(of_half(0).alias("_first"), of_half(1).alias("_second"), F.explode(F.concat("_one", "_two")).alias("_gram"))
         .groupBy(_bucket(F.col("_gram"), buckets).alias("bucket"))
-        .agg(F.count(F.lit(1)).alias("raw"), F.sum("_trusted").alias("trusted"))
+        .agg(F.count(F.lit(1)).alias("raw"), F.sum("_first").alias("first"), F.sum("_second").alias("second"))
     )
-    raw, good = [0] * buckets, [0] * buckets
+    raw, first, second = [0] * buckets, [0] * buckets, [0] * buckets
     for row in counts.collect():  # one row per bucket at most
-        raw[row["bucket"]], good[row["bucket"]] = row["raw"], row["trusted"]
+        raw[row["bucket"]], first[row["bucket"]], second[row["bucket"]] = row["raw"], row["first"], row["second"]
+    good = [a + b for a, b in zip(first, second, strict=True)]
     if not any(good):
         return Ratio([0] * buckets, None)
-    n_raw, n_good = sum(raw) + SMOOTHING * buckets, sum(good) + SMOOTHING * buckets
-    weights = [
+    if not (any(first) and any(second)):
+        return Ratio(_weights(good, raw), None)
+    by_first, by_second = (Ratio(_weights(half, raw), None) for half in (first, second))
+    own = with_ngrams(texts.join(trusted, F.col("doc_id") == F.col("_trusted"))).where(F.size("_one") > 0)
+    judged = own.select(F.when(F.col("_half") == 0, by_second.score()).otherwise(by_first.score()).alias("score"))
+    scores = stored(judged, "scores")
+    return Ratio(_weights(good, raw), exact_quantile(scores, "score", quantile))
+
+
+def _weights(good: list[int], raw: list[int]) -> list[int]:
+    """Log-likelihood ratio of each bucket, smoothed, in millionths."""
+    n_raw, n_good = sum(raw) + SMOOTHING * len(raw), sum(good) + SMOOTHING * len(good)
+    return [
         round(SCALE * (math.log((g + SMOOTHING) / n_good) - math.log((r + SMOOTHING) / n_raw)))
         for g, r in zip(good, raw, strict=True)
     ]
-    ratio = Ratio(weights, None)
-    held_out = docs.select("doc_id", "text").join(
-        F.broadcast(trusted.where("_held_out")), F.col("doc_id") == F.col("_trusted"), "left_semi"
-    )
-    own = with_ngrams(held_out).where(F.size("_one") > 0).select(ratio.score().alias("score"))
-    return Ratio(weights, own.agg(F.percentile("score", quantile).alias("cut")).first()["cut"])
+
+
+def exact_quantile(df: DataFrame, column: str, quantile: float) -> float | None:
+    """``percentile`` of a double column of moderate numbers, however many; None without rows.
+
+    The built-in gathers all values in one task. Here they are counted in cells of a thousandth
+    at first, then those of the cells that hold the two ranks in finer ones, until each of the
+    two holds one value.
+    """
+    value, rows = F.col(column), df.select(column).where(F.col(column).isNotNull())
+    below, position, level = 0, None, 10
+    while True:
+        cell = F.floor(value * F.lit(2.0**level)) if level <= 50 else value
+        cells = rows.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.min(column).alias("least"), F.max(column).alias("most"))
+        cells = sorted(cells.collect())
+        if position is None:
+            if not cells:
+                return None
+            position = quantile * (sum(c["n"] for c in cells) - 1)
+        found = []
+        for rank in (math.floor(position), math.ceil(position)):
+            before = below
+            for c in cells:
+                if rank < before + c["n"]:
+                    break
+                before += c["n"]
+            found.append((c, before))
+        (low, below), (high, _) = found
+        if low["least"] == low["most"] and high["least"] == high["most"]:
+            break
+        rows, level = rows.where((value >= low["least"]) & (value <= high["most"])), level + 10
+    if low["least"] == high["least"]:
+        return low["least"]
+    return (math.ceil(position) - position) * low["least"] + (position - math.floor(position)) * high["least"]
 
 
 def rate(docs: DataFrame, ratio: Ratio) -> DataFrame:

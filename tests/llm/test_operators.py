@@ -560,6 +560,26 @@ def test_quality_tells_trusted_words(spark):
     assert kept <= set(range(60)) and len(kept) >= 58
 
 
+def test_quality_counts_every_trusted_document(spark):
+    """One word of its own in each of more trusted documents than were once sampled."""
+    docs = spark.range(20_400).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id") % 64).alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    ratio = quality.fit_ratio(docs, labels, buckets=16)
+    assert ratio.weights == [0] * 16 and ratio.threshold is not None  # all are trusted, so both counts are the same
+    few = quality.fit_ratio(docs, labels.limit(1), buckets=16)
+    assert few.threshold is None
+
+
+@pytest.mark.parametrize("quantile", [0.0, 0.002, 0.37, 0.5, 1.0])
+@pytest.mark.parametrize("rows", [1, 2, 7, 3000])
+def test_exact_quantile_is_the_built_in_one(spark, rows, quantile):
+    """Ties, negative values, and values far closer than a cell."""
+    i = F.col("id")
+    scores = spark.range(rows).select((F.when(i % 5 == 0, -1.25).otherwise((i % 611) * 1e-9 - 0.5 * (i % 3))).alias("score"))
+    assert quality.exact_quantile(scores, "score", quantile) == scores.agg(F.percentile("score", quantile)).first()[0]
+    assert quality.exact_quantile(scores.limit(0), "score", quantile) is None
+
+
 URLS = [
     (1, "http://example.org/es/x?q"), (2, "https://m.EXAMPLE.org/en/1#a"), (3, "http://a.com/fr/"), (4, "ftp://x.com/de/é"), (5, None),
     (6, "no scheme"), (7, "http://org"), (8, "http://org/"), (9, "http://notexample.org/es/"), (10, "http://spam-farm.net/x"), (11, "://"),
