@@ -1,6 +1,6 @@
 """Running state of the accounts that have news, on Spark's own state store.
 
-``track_active`` runs a Python function per account and batch: for state that
+``track_active`` runs a Python function over groups of accounts in each batch: for state that
 built-in aggregates cannot say, such as totals that start from a seed and end
 when an account has been idle for too long. Where totals are enough,
 ``active_totals`` is a native streaming aggregate. ``state_snapshot`` reads what
@@ -26,10 +26,14 @@ warnings.filterwarnings("ignore", message="The behavior of DataFrame concatenati
 _PARTIAL = f"{KEY} string, window_start timestamp, spent double, n bigint, first timestamp, last timestamp, seed boolean, at timestamp"
 _TRACKED = f"{KEY} string, total_spending double, num_tx bigint, window_avg double, last_seen timestamp, expired boolean"
 _NAMES = [KEY, "total_spending", "num_tx", "window_avg", "last_seen", "expired"]
-# Times in microseconds; ``seen`` is the last transaction.
-_STATE = "total double, n bigint, window_start bigint, window_sum double, window_n bigint, seen bigint"
+# An account's state: times in microseconds; ``seen`` is the last transaction.
+_FIELDS = {"total": "double", "n": "bigint", "window_start": "bigint", "window_sum": "double", "window_n": "bigint", "seen": "bigint"}
+# A group holds its accounts' states side by side.
+_STATE = ", ".join(["account array<string>", *(f"{name} array<{kind}>" for name, kind in _FIELDS.items())])
 _NEVER = -(2**62)
 _NEW = (0.0, 0, _NEVER, 0.0, 0, _NEVER)
+# Groups that accounts are dealt to by hash.
+GROUPS = 1024
 
 
 def active_totals(stream: DataFrame, time: str, length: str) -> DataFrame:
@@ -54,10 +58,14 @@ def _micros(times: pd.Series) -> list[int]:
     return times.to_numpy().astype("datetime64[us]").astype("int64").tolist()
 
 
-def _row(key: tuple, state: tuple, expired: bool) -> pd.DataFrame:
-    total, n, _, window_sum, window_n, seen = state
-    average = window_sum / window_n if window_n else 0.0
-    return pd.DataFrame([(key[0], total, n, average, pd.Timestamp(seen, unit="us"), expired)], columns=_NAMES)
+def _rows(states: dict, expired: set) -> pd.DataFrame:
+    """States as the stream shows them."""
+    totals, counts, _, sums, window_counts, seen = zip(*states.values())
+    averages = [s / n if n else 0.0 for s, n in zip(sums, window_counts)]
+    times = pd.to_datetime(pd.Series(seen, dtype="int64"), unit="us")
+    ended = [account in expired for account in states]
+    columns = (pd.Series(list(states), dtype=object), totals, counts, averages, times, ended)
+    return pd.DataFrame(dict(zip(_NAMES, columns)))
 
 
 def _added(state: tuple, news: Iterator[tuple], patience: int | None) -> tuple:
@@ -76,31 +84,42 @@ def _added(state: tuple, news: Iterator[tuple], patience: int | None) -> tuple:
 
 def _tracker(patience: int | None) -> Callable:
     def track(key: tuple, partials: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            yield _row(key, state.get, True)
-            state.remove()
-            return
-        held, seeds, news = state.get if state.exists else _NEW, [], {}
+        held = dict(zip((stored := state.get)[0], zip(*stored[1:]))) if state.exists else {}
+        seeds, news = {}, {}
         for rows in partials:
+            accounts = rows[KEY].astype(object).where(rows[KEY].notna(), None).tolist()
             times = zip(_micros(rows["first"]), _micros(rows["last"]))
             values = zip(rows["seed"].tolist(), _micros(rows["window_start"]), rows["spent"].tolist(), rows["n"].tolist(), times)
-            for seed, window, spent, n, (first, last) in values:
+            for account, (seed, window, spent, n, (first, last)) in zip(accounts, values):
+                windows = news.setdefault(account, {})
                 if seed:
-                    seeds.append((spent, n, last))
-                elif window in news:
-                    old = news[window]
-                    news[window] = (old[0] + spent, old[1] + n, min(old[2], first), max(old[3], last))
+                    seeds.setdefault(account, []).append((spent, n, last))
+                elif window in windows:
+                    old = windows[window]
+                    windows[window] = (old[0] + spent, old[1] + n, min(old[2], first), max(old[3], last))
                 else:
-                    news[window] = (spent, n, first, last)
-        if seeds and held == _NEW:
-            spent, n, last = max(seeds)
-            held = (spent, n, _NEVER, 0.0, 0, last)
-        held = _added(held, ((w, *news[w]) for w in sorted(news)), patience)
-        state.update(held)
+                    windows[window] = (spent, n, first, last)
+        told, expired = {}, set()
         if patience is not None:
-            due = (held[-1] + patience) // 1000
-            state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
-        yield _row(key, held, False)
+            now = state.getCurrentWatermarkMs()
+            for account in [a for a, s in held.items() if a not in news and (s[-1] + patience) // 1000 < now]:
+                told[account] = held.pop(account)
+                expired.add(account)
+        for account, windows in news.items():
+            before = held.get(account, _NEW)
+            if account in seeds and before == _NEW:
+                spent, n, last = max(seeds[account])
+                before = (spent, n, _NEVER, 0.0, 0, last)
+            told[account] = held[account] = _added(before, ((w, *windows[w]) for w in sorted(windows)), patience)
+        if held:
+            state.update((list(held), *map(list, zip(*held.values()))))
+            if patience is not None:
+                due = (min(s[-1] for s in held.values()) + patience) // 1000
+                state.setTimeoutTimestamp(max(due, now + 1))
+        elif state.exists:
+            state.remove()
+        if told:
+            yield _rows(told, expired)
 
     return track
 
@@ -112,9 +131,15 @@ def track_active(
     patience: str | None = None,
     seeds: DataFrame | None = None,
     delay: str = "10 seconds",
+    groups: int = GROUPS,
 ) -> DataFrame:
     """Updated state of the accounts with news, one row per account and micro-batch.
 
+    Spark calls a Python state function once per key and batch, at milliseconds a call whatever
+    it does. The key is therefore one of ``groups`` hashes of the account, and a call goes through all
+    news of its group; a group with news has its accounts' states rewritten. More groups
+    mean more calls and less to rewrite; the number stays as the checkpoint's first run had it.
+
     ``window_avg`` is the average of the newest window the account was active in.
     Transactions are summed per Arrow batch and window before the shuffle, so a busy
     account sends a few rows to its task rather than all of its transactions.
@@ -148,14 +173,16 @@ def track_active(
         # The newest time of a partial sum is what makes it late, and what moves the watermark. Seeds do neither.
         partial = partial.withWatermark("at", delay)
     timeout = GroupStateTimeout.NoTimeout if limit is None else GroupStateTimeout.EventTimeTimeout
-    return partial.groupBy(KEY).applyInPandasWithState(_tracker(limit), _TRACKED, _STATE, "update", timeout)
+    grouped = partial.withColumn("_group", F.pmod(F.xxhash64(KEY), F.lit(groups))).groupBy("_group")
+    return grouped.applyInPandasWithState(_tracker(limit), _TRACKED, _STATE, "update", timeout)
 
 
 def state_snapshot(spark: SparkSession, checkpoint: str) -> DataFrame:
     """State of all accounts of a ``track_active`` stream as its last batch left it, read from the state store."""
-    held = spark.read.format("statestore").load(checkpoint).select("key.*", "value.groupState.*")
+    group = spark.read.format("statestore").load(checkpoint).select("value.groupState.*")
+    held = group.select(F.inline(F.arrays_zip("account", *_FIELDS)))
     average = F.when(F.col("window_n") > 0, F.col("window_sum") / F.col("window_n")).otherwise(F.lit(0.0))
     return held.select(
-        F.col(held.columns[0]).alias(KEY), F.col("total").alias("total_spending"), F.col("n").alias("num_tx"),
+        F.col("account").alias(KEY), F.col("total").alias("total_spending"), F.col("n").alias("num_tx"),
         average.alias("window_avg"), F.timestamp_micros("seen").alias("last_seen"),
     )

@@ -134,6 +134,26 @@ def test_tracked_state_seeds_and_timers(spark, tmp_path):
         track_active(stream, "ts", "2 hours", "1 hour")
 
 
+def test_tracked_accounts_share_a_few_calls(spark, tmp_path):
+    """Many accounts in few groups, one without a number, over two batches: a call and a state for each group."""
+    rows = [(f"a{i % 70}" if i % 7 else None, at(i % 5), float(i)) for i in range(280)]
+    frame = lambda part: spark.createDataFrame(part, f"{KEY} string, ts timestamp, amount double").coalesce(1)
+    for part in (rows[:200], rows[200:]):
+        frame(part).write.mode("append").parquet(f"{tmp_path}/in")
+    tracked = track_active(stream_table(spark, f"{tmp_path}/in", 1), "ts", "1 hour", groups=3)
+    told = []
+    run_available(to_batches(tracked, lambda batch, i: told.extend((i, *r) for r in batch.collect()), "update"), f"{tmp_path}/checkpoint")
+    assert spark.read.format("statestore").load(f"{tmp_path}/checkpoint").count() <= 3
+    held = {r[KEY]: (r["total_spending"], r["num_tx"]) for r in state_snapshot(spark, f"{tmp_path}/checkpoint").collect()}
+    wanted = {}
+    for account, _, amount in rows:
+        total, n = wanted.get(account, (0.0, 0))
+        wanted[account] = total + amount, n + 1
+    assert held == wanted
+    assert {(i, account) for i, account, *_ in told} == {(int(j >= 200), r[0]) for j, r in enumerate(rows)}
+    assert {r[1]: r[2:4] for r in sorted(told, key=lambda r: r[0])} == wanted
+
+
 def test_active_totals_forget_closed_windows(spark, tmp_path):
     rows = [("a", at(1), 1.0), ("a", at(1), 2.0), ("a", at(5), 4.0), ("b", at(9), 8.0), (None, at(9), 16.0)]
     table = spark.createDataFrame(rows, f"{KEY} string, ts timestamp, amount double")
