@@ -31,6 +31,8 @@ from finflow.session import saved
 CELLS = 1 << 20
 # Hot keys up to which their list is broadcast; with the default share there are never more.
 MOST_BROADCAST = 100_000
+# Pieces that the rows of hot keys are cut into at most.
+MOST_RANGES = 2048
 # Bytes of a short row, as files hold it.
 LEAST_ROW_BYTES = 16
 
@@ -40,7 +42,8 @@ class Heat:
     """A key is hot above ``hot_rows`` rows *and* ``hot_share`` of all rows.
 
     The share bounds the number of hot keys, whatever the table holds. Rows of hot
-    keys are cut into pieces of about ``range_rows`` in their order (see ``in_ranges``).
+    keys are cut into pieces of about ``range_rows`` in their order, more where there are very many rows
+    (see ``in_ranges``).
     """
 
     hot_rows: int = 1_000_000
@@ -53,16 +56,18 @@ class Heat:
         if not sure and expected_bytes(df) <= self.hot_rows * LEAST_ROW_BYTES:
             return HotKeys(keys, self)
         cell = F.pmod(F.xxhash64(*keys), F.lit(CELLS))
-        cells = df.groupBy(cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_rows"))
-        # At most CELLS entries, and with the default limits one per million rows.
-        large = F.collect_list(F.when(F.col("_rows") > self.hot_rows, F.struct("_cell", "_rows")))
-        found = cells.agg(F.sum("_rows").alias("total"), large.alias("large")).first()
+        cells = saved(df.groupBy(cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_rows")), "cells")
+        found = cells.agg(
+            F.sum("_rows").alias("total"), F.max("_rows").alias("most"), F.count_if(F.col("_rows") > self.hot_rows).alias("large")
+        ).first()
         least = max(self.hot_rows, (found["total"] or 0) * self.hot_share)
-        large = [(c["_cell"],) for c in found["large"] if c["_rows"] > least]
-        if not large:
+        if (found["most"] or 0) <= least:
             return HotKeys(keys, self)
-        marked = df.sparkSession.createDataFrame(large, "_cell long")
-        candidates = df.select(*keys).join(F.broadcast(marked), cell == F.col("_cell"), "left_semi")
+        candidates = df.select(*keys)
+        # With the default limits there are few large cells; where nearly all are, they would tell nothing.
+        if min(found["large"], found["total"] / max(least, 1)) <= MOST_BROADCAST:
+            marked = cells.where(F.col("_rows") > least).select("_cell")
+            candidates = candidates.join(F.broadcast(marked), cell == F.col("_cell"), "left_semi")
         counts = candidates.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > least)
         table = saved(counts, "hot-keys")
         size = table.agg(F.count(F.lit(1)).alias("keys"), F.sum("_rows").alias("rows")).first()
@@ -88,8 +93,8 @@ class HotKeys:
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         """``(cold, hot)`` rows of ``df``, which together are ``df``; ask only if there is a list."""
         marks, match = aside(self.table.select(*self.keys), self.keys)
-        if self.count <= MOST_BROADCAST:
-            marks = F.broadcast(marks)
+        # Unasked, the optimizer would broadcast millions of keys by the few bytes they take in files.
+        marks = F.broadcast(marks) if self.count <= MOST_BROADCAST else marks.hint("merge")
         return df.join(marks, match, "left_anti"), df.join(marks, match, "left_semi")
 
     def in_ranges(self, hot: DataFrame, order: Sequence[Column], name: str = "_range") -> DataFrame:
@@ -100,9 +105,10 @@ class HotKeys:
         rows that tie are in one. The result is written, so that every use of it
         sees the same pieces, also after an executor is lost. Pieces are
         small against a task, and many, so the windows over them are dealt evenly
-        even if a key has all its rows on one day.
+        even if a key has all its rows on one day. Beyond ``MOST_RANGES`` they get larger
+        instead: every one is a task that the driver plans, samples for and hears from.
         """
-        pieces = max(1, math.ceil(self.rows / self.heat.range_rows))
+        pieces = min(max(1, math.ceil(self.rows / self.heat.range_rows)), MOST_RANGES)
         dealt = hot.repartitionByRange(pieces, *self.keys, *order)
         return saved(dealt.withColumn(name, F.spark_partition_id()), "ranges")
 

@@ -167,6 +167,18 @@ def test_operators_share_one_list(rows):
         numbered(rows, ["day"], ["id"], "n", hot)
 
 
+def test_ranges_and_hot_cells_stay_few(rows, monkeypatch):
+    """Very many ranges get larger instead, and very many large cells are not listed."""
+    monkeypatch.setattr(skew, "MOST_RANGES", 4)
+    monkeypatch.setattr(skew, "MOST_BROADCAST", 1)
+    hot = Heat(3, 0.0, range_rows=2).find(rows, KEYS)
+    assert hot.count == rows.groupBy(*KEYS).count().where("count > 3").count() > 1
+    assert "Broadcast" not in plan_text(hot.split(rows)[1])
+    assert hot.in_ranges(rows, [F.col("id").asc()]).select("_range").distinct().count() == 4
+    plain = rows.withColumn("n", F.row_number().over(whole()).cast("bigint"))
+    same(numbered(rows, KEYS, ORDER, "n", hot), plain)
+
+
 def test_a_hot_key_on_one_day_is_cut_evenly(spark):
     """A third of the rows on one account and one day: no task has over twice the rows of the median task."""
     number = F.col("id")
