@@ -5,7 +5,8 @@ hash. A register keeps the least hash of its shingles in compressed form: the
 number of leading zeros and the ``MANTISSA`` bits after them, 16 bits in all.
 
 Candidates. Documents of the same shingle set are one *class*; only classes go
-on. For banding, an empty register borrows the value of the first filled one in
+on, numbered (``node``), so tables of groups, pairs and components are of two or three
+numbers a row. For banding, an empty register borrows the value of the first filled one in
 an order of its own, so a band of a short text holds several shingles as well.
 ``rows`` neighbouring registers make a band; classes that agree in a band are
 candidates. With the defaults a pair at the threshold is missed by every
@@ -143,7 +144,7 @@ def _chance(per_register: np.ndarray) -> np.ndarray:
 
 
 def describe(docs: DataFrame, size: int, registers: int, carry: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id, n_shingles, node, sig``: ``node`` names the shingle set, null without shingles."""
+    """``doc_id, n_shingles, name, sig``: ``name`` is of the shingle set, null without shingles."""
     carried = docs.select(*carry).schema.fields
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,7 +154,7 @@ def describe(docs: DataFrame, size: int, registers: int, carry: tuple[str, ...]
             for a, b in w.runs(offsets):
                 part = w.LOWER[data[offsets[a] : offsets[b]]]
                 grams, bounds = shingle_sets(part, offsets[a : b + 1] - offsets[a], size)
-                node, count = _names(grams, bounds), np.diff(bounds)
+                name, count = _names(grams, bounds), np.diff(bounds)
                 sig = signatures(grams, bounds, registers)
                 none = count == 0
                 yield pa.RecordBatch.from_pydict(
@@ -161,13 +162,21 @@ def describe(docs: DataFrame, size: int, registers: int, carry: tuple[str, ...]
                     | {
                         "doc_id": ids[a:b],
                         "n_shingles": pa.array(count, pa.int64()),
-                        "node": pa.array([None if n else v.tobytes() for n, v in zip(none, node, strict=True)], pa.binary()),
+                        "name": pa.array([None if n else v.tobytes() for n, v in zip(none, name, strict=True)], pa.binary()),
                         "sig": pa.array([None if n else v.tobytes() for n, v in zip(none, sig, strict=True)], pa.binary()),
                     }
                 )
 
     more = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in carried)
-    return docs.select("doc_id", "text", *carry).mapInArrow(run, f"{more}doc_id long, n_shingles long, node binary, sig binary")
+    return docs.select("doc_id", "text", *carry).mapInArrow(run, f"{more}doc_id long, n_shingles long, name binary, sig binary")
+
+
+def _classes(described: DataFrame) -> DataFrame:
+    """``name, sig, n_shingles, least, node`` of every shingle set; stored, which fixes the number ``node``."""
+    found = described.where("name is not null").groupBy("name").agg(
+        F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles"), F.min("doc_id").alias("least")
+    )
+    return stored(found.withColumn("node", F.monotonically_increasing_id()), "classes")
 
 
 def _names(grams: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -214,7 +223,7 @@ def _banded(classes: DataFrame, rows: int, bands: int) -> DataFrame:
             at = np.repeat(np.arange(batch.num_rows), bands)
             yield pa.RecordBatch.from_pydict({"key": pa.array(key), "node": node.take(pa.array(at))})
 
-    return classes.select("node", "sig").mapInArrow(run, "key long, node binary")
+    return classes.select("node", "sig").mapInArrow(run, "key long, node long")
 
 
 def _few(pairs: DataFrame) -> bool:
@@ -262,22 +271,23 @@ def _plausible(pairs: DataFrame, classes: DataFrame, threshold: float) -> tuple[
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
 
     wanted = joined.select("a", "b", "a_sig", "b_sig", "a_n_shingles", "b_n_shingles")
-    return stored(wanted.mapInArrow(run, "a binary, b binary"), "pairs"), few
+    return stored(wanted.mapInArrow(run, "a long, b long"), "pairs"), few
 
 
 def _members(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("node"))
 
 
-def _full_sets(docs: DataFrame, described: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+def _full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     """``node, grams`` of the classes ``nodes`` (distinct), from one document of each; stored."""
-    one = stored(described.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "wanted")
-    texts = docs.select("doc_id", "text").join(small(one.where("doc_id is not null")), "doc_id").select("text", "node")
+    one = stored(classes.select("name", "node", "least").join(nodes, "node", "left_semi"), "wanted")
+    asked = one.where("least is not null").select(F.col("least").alias("doc_id"), "name", "node")
+    texts = docs.select("doc_id", "text").join(small(asked), "doc_id").select("text", "name", "node")
 
     def run(batches):
         for batch in batches:
             data, offsets = w.text_column(batch, "text")
-            asked = batch.column("node").to_pylist()
+            asked, node = batch.column("name").to_pylist(), batch.column("node")
             for a, b in w.runs(offsets):
                 part = w.LOWER[data[offsets[a] : offsets[b]]]
                 grams, bounds = shingle_sets(part, offsets[a : b + 1] - offsets[a], size)
@@ -285,17 +295,19 @@ def _full_sets(docs: DataFrame, described: DataFrame, nodes: DataFrame, size: in
                 keep = [i for i in range(b - a) if asked[a + i] in (None, names[i])]
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "node": pa.array([names[i] for i in keep], pa.binary()),
+                        "name": pa.array([names[i] for i in keep], pa.binary()),
+                        "node": node.take(pa.array([a + i for i in keep], pa.int64())),
                         "grams": pa.array([grams[bounds[i] : bounds[i + 1]].tobytes() for i in keep], pa.binary()),
                     }
                 )
 
-    found = texts.mapInArrow(run, "node binary, grams binary")
-    nameless = one.where("doc_id is null").select("node")
+    made = "name binary, node long, grams binary"
+    found = texts.mapInArrow(run, made).select("node", "grams")
+    nameless = one.where("least is null").select("name", "node")
     if not nameless.isEmpty():
         # Classes of rows without an id are looked up by name among those rows.
-        others = docs.where("doc_id is null").select("text", F.lit(None).cast("binary").alias("node"))
-        found = found.unionByName(others.mapInArrow(run, "node binary, grams binary").join(nameless, "node", "left_semi"))
+        others = docs.where("doc_id is null").select("text", F.lit(None).cast("binary").alias("name"), F.lit(None).cast("long").alias("node"))
+        found = found.unionByName(others.mapInArrow(run, made).drop("node").join(nameless, "name").select("node", "grams"))
     found = stored(found, "sets")
     # Only rows equal in id and text, or without an id, bring a set twice; else sets need not be shuffled here.
     if found.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
@@ -319,7 +331,7 @@ def _confirmed(pairs: DataFrame, few: bool, sets: DataFrame, threshold: float) -
                 keep.append(100 * common >= percent * (len(a) + len(b) - common))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return joined.select("a", "b", "a_grams", "b_grams").mapInArrow(run, "a binary, b binary")
+    return joined.select("a", "b", "a_grams", "b_grams").mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -370,16 +382,23 @@ def _ordered(rows: DataFrame, left: str, right: str) -> DataFrame:
     return rows.select(F.least(left, right).alias("a"), F.greatest(left, right).alias("b")).distinct()
 
 
-def _open_groups(shared: DataFrame, classes: DataFrame, roots: DataFrame) -> tuple[DataFrame, int, int]:
-    """Rows of groups of several components, their number, and that of pairs across in large groups (``large``)."""
-    named = shared.select("key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+def _open_groups(groups: DataFrame, classes: DataFrame, roots: DataFrame) -> tuple[DataFrame, int, int]:
+    """Rows of groups of several components, their number, and that of pairs across in large groups (``large``).
+
+    Components only grow together, so a later turn asks among the rows that this one returns.
+    """
+    named = groups.drop("root", "large").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = stored(named, "rooted")
     sizes = named.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inner"), F.count(F.lit(1)).alias("roots"))
     across = (F.col("n") * F.col("n") - F.col("inner")) / 2
     mixed = mixed.where("roots > 1").select("key", "n", across.alias("across"), (across > FEW_PAIRS * F.col("n")).alias("large"))
-    rows = named.join(mixed, "key").join(classes.select("node", "n_shingles"), "node")
+    rows = named.join(mixed, "key")
+    if "n_shingles" not in groups.columns:
+        rows = rows.join(classes.select("node", "n_shingles"), "node")
     # Each row brings its share of its group's pairs, so one reading of the rows counts both.
     rows = stored(rows.withColumn("share", F.when(F.col("large"), F.col("across") / F.col("n")).otherwise(0.0)).drop("n", "across"), "open")
+    dropped(named)
     total = rows.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("share"), F.lit(0.0)).alias("large")).first()
     return rows.drop("share"), int(total["rows"]), round(total["large"])
 
@@ -469,9 +488,15 @@ def _rarest_across(open_: DataFrame, sets: DataFrame, threshold: float) -> DataF
     Two sets that overlap in ``o`` share one of the first ``n - o + 1`` shingles of
     each in any common order. The rarest come first, so a passage
     that many texts share brings none of them together.
+
+    Sets, which are wide, stay where they lie. Where there are too many members to send, the starts
+    of all sets are made and only those of members kept.
     """
     percent = round(100 * threshold)
-    member = open_.select("node", "root", "n_shingles").distinct()
+    member = stored(open_.select("node", "root", "n_shingles").distinct(), "members")
+    few = _few(member)
+    if few:
+        sets = sets.join(F.broadcast(member.select("node")), "node", "left_semi")
     counts = sketch(sets)
 
     def run(batches):
@@ -493,8 +518,8 @@ def _rarest_across(open_: DataFrame, sets: DataFrame, threshold: float) -> DataF
                 }
             )
 
-    rarest = sets.select("node", "grams").mapInArrow(run, "node binary, gram long, rank long")
-    first = stored(rarest.join(member, "node").select("gram", "node", "root", "n_shingles", "rank"), "rarest")
+    rarest = sets.select("node", "grams").mapInArrow(run, "node long, gram long, rank long")
+    first = stored(rarest.join(F.broadcast(member) if few else member, "node").select("gram", "node", "root", "n_shingles", "rank"), "rarest")
     other = first.select("gram", *[F.col(c).alias(f"b_{c}") for c in ("node", "root", "n_shingles", "rank")])
     # Linked with a set of its own size or more, a set overlaps by this share of itself, so a shorter
     # start must hold the common shingle. It ends before the shingles that most texts have.
@@ -527,12 +552,7 @@ def near_copies(
     small_batches(spark)
     rows, bands = bands_for(threshold)
     described = stored(describe(docs, shingle, rows * bands, carry), "signatures")
-    classes = stored(
-        described.where("node is not null").groupBy("node").agg(
-            F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles"), F.min("doc_id").alias("least")
-        ),
-        "classes",
-    )
+    classes = _classes(described)
     banded = _banded(classes, rows, bands)
     groups = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = stored(banded.join(groups, "key"), "bands")
@@ -542,16 +562,16 @@ def near_copies(
     hubs = shared.join(weights, "node").groupBy("key").agg(F.max(F.struct("weight", "node"))["node"].alias("hub"))
     pairs = _ordered(shared.join(hubs, "key").where("node <> hub"), "node", "hub")
     # Texts are read once more, for the sets of all classes that may have a partner.
-    sets = _full_sets(docs, described, shared.select("node").distinct(), shingle)
+    sets = _full_sets(docs, classes, shared.select("node").distinct(), shingle)
     compared, few = _plausible(pairs, classes, threshold)
-    roots, found, before, turn = None, compared, None, 0
+    roots, open_, found, before, turn = None, shared, compared, None, 0
     while True:
         added = stored(_confirmed(found, few, sets, threshold), "links")
         roots = stored(_joined_up(roots, added), "components")
         release(spark)
         turn += 1
         # Groups that are not of one component yet: compare across components.
-        open_, members, large = _open_groups(shared, classes, roots)
+        open_, members, large = _open_groups(open_, classes, roots)
         if not members:
             break
         last = not large or (before is not None and 8 * large > 7 * before)
@@ -560,9 +580,7 @@ def near_copies(
         else:
             across = _all_across(open_.where("not large"), threshold)
             if large:
-                of_large = open_.where("large")
-                full = sets.join(of_large.select("node").distinct(), "node", "left_semi")
-                across = across.unionByName(_rarest_across(of_large, full, threshold)).distinct()
+                across = across.unionByName(_rarest_across(open_.where("large"), sets, threshold)).distinct()
         known = _ordered(compared, "a", "b")
         found, few = _plausible(across.join(known, ["a", "b"], "left_anti"), classes, threshold)
         if last:
@@ -571,11 +589,15 @@ def near_copies(
             break
         compared = stored(compared.unionByName(found), "pairs")
 
-    linked = classes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # Most classes are linked with none: only those that are meet to find the least id of their component.
+    linked = classes.select("node", "least").join(roots, "node")
     names = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_node = linked.join(names, "root").select("node", "component_id", F.col("root").alias("component"))
-    own = described.select(*carry, "doc_id", "n_shingles", "node").join(by_node, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    linked = linked.join(names, "root").select("node", "root", "component_id")
+    by_name = classes.select("name", "node", "least").join(linked, "node", "left").select(
+        "name", F.coalesce("component_id", "least").alias("component_id"), F.coalesce("root", "node").alias("component")
+    )
+    own = described.select(*carry, "doc_id", "n_shingles", "name").join(by_name, "name", "left")
+    component = F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return own.select(
         *carry, "doc_id", "n_shingles", component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"), *(["component"] if named else []),

@@ -479,6 +479,34 @@ def test_unlike_texts_that_share_a_passage_go_the_exact_way(spark, monkeypatch):
     assert exact and exact[0].count() > 0
 
 
+@pytest.mark.parametrize("most", [500_000, 0])
+def test_tables_of_groups_are_of_numbers_and_open_rows(spark, monkeypatch, most):
+    """Wide names and sets do not travel with groups, and closed groups do not come again; also where nothing is sent to all tasks."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(60):  # one large group of near copies, soon closed
+        rows.append((i, " ".join(f"v{i}" if j == rng.randrange(120) else x for j, x in enumerate(words))))
+    for i in range(80):  # unlike texts that share a passage, and a few near copies of them
+        own = [f"u{i}x{j}" for j in range(10)]
+        rows.append((100 + 2 * i, " ".join([f"p{j}" for j in range(70)] + own)))
+        if i % 8 == 0:
+            rows.append((101 + 2 * i, " ".join([f"p{j}" for j in range(70)] + own[:9] + ["end"])))
+    rows += [(None, rows[-1][1] + " more"), (None, None), (7, rows[7][1])]
+    made, asked = [], []
+    whole, old = nearcopies._open_groups, nearcopies.stored
+    monkeypatch.setattr(nearcopies, "MOST_BROADCAST", most)
+    monkeypatch.setattr("finflow.llm.store.MOST_BROADCAST", most)
+    monkeypatch.setattr(nearcopies, "stored", lambda df, name: made.append((name, dict(df.dtypes))) or old(df, name))
+    monkeypatch.setattr(nearcopies, "_open_groups", lambda *a: asked.append((a[0].count(), whole(*a))) or asked[-1][1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(map(tuple, nearcopies.near_copies(docs, 3, 0.85).collect()), key=repr)
+    assert got == sorted(((d, n, c, k if d is not None else c is None) for d, n, c, k in brute.near_copies(rows, 3, 85)), key=repr)
+    assert not [name for name, types in made if "binary" in types.values() and name not in ("signatures", "classes", "wanted", "sets")]
+    assert "rarest" in dict(made)
+    assert len(asked) > 1 and asked[1][0] == asked[0][1][1] < asked[0][0]
+
+
 def test_links_through_rows_without_an_id(spark):
     words = [f"w{i}" for i in range(60)]
     rows = [(1, " ".join(words)), (None, " ".join(words[2:] + ["x", "y"])), (2, " ".join(words[4:] + ["x", "y", "z", "q"]))]
